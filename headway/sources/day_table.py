@@ -1,0 +1,153 @@
+"""Parquet table partitioned by day, changed by replacing whole days.
+
+Plain parquet has no MERGE. An increment writes the days it changes to a new folder and then
+adds one small commit file that says which folder holds each day. Readers see the last
+commit; a failed write leaves the table as it was. One writer at a time.
+
+    <path>/data/v=3/event_date=2024-01-05/part-*.parquet
+    <path>/commits/00000003.json
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from headway import schemas
+
+
+class DayTable:
+    def __init__(self, spark: SparkSession, path: str, schema: str, day: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.schema = schema
+        self.day = day
+
+    # Commit files are a few kilobytes: one entry per day.
+
+    def _fs(self, path: str):
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
+
+    def _names(self, path: str) -> list[str]:
+        fs, target = self._fs(path)
+        if not fs.exists(target):
+            return []
+        return sorted(status.getPath().getName() for status in fs.listStatus(target))
+
+    def _commit_path(self, version: int) -> str:
+        return f"{self.path}/commits/{version:08d}.json"
+
+    def versions(self) -> list[int]:
+        return [int(name[:-5]) for name in self._names(f"{self.path}/commits") if name[0].isdigit()]
+
+    def commit_info(self, version: int | None = None) -> dict:
+        if version is None:
+            version = max(self.versions(), default=0)
+        if version == 0:
+            return {"version": 0, "mark": None, "source_version": 0, "touched": [], "days": {}}
+        fs, target = self._fs(self._commit_path(version))
+        stream = fs.open(target)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    @property
+    def mark(self) -> str | None:
+        """Highest ingestion time held, as text; null while the table is empty."""
+        return self.commit_info()["mark"]
+
+    def touched_since(self, version: int) -> list[str]:
+        """Days changed by commits after the given version."""
+        days: set[str] = set()
+        for later in self.versions():
+            if later > version:
+                days.update(self.commit_info(later)["touched"])
+        return sorted(days)
+
+    def read(self, days: Iterable[str] | None = None) -> DataFrame:
+        held = self.commit_info()["days"]
+        wanted = sorted(held) if days is None else sorted(set(days) & set(held))
+        if not wanted:
+            return self.spark.createDataFrame([], schemas.struct(self.schema))
+        folders = [f"{self.path}/data/v={held[day]}/{self.day}={day}" for day in wanted]
+        rows = self.spark.read.schema(self.schema).option("basePath", f"{self.path}/data").parquet(*folders)
+        return rows.select(*schemas.struct(self.schema).fieldNames())
+
+    def replace_days(
+        self,
+        rows: DataFrame,
+        days: Iterable[str] | None = None,
+        mark_column: str | None = None,
+        source_version: int = 0,
+    ) -> int:
+        """Makes ``rows`` the content of the given days, or of the whole table.
+
+        A given day without rows leaves the table. The rebalance sizes files per day and
+        splits a day too large for one task. The highest ``mark_column`` is noted on the way.
+        """
+        before = self.commit_info()
+        version = before["version"] + 1
+        folder = f"{self.path}/data/v={version}"
+        rows = rows.hint("rebalance", self.day)
+        marks = [before["mark"]] if days is not None else []
+        if mark_column:
+            newest = Observation()
+            rows = rows.observe(newest, F.max(mark_column).cast("string").alias("mark"))
+        rows.write.mode("overwrite").partitionBy(self.day).parquet(folder)
+        if mark_column:
+            marks.append(newest.get["mark"])
+        prefix = f"{self.day}="
+        written = [name[len(prefix):] for name in self._names(folder) if name.startswith(prefix)]
+        replaced = set(before["days"]) if days is None else set(days)
+        held = {day: v for day, v in before["days"].items() if day not in replaced}
+        held.update({day: version for day in written})
+        info = {
+            "version": version,
+            "mark": max(filter(None, marks), default=None),
+            "source_version": max(before["source_version"], source_version),
+            "touched": sorted(replaced | set(written)),
+            "days": held,
+        }
+        self._write_commit(version, json.dumps(info))
+        return version
+
+    def _write_commit(self, version: int, text: str) -> None:
+        fs, target = self._fs(self._commit_path(version))
+        _, unfinished = self._fs(f"{self.path}/commits/_unfinished-{version:08d}")
+        stream = fs.create(unfinished, True)
+        stream.write(bytearray(text, "utf-8"))
+        stream.close()
+        if fs.exists(target) or not fs.rename(unfinished, target):
+            raise RuntimeError(f"{self.path}: version {version} was committed by another writer")
+
+    def drop_unreferenced(self, keep: int = 2) -> list[int]:
+        """Deletes data folders that none of the last ``keep`` versions uses."""
+        versions = self.versions()
+        used = {v for kept in versions[-keep:] for v in self.commit_info(kept)["days"].values()}
+        dropped = []
+        for version in versions[:-keep]:
+            if version not in used and f"v={version}" in self._names(f"{self.path}/data"):
+                fs, target = self._fs(f"{self.path}/data/v={version}")
+                fs.delete(target, True)
+                dropped.append(version)
+        return dropped
+
+    def staging_folder(self) -> str:
+        """Where the next increment may write its intermediate tables."""
+        return f"{self.path}/staging/v={self.commit_info()['version'] + 1}"
+
+    def clear_staging(self) -> None:
+        fs, target = self._fs(f"{self.path}/staging")
+        if fs.exists(target):
+            fs.delete(target, True)
+
+
+def days_of(rows: DataFrame, day: str) -> list[str]:
+    """Distinct days; bounded by the calendar, not by the data."""
+    found = rows.select(F.col(day).cast("string").alias("day")).distinct().collect()
+    return sorted(r.day for r in found)
