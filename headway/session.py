@@ -12,10 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
-    # Exact percentiles hold one small histogram per (route, hour); stay hash based for
-    # more groups before falling back to sorting.
-    "spark.sql.execution.useObjectHashAggregateExec": "true",
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 

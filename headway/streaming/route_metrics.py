@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway import schemas
-from headway.plans.delays import DELAYED_FROM_SEC, share
+from headway.plans.delays import route_delay_hourly_sketch
 from headway.plans.increments import apply_raw, daily_table, events_table, hourly_table, refresh_metrics
 from headway.streaming import triggered
 from headway.streaming.feeds import read_log_stream
@@ -40,25 +40,7 @@ def hourly_windows(events: DataFrame, lateness: str = "4 hours") -> DataFrame:
 
     An hour is emitted once the watermark passes its end; later events are dropped.
     """
-    delayed = F.count_if(F.col("delay_sec") >= DELAYED_FROM_SEC)
-    return (
-        events.withWatermark("event_time", lateness)
-        .groupBy("route_id", F.window("event_time", "1 hour"))
-        .agg(
-            F.count("*").alias("num_events"),
-            F.avg("delay_sec").alias("avg_delay_sec"),
-            F.percentile_approx("delay_sec", [0.5, 0.9], 10000).alias("percentiles"),
-            delayed.alias("delayed_5m_events"),
-            share(delayed, F.count("*")).alias("pct_events_delayed_5m"),
-        )
-        .select(
-            "route_id",
-            F.col("window.start").alias("event_hour"),
-            "num_events",
-            "avg_delay_sec",
-            F.col("percentiles")[0].alias("p50_delay_sec"),
-            F.col("percentiles")[1].alias("p90_delay_sec"),
-            "delayed_5m_events",
-            "pct_events_delayed_5m",
-        )
+    hours = events.withWatermark("event_time", lateness).withColumn("event_hour", F.window("event_time", "1 hour"))
+    return route_delay_hourly_sketch(hours).withColumn(
+        "event_hour", F.col("event_hour.start")
     )
