@@ -14,8 +14,11 @@ from headway.functions import EPOCH, utc_literal
 POLL_MINUTES = 20
 
 
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def _every(n: int) -> Column:

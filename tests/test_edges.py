@@ -1,0 +1,267 @@
+"""Hand-made rows, one case per peculiarity of the feeds and models."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from conftest import as_set, moment
+from headway import schemas
+from headway.functions.text import WHITE_SPACE
+from headway.plans import dashboard, delays, dimensions, fleet, freshness
+from headway.plans.events import int_trip_stop_events_deduped
+from headway.plans.staging import stg_trip_updates, stg_vehicle_positions
+from headway.sources.feeds import flatten_trip_updates, flatten_vehicle_positions
+
+
+def golden(raw):
+    return int_trip_stop_events_deduped(stg_trip_updates(raw))
+
+
+def test_newest_poll_wins(trip_rows):
+    raw = trip_rows({}, {"ingested_at": "10 08:40", "delay_sec": 60})
+    assert as_set(golden(raw), "delay_sec") == {(60,)}
+
+
+def test_ties_within_a_poll_are_settled(trip_rows):
+    rows = [{"event_time": "10 08:30", "delay_sec": 1}, {"event_time": "10 08:31", "delay_sec": 2}]
+    for order in (rows, rows[::-1]):
+        assert as_set(golden(trip_rows(*order)), "delay_sec") == {(2,)}
+    rows = [{"entity_id": "e2", "delay_sec": 1}, {"entity_id": "e10", "delay_sec": 2}]
+    for order in (rows, rows[::-1]):
+        assert as_set(golden(trip_rows(*order)), "delay_sec") == {(1,)}
+
+
+def test_null_feed_timestamp_is_oldest(trip_rows):
+    raw = trip_rows({"feed_timestamp": None, "delay_sec": 1}, {"feed_timestamp": "09 00:00", "delay_sec": 2})
+    assert as_set(golden(raw), "delay_sec") == {(2,)}
+
+
+def test_delay_bounds(trip_rows):
+    raw = trip_rows(*({"stop_id": f"s{d}", "delay_sec": d} for d in (-1801, -1800, 14400, 14401)))
+    assert as_set(golden(raw), "delay_sec") == {(-1800,), (14400,)}
+
+
+def test_rebuild_drops_key_whose_newest_delay_is_null(trip_rows):
+    raw = trip_rows({}, {"ingested_at": "10 08:40", "delay_sec": None})
+    assert golden(raw).count() == 0
+
+
+def test_blank_routes_are_dropped(trip_rows):
+    raw = trip_rows(*({"stop_id": str(i), "route_id": r} for i, r in enumerate(["  ", "\t", "", None, "  "])))
+    assert stg_trip_updates(raw).count() == 0
+
+
+def test_any_white_space_is_trimmed(trip_rows):
+    inner = "a b\té"
+    raw = trip_rows({"route_id": WHITE_SPACE + inner + WHITE_SPACE, "trip_id": "\r\n x\f\v"})
+    assert as_set(stg_trip_updates(raw), "route_id", "trip_id") == {(inner, "x")}
+
+
+def test_blank_trips_collapse(trip_rows):
+    raw = trip_rows({"trip_id": "", "entity_id": "e1"}, {"trip_id": None, "entity_id": "e2"})
+    assert as_set(stg_trip_updates(raw), "trip_id", "entity_id") == {(None, "e2")}
+
+
+def test_key_parts_may_collide(trip_rows):
+    raw = trip_rows({"trip_id": "a-b", "stop_id": "c"}, {"trip_id": "a", "stop_id": "b-c"})
+    assert stg_trip_updates(raw).count() == 1
+
+
+def test_key_text(trip_rows):
+    import hashlib
+
+    raw = trip_rows({"stop_id": None, "event_type": " arrival "})
+    expected = hashlib.md5(b"t1--ARRIVAL").hexdigest()
+    assert as_set(stg_trip_updates(raw), "event_key", "event_type") == {(expected, "ARRIVAL")}
+
+
+def test_event_types(trip_rows):
+    types = [" arrival ", "SKIPPED", None, "", "Departure"]
+    raw = trip_rows(*({"stop_id": str(i), "event_type": t} for i, t in enumerate(types)))
+    assert as_set(stg_trip_updates(raw), "event_type") == {("ARRIVAL",), ("DEPARTURE",)}
+
+
+def test_service_days_share_a_key_unless_asked(trip_rows):
+    raw = trip_rows(
+        {}, {"start_date": "20240111", "ingested_at": "11 08:20", "event_time": "11 08:30", "delay_sec": 5}
+    )
+    assert as_set(stg_trip_updates(raw), "start_date") == {("20240111",)}
+    both = stg_trip_updates(raw, extra_key=["start_date"])
+    assert as_set(both, "start_date") == {("20240110",), ("20240111",)}
+
+
+def test_event_without_time_is_dropped(trip_rows):
+    assert stg_trip_updates(trip_rows({"event_time": None})).count() == 0
+
+
+def test_date_and_hour(trip_rows):
+    found = as_set(golden(trip_rows({"event_time": "10 23:59"})), "event_date", "event_hour")
+    assert found == {(dt.date(2024, 1, 10), moment("10 23:00"))}
+
+
+def test_blank_vehicles_collapse_and_null_ones_go(ping_rows):
+    raw = ping_rows({"vehicle_id": " "}, {"vehicle_id": " ", "timestamp": "10 08:10"}, {"vehicle_id": None})
+    assert as_set(stg_vehicle_positions(raw), "vehicle_id", "vehicle_event_key") == {(None, None)}
+
+
+def test_last_copy_of_a_ping_stays(ping_rows):
+    raw = ping_rows({"speed": 1.0}, {"speed": 2.0, "ingested_at": "10 08:40"}, {"timestamp": None})
+    assert as_set(stg_vehicle_positions(raw), "speed") == {(2.0,)}
+
+
+def live(pings, updates, as_of="2024-01-10 09:00:00"):
+    return fleet.fct_latest_vehicle_positions(stg_vehicle_positions(pings), stg_trip_updates(updates), as_of)
+
+
+def test_newest_ping_with_coordinates_is_shown(ping_rows, trip_rows):
+    pings = ping_rows({"position_lat": 1.0}, {"timestamp": "10 08:18", "position_lat": None})
+    assert as_set(live(pings, trip_rows({})), "position_lat", "minutes_since_update", "current_delay_sec") == {
+        (1.0, 45, 100)
+    }
+
+
+def test_vehicles_without_known_trip_show_no_delay(ping_rows, trip_rows):
+    pings = ping_rows(
+        {}, {"vehicle_id": "v2", "trip_id": None}, {"vehicle_id": "v3", "trip_id": "zz"}, {"vehicle_id": "v4", "trip_id": " "}
+    )
+    updates = trip_rows({}, {"trip_id": None, "delay_sec": 999})
+    assert as_set(live(pings, updates), "vehicle_id", "trip_id", "current_delay_sec") == {
+        ("v1", "t1", 100),
+        ("v2", None, 0),
+        ("v3", "zz", 0),
+        ("v4", None, 0),
+    }
+
+
+def test_newer_null_delay_is_skipped_for_another_stop(ping_rows, trip_rows):
+    updates = trip_rows(
+        {"stop_id": "s1", "delay_sec": 100},
+        {"stop_id": "s2", "ingested_at": "10 08:40", "delay_sec": None},
+    )
+    assert as_set(live(ping_rows({}), updates), "current_delay_sec") == {(100,)}
+
+
+def test_tied_delays_of_a_trip(ping_rows, trip_rows):
+    updates = trip_rows(
+        {"stop_id": "s1", "event_time": "10 08:30", "delay_sec": 1},
+        {"stop_id": "s2", "event_time": "10 08:35", "delay_sec": 2},
+    )
+    assert as_set(live(ping_rows({}), updates), "current_delay_sec") == {(2,)}
+
+
+def test_unset_position_counts_as_zero_coordinates(spark):
+    feed = spark.createDataFrame(
+        [((1704873600,), [("e1", (("v1",), None, None, None, 0, "", 0))])], schemas.struct(schemas.VEHICLE_FEED)
+    )
+    row = flatten_vehicle_positions(feed).first()
+    assert (row.position_lat, row.position_lon, row.trip_id, row.route_id) == (0.0, 0.0, "", "")
+    assert (row.current_status, row.current_stop_sequence, row.stop_id, row.timestamp) == ("2", None, None, None)
+
+
+def daily_rows(spark, values):
+    rows = [("r1", dt.date(2024, 1, day), 10, mean, 1, mean / 100) for day, mean in values]
+    return spark.createDataFrame(rows, schemas.struct(schemas.MODELS["fct_route_delay_daily"]))
+
+
+def test_week_ago_counts_rows_or_days(spark):
+    daily = daily_rows(spark, [(d, float(d)) for d in (1, 2, 3, 4, 5, 6, 7, 9, 10)])
+    rows = {r.date_day.day: r for r in delays.fct_route_delay_daily_compare(daily).collect()}
+    assert (rows[9].avg_delay_prev_week, rows[9].avg_delay_prev_day, rows[9].wow_avg_delay_sec) == (1.0, 7.0, 8.0)
+    by_day = {r.date_day.day: r for r in delays.fct_route_delay_daily_compare_calendar(daily).collect()}
+    assert (by_day[9].avg_delay_prev_week, by_day[9].avg_delay_prev_day) == (2.0, None)
+    assert by_day[10].dod_avg_delay_sec == 1.0
+
+
+def test_rolling_mean_starts_short(spark):
+    daily = daily_rows(spark, [(d, float(d)) for d in range(1, 10)])
+    means = {r.date_day.day: r.avg_delay_7d_avg for r in delays.fct_route_delay_daily_rolling(daily).collect()}
+    assert (means[1], means[3], means[7], means[9]) == (1.0, 2.0, 4.0, 6.0)
+
+
+def test_daily_mean_is_weighted(trip_rows):
+    slow = [{"stop_id": "x", "delay_sec": 600, "event_time": "10 08:30"}]
+    quick = [{"stop_id": f"q{i}", "delay_sec": 100, "event_time": "10 09:30"} for i in range(9)]
+    hourly = delays.int_route_delay_hourly(golden(trip_rows(*slow, *quick)))
+    assert as_set(delays.fct_route_delay_daily(hourly), "total_events", "avg_delay_sec", "delayed_5m_events") == {
+        (10, 150.0, 1)
+    }
+
+
+def test_hourly_figures(trip_rows):
+    values = [299, 300, 10, 20, 30, 40, 50, 60, 70, 80]
+    raw = trip_rows(*({"stop_id": str(i), "delay_sec": v} for i, v in enumerate(values)))
+    exact = as_set(delays.int_route_delay_hourly(golden(raw)))
+    assert exact == {("r1", moment("10 08:00"), 10, 95.9, 50, 299, 1, 0.1)}
+    assert as_set(delays.route_delay_hourly_sketch(golden(raw))) == exact
+
+
+def test_empty_inputs(trip_rows, ping_rows, spark):
+    raw = trip_rows({}).limit(0)
+    hourly = delays.int_route_delay_hourly(golden(raw))
+    assert hourly.count() == 0
+    daily = delays.fct_route_delay_daily(hourly)
+    assert as_set(dashboard.network_avg_delay(daily)) == {(None, None)}
+    fresh = freshness.mart_data_freshness(stg_trip_updates(raw), "2024-01-10 09:00:00")
+    assert as_set(fresh, "last_feed_timestamp", "hours_since_last_feed") == {(None, None)}
+    assert as_set(freshness.freshness_alert(fresh), "is_stale") == {(True,)}
+    assert as_set(freshness.source_freshness({"a": raw}), "status") == {("warn",)}
+
+
+@pytest.mark.parametrize(
+    ("as_of", "hours", "minutes", "stale"),
+    [("10 11:18", 2, 179, True), ("10 10:19", 2, 120, False), ("10 10:20", 2, 121, True), ("10 08:00", 0, -19, False)],
+)
+def test_freshness(trip_rows, as_of, hours, minutes, stale):
+    mart = freshness.mart_data_freshness(stg_trip_updates(trip_rows({})), moment(as_of))
+    assert as_set(freshness.freshness_alert(mart), "hours_since_last_feed", "minutes_since_last_feed", "is_stale") == {
+        (hours, minutes, stale)
+    }
+
+
+def test_source_freshness_limit(trip_rows):
+    for as_of, status in (("10 09:20", "pass"), ("10 09:21", "warn")):
+        assert as_set(freshness.source_freshness({"log": trip_rows({})}, moment(as_of)), "source_table", "status") == {
+            ("log", status)
+        }
+
+
+def test_trip_feed_details(spark):
+    at = 1704873600
+    trip = ("t1", "r1", "20240110", "08:00:00", 0)
+    stops = [
+        ("", 0, (0, 60), (at, 0)),
+        ("s2", 2, (at, 60), (at + 30, -30)),
+        ("s3", 3, None, None),
+    ]
+    feed = spark.createDataFrame(
+        [((0,), [("e1", (trip, stops)), ("e2", None)]), ((at,), [])], schemas.struct(schemas.TRIP_FEED)
+    )
+    rows = as_set(
+        flatten_trip_updates(feed), "feed_timestamp", "stop_id", "stop_sequence", "event_type", "delay_sec"
+    )
+    assert rows == {
+        (None, None, None, "DEPARTURE", None),
+        (None, "s2", 2, "ARRIVAL", 60),
+        (None, "s2", 2, "DEPARTURE", -30),
+    }
+    kept = flatten_trip_updates(feed, zero_delay_is_null=False).where("stop_id IS NULL")
+    assert as_set(kept, "delay_sec") == {(0,)}
+
+
+def test_dimensions(trip_rows):
+    events = golden(trip_rows({}, {"stop_id": "s2", "event_time": "14 08:00"}))
+    assert as_set(dimensions.dim_route(events)) == {("r1",)}
+    assert as_set(dimensions.dim_date(events)) == {
+        (dt.date(2024, 1, 10), 2024, 1, 10, 4, "Wednesday"),
+        (dt.date(2024, 1, 14), 2024, 1, 14, 1, "Sunday"),
+    }
+
+
+def test_ghosts_and_worst(ping_rows, trip_rows):
+    pings = ping_rows({}, {"vehicle_id": "v2", "timestamp": "10 08:45"}, {"vehicle_id": " ", "timestamp": "10 08:59"})
+    now = live(pings, trip_rows({}), "2024-01-10 09:05:59")
+    assert as_set(dashboard.active_vehicles(now), "vehicle_id") == {("v2",), (None,)}
+    assert [r.vehicle_id for r in dashboard.worst_delays_topk(now, 1).collect()] == ["v1"]
+    assert as_set(dashboard.delay_heatmap_grid(now)) == {(3750, -12225, 3, 300, 100.0)}
