@@ -3,7 +3,9 @@
 from headway.functions.clock import (
     EPOCH,
     epoch_to_utc,
+    from_instant,
     hour_start,
+    to_instant,
     utc_literal,
     utc_now,
     whole_hours_between,
@@ -16,8 +18,10 @@ __all__ = [
     "EPOCH",
     "clean_text",
     "epoch_to_utc",
+    "from_instant",
     "hour_start",
     "stop_event_key",
+    "to_instant",
     "utc_literal",
     "utc_now",
     "vehicle_ping_key",

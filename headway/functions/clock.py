@@ -25,7 +25,7 @@ def utc_literal(moment: dt.datetime | str) -> Column:
 
 def utc_now() -> Column:
     """Query start time; inside a stream, the time of the micro-batch."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(F.current_timestamp()), utc_literal(EPOCH))
+    return from_instant(F.current_timestamp())
 
 
 def as_of_column(as_of: Column | dt.datetime | str | None) -> Column:
@@ -39,6 +39,17 @@ def epoch_to_utc(seconds: Column) -> Column:
     return F.timestamp_add("SECOND", F.nullif(seconds, F.lit(0).cast("bigint")), utc_literal(EPOCH))
 
 
+def to_instant(moment: Column) -> Column:
+    """UTC wall clock to a zoned timestamp, which watermarks ask for."""
+    seconds = (moment - utc_literal(EPOCH)).cast("interval second").cast("decimal(18,6)")
+    return F.timestamp_micros((seconds * 1_000_000).cast("bigint"))
+
+
+def from_instant(moment: Column) -> Column:
+    """Zoned timestamp to UTC wall clock."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(moment), utc_literal(EPOCH))
+
+
 def hour_start(moment: Column) -> Column:
     return F.timestamp_add("HOUR", F.hour(moment), F.to_date(moment).cast("timestamp_ntz"))
 

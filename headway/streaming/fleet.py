@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway import schemas
+from headway.functions import to_instant
 from headway.operators.upsert import upsert
 from headway.plans.fleet import fct_latest_vehicle_positions
 from headway.plans.freshness import mart_data_freshness
@@ -76,4 +77,5 @@ def distinct_pings(pings: DataFrame, lateness: str = "1 day") -> DataFrame:
     For feeds that repeat a ping unchanged. Where a repeat may differ, the staged table keeps
     the last instead.
     """
-    return pings.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(["vehicle_id", "timestamp"])
+    timed = pings.withColumn("instant", to_instant(F.col("timestamp"))).withWatermark("instant", lateness)
+    return timed.dropDuplicatesWithinWatermark(["vehicle_id", "timestamp"]).drop("instant")

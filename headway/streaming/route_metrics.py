@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway import schemas
+from headway.functions import from_instant, to_instant
 from headway.plans.delays import route_delay_hourly_sketch
 from headway.plans.increments import apply_raw, daily_table, events_table, hourly_table, refresh_metrics
 from headway.streaming import triggered
@@ -40,7 +41,6 @@ def hourly_windows(events: DataFrame, lateness: str = "4 hours") -> DataFrame:
 
     An hour is emitted once the watermark passes its end; later events are dropped.
     """
-    hours = events.withWatermark("event_time", lateness).withColumn("event_hour", F.window("event_time", "1 hour"))
-    return route_delay_hourly_sketch(hours).withColumn(
-        "event_hour", F.col("event_hour.start")
-    )
+    timed = events.withColumn("instant", to_instant(F.col("event_time"))).withWatermark("instant", lateness)
+    hours = timed.withColumn("event_hour", F.window("instant", "1 hour"))
+    return route_delay_hourly_sketch(hours).withColumn("event_hour", from_instant(F.col("event_hour.start")))
