@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.sources.day_table import DayTable, days_of
+from headway.sources.table import VersionedTable, days_of
 from headway.sources.scratch import written
 
 NEWEST_BY = ("ingested_at", "feed_timestamp")
@@ -22,7 +22,7 @@ def _same(key: str) -> Column:
     return F.col(key).eqNullSafe(F.col("delta_key"))
 
 
-def upsert(table: DayTable, delta: DataFrame, key: str, newest_by: Sequence[str] = NEWEST_BY) -> list[str]:
+def upsert(table: VersionedTable, delta: DataFrame, key: str, newest_by: Sequence[str] = NEWEST_BY) -> list[str]:
     """Merges a delta with unique keys and returns the days that changed.
 
     A delta row replaces the held row of its key unless that one is newer, so repeating an

@@ -9,7 +9,7 @@ from headway.operators.upsert import upsert
 from headway.plans.delays import fct_route_delay_daily, fct_route_delay_hourly, int_route_delay_hourly
 from headway.plans.events import int_trip_stop_events_deduped
 from headway.plans.staging import stg_trip_updates
-from headway.sources.day_table import DayTable
+from headway.sources.table import VersionedTable
 from headway.sources.raw_log import read_raw
 
 EVENTS = "int_trip_stop_events_deduped"
@@ -17,19 +17,19 @@ HOURLY = "fct_route_delay_hourly"
 DAILY = "fct_route_delay_daily"
 
 
-def events_table(spark: SparkSession, warehouse: str) -> DayTable:
-    return DayTable(spark, f"{warehouse}/{EVENTS}", schemas.MODELS[EVENTS], "event_date")
+def events_table(spark: SparkSession, warehouse: str) -> VersionedTable:
+    return VersionedTable(spark, f"{warehouse}/{EVENTS}", schemas.MODELS[EVENTS], "event_date")
 
 
-def hourly_table(spark: SparkSession, warehouse: str) -> DayTable:
-    return DayTable(spark, f"{warehouse}/{HOURLY}", schemas.MODELS[HOURLY], "date_day")
+def hourly_table(spark: SparkSession, warehouse: str) -> VersionedTable:
+    return VersionedTable(spark, f"{warehouse}/{HOURLY}", schemas.MODELS[HOURLY], "date_day")
 
 
-def daily_table(spark: SparkSession, warehouse: str) -> DayTable:
-    return DayTable(spark, f"{warehouse}/{DAILY}", schemas.MODELS[DAILY], "date_day")
+def daily_table(spark: SparkSession, warehouse: str) -> VersionedTable:
+    return VersionedTable(spark, f"{warehouse}/{DAILY}", schemas.MODELS[DAILY], "date_day")
 
 
-def apply_raw(events: DayTable, raw: DataFrame) -> list[str]:
+def apply_raw(events: VersionedTable, raw: DataFrame) -> list[str]:
     """Stages and cleans raw rows and merges them; returns the days that changed.
 
     A key whose newest new row is unusable keeps the row it has, unlike in a full rebuild.
@@ -37,7 +37,7 @@ def apply_raw(events: DayTable, raw: DataFrame) -> list[str]:
     return upsert(events, int_trip_stop_events_deduped(stg_trip_updates(raw)), "event_key")
 
 
-def load_new_events(events: DayTable, trip_log: str) -> list[str]:
+def load_new_events(events: VersionedTable, trip_log: str) -> list[str]:
     """Applies raw rows ingested strictly after the table's newest row; all while it is empty.
 
     The mark is tested on the raw log, below the newest-per-key step, so old partitions are
@@ -47,12 +47,12 @@ def load_new_events(events: DayTable, trip_log: str) -> list[str]:
     return apply_raw(events, raw)
 
 
-def rebuild_events(events: DayTable, trip_log: str) -> None:
+def rebuild_events(events: VersionedTable, trip_log: str) -> None:
     raw = read_raw(events.spark, trip_log, schemas.RAW_TRIP_UPDATES)
     events.replace_days(int_trip_stop_events_deduped(stg_trip_updates(raw)), mark_column="ingested_at")
 
 
-def refresh_metrics(events: DayTable, hourly: DayTable, daily: DayTable) -> list[str]:
+def refresh_metrics(events: VersionedTable, hourly: VersionedTable, daily: VersionedTable) -> list[str]:
     """Recomputes hours and days of the dates changed since the metrics were last written.
 
     An event whose newest prediction moved to another date changes both dates; both are in

@@ -12,6 +12,7 @@ from headway.functions.clock import as_of_column
 from headway.operators.quality import run_checks
 from headway.plans import delays, dimensions, fleet, freshness, increments, staging
 from headway.sources.raw_log import read_raw
+from headway.sources.table import VersionedTable
 
 STAGED_UPDATES = "stg_trip_updates"
 STAGED_PINGS = "stg_vehicle_positions"
@@ -78,19 +79,15 @@ class Project:
         path, schema = self.logs[name]
         return read_raw(self.spark, path, schema)
 
-    def _path(self, name: str) -> str:
-        return f"{self.warehouse}/{name}"
+    def table(self, name: str) -> VersionedTable:
+        kept = {EVENTS: self.events, increments.HOURLY: self.hourly, DAILY: self.daily}
+        return kept.get(name) or VersionedTable(self.spark, f"{self.warehouse}/{name}", schemas.MODELS[name])
 
     def read(self, name: str, as_of=None) -> DataFrame:
         """A built table, or a view over its inputs."""
         if name in self.logs:
             return self.raw(name)
-        stored = {EVENTS: self.events, increments.HOURLY: self.hourly, DAILY: self.daily}
-        if name in stored:
-            return stored[name].read()
-        if MODELS[name].kind == "view":
-            return self.view(name, as_of)
-        return self.spark.read.schema(schemas.MODELS[name]).parquet(self._path(name))
+        return self.view(name, as_of) if MODELS[name].kind == "view" else self.table(name).read()
 
     def view(self, name: str, as_of=None) -> DataFrame:
         model = MODELS[name]
@@ -128,12 +125,17 @@ class Project:
                 rows = model.build(*inputs, as_of) if model.timed else model.build(*inputs)
                 readers = sum(name in MODELS[other].inputs for other in wanted)
                 if model.kind == "table" or readers > 1:
-                    rows.write.mode("overwrite").parquet(self._path(name))
-                    rows = self.spark.read.schema(schemas.MODELS[name]).parquet(self._path(name))
+                    self.table(name).replace_days(rows)
+                    rows = self.table(name).read()
                 built[name] = rows
             built[name].createOrReplaceTempView(name)
         return built
 
+    def drop_old_versions(self, keep: int = 3) -> None:
+        """Frees the space of versions before the last few; their readers must be done."""
+        for name in MODELS:
+            self.table(name).drop_unreferenced(keep)
+
     def test(self, built: dict[str, DataFrame] | None = None) -> DataFrame:
         """Results of the declared checks for the given or all models."""
         return run_checks(built or {name: self.read(name) for name in MODELS})

@@ -1,8 +1,9 @@
-"""Parquet table partitioned by day, changed by replacing whole days.
+"""Parquet table whose content changes by commits.
 
-Plain parquet has no MERGE. An increment writes the days it changes to a new folder and then
-adds one small commit file that says which folder holds each day. Readers see the last
-commit; a failed write leaves the table as it was. One writer at a time.
+Plain parquet has no MERGE, and overwriting it in place breaks its readers. Here a write
+goes to a new folder and then adds one small commit file. A table partitioned by day can
+replace some of its days; the commit says which folder holds each. Readers see the last
+commit, and a failed write leaves the table as it was. One writer at a time.
 
     <path>/data/v=3/event_date=2024-01-05/part-*.parquet
     <path>/commits/00000003.json
@@ -18,9 +19,12 @@ from pyspark.sql import functions as F
 
 from headway import schemas
 
+# The one entry of a table without days.
+_WHOLE = "all"
 
-class DayTable:
-    def __init__(self, spark: SparkSession, path: str, schema: str, day: str):
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, path: str, schema: str, day: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
@@ -69,12 +73,16 @@ class DayTable:
                 days.update(self.commit_info(later)["touched"])
         return sorted(days)
 
+    def _folder(self, version: int, day: str) -> str:
+        folder = f"{self.path}/data/v={version}"
+        return f"{folder}/{self.day}={day}" if self.day else folder
+
     def read(self, days: Iterable[str] | None = None) -> DataFrame:
         held = self.commit_info()["days"]
         wanted = sorted(held) if days is None else sorted(set(days) & set(held))
         if not wanted:
             return self.spark.createDataFrame([], schemas.struct(self.schema))
-        folders = [f"{self.path}/data/v={held[day]}/{self.day}={day}" for day in wanted]
+        folders = [self._folder(held[day], day) for day in wanted]
         rows = self.spark.read.schema(self.schema).option("basePath", f"{self.path}/data").parquet(*folders)
         return rows.select(*schemas.struct(self.schema).fieldNames())
 
@@ -93,16 +101,17 @@ class DayTable:
         before = self.commit_info()
         version = before["version"] + 1
         folder = f"{self.path}/data/v={version}"
-        rows = rows.hint("rebalance", self.day)
+        if self.day:
+            rows = rows.hint("rebalance", self.day)
         marks = [before["mark"]] if days is not None else []
         if mark_column:
             newest = Observation()
             rows = rows.observe(newest, F.max(mark_column).cast("string").alias("mark"))
-        rows.write.mode("overwrite").partitionBy(self.day).parquet(folder)
+        writer = rows.write.mode("overwrite")
+        (writer.partitionBy(self.day) if self.day else writer).parquet(folder)
         if mark_column:
             marks.append(newest.get["mark"])
-        prefix = f"{self.day}="
-        written = [name[len(prefix):] for name in self._names(folder) if name.startswith(prefix)]
+        written = self._days_in(folder) if self.day else [_WHOLE]
         replaced = set(before["days"]) if days is None else set(days)
         held = {day: v for day, v in before["days"].items() if day not in replaced}
         held.update({day: version for day in written})
@@ -116,6 +125,10 @@ class DayTable:
         self._write_commit(version, json.dumps(info))
         return version
 
+    def _days_in(self, folder: str) -> list[str]:
+        prefix = f"{self.day}="
+        return [name[len(prefix):] for name in self._names(folder) if name.startswith(prefix)]
+
     def _write_commit(self, version: int, text: str) -> None:
         fs, target = self._fs(self._commit_path(version))
         _, unfinished = self._fs(f"{self.path}/commits/_unfinished-{version:08d}")

@@ -12,28 +12,28 @@ from headway.operators.upsert import upsert
 from headway.plans.fleet import fct_latest_vehicle_positions
 from headway.plans.freshness import mart_data_freshness
 from headway.plans.staging import stg_trip_updates, stg_vehicle_positions
-from headway.sources.day_table import DayTable
+from headway.sources.table import VersionedTable
 from headway.streaming import triggered
 from headway.streaming.feeds import read_log_stream
 
 
-def staged_updates_table(spark: SparkSession, warehouse: str) -> DayTable:
+def staged_updates_table(spark: SparkSession, warehouse: str) -> VersionedTable:
     """Newest prediction per stop event, by date of the event."""
     schema = schemas.MODELS["stg_trip_updates"] + ", event_date date"
-    return DayTable(spark, f"{warehouse}/staged_trip_updates", schema, "event_date")
+    return VersionedTable(spark, f"{warehouse}/staged_trip_updates", schema, "event_date")
 
 
-def staged_pings_table(spark: SparkSession, warehouse: str) -> DayTable:
+def staged_pings_table(spark: SparkSession, warehouse: str) -> VersionedTable:
     """Last copy of every ping, by date of the ping."""
     schema = schemas.MODELS["stg_vehicle_positions"] + ", ping_date date"
-    return DayTable(spark, f"{warehouse}/staged_vehicle_positions", schema, "ping_date")
+    return VersionedTable(spark, f"{warehouse}/staged_vehicle_positions", schema, "ping_date")
 
 
-def apply_updates(table: DayTable, raw: DataFrame) -> list[str]:
+def apply_updates(table: VersionedTable, raw: DataFrame) -> list[str]:
     return upsert(table, stg_trip_updates(raw).withColumn("event_date", F.to_date("event_time")), "event_key")
 
 
-def apply_pings(table: DayTable, raw: DataFrame) -> list[str]:
+def apply_pings(table: VersionedTable, raw: DataFrame) -> list[str]:
     return upsert(table, stg_vehicle_positions(raw).withColumn("ping_date", F.to_date("timestamp")), "vehicle_event_key")
 
 

@@ -17,7 +17,7 @@ from headway.plans.delays import fct_route_delay_daily, fct_route_delay_hourly,
 from headway.plans.events import int_trip_stop_events_deduped
 from headway.plans.staging import stg_trip_updates
 from headway.sources import event_stream
-from headway.sources.day_table import DayTable
+from headway.sources.table import VersionedTable
 from headway.sources.raw_log import append_raw, read_raw
 from headway.sources.scratch import new_folder
 
@@ -115,7 +115,7 @@ def test_repeating_and_reordering_batches(spark, folder, trip_rows):
 
 
 def test_null_key_is_one_key(spark, folder):
-    table = DayTable(spark, f"{folder}/t", "k string, day date, ingested_at timestamp_ntz, x int", "day")
+    table = VersionedTable(spark, f"{folder}/t", "k string, day date, ingested_at timestamp_ntz, x int", "day")
 
     def rows(*values):
         return spark.createDataFrame(list(values), schemas.struct(table.schema))
