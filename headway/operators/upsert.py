@@ -22,14 +22,20 @@ def _same(key: str) -> Column:
     return F.col(key).eqNullSafe(F.col("delta_key"))
 
 
-def upsert(table: VersionedTable, delta: DataFrame, key: str, newest_by: Sequence[str] = NEWEST_BY) -> list[str]:
+def upsert(
+    table: VersionedTable,
+    delta: DataFrame,
+    key: str,
+    newest_by: Sequence[str] = NEWEST_BY,
+    rebuild: bool = False,
+) -> list[str]:
     """Merges a delta with unique keys and returns the days that changed.
 
     A delta row replaces the held row of its key unless that one is newer, so repeating an
     increment changes nothing. Only the key columns of the table are read in full; days are
-    rewritten only where a key enters or leaves.
+    rewritten only where a key enters or leaves. ``rebuild`` makes the delta the whole table.
     """
-    if not table.commit_info()["days"]:
+    if rebuild or not table.commit_info()["days"]:
         table.replace_days(delta, mark_column="ingested_at")
         return table.commit_info()["touched"]
 

@@ -1,22 +1,63 @@
-"""Incremental forms of the golden events and the route metrics."""
+"""Incremental forms of the staged feeds, the golden events and the route metrics."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from headway import schemas
 from headway.operators.upsert import upsert
 from headway.plans.delays import fct_route_delay_daily, fct_route_delay_hourly, int_route_delay_hourly
 from headway.plans.events import int_trip_stop_events_deduped
-from headway.plans.staging import stg_trip_updates
+from headway.plans.staging import NEWEST_PING, NEWEST_UPDATE, stg_trip_updates, stg_vehicle_positions
 from headway.sources.table import VersionedTable
 from headway.sources.raw_log import read_raw
 
+STAGED_UPDATES = "stg_trip_updates"
+STAGED_PINGS = "stg_vehicle_positions"
 EVENTS = "int_trip_stop_events_deduped"
 HOURLY = "fct_route_delay_hourly"
 DAILY = "fct_route_delay_daily"
 
 
+def staged_updates_table(spark: SparkSession, warehouse: str) -> VersionedTable:
+    """Newest prediction per stop event, by date of the event."""
+    schema = f"{schemas.MODELS[STAGED_UPDATES]}, event_date date"
+    return VersionedTable(spark, f"{warehouse}/{STAGED_UPDATES}", schema, "event_date")
+
+
+def staged_pings_table(spark: SparkSession, warehouse: str) -> VersionedTable:
+    """Last copy of every ping, by date of the ping."""
+    schema = f"{schemas.MODELS[STAGED_PINGS]}, ping_date date"
+    return VersionedTable(spark, f"{warehouse}/{STAGED_PINGS}", schema, "ping_date")
+
+
+def stage_updates(table: VersionedTable, raw: DataFrame, rebuild: bool = False) -> list[str]:
+    """Merges raw predictions; the table equals staging the whole log at once."""
+    rows = stg_trip_updates(raw).withColumn(table.day, F.to_date("event_time"))
+    return upsert(table, rows, "event_key", NEWEST_UPDATE, rebuild)
+
+
+def stage_pings(table: VersionedTable, raw: DataFrame, rebuild: bool = False) -> list[str]:
+    """Merges raw pings; the table equals staging the whole log at once."""
+    rows = stg_vehicle_positions(raw).withColumn(table.day, F.to_date("timestamp"))
+    return upsert(table, rows, "vehicle_event_key", NEWEST_PING, rebuild)
+
+
+def stage_new_updates(table: VersionedTable, trip_log: str, rebuild: bool = False) -> list[str]:
+    """Stages rows from the newest batch held on. That batch is read again, as an append may
+    have added to it since."""
+    start = None if rebuild else table.mark
+    raw = read_raw(table.spark, trip_log, schemas.RAW_TRIP_UPDATES, ingested_from=start)
+    return stage_updates(table, raw, rebuild)
+
+
+def stage_new_pings(table: VersionedTable, vehicle_log: str, rebuild: bool = False) -> list[str]:
+    start = None if rebuild else table.mark
+    raw = read_raw(table.spark, vehicle_log, schemas.RAW_VEHICLE_POSITIONS, ingested_from=start)
+    return stage_pings(table, raw, rebuild)
+
+
 def events_table(spark: SparkSession, warehouse: str) -> VersionedTable:
     return VersionedTable(spark, f"{warehouse}/{EVENTS}", schemas.MODELS[EVENTS], "event_date")
 
@@ -29,27 +70,23 @@ def daily_table(spark: SparkSession, warehouse: str) -> VersionedTable:
     return VersionedTable(spark, f"{warehouse}/{DAILY}", schemas.MODELS[DAILY], "date_day")
 
 
-def apply_raw(events: VersionedTable, raw: DataFrame) -> list[str]:
+def apply_raw(events: VersionedTable, raw: DataFrame, rebuild: bool = False) -> list[str]:
     """Stages and cleans raw rows and merges them; returns the days that changed.
 
-    A key whose newest new row is unusable keeps the row it has, unlike in a full rebuild.
+    A key whose newest new row is unusable keeps the row it has, unlike in a rebuild.
     """
-    return upsert(events, int_trip_stop_events_deduped(stg_trip_updates(raw)), "event_key")
+    return upsert(events, int_trip_stop_events_deduped(stg_trip_updates(raw)), "event_key", rebuild=rebuild)
 
 
-def load_new_events(events: VersionedTable, trip_log: str) -> list[str]:
+def load_new_events(events: VersionedTable, trip_log: str, rebuild: bool = False) -> list[str]:
     """Applies raw rows ingested strictly after the table's newest row; all while it is empty.
 
     The mark is tested on the raw log, below the newest-per-key step, so old partitions are
     never read. That step orders by ingestion time first, so the rows are the same.
     """
-    raw = read_raw(events.spark, trip_log, schemas.RAW_TRIP_UPDATES, ingested_after=events.mark)
-    return apply_raw(events, raw)
-
-
-def rebuild_events(events: VersionedTable, trip_log: str) -> None:
-    raw = read_raw(events.spark, trip_log, schemas.RAW_TRIP_UPDATES)
-    events.replace_days(int_trip_stop_events_deduped(stg_trip_updates(raw)), mark_column="ingested_at")
+    start = None if rebuild else events.mark
+    raw = read_raw(events.spark, trip_log, schemas.RAW_TRIP_UPDATES, ingested_after=start)
+    return apply_raw(events, raw, rebuild)
 
 
 def refresh_metrics(events: VersionedTable, hourly: VersionedTable, daily: VersionedTable) -> list[str]:

@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from headway import schemas
 from headway.functions.clock import as_of_column
 from headway.operators.quality import run_checks
-from headway.plans import delays, dimensions, fleet, freshness, increments, staging
+from headway.plans import delays, dimensions, events, fleet, freshness, increments, staging
 from headway.sources.raw_log import read_raw
 from headway.sources.table import VersionedTable
 
-STAGED_UPDATES = "stg_trip_updates"
-STAGED_PINGS = "stg_vehicle_positions"
+STAGED_UPDATES = increments.STAGED_UPDATES
+STAGED_PINGS = increments.STAGED_PINGS
 EVENTS = increments.EVENTS
 HOURLY = "int_route_delay_hourly"
+HOURLY_MART = increments.HOURLY
 DAILY = increments.DAILY
 RAW_UPDATES = "raw_trip_updates"
 RAW_PINGS = "raw_vehicle_positions"
@@ -35,11 +36,11 @@ class Model(NamedTuple):
 MODELS: dict[str, Model] = {
     STAGED_UPDATES: Model(staging.stg_trip_updates, (RAW_UPDATES,), "view", ("daily_run",)),
     STAGED_PINGS: Model(staging.stg_vehicle_positions, (RAW_PINGS,), "view", ("daily_run",)),
-    EVENTS: Model(increments.load_new_events, (RAW_UPDATES,), "incremental"),
+    EVENTS: Model(events.int_trip_stop_events_deduped, (STAGED_UPDATES,), "incremental"),
     HOURLY: Model(delays.int_route_delay_hourly, (EVENTS,), "view"),
     "dim_route": Model(dimensions.dim_route, (EVENTS,), "table", ("bi_layer",)),
     "dim_date": Model(dimensions.dim_date, (EVENTS,), "table", ("bi_layer",)),
-    "fct_route_delay_hourly": Model(delays.fct_route_delay_hourly, (HOURLY,), "table", ("bi_layer",)),
+    HOURLY_MART: Model(delays.fct_route_delay_hourly, (HOURLY,), "table", ("bi_layer",)),
     DAILY: Model(delays.fct_route_delay_daily, (HOURLY,), "table", ("bi_layer",)),
     "fct_route_delay_daily_compare": Model(delays.fct_route_delay_daily_compare, (DAILY,), "table", ("bi_layer",)),
     "fct_route_delay_daily_rolling": Model(delays.fct_route_delay_daily_rolling, (DAILY,), "table", ("bi_layer",)),
@@ -62,72 +63,71 @@ def tagged(tags: Iterable[str]) -> list[str]:
 
 
 class Project:
-    """Raw logs, a warehouse folder, and the models between them."""
+    """Raw logs, a warehouse folder, and the models between them.
+
+    The staged feeds, the events and the two route metrics they feed are kept up to date by
+    increments; a run reads only raw rows newer than what they hold. The staged feeds hold
+    what their views would return. The small marts after them are rebuilt.
+    """
 
     def __init__(self, spark: SparkSession, trip_log: str, vehicle_log: str, warehouse: str):
         self.spark = spark
-        self.logs = {
-            RAW_UPDATES: (trip_log, schemas.RAW_TRIP_UPDATES),
-            RAW_PINGS: (vehicle_log, schemas.RAW_VEHICLE_POSITIONS),
-        }
+        self.trip_log = trip_log
+        self.vehicle_log = vehicle_log
         self.warehouse = warehouse.rstrip("/")
-        self.events = increments.events_table(spark, self.warehouse)
-        self.hourly = increments.hourly_table(spark, self.warehouse)
-        self.daily = increments.daily_table(spark, self.warehouse)
-
-    def raw(self, name: str) -> DataFrame:
-        path, schema = self.logs[name]
-        return read_raw(self.spark, path, schema)
+        self.kept = {
+            STAGED_UPDATES: increments.staged_updates_table(spark, self.warehouse),
+            STAGED_PINGS: increments.staged_pings_table(spark, self.warehouse),
+            EVENTS: increments.events_table(spark, self.warehouse),
+            HOURLY_MART: increments.hourly_table(spark, self.warehouse),
+            DAILY: increments.daily_table(spark, self.warehouse),
+        }
 
     def table(self, name: str) -> VersionedTable:
-        kept = {EVENTS: self.events, increments.HOURLY: self.hourly, DAILY: self.daily}
-        return kept.get(name) or VersionedTable(self.spark, f"{self.warehouse}/{name}", schemas.MODELS[name])
+        return self.kept.get(name) or VersionedTable(self.spark, f"{self.warehouse}/{name}", schemas.MODELS[name])
 
     def read(self, name: str, as_of=None) -> DataFrame:
-        """A built table, or a view over its inputs."""
-        if name in self.logs:
-            return self.raw(name)
-        return self.view(name, as_of) if MODELS[name].kind == "view" else self.table(name).read()
-
-    def view(self, name: str, as_of=None) -> DataFrame:
-        model = MODELS[name]
+        """A stored model, or a view over stored ones."""
         if name == HOURLY:
             # The hourly mart holds the same rows, already aggregated.
-            return self.hourly.read().drop("date_day")
+            return self.table(HOURLY_MART).read().drop("date_day")
+        model = MODELS[name]
+        if model.kind == "view" and name not in self.kept:
+            return self._compute(name, as_of)
+        return self.table(name).read().select(*schemas.struct(schemas.MODELS[name]).fieldNames())
+
+    def _compute(self, name: str, as_of=None) -> DataFrame:
+        model = MODELS[name]
         inputs = [self.read(i) for i in model.inputs]
-        return model.build(*inputs, as_of) if model.timed else model.build(*inputs)
+        return model.build(*inputs, as_of_column(as_of)) if model.timed else model.build(*inputs)
+
+    def _bring_up_to_date(self, names: set[str], full_refresh: bool) -> None:
+        staged, pings, events = (self.kept[n] for n in (STAGED_UPDATES, STAGED_PINGS, EVENTS))
+        if STAGED_UPDATES in names:
+            increments.stage_new_updates(staged, self.trip_log, full_refresh)
+        if STAGED_PINGS in names:
+            increments.stage_new_pings(pings, self.vehicle_log, full_refresh)
+        if EVENTS in names:
+            increments.load_new_events(events, self.trip_log, full_refresh)
+        if names & {HOURLY, HOURLY_MART, DAILY}:
+            increments.refresh_metrics(events, self.kept[HOURLY_MART], self.kept[DAILY])
 
     def build(
         self, tags: Iterable[str] | None = None, as_of=None, full_refresh: bool = False
     ) -> dict[str, DataFrame]:
         """Builds the models carrying one of the tags, or all, and returns them by name.
 
-        The events and the two route metrics they feed change only in the dates touched by
-        new raw rows; ``full_refresh`` recomputes them from the whole log. Views used by more
-        than one model of the run are written once and shared.
+        Views a wanted model reads are brought up to date first, stored inputs are taken as
+        they are. ``full_refresh`` starts again from the whole logs.
         """
         wanted = list(MODELS) if tags is None else tagged(tags)
-        as_of = as_of_column(as_of)
-        if EVENTS in wanted:
-            if full_refresh:
-                increments.rebuild_events(self.events, self.logs[RAW_UPDATES][0])
-            else:
-                increments.load_new_events(self.events, self.logs[RAW_UPDATES][0])
-        if {HOURLY, increments.HOURLY, DAILY} & set(wanted):
-            increments.refresh_metrics(self.events, self.hourly, self.daily)
+        views_read = {i for name in wanted for i in MODELS[name].inputs if i in MODELS and MODELS[i].kind == "view"}
+        self._bring_up_to_date(views_read | set(wanted), full_refresh)
         built: dict[str, DataFrame] = {}
         for name in wanted:
-            model = MODELS[name]
-            if name in (EVENTS, HOURLY, increments.HOURLY, DAILY):
-                built[name] = self.read(name)
-            else:
-                inputs = [built[i] if i in built else self.read(i) for i in model.inputs]
-                rows = model.build(*inputs, as_of) if model.timed else model.build(*inputs)
-                readers = sum(name in MODELS[other].inputs for other in wanted)
-                if model.kind == "table" or readers > 1:
-                    self.table(name).replace_days(rows)
-                    rows = self.table(name).read()
-                built[name] = rows
+            if MODELS[name].kind == "table" and name not in self.kept:
+                self.table(name).replace_days(self._compute(name, as_of))
+            built[name] = self.read(name, as_of)
             built[name].createOrReplaceTempView(name)
         return built
 
@@ -136,6 +136,13 @@ class Project:
         for name in MODELS:
             self.table(name).drop_unreferenced(keep)
 
+    def source_freshness(self, as_of=None) -> DataFrame:
+        logs = {
+            RAW_UPDATES: read_raw(self.spark, self.trip_log, schemas.RAW_TRIP_UPDATES),
+            RAW_PINGS: read_raw(self.spark, self.vehicle_log, schemas.RAW_VEHICLE_POSITIONS),
+        }
+        return freshness.source_freshness(logs, as_of)
+
     def test(self, built: dict[str, DataFrame] | None = None) -> DataFrame:
         """Results of the declared checks for the given or all models."""
         return run_checks(built or {name: self.read(name) for name in MODELS})

@@ -13,6 +13,11 @@ from headway.operators.latest import latest_per_key
 # The event types kept.
 EVENT_TYPES = ("ARRIVAL", "DEPARTURE")
 
+# Newest first. Ingestion and feed time alone leave ties (one trip calling twice at a stop
+# within one poll), so the columns after them make the order total.
+NEWEST_UPDATE = ("ingested_at", "feed_timestamp", "event_time", "entity_id")
+NEWEST_PING = ("ingested_at", "feed_timestamp", "entity_id")
+
 
 def clean_trip_updates(raw: DataFrame, extra_key: Sequence[str] = ()) -> DataFrame:
     """Usable stop predictions with their key, before the newest per key is chosen."""
@@ -33,13 +38,8 @@ def clean_trip_updates(raw: DataFrame, extra_key: Sequence[str] = ()) -> DataFra
 
 
 def stg_trip_updates(raw: DataFrame, extra_key: Sequence[str] = ()) -> DataFrame:
-    """Newest prediction per stop event.
-
-    Ingestion and feed time alone leave ties (one trip calling twice at a stop within one
-    poll), so event time and entity id settle them.
-    """
-    newest_first = [F.desc(c) for c in ("ingested_at", "feed_timestamp", "event_time", "entity_id")]
-    return latest_per_key(clean_trip_updates(raw, extra_key), ["event_key"], newest_first)
+    """Newest prediction per stop event."""
+    return latest_per_key(clean_trip_updates(raw, extra_key), ["event_key"], [F.desc(c) for c in NEWEST_UPDATE])
 
 
 def stg_vehicle_positions(raw: DataFrame) -> DataFrame:
@@ -64,5 +64,4 @@ def stg_vehicle_positions(raw: DataFrame) -> DataFrame:
         "timestamp",
     )
     keyed = cleaned.withColumn("vehicle_event_key", vehicle_ping_key())
-    newest_first = [F.desc(c) for c in ("ingested_at", "feed_timestamp", "entity_id")]
-    return latest_per_key(keyed, ["vehicle_event_key"], newest_first)
+    return latest_per_key(keyed, ["vehicle_event_key"], [F.desc(c) for c in NEWEST_PING])

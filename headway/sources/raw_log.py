@@ -37,14 +37,22 @@ def append_raw(rows: DataFrame, path: str) -> int:
 
 
 def read_raw(
-    spark: SparkSession, path: str, schema: str, ingested_after: dt.datetime | str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    ingested_after: dt.datetime | str | None = None,
+    ingested_from: dt.datetime | str | None = None,
 ) -> DataFrame:
-    """The log, or its rows ingested strictly after a mark.
+    """The log, or its rows ingested after a mark (``ingested_from`` includes the mark).
 
     The mark also bounds the partition column, so older dates are not listed or read.
     """
     rows = spark.read.schema(f"{schema}, {PARTITION} date").parquet(path)
+    at = F.col("ingested_at")
     if ingested_after is not None:
         mark = utc_literal(ingested_after)
-        rows = rows.where((F.col(PARTITION) >= F.to_date(mark)) & (F.col("ingested_at") > mark))
+        rows = rows.where((F.col(PARTITION) >= F.to_date(mark)) & (at > mark))
+    if ingested_from is not None:
+        mark = utc_literal(ingested_from)
+        rows = rows.where((F.col(PARTITION) >= F.to_date(mark)) & (at >= mark))
     return rows.drop(PARTITION)

@@ -8,35 +8,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from headway import schemas
 from headway.functions import to_instant
-from headway.operators.upsert import upsert
 from headway.plans.fleet import fct_latest_vehicle_positions
 from headway.plans.freshness import mart_data_freshness
-from headway.plans.staging import stg_trip_updates, stg_vehicle_positions
-from headway.sources.table import VersionedTable
+from headway.plans.increments import stage_pings, stage_updates, staged_pings_table, staged_updates_table
 from headway.streaming import triggered
 from headway.streaming.feeds import read_log_stream
 
 
-def staged_updates_table(spark: SparkSession, warehouse: str) -> VersionedTable:
-    """Newest prediction per stop event, by date of the event."""
-    schema = schemas.MODELS["stg_trip_updates"] + ", event_date date"
-    return VersionedTable(spark, f"{warehouse}/staged_trip_updates", schema, "event_date")
-
-
-def staged_pings_table(spark: SparkSession, warehouse: str) -> VersionedTable:
-    """Last copy of every ping, by date of the ping."""
-    schema = schemas.MODELS["stg_vehicle_positions"] + ", ping_date date"
-    return VersionedTable(spark, f"{warehouse}/staged_vehicle_positions", schema, "ping_date")
-
-
-def apply_updates(table: VersionedTable, raw: DataFrame) -> list[str]:
-    return upsert(table, stg_trip_updates(raw).withColumn("event_date", F.to_date("event_time")), "event_key")
-
-
-def apply_pings(table: VersionedTable, raw: DataFrame) -> list[str]:
-    return upsert(table, stg_vehicle_positions(raw).withColumn("ping_date", F.to_date("timestamp")), "vehicle_event_key")
-
-
 def _stream(spark, log, schema, checkpoint, every, apply_batch) -> StreamingQuery:
     writer = read_log_stream(spark, log, schema).writeStream.option("checkpointLocation", checkpoint)
     return triggered(writer.foreachBatch(apply_batch), every).start()
@@ -49,7 +27,7 @@ def stream_staged_updates(
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         table = staged_updates_table(batch.sparkSession, warehouse)
-        apply_updates(table, batch)
+        stage_updates(table, batch)
         # One folder per batch, so a repeated batch replaces its own note.
         mart_data_freshness(table.read()).write.mode("overwrite").parquet(f"{warehouse}/freshness/batch={batch_id}")
 
@@ -60,7 +38,7 @@ def stream_staged_pings(
     spark: SparkSession, vehicle_log: str, warehouse: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     def apply_batch(batch: DataFrame, _: int) -> None:
-        apply_pings(staged_pings_table(batch.sparkSession, warehouse), batch)
+        stage_pings(staged_pings_table(batch.sparkSession, warehouse), batch)
 
     return _stream(spark, vehicle_log, schemas.RAW_VEHICLE_POSITIONS, checkpoint, every, apply_batch)
 

@@ -59,6 +59,23 @@ def test_empty_target_loads_everything(events, folder, trip_rows):
     assert as_set(events.read(), "stop_id") == {("s2",)}
 
 
+def test_staging_reads_the_newest_batch_again(spark, folder, trip_rows, ping_rows):
+    updates = increments.staged_updates_table(spark, folder)
+    append_raw(trip_rows({}), f"{folder}/log")
+    increments.stage_new_updates(updates, f"{folder}/log")
+    append_raw(trip_rows({"stop_id": "late"}, {"entity_id": "e2", "delay_sec": 7}), f"{folder}/log")
+    increments.stage_new_updates(updates, f"{folder}/log")
+    assert as_set(updates.read(), "stop_id", "entity_id", "delay_sec") == {("late", "e1", 100), ("s1", "e2", 7)}
+    pings = increments.staged_pings_table(spark, folder)
+    append_raw(ping_rows({}, {"vehicle_id": " "}), f"{folder}/vlog")
+    increments.stage_new_pings(pings, f"{folder}/vlog")
+    append_raw(ping_rows({"vehicle_id": "", "entity_id": "e2"}, {"ingested_at": "10 08:40", "speed": 1.0}), f"{folder}/vlog")
+    increments.stage_new_pings(pings, f"{folder}/vlog")
+    assert as_set(pings.read(), "vehicle_id", "entity_id", "speed") == {("v1", "e1", 1.0), (None, "e2", 10.0)}
+    increments.stage_new_pings(pings, f"{folder}/vlog", rebuild=True)
+    assert pings.read().count() == 2
+
+
 def test_event_moving_to_another_day_leaves_no_trace(spark, events, folder, trip_rows):
     hourly, daily = increments.hourly_table(spark, folder), increments.daily_table(spark, folder)
     load(events, folder, trip_rows({}, {"stop_id": "s2", "event_time": "12 10:00"}))
