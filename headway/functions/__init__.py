@@ -12,16 +12,18 @@ from headway.functions.clock import (
     whole_minutes_between,
 )
 from headway.functions.keys import stop_event_key, vehicle_ping_key
-from headway.functions.text import clean_text, zero_to_null
+from headway.functions.text import clean_text, has_text, trimmed, zero_to_null
 
 __all__ = [
     "EPOCH",
     "clean_text",
     "epoch_to_utc",
     "from_instant",
+    "has_text",
     "hour_start",
     "stop_event_key",
     "to_instant",
+    "trimmed",
     "utc_literal",
     "utc_now",
     "vehicle_ping_key",

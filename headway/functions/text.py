@@ -15,16 +15,25 @@ WHITE_SPACE = (
 )
 
 
-def clean_text(name: str) -> Column:
-    """Trimmed text, null when nothing is left.
+def trimmed(name: str) -> Column:
+    """Text without white space at its ends.
 
     The cost of a trim grows with its set of characters, so text of plain ASCII, nearly all
     of a feed, is not tested for the others.
     """
     text = F.col(name)
     plain = F.octet_length(text) == F.char_length(text)
-    trimmed = F.when(plain, F.btrim(text, F.lit(ASCII_SPACE))).otherwise(F.btrim(text, F.lit(WHITE_SPACE)))
-    return F.nullif(trimmed, F.lit(""))
+    return F.when(plain, F.btrim(text, F.lit(ASCII_SPACE))).otherwise(F.btrim(text, F.lit(WHITE_SPACE)))
+
+
+def clean_text(name: str) -> Column:
+    """Trimmed text, null when nothing is left."""
+    return F.nullif(trimmed(name), F.lit(""))
+
+
+def has_text(name: str) -> Column:
+    """True where ``clean_text`` is not null; cheaper to test before a projection."""
+    return trimmed(name) != ""
 
 
 def zero_to_null(value: Column) -> Column:

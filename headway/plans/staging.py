@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions import clean_text, stop_event_key, vehicle_ping_key
+from headway.functions import clean_text, has_text, stop_event_key, trimmed, vehicle_ping_key
 from headway.operators.latest import latest_per_key
 
 # The event types kept.
@@ -21,20 +21,21 @@ NEWEST_PING = ("ingested_at", "feed_timestamp", "entity_id")
 
 def clean_trip_updates(raw: DataFrame, extra_key: Sequence[str] = ()) -> DataFrame:
     """Usable stop predictions with their key, before the newest per key is chosen."""
-    cleaned = raw.where(F.col("event_time").isNotNull()).select(
+    event_type = F.upper(trimmed("event_type"))
+    usable = raw.where(F.col("event_time").isNotNull() & has_text("route_id") & event_type.isin(*EVENT_TYPES))
+    cleaned = usable.select(
         "ingested_at",
         "feed_timestamp",
         "source",
         "entity_id",
         *(clean_text(c).alias(c) for c in ("trip_id", "route_id", "start_date", "start_time", "stop_id")),
         "stop_sequence",
-        F.upper(clean_text("event_type")).alias("event_type"),
+        event_type.alias("event_type"),
         "event_time",
         "delay_sec",
         "schedule_relationship",
     )
-    usable = cleaned.where(F.col("route_id").isNotNull() & F.col("event_type").isin(*EVENT_TYPES))
-    return usable.withColumn("event_key", stop_event_key(extra=extra_key))
+    return cleaned.withColumn("event_key", stop_event_key(extra=extra_key))
 
 
 def stg_trip_updates(raw: DataFrame, extra_key: Sequence[str] = ()) -> DataFrame:
