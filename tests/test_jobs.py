@@ -1,0 +1,28 @@
+from __future__ import annotations
+
+from conftest import SF_SMALL
+from headway.jobs import main
+from headway.plans import increments
+from headway.sources import event_stream
+from headway.sources.scratch import new_folder
+
+
+def test_commands(spark, capsys):
+    folder = new_folder(spark, "jobs")
+    source = event_stream.read_events(spark, SF_SMALL)
+    event_stream.trip_feed(source).write.json(f"{folder}/trips")
+    event_stream.vehicle_feed(source).write.json(f"{folder}/vehicles")
+    logs = ["--trip-log", f"{folder}/log", "--vehicle-log", f"{folder}/vlog"]
+    main(["ingest", "--trip-feed", f"{folder}/trips", "--vehicle-feed", f"{folder}/vehicles", *logs], spark)
+    # Of ids 0 to 999, 10 lack a time (multiples of 101) and 50 an accepted type (of 20); 0 is both.
+    assert "Inserted trip_rows=941, vehicle_rows=1000" in capsys.readouterr().out
+    main(["build", *logs, "--warehouse", f"{folder}/w"], spark)
+    assert len(capsys.readouterr().out.split()) == 13
+    main(["test", *logs, "--warehouse", f"{folder}/w"], spark)
+    out = capsys.readouterr().out.splitlines()
+    assert len(out) == 31
+    assert [line.split()[2:] for line in out if line.startswith("fail")][0] == ["stg_trip_updates", "trip_id", "not_null"]
+    assert out[-1].startswith("pass raw_vehicle_positions")
+    main(["follow", "--trip-log", f"{folder}/log", "--warehouse", f"{folder}/f", "--progress", f"{folder}/p"], spark)
+    followed = increments.events_table(spark, f"{folder}/f").read()
+    assert followed.count() == increments.events_table(spark, f"{folder}/w").read().count()
