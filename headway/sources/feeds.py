@@ -15,9 +15,12 @@ TRIP_SOURCE = "gtfs_rt_trip_updates"
 VEHICLE_SOURCE = "gtfs_rt_vehicle_positions"
 
 
-def read_feed(spark: SparkSession, path: str, schema: str, fmt: str = "json") -> DataFrame:
-    """Landed feed snapshots, one message per row (JSON lines or nested parquet)."""
-    return spark.read.schema(schema).format(fmt).load(path)
+def read_feed(spark: SparkSession, path: str, schema: str, fmt: str = "json", **options) -> DataFrame:
+    """Landed feed snapshots, one message per row: JSON lines or nested parquet.
+
+    Give ``multiLine=True`` for JSON files that hold one message over several lines.
+    """
+    return spark.read.schema(schema).format(fmt).options(**options).load(path)
 
 
 def _not_blank(value: Column) -> Column:

@@ -12,7 +12,7 @@ from headway.sources.raw_log import append_raw
 def run_ingest(
     trip_feed: DataFrame, vehicle_feed: DataFrame, trip_log: str, vehicle_log: str, ingested_at=None
 ) -> dict[str, int]:
-    """Flattens and appends both feeds; every row of a run carries one ingestion time.
+    """Flattens and appends both feeds; the rows of one feed share one ingestion time.
 
     The two appends are separate jobs, so a broken vehicle feed does not undo the trip rows.
     """

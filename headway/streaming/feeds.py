@@ -25,16 +25,16 @@ def _append_stream(rows: DataFrame, log: str, checkpoint: str, every: str | None
 
 
 def stream_trip_feed(
-    spark: SparkSession, feed_dir: str, log: str, checkpoint: str, every: str | None = None
+    spark: SparkSession, feed_dir: str, log: str, checkpoint: str, every: str | None = None, **options
 ) -> StreamingQuery:
-    feed = spark.readStream.schema(schemas.TRIP_FEED).json(feed_dir)
+    feed = spark.readStream.schema(schemas.TRIP_FEED).options(**options).json(feed_dir)
     return _append_stream(flatten_trip_updates(feed), log, checkpoint, every)
 
 
 def stream_vehicle_feed(
-    spark: SparkSession, feed_dir: str, log: str, checkpoint: str, every: str | None = None
+    spark: SparkSession, feed_dir: str, log: str, checkpoint: str, every: str | None = None, **options
 ) -> StreamingQuery:
-    feed = spark.readStream.schema(schemas.VEHICLE_FEED).json(feed_dir)
+    feed = spark.readStream.schema(schemas.VEHICLE_FEED).options(**options).json(feed_dir)
     return _append_stream(flatten_vehicle_positions(feed), log, checkpoint, every)
 
 

@@ -153,6 +153,38 @@ def test_results_do_not_depend_on_the_session_zone(spark, trip_rows, ping_rows,
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_hot_date_is_written_by_several_tasks(spark):
+    rows = spark.range(0, 200000, 1, 8).select(
+        F.timestamp_add("DAY", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 20), utc_literal("2024-01-01 00:00:00")).alias("ingested_at"),
+        F.md5(F.col("id").cast("string")).alias("text"),
+    )
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500k")
+    try:
+        folder = new_folder(spark, "hot")
+        assert append_raw(rows, folder) == 200000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    files = spark.read.parquet(folder).inputFiles()
+    hot = [f for f in files if "ingest_date=2024-01-01" in f]
+    assert len(hot) > 3
+    assert spark.read.parquet(folder).count() == 200000
+
+
+def test_upsert_joins_by_key(spark):
+    from headway.operators.upsert import replace_matching
+
+    rows = spark.range(100).select(F.col("id").cast("string").alias("k"), F.col("id").alias("x"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = replace_matching(rows, rows.where("x < 10").withColumn("x", F.lit(-1).cast("bigint")), "k")
+        assert "SortMergeJoin" in plan(merged) and "NestedLoop" not in plan(merged)
+        assert merged.agg(F.count("*"), F.sum("x")).first() == (100, sum(range(10, 100)) - 10)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     assert new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
