@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import oracle
+from headway import schemas
 from headway.operators.quality import run_checks
 from headway.plans import dashboard, delays, dimensions, events, fleet, freshness, increments, staging
 from headway.sources import event_stream, feeds
-from headway.sources.raw_log import append_raw
+from headway.sources.raw_log import append_raw, read_raw
 from headway.sources.scratch import new_folder, written
-from headway.streaming.route_metrics import stream_route_metrics
+from headway.streaming.feeds import stream_trip_feed
+from headway.streaming.fleet import live_fleet, stream_staged_pings, stream_staged_updates
+from headway.streaming.route_metrics import hourly_windows, stream_route_metrics
 
 AS_OF = "2024-01-31 00:00:00"
 CUTOFF = "2024-01-15 00:00:00"
@@ -94,17 +97,57 @@ def _incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _replayed(spark: SparkSession, sf_dir: str) -> str:
     """Lets the metrics stream follow a raw log that grows in three steps."""
-    raw = Lineage(spark, sf_dir).raw_trip()
     folder = new_folder(spark, "replay")
-    at = F.col("ingested_at")
-    first, second = (F.lit(s).cast("timestamp_ntz") for s in SLICES)
-    for arrived in (at < first, (at >= first) & (at < second), at >= second):
-        append_raw(raw.where(arrived), f"{folder}/raw_trip_updates")
+    for arrived in _arrivals(Lineage(spark, sf_dir).raw_trip(), *SLICES):
+        append_raw(arrived, f"{folder}/raw_trip_updates")
         query = stream_route_metrics(spark, f"{folder}/raw_trip_updates", folder, f"{folder}/progress")
         query.awaitTermination()
     return folder
 
 
+def _arrivals(rows: DataFrame, *cuts: str) -> list[DataFrame]:
+    """The rows in consecutive steps by ingestion time."""
+    at = F.col("ingested_at")
+    bounds = [F.lit(c).cast("timestamp_ntz") for c in cuts]
+    lower = [F.lit(True), *(at >= b for b in bounds)]
+    upper = [*(at < b for b in bounds), F.lit(True)]
+    return [rows.where(low & high) for low, high in zip(lower, upper)]
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed files in two arrivals, flattened and appended by the ingest stream."""
+    feed = event_stream.trip_feed(Lineage(spark, sf_dir).source)
+    folder = new_folder(spark, "ingest")
+    for arrived in _arrivals(feed, CUTOFF):
+        arrived.drop("ingested_at").write.mode("append").json(f"{folder}/feed")
+        stream_trip_feed(spark, f"{folder}/feed", f"{folder}/log", f"{folder}/progress").awaitTermination()
+    # The batch time is that of the run, so it is left out.
+    return read_raw(spark, f"{folder}/log", schemas.RAW_TRIP_UPDATES).drop("ingested_at")
+
+
+def _live_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live mart over staged tables that two streams keep while both logs grow."""
+    lineage = Lineage(spark, sf_dir)
+    folder = new_folder(spark, "live")
+    logs = zip(_arrivals(lineage.raw_trip(), CUTOFF), _arrivals(lineage.raw_vehicle(), CUTOFF))
+    for updates, pings in logs:
+        append_raw(updates, f"{folder}/updates")
+        append_raw(pings, f"{folder}/pings")
+        stream_staged_updates(spark, f"{folder}/updates", folder, f"{folder}/p1").awaitTermination()
+        stream_staged_pings(spark, f"{folder}/pings", folder, f"{folder}/p2").awaitTermination()
+    return live_fleet(spark, folder, AS_OF)
+
+
+def _hourly_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watermarked hours of events that are never revised; the last hours wait."""
+    folder = new_folder(spark, "windows")
+    golden = written(Lineage(spark, sf_dir).events(), f"{folder}/events")
+    hours = hourly_windows(spark.readStream.schema(golden.schema).parquet(f"{folder}/events"))
+    writer = hours.writeStream.format("parquet").option("checkpointLocation", f"{folder}/progress")
+    writer.outputMode("append").trigger(availableNow=True).start(f"{folder}/hours").awaitTermination()
+    return spark.read.schema(hours.schema).parquet(f"{folder}/hours")
+
+
 def _dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checks over built models: what several of them read is written once."""
     lineage = Lineage(spark, sf_dir)
@@ -190,6 +233,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_daily_replay": lambda spark, sf_dir: _rounded(
             increments.daily_table(spark, _replayed(spark, sf_dir)).read()
         ),
+        "stream_feed_ingest": _ingested,
+        "stream_live_replay": _live_replay,
+        "stream_hourly_windows": lambda spark, sf_dir: _rounded(_hourly_windows(spark, sf_dir)),
     }
 
 

@@ -392,6 +392,20 @@ FROM {relation}"""
 FROM compare WHERE wow_avg_delay_sec > 0""",
         ),
         "dq_results": _checks(),
+        "stream_feed_ingest": _select(
+            _RAW_TRIP,
+            """SELECT feed_timestamp, 'gtfs_rt_trip_updates' AS source, entity_id, trip_id, route_id,
+  start_date, start_time, stop_id, stop_sequence, upper(trim(event_type)) AS event_type,
+  CAST(date_trunc('second', event_time) AS TIMESTAMP) AS event_time, delay_sec, schedule_relationship, raw_json
+FROM raw_trip WHERE event_time IS NOT NULL AND event_type <> 'SKIPPED'""",
+        ),
+        "stream_live_replay": _select(_LIVE, "SELECT * FROM live"),
+        "stream_hourly_windows": _rounded(
+            _HOURLY,
+            """(SELECT * FROM hourly WHERE event_hour + INTERVAL '5' HOUR
+  <= (SELECT date_trunc('milliseconds', max(event_time)) FROM golden))""",
+            *_HOURLY_DOUBLES,
+        ),
         "stream_golden_replay": _select(_REPLAY, "SELECT * FROM replayed"),
         "stream_hourly_replay": _select(
             _REPLAY + "," + _hourly("hourly", "replayed"), _MART_HOURLY.format("hourly")

@@ -12,7 +12,7 @@ from conftest import SF, SF_SMALL
 
 QUERIES = registry.queries()
 ORACLE = registry.oracle_sql()
-STREAMED = {"stream_golden_replay", "stream_hourly_replay", "stream_daily_replay", "incremental_upsert"}
+STREAMED = {name for name in QUERIES if name.startswith("stream_")} | {"incremental_upsert"}
 TYPES = {
     "string": "VARCHAR",
     "int": "INTEGER",
