@@ -25,7 +25,7 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     trips = read_feed(spark, args.trip_feed, schemas.TRIP_FEED, args.format)
     vehicles = read_feed(spark, args.vehicle_feed, schemas.VEHICLE_FEED, args.format)
     counts = run_ingest(trips, vehicles, args.trip_log, args.vehicle_log)
-    print(f"Inserted trip_rows={counts['trip_rows']}, vehicle_rows={counts['vehicle_rows']}")
+    print(*(f"{name}={count}" for name, count in counts.items()))
 
 
 def build(spark: SparkSession, args: argparse.Namespace) -> None:

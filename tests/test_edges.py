@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import as_set, moment
 from headway import schemas
+from headway.functions import clean_text, from_instant, has_text, hour_start, to_instant
 from headway.functions.text import WHITE_SPACE
 from headway.plans import dashboard, delays, dimensions, fleet, freshness
 from headway.plans.events import int_trip_stop_events_deduped
@@ -59,6 +62,24 @@ def test_any_white_space_is_trimmed(trip_rows):
     assert as_set(stg_trip_updates(raw), "route_id", "trip_id") == {(inner, "x")}
 
 
+def test_cleaning_of_random_text(spark):
+    rng = random.Random(3)
+    alphabet = WHITE_SPACE + "ab é漢\u200b"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(9))) for _ in range(2000)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    found = rows.select("i", clean_text("x").alias("c"), has_text("x").alias("h")).collect()
+    for r in found:
+        expected = texts[r.i].strip(WHITE_SPACE) or None
+        assert (r.c, r.h) == (expected, expected is not None)
+
+
+def test_hours_and_instants(spark):
+    texts = ["1969-12-31 23:59:59.999999", "2024-02-29 00:00:00", "2024-03-10 02:30:00.5", "1970-01-01 00:00:00"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.col("t").cast("timestamp_ntz").alias("m"))
+    for r in rows.select("t", hour_start(F.col("m")).alias("h"), from_instant(to_instant(F.col("m"))).alias("same"), "m").collect():
+        assert (str(r.h), r.same) == (r.t[:13] + ":00:00", r.m)
+
+
 def test_blank_trips_collapse(trip_rows):
     raw = trip_rows({"trip_id": "", "entity_id": "e1"}, {"trip_id": None, "entity_id": "e2"})
     assert as_set(stg_trip_updates(raw), "trip_id", "entity_id") == {(None, "e2")}

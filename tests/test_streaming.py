@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from conftest import AS_OF, SF_SMALL, as_set
@@ -17,6 +20,7 @@ from headway.sources.ingest import run_ingest
 from headway.sources.raw_log import append_raw, read_raw
 from headway.sources.scratch import new_folder
 from headway.streaming import fleet as fleet_stream
+from headway.streaming import route_metrics
 from headway.streaming.feeds import read_log_stream, stream_trip_feed, stream_vehicle_feed
 from headway.streaming.route_metrics import hourly_windows, stream_route_metrics
 
@@ -80,6 +84,26 @@ def test_route_metrics_follow_the_log(spark, folder, source):
     assert as_set(increments.hourly_table(spark, folder).read()) == as_set(hourly)
 
 
+def test_batch_interrupted_between_tables_is_repeated(spark, folder, trip_rows, monkeypatch):
+    append_raw(trip_rows({}, {"stop_id": "s2"}), f"{folder}/log")
+    finish(stream_route_metrics(spark, f"{folder}/log", folder, f"{folder}/progress"))
+    append_raw(trip_rows({"ingested_at": "10 08:40", "event_time": "11 01:00", "delay_sec": 5}), f"{folder}/log")
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(route_metrics, "refresh_metrics", lost)
+        with pytest.raises(StreamingQueryException):
+            stream_route_metrics(spark, f"{folder}/log", folder, f"{folder}/progress").awaitTermination()
+    events, daily = increments.events_table(spark, folder), increments.daily_table(spark, folder)
+    assert events.read().count() == 2
+    assert as_set(daily.read(), "date_day", "total_events") == {(dt.date(2024, 1, 10), 2)}
+    finish(stream_route_metrics(spark, f"{folder}/log", folder, f"{folder}/progress"))
+    assert as_set(daily.read(), "date_day", "total_events") == {(dt.date(2024, 1, 10), 1), (dt.date(2024, 1, 11), 1)}
+    assert as_set(events.read(), "stop_id", "delay_sec") == {("s1", 5), ("s2", 100)}
+
+
 def test_fleet_streams_equal_the_batch_model(spark, folder, source):
     updates, pings = event_stream.raw_trip_updates(source), event_stream.raw_vehicle_positions(source)
     for low, high in (("2024-01-01", "2024-01-12"), ("2024-01-12", "2024-02-01")):
