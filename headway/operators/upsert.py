@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.sources.table import VersionedTable, days_of
 from headway.sources.scratch import written
+from headway.sources.table import VersionedTable, days_of
 
 NEWEST_BY = ("ingested_at", "feed_timestamp")
 
@@ -22,18 +22,29 @@ def _same(key: str) -> Column:
     return F.col(key).eqNullSafe(F.col("delta_key"))
 
 
+def _held_days(table: VersionedTable, delta: DataFrame, key: str) -> DataFrame:
+    """Held rows of the delta's days, and of other days the null key, for which row groups
+    without nulls are skipped by their statistics."""
+    days = days_of(delta, table.day)
+    others = set(table.commit_info()["days"]).difference(days)
+    return table.read(days).unionByName(table.read(others).where(F.col(key).isNull()))
+
+
 def upsert(
     table: VersionedTable,
     delta: DataFrame,
     key: str,
     newest_by: Sequence[str] = NEWEST_BY,
     rebuild: bool = False,
+    day_in_key: bool = False,
 ) -> list[str]:
     """Merges a delta with unique keys and returns the days that changed.
 
     A delta row replaces the held row of its key unless that one is newer, so repeating an
     increment changes nothing. Only the key columns of the table are read in full; days are
     rewritten only where a key enters or leaves. ``rebuild`` makes the delta the whole table.
+    ``day_in_key`` says that only the null key can change its day, so that other days need
+    not be searched.
     """
     if rebuild or not table.commit_info()["days"]:
         table.replace_days(delta, mark_column="ingested_at")
@@ -42,7 +53,8 @@ def upsert(
     staging = table.staging_folder()
     delta = written(delta, f"{staging}/delta")
     newcomers = delta.select(F.col(key).alias("delta_key"), *(F.col(c).alias(f"delta_{c}") for c in newest_by))
-    held = table.read().select(key, table.day, *newest_by)
+    held = _held_days(table, delta, key) if day_in_key else table.read()
+    held = held.select(key, table.day, *newest_by)
     newer_held = F.struct(*newest_by) > F.struct(*(f"delta_{c}" for c in newest_by))
     matched = written(
         held.join(newcomers, _same(key)).select(key, table.day, newer_held.alias("newer_held")),

@@ -39,9 +39,13 @@ def stage_updates(table: VersionedTable, raw: DataFrame, rebuild: bool = False)
 
 
 def stage_pings(table: VersionedTable, raw: DataFrame, rebuild: bool = False) -> list[str]:
-    """Merges raw pings; the table equals staging the whole log at once."""
+    """Merges raw pings; the table equals staging the whole log at once.
+
+    The key holds the time of the ping, so older days are searched only for the row of blank
+    vehicles.
+    """
     rows = stg_vehicle_positions(raw).withColumn(table.day, F.to_date("timestamp"))
-    return upsert(table, rows, "vehicle_event_key", NEWEST_PING, rebuild)
+    return upsert(table, rows, "vehicle_event_key", NEWEST_PING, rebuild, day_in_key=True)
 
 
 def stage_new_updates(table: VersionedTable, trip_log: str, rebuild: bool = False) -> list[str]:

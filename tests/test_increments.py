@@ -15,7 +15,7 @@ from headway.operators.upsert import upsert
 from headway.plans import increments
 from headway.plans.delays import fct_route_delay_daily, fct_route_delay_hourly, int_route_delay_hourly
 from headway.plans.events import int_trip_stop_events_deduped
-from headway.plans.staging import stg_trip_updates
+from headway.plans.staging import stg_trip_updates, stg_vehicle_positions
 from headway.sources import event_stream
 from headway.sources.table import VersionedTable
 from headway.sources.raw_log import append_raw, read_raw
@@ -76,6 +76,25 @@ def test_staging_reads_the_newest_batch_again(spark, folder, trip_rows, ping_row
     assert pings.read().count() == 2
 
 
+def test_blank_vehicle_moves_between_days(spark, folder, ping_rows):
+    pings = increments.staged_pings_table(spark, folder)
+    batches = [
+        [{"vehicle_id": " "}, {}],
+        [{"vehicle_id": " ", "timestamp": "12 01:00", "ingested_at": "12 01:20"}],
+        [{"timestamp": "12 02:00", "ingested_at": "12 02:20"}, {"ingested_at": "12 02:20", "speed": 3.0}],
+        [{"vehicle_id": "", "timestamp": "11 01:00", "ingested_at": "12 03:20"}],
+    ]
+    changed = [increments.stage_pings(pings, ping_rows(*batch)) for batch in batches]
+    assert changed[1:] == [
+        ["2024-01-10", "2024-01-12"],
+        ["2024-01-10", "2024-01-12"],
+        ["2024-01-11", "2024-01-12"],
+    ]
+    whole = ping_rows(*(row for batch in batches for row in batch))
+    assert as_set(pings.read().drop("ping_date")) == as_set(stg_vehicle_positions(whole))
+    assert pings.read().count() == 3
+
+
 def test_event_moving_to_another_day_leaves_no_trace(spark, events, folder, trip_rows):
     hourly, daily = increments.hourly_table(spark, folder), increments.daily_table(spark, folder)
     load(events, folder, trip_rows({}, {"stop_id": "s2", "event_time": "12 10:00"}))
