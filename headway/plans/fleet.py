@@ -45,12 +45,14 @@ def fct_latest_vehicle_positions(
 ) -> DataFrame:
     """Positions with minutes since the last ping and the delay, 0 when none is known."""
     positions = latest_positions(pings)
-    delays = latest_delays(staged).withColumnRenamed("trip_id", "join_key")
-    # Vehicles without a trip match nothing. Trimmed trip ids never start with a space, so
-    # this key spreads those vehicles over all partitions instead of sending them to one.
-    join_key = F.coalesce(F.col("trip_id"), F.concat(F.lit(" "), F.col("vehicle_id")))
+    # The key of a vehicle without trip matches nothing and differs per vehicle, so those
+    # vehicles spread over all partitions. Deriving the key on both sides also puts a shuffle
+    # right below both, which AQE needs to split a trip that holds many vehicles.
+    of_trip = F.concat(F.lit("t"), F.col("trip_id"))
+    of_vehicle = F.concat(F.lit("v"), F.col("vehicle_id"))
+    delays = latest_delays(staged).select(of_trip.alias("join_key"), "delay_sec")
     return (
-        positions.withColumn("join_key", join_key)
+        positions.withColumn("join_key", F.coalesce(of_trip, of_vehicle))
         .join(delays, "join_key", "left")
         .select(
             "vehicle_id",

@@ -52,8 +52,9 @@ def live_fleet(spark: SparkSession, warehouse: str, as_of=None) -> DataFrame:
 def distinct_pings(pings: DataFrame, lateness: str = "1 day") -> DataFrame:
     """Streaming: drops repeats of a ping, keeping the first to arrive.
 
-    For feeds that repeat a ping unchanged. Where a repeat may differ, the staged table keeps
-    the last instead.
+    For feeds that repeat a ping unchanged and not often, as all copies of one ping pass
+    through one task. The staged table keeps the last copy instead, and drops the others
+    before its shuffle.
     """
     timed = pings.withColumn("instant", to_instant(F.col("timestamp"))).withWatermark("instant", lateness)
     return timed.dropDuplicatesWithinWatermark(["vehicle_id", "timestamp"]).drop("instant")

@@ -125,6 +125,45 @@ def test_vehicles_without_trip_are_spread(spark, ping_rows, trip_rows):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_trip_with_many_vehicles_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    trip = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 500))
+    pings = spark.range(0, 30000, 1, 8).select(
+        F.concat(F.lit("v"), "id").alias("vehicle_id"),
+        trip.alias("trip_id"),
+        F.lit("r").alias("route_id"),
+        *(F.lit(1.0).alias(c) for c in ("position_lat", "position_lon", "bearing", "speed")),
+        utc_literal("2024-01-10 00:00:00").alias("timestamp"),
+    )
+    staged = spark.range(500).select(
+        F.when(F.col("id") == 0, "hot").otherwise(F.concat(F.lit("t"), "id")).alias("trip_id"),
+        F.col("id").cast("int").alias("delay_sec"),
+        *(utc_literal("2024-01-10 00:00:00").alias(c) for c in ("ingested_at", "feed_timestamp", "event_time")),
+        F.col("id").cast("string").alias("event_key"),
+    )
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        live = fleet.fct_latest_vehicle_positions(pings, staged, AS_OF)
+        rows = live.collect()
+        assert "skew=true" in live._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 30000
+    for r in rows:
+        expected = 0 if r.trip_id in ("hot", "t0") else int(r.trip_id[1:])
+        assert r.current_delay_sec == expected
+
+
 @pytest.mark.parametrize("zone", ["America/New_York", "Australia/Lord_Howe"])
 def test_results_do_not_depend_on_the_session_zone(spark, trip_rows, ping_rows, zone):
     hours = [f"10 {h:02d}:59" for h in range(24)]
