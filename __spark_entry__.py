@@ -6,6 +6,7 @@ are derived by plain projections.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -179,6 +180,21 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**transit_queries(), **_of_text_operators("queries")}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**oracle.statements(), **_of_text_operators("oracle_sql")}
+
+
+def _of_text_operators(listed: str) -> dict:
+    """What the text operators register; nothing where that subpackage is left out."""
+    if importlib.util.find_spec("headway.llm.queries") is None:
+        return {}
+    return getattr(importlib.import_module("headway.llm.queries"), listed)()
+
+
+def transit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def over(build: Callable[[Lineage], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: build(Lineage(spark, sf_dir))
 
@@ -237,7 +253,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_live_replay": _live_replay,
         "stream_hourly_windows": lambda spark, sf_dir: _rounded(_hourly_windows(spark, sf_dir)),
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return oracle.statements()

@@ -10,8 +10,8 @@ import pytest
 import __spark_entry__ as registry
 from conftest import SF, SF_SMALL
 
-QUERIES = registry.queries()
-ORACLE = registry.oracle_sql()
+QUERIES = registry.transit_queries()
+ORACLE = registry.oracle.statements()
 STREAMED = {name for name in QUERIES if name.startswith("stream_")} | {"incremental_upsert"}
 TYPES = {
     "string": "VARCHAR",
