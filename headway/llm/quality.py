@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.text import packed, whole, words
+from headway.llm.text import at_end, first_step, next_step, packed, whole, words
 from headway.sources.scratch import new_folder, written
 
 # The characters counted as symbols, and the limits of the base rules.
@@ -105,14 +105,14 @@ size(filter(split(text, '\n'), l -> l RLIKE '[^\\x20\\x09-\\x0D]'))
 
 
 def _with_repeats(rows: DataFrame) -> DataFrame:
-    kept = [c for c in rows.columns if c != "text"]
+    kept = [c for c in rows.columns if c not in ("text", "step")]
     high = F.expr("shiftleft(-1L, length(bin(size(words))))").alias("high")
-    step = rows.select(*kept, F.expr(_DUP_LINES).cast("bigint").alias("n_dup_lines"), high)
+    step = rows.select(*kept, F.expr(_DUP_LINES).cast("bigint").alias("n_dup_lines"), high, next_step())
     kept.append("n_dup_lines")
-    step = step.select(*kept, "high", F.expr(_WINDOWS).alias("windows"))
-    step = step.select(*kept, "high", "windows", F.expr(_NEIGHBOURS).alias("near"))
-    step = step.select(*kept, F.expr(_REPEATED).alias("starts"))
-    return step.select(*kept, F.expr(_COVERED).alias("n_repeat_words"))
+    step = step.select(*kept, "high", F.expr(_WINDOWS).alias("windows"), next_step())
+    step = step.select(*kept, "high", "windows", F.expr(_NEIGHBOURS).alias("near"), next_step())
+    step = step.select(*kept, F.expr(_REPEATED).alias("starts"), next_step())
+    return step.select(*kept, F.expr(_COVERED).alias("n_repeat_words"), next_step())
 
 
 def references(docs: DataFrame, lang_col: str, text_col: str, limits: Limits) -> DataFrame:
@@ -219,8 +219,9 @@ def judge(
     pooled = reference.where(F.col("ref_lang").isNull()).drop("ref_lang")
     rows = packed(docs, lang=F.col(lang_col).cast("string"), text=whole(text_col))
     chars = F.aggregate("words", F.lit(0).cast("bigint"), lambda total, w: total + F.length(w))
-    rows = _with_classes(rows).withColumn("words", words(F.col("text")))
-    rows = _with_repeats(rows.withColumn("word_chars", chars))
+    rows = _with_classes(rows).select("*", words(F.col("text")).alias("words"), first_step())
+    rows = rows.select("row", "lang", "text", "classes", "words", chars.alias("word_chars"), next_step())
+    rows = _with_repeats(rows)
     # A second join on a constant gives languages without a reference the pooled one row.
     pooled = pooled.select(F.lit(True).alias("lacks"), *(F.col(c).alias(f"all_{c}") for c in pooled.columns))
     rows = rows.join(own, rows["lang"] == own["ref_lang"], "left")
@@ -229,6 +230,7 @@ def judge(
         "row", "words", "classes", "word_chars", "n_dup_lines", "n_repeat_words",
         F.size("words").cast("bigint").alias("n_words"),
         *(F.coalesce(c, f"all_{c}").alias(c) for c in ("ref_classes", "ref_words", "ref_shares")),
+        next_step(),
     )
     counts = ["row", "n_words", "word_chars", "n_dup_lines", "n_repeat_words"]
     rows = rows.select(
@@ -236,8 +238,11 @@ def judge(
         F.expr(_HITS.format(word_chars=limits.word_chars)).alias("hits"),
         F.expr("aggregate(classes, 0L, (sum, c) -> sum + c)").alias("n_chars"),
         F.expr("aggregate(ref_shares, 0D, (sum, s) -> sum + s)").alias("ref_all"),
+        next_step(),
     )
-    rows = rows.withColumn("ends", F.expr(_ENDS)).withColumn("histogram", F.expr(_HISTOGRAM))
+    carried = [c for c in rows.columns if c != "step"]
+    rows = rows.select(*carried, F.expr(_ENDS).alias("ends"), next_step())
+    rows = rows.select(*carried, F.expr(_HISTOGRAM).alias("histogram"), next_step())
     long_enough = F.col("n_words") >= limits.guard_words
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     rows = rows.select(
@@ -246,12 +251,13 @@ def judge(
         base.alias("base_failed"),
         F.when(long_enough, F.expr(_CLASS_DISTANCE)).alias("class_distance"),
         F.when(long_enough & (F.col("ref_all") > 0), F.expr(_WORD_DISTANCE)).alias("word_distance"),
+        next_step(),
     )
     slack = F.lit(limits.allowance) / F.greatest("n_words", F.lit(1))
     near = (F.coalesce("class_distance", F.lit(0.0)) <= limits.max_class_distance + slack) & (
         F.coalesce("word_distance", F.lit(0.0)) <= limits.max_word_distance + slack
     )
-    return rows.withColumn("kept", ~F.col("base_failed") & near)
+    return rows.withColumn("kept", at_end(~F.col("base_failed") & near)).drop("step")
 
 
 def keep_good(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", limits: Limits = Limits()) -> DataFrame:

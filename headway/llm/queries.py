@@ -4,16 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import exact_dedup, quality, sql
+from headway.llm import bpe, exact_dedup, mixing, near_dedup, quality, sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    options = near_dedup.Options(shingle=2, percent=80)
+    found = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), options=options)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept"
+    )
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.withColumnRenamed("id", "doc_id")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), path).withColumnRenamed("id", "doc_id")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.group_copies(_table(spark, sf_dir, "documents"))
     return groups.select(
@@ -43,6 +62,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_near_dedup": op1_near_dedup,
+        "op3_mixing": op3_mixing,
+        "op4_bpe": op4_bpe,
         "op7_exact_dedup": op7_exact_dedup,
         "op9_quality_rules": op9_quality_rules,
     }

@@ -2,6 +2,34 @@
 
 from __future__ import annotations
 
+_OP1 = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                     lambda w: w <> '') AS words
+  FROM documents
+),
+shingled AS (
+  SELECT doc_id,
+         list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) = 1 THEN [words[1]]
+                            ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS s
+  FROM split
+),
+sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM shingled),
+items AS (SELECT DISTINCT doc_id, unnest(s) AS x FROM shingled),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+           FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b
+          WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT DISTINCT a AS node, a AS seen FROM both_ways
+          UNION SELECT r.node, e.b FROM reach r JOIN both_ways e ON e.a = r.seen),
+least AS (SELECT node, min(seen) AS label FROM reach GROUP BY node)
+SELECT s.doc_id, s.n AS n_shingles, coalesce(l.label, s.doc_id) AS component_id,
+       s.doc_id = coalesce(l.label, s.doc_id) AS kept
+FROM sizes s LEFT JOIN least l ON l.node = s.doc_id
+"""
+
 _OP7 = r"""
 WITH flat AS (
   SELECT doc_id, row_number() OVER () AS nr,
@@ -115,4 +143,4 @@ FROM based
 
 
 def statements() -> dict[str, str]:
-    return {"op7_exact_dedup": _OP7, "op9_quality_rules": _op9()}
+    return {"op1_near_dedup": _OP1, "op7_exact_dedup": _OP7, "op9_quality_rules": _op9()}

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +38,21 @@ def unpacked(df: DataFrame) -> DataFrame:
     return df.select("row.*")
 
 
-def tree_sum(columns: Iterable[Column]) -> Column:
-    total = F.lit(0)
-    for column in columns:
-        total = total + column
-    return total
+# The planner merges neighbouring projections and pushes filters below them, and so copies an
+# expression to every place that mentions it: inside a lambda it is then evaluated per
+# element, and in a chain the copies multiply. It leaves a projection alone whose columns it
+# may not copy, such as one that depends on the partition. ``first_step`` begins such a
+# column, every further projection of a chain renews it with ``next_step``, and the last
+# result mentions it with ``at_end``.
+
+
+def first_step() -> Column:
+    return F.spark_partition_id().alias("step")
+
+
+def next_step() -> Column:
+    return F.col("step").bitwiseOR(F.spark_partition_id()).alias("step")
+
+
+def at_end(result: Column) -> Column:
+    return F.when(F.col("step") >= 0, result)
