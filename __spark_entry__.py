@@ -6,6 +6,7 @@ are derived by plain projections.
 
 from __future__ import annotations
 
+import importlib
 import importlib.util
 import os
 import sys
@@ -180,18 +181,25 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**transit_queries(), **_of_text_operators("queries")}
+    found = transit_queries()
+    if _has_text_operators():
+        found |= importlib.import_module("headway.llm.queries").queries()
+        found["pipeline"] = importlib.import_module("corpus_pipeline").run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oracle.statements(), **_of_text_operators("oracle_sql")}
+    found = oracle.statements()
+    if _has_text_operators():
+        found |= importlib.import_module("headway.llm.queries").oracle_sql()
+        statement = importlib.import_module("corpus_pipeline").ORACLE_SQL
+        found |= {"pipeline": statement} if statement else {}
+    return found
 
 
-def _of_text_operators(listed: str) -> dict:
-    """What the text operators register; nothing where that subpackage is left out."""
-    if importlib.util.find_spec("headway.llm.queries") is None:
-        return {}
-    return getattr(importlib.import_module("headway.llm.queries"), listed)()
+def _has_text_operators() -> bool:
+    """Whether the subpackage of text operators, which can be left out, is there."""
+    return all(importlib.util.find_spec(name) for name in ("headway.llm", "headway.llm.queries", "corpus_pipeline"))
 
 
 def transit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
