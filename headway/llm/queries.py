@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, exact_dedup, mixing, near_dedup, quality, sql
+from headway.llm import (
+    bpe,
+    exact_dedup,
+    html_diff,
+    language,
+    mixing,
+    near_dedup,
+    pii,
+    quality,
+    sql,
+    url_filter,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +35,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.responses(_table(spark, sf_dir, "pages"), "2024-01-01T00:00:00Z"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.withColumnRenamed("id", "doc_id")
@@ -33,6 +49,36 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), path).withColumnRenamed("id", "doc_id")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.verdicts(_table(spark, sf_dir, "pages"))
+    return judged.withColumnRenamed("id", "page_id").withColumn("share", F.round("share", 6))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    of = lambda i: F.size(F.filter("base", lambda s: s["kind"] == i)).cast("bigint")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(of(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)),
+        F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"),
+        pii.as_text(F.col("spans")).alias("spans"),
+    )
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    model = language.fit(docs.where(fold != 2))
+    found = language.predict(docs, model).withColumnRenamed("id", "doc_id")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_diff.extract(_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.group_copies(_table(spark, sf_dir, "documents"))
     return groups.select(
@@ -63,10 +109,15 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
+        "op2_warc_derivatives": op2_warc_derivatives,
         "op3_mixing": op3_mixing,
         "op4_bpe": op4_bpe,
+        "op5_url_filter": op5_url_filter,
+        "op6_pii": op6_pii,
         "op7_exact_dedup": op7_exact_dedup,
+        "op8_language_id": op8_language_id,
         "op9_quality_rules": op9_quality_rules,
+        "op10_html_text": op10_html_text,
     }
 
 
