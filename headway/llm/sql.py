@@ -142,5 +142,88 @@ FROM based
 """
 
 
+_OP5 = r"""
+WITH cut AS (
+  SELECT page_id, coalesce(url, '') AS url,
+         CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+),
+parts AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+),
+rules(verdict, rule) AS (
+  VALUES ('allow', 'org/'), ('block', 'example.org/es/'), ('block', 'example.org/en/1'), ('allow', 'com/fr/'), ('block', 'com/de/')
+),
+ruled AS (
+  SELECT page_id, host, path,
+         (SELECT max_by(struct_pack(rule := r.rule, verdict := r.verdict), length(r.rule)) FROM rules r
+          WHERE (host = split_part(r.rule, '/', 1) OR ends_with(host, '.' || split_part(r.rule, '/', 1)))
+            AND starts_with(path, substr(r.rule, strpos(r.rule, '/')))) AS found,
+         list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s:
+           CASE WHEN regexp_matches(s, '[0-9]') AND (length(s) >= 16 OR regexp_matches(s, '[0-9][^0-9]+[0-9]+[^0-9]+[0-9]'))
+                THEN '*' ELSE regexp_replace(s, '[0-9]+', '0', 'g') END) AS shaped
+  FROM parts
+),
+pages_of AS (
+  SELECT page_id, host, path, found.rule AS rule, found.verdict AS verdict,
+         CASE WHEN len(shaped) > 6 THEN list_append(shaped[1:6], '**') ELSE shaped END AS segments
+  FROM ruled
+),
+paths AS (
+  SELECT host, segments, count(*) AS pages, count(verdict) AS n,
+         count(*) FILTER (WHERE verdict = 'block') AS blocked
+  FROM pages_of GROUP BY host, segments
+),
+levels AS (
+  SELECT host, segments, pages, level, segments[1:level - 1] AS above, segments[level] AS segment
+  FROM (SELECT *, unnest(range(1, len(segments) + 1)) AS level FROM paths)
+),
+wild AS (
+  SELECT host, level, above FROM
+    (SELECT host, level, above, segment, sum(pages) AS pages FROM levels GROUP BY host, level, above, segment)
+  GROUP BY host, level, above HAVING count(*) > 20 AND sum(pages) < 3.0 * count(*)
+),
+shown AS (
+  SELECT l.host, l.segments, list(CASE WHEN w.host IS NOT NULL THEN '*' ELSE l.segment END ORDER BY l.level) AS template
+  FROM levels l LEFT JOIN wild w ON w.host = l.host AND w.level = l.level AND w.above = l.above
+  GROUP BY l.host, l.segments
+),
+named AS (
+  SELECT p.host, p.segments, coalesce(s.template, []) AS template, p.n, p.blocked
+  FROM paths p LEFT JOIN shown s ON s.host = p.host AND s.segments = p.segments
+),
+own AS (
+  SELECT host, template, template[1:len(template) - 1] AS above, sum(n) AS n, sum(blocked) AS blocked
+  FROM named GROUP BY host, template
+),
+nodes AS (SELECT *, sum(n) OVER w AS node_n, sum(blocked) OVER w AS node_b FROM own WINDOW w AS (PARTITION BY host, above)),
+compared AS (
+  SELECT *, coalesce(abs(blocked / nullif(n, 0) - node_b / nullif(node_n, 0))
+                     <= 1.96 * sqrt((node_b / node_n) * (1 - node_b / node_n) / nullif(n, 0)), true) AS alike
+  FROM nodes
+),
+merged AS (
+  SELECT host, template, n, blocked,
+         CASE WHEN alike THEN sum(n) FILTER (WHERE alike) OVER w ELSE n END AS m_n,
+         CASE WHEN alike THEN sum(blocked) FILTER (WHERE alike) OVER w ELSE blocked END AS m_b
+  FROM compared WINDOW w AS (PARTITION BY host, above)
+),
+everywhere AS (SELECT template, sum(n) AS n, sum(blocked) AS b FROM merged GROUP BY template),
+overall AS (SELECT (coalesce(sum(blocked), 0) + 1) / (coalesce(sum(n), 0) + 2) AS share FROM merged),
+shares AS (
+  SELECT m.host, m.template, (m.m_b + 4.0 * ((e.b + 4.0 * o.share) / (e.n + 4.0))) / (m.m_n + 4.0) AS share
+  FROM merged m JOIN everywhere e USING (template) CROSS JOIN overall o
+)
+SELECT p.page_id, p.host, p.path, p.rule, '/' || array_to_string(n.template, '/') AS template,
+       round(s.share, 6) AS share,
+       coalesce(p.verdict, CASE WHEN s.share >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM pages_of p JOIN named n ON n.host = p.host AND n.segments = p.segments
+JOIN shares s ON s.host = n.host AND s.template = n.template
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_near_dedup": _OP1, "op7_exact_dedup": _OP7, "op9_quality_rules": _op9()}
+    return {"op1_near_dedup": _OP1, "op5_url_filter": _OP5, "op7_exact_dedup": _OP7, "op9_quality_rules": _op9()}
