@@ -20,14 +20,16 @@ from pyspark.sql import types as T
 
 import oracle
 from headway import schemas
-from headway.operators.quality import run_checks
+from headway.operators.quality import Check, failing_rows, run_checks
 from headway.plans import dashboard, delays, dimensions, events, fleet, freshness, increments, staging
+from headway.plans.pipeline import Project
 from headway.sources import event_stream, feeds
+from headway.sources.ingest import run_ingest
 from headway.sources.raw_log import append_raw, read_raw
 from headway.sources.scratch import new_folder, written
-from headway.streaming.feeds import stream_trip_feed
+from headway.streaming.feeds import stream_trip_feed, stream_vehicle_feed
 from headway.streaming.fleet import live_fleet, stream_staged_pings, stream_staged_updates
-from headway.streaming.route_metrics import hourly_windows, stream_route_metrics
+from headway.streaming.route_metrics import hourly_windows, stream_delay_counts, stream_route_metrics
 
 AS_OF = "2024-01-31 00:00:00"
 CUTOFF = "2024-01-15 00:00:00"
@@ -127,6 +129,68 @@ def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, f"{folder}/log", schemas.RAW_TRIP_UPDATES).drop("ingested_at")
 
 
+def _mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw log written by the ingest stream first and by a batch ingest run after it."""
+    source = Lineage(spark, sf_dir).source
+    folder = new_folder(spark, "mixed")
+    first, rest = _arrivals(event_stream.trip_feed(source), CUTOFF)
+    first.drop("ingested_at").write.json(f"{folder}/first")
+    rest.drop("ingested_at").write.json(f"{folder}/rest")
+    event_stream.vehicle_feed(source).drop("ingested_at").write.json(f"{folder}/vehicles")
+    stream_trip_feed(spark, f"{folder}/first", f"{folder}/log", f"{folder}/progress").awaitTermination()
+    run_ingest(
+        feeds.read_feed(spark, f"{folder}/rest", schemas.TRIP_FEED),
+        feeds.read_feed(spark, f"{folder}/vehicles", schemas.VEHICLE_FEED),
+        f"{folder}/log",
+        f"{folder}/pings",
+    )
+    return read_raw(spark, f"{folder}/log", schemas.RAW_TRIP_UPDATES).drop("ingested_at")
+
+
+def _vehicles_ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vehicle feed files in two arrivals, appended by the stream and read back."""
+    feed = event_stream.vehicle_feed(Lineage(spark, sf_dir).source)
+    folder = new_folder(spark, "vehicles")
+    for arrived in _arrivals(feed, CUTOFF):
+        arrived.drop("ingested_at").write.mode("append").json(f"{folder}/feed")
+        stream_vehicle_feed(spark, f"{folder}/feed", f"{folder}/log", f"{folder}/progress").awaitTermination()
+    return read_raw(spark, f"{folder}/log", schemas.RAW_VEHICLE_POSITIONS).drop("ingested_at")
+
+
+def _feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which some are cut off, some give numbers or names as text, and some hold
+    text that is neither: what becomes of them, counted."""
+    feed = event_stream.trip_feed(Lineage(spark, sf_dir).source)
+    line = F.to_json(F.struct("header", "entity"))
+    kind = F.col("entity")[0]["id"].cast("bigint") % 10
+    relation = F.lit('"schedule_relationship":0')
+    rows = feed.select(kind.alias("kind"), line.alias("line"))
+    damaged = (
+        F.when(F.col("kind") == 0, F.expr("left(line, length(line) - 7)"))
+        .when(F.col("kind") == 1, F.regexp_replace("line", '"time":([0-9]+)', '"time":"$1"'))
+        .when(F.col("kind") == 2, F.replace("line", relation, F.lit('"schedule_relationship":"CANCELED"')))
+        .when(F.col("kind") == 3, F.replace("line", relation, F.lit('"schedule_relationship":"SOMETIMES"')))
+        .otherwise(F.col("line"))
+    )
+    folder = new_folder(spark, "rejects")
+    rows.select(damaged.alias("value")).write.text(f"{folder}/feed")
+    good, bad = feeds.split_feed(spark, f"{folder}/feed", schemas.TRIP_FEED)
+    kept = feeds.flatten_trip_updates(good).select(F.concat(F.lit("kept as "), "schedule_relationship").alias("outcome"))
+    return kept.unionByName(bad.select(F.col("reason").alias("outcome"))).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+def _project_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All models built in a warehouse from two arrivals, then those of one tag again."""
+    lineage = Lineage(spark, sf_dir)
+    folder = new_folder(spark, "project")
+    project = Project(spark, f"{folder}/updates", f"{folder}/pings", f"{folder}/warehouse")
+    for updates, pings in zip(_arrivals(lineage.raw_trip(), CUTOFF), _arrivals(lineage.raw_vehicle(), CUTOFF)):
+        append_raw(updates, project.trip_log)
+        append_raw(pings, project.vehicle_log)
+        project.build(as_of=AS_OF)
+    return project.build(tags=["bi_layer"], as_of=AS_OF)["fct_latest_vehicle_positions"]
+
+
 def _live_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live mart over staged tables that two streams keep while both logs grow."""
     lineage = Lineage(spark, sf_dir)
@@ -141,13 +205,12 @@ def _live_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hourly_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Watermarked hours of events that are never revised; the last hours wait."""
+    """Hours of a stream of golden events that come in several batches, in no order of time."""
     folder = new_folder(spark, "windows")
-    golden = written(Lineage(spark, sf_dir).events(), f"{folder}/events")
-    hours = hourly_windows(spark.readStream.schema(golden.schema).parquet(f"{folder}/events"))
-    writer = hours.writeStream.format("parquet").option("checkpointLocation", f"{folder}/progress")
-    writer.outputMode("append").trigger(availableNow=True).start(f"{folder}/hours").awaitTermination()
-    return spark.read.schema(hours.schema).parquet(f"{folder}/hours")
+    golden = written(Lineage(spark, sf_dir).events().repartition(6, F.xxhash64("event_key")), f"{folder}/events")
+    events = spark.readStream.schema(golden.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/events")
+    stream_delay_counts(events, f"{folder}/counts", f"{folder}/progress").awaitTermination()
+    return hourly_windows(spark, f"{folder}/counts")
 
 
 def _dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,5 +322,15 @@ def transit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "stream_feed_ingest": _ingested,
         "stream_live_replay": _live_replay,
+        "stream_vehicle_ingest": _vehicles_ingested,
+        "mixed_log_append": _mixed_log,
+        "feed_rejects": _feed_rejects,
+        "project_build": _project_build,
+        "daily_delay_trend_compare": metrics(lambda m: dashboard.daily_delay_trend_compare(m.daily())),
+        "failing_rows": over(
+            lambda m: failing_rows(m.staged(), Check("stg_trip_updates", "trip_id", "not_null")).select(
+                "event_key", "route_id", "entity_id"
+            )
+        ),
         "stream_hourly_windows": lambda spark, sf_dir: _rounded(_hourly_windows(spark, sf_dir)),
     }

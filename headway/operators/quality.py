@@ -108,6 +108,40 @@ def check_model(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+def failing_rows(df: DataFrame, check: Check) -> DataFrame:
+    """The rows that fail a check, with all their columns; those of a repeated key all do.
+
+    Repeated keys are counted on their own and joined back, so a key with very many rows is
+    counted per task first and its rows are then split among tasks.
+    """
+    if check.test != "unique":
+        return df.where(F.col(check.column).isNull() if check.test == "not_null" else ~F.col(check.column).isin(*check.values))
+    keys = [name.strip() for name in check.column.split(",")]
+    repeated = df.where(_all_present(keys)).groupBy(*(F.col(k).alias(f"repeated_{k}") for k in keys))
+    repeated = repeated.agg(F.count("*").alias("rows_of_key")).where("rows_of_key > 1").drop("rows_of_key")
+    same = [F.col(k) == F.col(f"repeated_{k}") for k in keys]
+    return df.join(repeated, same, "left_semi")
+
+
+def split_rows(df: DataFrame, model: str, checks: tuple[Check, ...] = CHECKS) -> tuple[DataFrame, DataFrame]:
+    """Rows that pass all row-level checks of a model, and the others with the names of the
+    checks they fail in ``failed``."""
+    own = [c for c in checks if c.model == model and c.test != "unique"]
+    failed = F.array_compact(
+        F.array(
+            *(
+                F.when(
+                    F.col(c.column).isNull() if c.test == "not_null" else ~F.col(c.column).isin(*c.values),
+                    f"{c.test}({c.column})",
+                )
+                for c in own
+            )
+        )
+    ) if own else F.array().cast("array<string>")
+    marked = df.withColumn("failed", failed)
+    return marked.where(F.size("failed") == 0).drop("failed"), marked.where(F.size("failed") > 0)
+
+
 def run_checks(models: Mapping[str, DataFrame], checks: tuple[Check, ...] = CHECKS) -> DataFrame:
     """One row per check of the given models: model, column, test, failures."""
     results = None

@@ -27,7 +27,7 @@ def _held_days(table: VersionedTable, delta: DataFrame, key: str) -> DataFrame:
     without nulls are skipped by their statistics."""
     days = days_of(delta, table.day)
     others = set(table.commit_info()["days"]).difference(days)
-    return table.read(days).unionByName(table.read(others).where(F.col(key).isNull()))
+    return table.read(days, True).unionByName(table.read(others, True).where(F.col(key).isNull()))
 
 
 def upsert(
@@ -53,7 +53,7 @@ def upsert(
     staging = table.staging_folder()
     delta = written(delta, f"{staging}/delta")
     newcomers = delta.select(F.col(key).alias("delta_key"), *(F.col(c).alias(f"delta_{c}") for c in newest_by))
-    held = _held_days(table, delta, key) if day_in_key else table.read()
+    held = _held_days(table, delta, key) if day_in_key else table.read(with_hidden=True)
     held = held.select(key, table.day, *newest_by)
     newer_held = F.struct(*newest_by) > F.struct(*(f"delta_{c}" for c in newest_by))
     matched = written(
@@ -65,6 +65,6 @@ def upsert(
     left = matched.where("NOT newer_held").select(table.day)
     touched = days_of(left.union(accepted.select(table.day)), table.day)
     if touched:
-        table.replace_days(replace_matching(table.read(touched), accepted, key), touched, "ingested_at")
+        table.replace_days(replace_matching(table.read(touched, True), accepted, key), touched, "ingested_at")
     table.clear_staging()
     return touched

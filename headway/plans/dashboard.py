@@ -25,6 +25,22 @@ def daily_delay_trend(daily: DataFrame) -> DataFrame:
     )
 
 
+def daily_delay_trend_compare(daily: DataFrame) -> DataFrame:
+    """The network's trend beside that of seven calendar days earlier; null where that day has none.
+
+    One row per day is joined, never the events.
+    """
+    trend = daily_delay_trend(daily)
+    earlier = trend.select(
+        F.date_add("date_day", 7).alias("later_day"), F.col("avg_delay_sec").alias("avg_delay_prev_week")
+    )
+    return trend.join(earlier, F.col("date_day") == F.col("later_day"), "left").select(
+        *trend.columns,
+        "avg_delay_prev_week",
+        (F.col("avg_delay_sec") - F.col("avg_delay_prev_week")).alias("wow_avg_delay_sec"),
+    )
+
+
 def hourly_intensity_pivot(hourly: DataFrame) -> DataFrame:
     """Mean delay per route and hour of day, one column per hour."""
     cells = (

@@ -21,6 +21,11 @@ def _usable(events: DataFrame) -> DataFrame:
     return events.where(F.col("route_id").isNotNull() & F.col("delay_sec").isNotNull())
 
 
+def delay_counts(events: DataFrame) -> DataFrame:
+    """Events per route, hour and delay. Counts of parts of the events add up."""
+    return _usable(events).groupBy("route_id", "event_hour", "delay_sec").agg(F.count("*").alias("n"))
+
+
 def int_route_delay_hourly(events: DataFrame) -> DataFrame:
     """Counts, mean and exact percentiles per route and hour.
 
@@ -28,7 +33,11 @@ def int_route_delay_hourly(events: DataFrame) -> DataFrame:
     shuffle. Golden delays are whole seconds within fixed bounds, so a group has at most
     16,201 such counts however hot the route; mean and percentiles come from them.
     """
-    counts = _usable(events).groupBy("route_id", "event_hour", "delay_sec").agg(F.count("*").alias("n"))
+    return hourly_of_counts(delay_counts(events))
+
+
+def hourly_of_counts(counts: DataFrame) -> DataFrame:
+    """Hourly metrics from (route_id, event_hour, delay_sec, n), one row for each."""
     group = Window.partitionBy("route_id", "event_hour")
     ranked = counts.withColumns(
         {"up_to": F.sum("n").over(group.orderBy("delay_sec")), "total": F.sum("n").over(group)}

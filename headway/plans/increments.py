@@ -63,7 +63,8 @@ def stage_new_pings(table: VersionedTable, vehicle_log: str, rebuild: bool = Fal
 
 
 def events_table(spark: SparkSession, warehouse: str) -> VersionedTable:
-    return VersionedTable(spark, f"{warehouse}/{EVENTS}", schemas.MODELS[EVENTS], "event_date")
+    """Golden events by date; the entity id that settles ties of one poll is kept beside them."""
+    return VersionedTable(spark, f"{warehouse}/{EVENTS}", schemas.MODELS[EVENTS], "event_date", "entity_id string")
 
 
 def hourly_table(spark: SparkSession, warehouse: str) -> VersionedTable:
@@ -79,7 +80,8 @@ def apply_raw(events: VersionedTable, raw: DataFrame, rebuild: bool = False) ->
 
     A key whose newest new row is unusable keeps the row it has, unlike in a rebuild.
     """
-    return upsert(events, int_trip_stop_events_deduped(stg_trip_updates(raw)), "event_key", rebuild=rebuild)
+    rows = int_trip_stop_events_deduped(stg_trip_updates(raw), keep=["entity_id"])
+    return upsert(events, rows, "event_key", NEWEST_UPDATE, rebuild)
 
 
 def load_new_events(events: VersionedTable, trip_log: str, rebuild: bool = False) -> list[str]:

@@ -11,7 +11,7 @@ from headway import schemas
 from headway.functions.clock import as_of_column
 from headway.operators.quality import run_checks
 from headway.plans import delays, dimensions, events, fleet, freshness, increments, staging
-from headway.sources.raw_log import read_raw
+from headway.sources.raw_log import read_newest
 from headway.sources.table import VersionedTable
 
 STAGED_UPDATES = increments.STAGED_UPDATES
@@ -112,6 +112,18 @@ class Project:
         if names & {HOURLY, HOURLY_MART, DAILY}:
             increments.refresh_metrics(events, self.kept[HOURLY_MART], self.kept[DAILY])
 
+    def _require_inputs(self, wanted: list[str]) -> None:
+        """A stored input that is not built now must have been built before."""
+        stored = {
+            HOURLY_MART if i == HOURLY else i
+            for name in wanted
+            for i in MODELS[name].inputs
+            if i in MODELS and i not in wanted and (MODELS[i].kind != "view" or i == HOURLY)
+        }
+        missing = sorted(name for name in stored - set(wanted) if not self.table(name).versions())
+        if missing:
+            raise ValueError(f"not built yet, build them first: {', '.join(missing)}")
+
     def build(
         self, tags: Iterable[str] | None = None, as_of=None, full_refresh: bool = False
     ) -> dict[str, DataFrame]:
@@ -121,6 +133,7 @@ class Project:
         they are. ``full_refresh`` starts again from the whole logs.
         """
         wanted = list(MODELS) if tags is None else tagged(tags)
+        self._require_inputs(wanted)
         views_read = {i for name in wanted for i in MODELS[name].inputs if i in MODELS and MODELS[i].kind == "view"}
         self._bring_up_to_date(views_read | set(wanted), full_refresh)
         built: dict[str, DataFrame] = {}
@@ -138,8 +151,8 @@ class Project:
 
     def source_freshness(self, as_of=None) -> DataFrame:
         logs = {
-            RAW_UPDATES: read_raw(self.spark, self.trip_log, schemas.RAW_TRIP_UPDATES),
-            RAW_PINGS: read_raw(self.spark, self.vehicle_log, schemas.RAW_VEHICLE_POSITIONS),
+            RAW_UPDATES: read_newest(self.spark, self.trip_log, schemas.RAW_TRIP_UPDATES),
+            RAW_PINGS: read_newest(self.spark, self.vehicle_log, schemas.RAW_VEHICLE_POSITIONS),
         }
         return freshness.source_freshness(logs, as_of)
 

@@ -8,19 +8,104 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from headway import schemas
 from headway.functions import epoch_to_utc, utc_now, zero_to_null
 
 TRIP_SOURCE = "gtfs_rt_trip_updates"
 VEHICLE_SOURCE = "gtfs_rt_vehicle_positions"
 
 
+# Names of the feed's enumerations; some writers give names for numbers.
+ENUMS = {
+    "schedule_relationship": {
+        "SCHEDULED": 0, "ADDED": 1, "UNSCHEDULED": 2, "CANCELED": 3, "REPLACEMENT": 5, "DUPLICATED": 6, "DELETED": 7,
+    },
+    "current_status": {"INCOMING_AT": 0, "STOPPED_AT": 1, "IN_TRANSIT_TO": 2},
+}
+
+
+def landed(ddl: str) -> T.StructType:
+    """The schema to read JSON messages with: numbers as text, for writers differ in how they
+    give long numbers and enumerations."""
+    return _as_text(schemas.struct(ddl))
+
+
+def _as_text(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_text(kind.elementType))
+    return T.StringType()
+
+
+def typed(feed: DataFrame, ddl: str, strict: bool = True) -> DataFrame:
+    """Messages read as text with their declared types. Text that is neither a number nor a
+    name of its enumeration stops the job, or becomes null where ``strict`` is off."""
+    fields = schemas.struct(ddl)
+    return feed.select(*(_typed(F.col(f.name), f.dataType, f.name, strict).alias(f.name) for f in fields))
+
+
+def _typed(value: Column, kind: T.DataType, name: str, strict: bool) -> Column:
+    if isinstance(kind, T.StructType):
+        whole = F.struct(*(_typed(value[f.name], f.dataType, f.name, strict).alias(f.name) for f in kind))
+        return F.when(value.isNotNull(), whole)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda item: _typed(item, kind.elementType, name, strict))
+    if isinstance(kind, T.StringType):
+        return value
+    for text, number in ENUMS.get(name, {}).items():
+        value = F.when(F.upper(value) == text, F.lit(str(number))).otherwise(value)
+    return value.cast(kind) if strict else value.try_cast(kind)
+
+
 def read_feed(spark: SparkSession, path: str, schema: str, fmt: str = "json", **options) -> DataFrame:
     """Landed feed snapshots, one message per row: JSON lines or nested parquet.
 
-    Give ``multiLine=True`` for JSON files that hold one message over several lines.
+    Give ``multiLine=True`` for JSON files that hold one message over several lines. A file
+    that is cut off or otherwise not as declared stops the job; ``split_feed`` sets such
+    messages aside instead.
     """
-    return spark.read.schema(schema).format(fmt).options(**options).load(path)
+    if fmt != "json":
+        return spark.read.schema(schema).format(fmt).options(**options).load(path)
+    return typed(spark.read.schema(landed(schema)).options(mode="FAILFAST", **options).json(path), schema)
+
+
+def split_feed(spark: SparkSession, path: str, schema: str, **options) -> tuple[DataFrame, DataFrame]:
+    """Good messages, and rejects as (file, message, reason): unreadable JSON, text in place
+    of a number, or a message without header or entities."""
+    rejected = "rejected_text"
+    text = T.StructType([*landed(schema), T.StructField(rejected, T.StringType())])
+    read = spark.read.schema(text).options(mode="PERMISSIVE", columnNameOfCorruptRecord=rejected, **options).json(path)
+    read = read.select("*", F.col("_metadata.file_path").alias("file"))
+    convertible = F.lit(True)
+    for field in schemas.struct(schema):
+        convertible = convertible & _convertible(F.col(field.name), field.dataType, field.name)
+    reason = (
+        F.when(F.col(rejected).isNotNull(), "unreadable")
+        .when(F.col("header").isNull() | F.col("entity").isNull(), "no message")
+        .when(~convertible, "not a number")
+    )
+    read = read.select("*", reason.alias("reason"), F.to_json(F.struct("header", "entity")).alias("message"))
+    # Convertible by now; a strict cast might be evaluated before the filter.
+    good = typed(read.where(F.col("reason").isNull()), schema, strict=False)
+    bad = read.where(F.col("reason").isNotNull())
+    return good, bad.select("file", F.coalesce(rejected, "message").alias("message"), "reason")
+
+
+def _convertible(value: Column, kind: T.DataType, name: str) -> Column:
+    if isinstance(kind, T.StructType):
+        parts = F.lit(True)
+        for f in kind:
+            parts = parts & _convertible(value[f.name], f.dataType, f.name)
+        return value.isNull() | parts
+    if isinstance(kind, T.ArrayType):
+        return value.isNull() | F.forall(value, lambda item: _convertible(item, kind.elementType, name))
+    if isinstance(kind, T.StringType):
+        return F.lit(True)
+    known = F.upper(value).isin(*ENUMS[name]) if name in ENUMS else F.lit(False)
+    return value.isNull() | known | value.try_cast(kind).isNotNull()
 
 
 def _not_blank(value: Column) -> Column:

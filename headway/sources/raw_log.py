@@ -1,8 +1,13 @@
-"""Append-only raw logs, partitioned by ingestion date."""
+"""Append-only raw logs, partitioned by ingestion date and load.
+
+A load is one append or one micro-batch. Batch and streaming writers may share a log: both
+write plain partitions, and a repeated micro-batch replaces the files of its own load.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,27 +15,27 @@ from pyspark.sql import functions as F
 from headway.functions import utc_literal
 
 PARTITION = "ingest_date"
+LOAD = "load"
+PARTITIONS = f"{PARTITION} date, {LOAD} string"
 ROWS_PER_FILE = 5_000_000
 
 
-def with_ingest_date(rows: DataFrame) -> DataFrame:
-    return rows.withColumn(PARTITION, F.to_date("ingested_at"))
-
-
-def append_raw(rows: DataFrame, path: str) -> int:
+def append_raw(rows: DataFrame, path: str, load: str | None = None) -> int:
     """Appends in one job commit and returns the number of rows written.
 
     The rebalance gives every date files of a useful size whether one batch spans a day or
-    a backfill spans years; AQE splits a date that outgrows one task.
+    a backfill spans years; AQE splits a date that outgrows one task. Writing a named load
+    again replaces it where it has rows.
     """
     counted = Observation()
     (
-        with_ingest_date(rows)
+        rows.select("*", F.to_date("ingested_at").alias(PARTITION), F.lit(load or uuid.uuid4().hex).alias(LOAD))
         .hint("rebalance", PARTITION)
         .observe(counted, F.count("*").alias("rows"))
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
-        .partitionBy(PARTITION)
+        .partitionBy(PARTITION, LOAD)
         .parquet(path)
     )
     return counted.get["rows"]
@@ -47,7 +52,7 @@ def read_raw(
 
     The mark also bounds the partition column, so older dates are not listed or read.
     """
-    rows = spark.read.schema(f"{schema}, {PARTITION} date").parquet(path)
+    rows = spark.read.schema(f"{schema}, {PARTITIONS}").parquet(path)
     at = F.col("ingested_at")
     if ingested_after is not None:
         mark = utc_literal(ingested_after)
@@ -55,4 +60,12 @@ def read_raw(
     if ingested_from is not None:
         mark = utc_literal(ingested_from)
         rows = rows.where((F.col(PARTITION) >= F.to_date(mark)) & (at >= mark))
-    return rows.drop(PARTITION)
+    return rows.drop(PARTITION, LOAD)
+
+
+def read_newest(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of the log's newest date, found in the folder names; older dates are not read."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)]
+    dates = [n.partition("=")[2] for n in names if n.startswith(f"{PARTITION}=") and n[len(PARTITION) + 1].isdigit()]
+    return read_raw(spark, path, schema, ingested_from=max(dates, default=None))

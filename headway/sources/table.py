@@ -1,19 +1,23 @@
 """Parquet table whose content changes by commits.
 
 Plain parquet has no MERGE, and overwriting it in place breaks its readers. Here a write
-goes to a new folder and then adds one small commit file. A table partitioned by day can
-replace some of its days; the commit says which folder holds each. Readers see the last
-commit, and a failed write leaves the table as it was. One writer at a time.
+goes to a folder of its own and then adds one small commit file. A table partitioned by day
+can replace some of its days; the commit says which folder holds each. Readers see the last
+commit, and a failed write leaves the table as it was. Of two writers that start from one
+version the first to commit wins; the other's folder is never referenced and it gets an
+error. A commit file is created exclusively, and one that a crash left empty is passed over.
 
-    <path>/data/v=3/event_date=2024-01-05/part-*.parquet
+    <path>/data/v=3-1f0c.../event_date=2024-01-05/part-*.parquet
     <path>/commits/00000003.json
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,11 +28,14 @@ _WHOLE = "all"
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, schema: str, day: str | None = None):
+    """``hidden`` columns are stored beside the schema's, for merges, and not shown to readers."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, day: str | None = None, hidden: str = ""):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.day = day
+        self.hidden = hidden
 
     # Commit files are a few kilobytes: one entry per day.
 
@@ -49,16 +56,17 @@ class VersionedTable:
         return [int(name[:-5]) for name in self._names(f"{self.path}/commits") if name[0].isdigit()]
 
     def commit_info(self, version: int | None = None) -> dict:
-        if version is None:
-            version = max(self.versions(), default=0)
-        if version == 0:
-            return {"version": 0, "mark": None, "source_version": 0, "touched": [], "days": {}}
-        fs, target = self._fs(self._commit_path(version))
-        stream = fs.open(target)
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        """The given commit, or the last whole one."""
+        for candidate in reversed(self.versions()) if version is None else [version] if version else []:
+            fs, target = self._fs(self._commit_path(candidate))
+            stream = fs.open(target)
+            try:
+                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            if text.endswith("}"):
+                return json.loads(text)
+        return {"version": 0, "mark": None, "source_version": 0, "touched": [], "days": {}}
 
     @property
     def mark(self) -> str | None:
@@ -66,25 +74,32 @@ class VersionedTable:
         return self.commit_info()["mark"]
 
     def touched_since(self, version: int) -> list[str]:
-        """Days changed by commits after the given version."""
-        days: set[str] = set()
-        for later in self.versions():
-            if later > version:
-                days.update(self.commit_info(later)["touched"])
+        """Days changed by commits after the given version; all days where some of those
+        commits are no longer kept."""
+        last = self.commit_info()
+        kept = {v: info for v in self.versions() if v > version and (info := self.commit_info(v))["version"]}
+        days = {day for info in kept.values() for day in info["touched"]}
+        if kept and self._passed_over(version, kept):
+            days.update(last["days"])
         return sorted(days)
 
-    def _folder(self, version: int, day: str) -> str:
-        folder = f"{self.path}/data/v={version}"
-        return f"{folder}/{self.day}={day}" if self.day else folder
+    def _passed_over(self, version: int, kept: dict[int, dict]) -> bool:
+        return kept[min(kept)]["follows"] > version
+
+    def _folder(self, folder: str, day: str) -> str:
+        path = f"{self.path}/data/{folder}"
+        return f"{path}/{self.day}={day}" if self.day else path
 
-    def read(self, days: Iterable[str] | None = None) -> DataFrame:
+    def read(self, days: Iterable[str] | None = None, with_hidden: bool = False) -> DataFrame:
+        stored = f"{self.schema}, {self.hidden}" if self.hidden else self.schema
+        shown = schemas.struct(stored if with_hidden else self.schema)
         held = self.commit_info()["days"]
         wanted = sorted(held) if days is None else sorted(set(days) & set(held))
         if not wanted:
-            return self.spark.createDataFrame([], schemas.struct(self.schema))
+            return self.spark.createDataFrame([], shown)
         folders = [self._folder(held[day], day) for day in wanted]
-        rows = self.spark.read.schema(self.schema).option("basePath", f"{self.path}/data").parquet(*folders)
-        return rows.select(*schemas.struct(self.schema).fieldNames())
+        rows = self.spark.read.schema(stored).option("basePath", f"{self.path}/data").parquet(*folders)
+        return rows.select(*shown.fieldNames())
 
     def replace_days(
         self,
@@ -99,24 +114,26 @@ class VersionedTable:
         splits a day too large for one task. The highest ``mark_column`` is noted on the way.
         """
         before = self.commit_info()
-        version = before["version"] + 1
-        folder = f"{self.path}/data/v={version}"
+        version = max(self.versions(), default=0) + 1
+        name = f"v={version}-{uuid.uuid4().hex}"
+        folder = f"{self.path}/data/{name}"
         if self.day:
             rows = rows.hint("rebalance", self.day)
         marks = [before["mark"]] if days is not None else []
         if mark_column:
             newest = Observation()
             rows = rows.observe(newest, F.max(mark_column).cast("string").alias("mark"))
-        writer = rows.write.mode("overwrite")
+        writer = rows.write
         (writer.partitionBy(self.day) if self.day else writer).parquet(folder)
         if mark_column:
             marks.append(newest.get["mark"])
         written = self._days_in(folder) if self.day else [_WHOLE]
         replaced = set(before["days"]) if days is None else set(days)
         held = {day: v for day, v in before["days"].items() if day not in replaced}
-        held.update({day: version for day in written})
+        held.update({day: name for day in written})
         info = {
             "version": version,
+            "follows": before["version"],
             "mark": max(filter(None, marks), default=None),
             "source_version": max(before["source_version"], source_version),
             "touched": sorted(replaced | set(written)),
@@ -131,23 +148,31 @@ class VersionedTable:
 
     def _write_commit(self, version: int, text: str) -> None:
         fs, target = self._fs(self._commit_path(version))
-        _, unfinished = self._fs(f"{self.path}/commits/_unfinished-{version:08d}")
-        stream = fs.create(unfinished, True)
+        try:
+            stream = fs.create(target, False)
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in str(e.java_exception):
+                raise RuntimeError(f"{self.path}: version {version} was committed by another writer") from e
+            raise
         stream.write(bytearray(text, "utf-8"))
         stream.close()
-        if fs.exists(target) or not fs.rename(unfinished, target):
-            raise RuntimeError(f"{self.path}: version {version} was committed by another writer")
 
-    def drop_unreferenced(self, keep: int = 2) -> list[int]:
-        """Deletes data folders that none of the last ``keep`` versions uses."""
+    def drop_unreferenced(self, keep: int = 2) -> list[str]:
+        """Deletes all but the last ``keep`` commits, and the data folders that none of those
+        uses. Folders of writers that have not committed yet are left alone."""
         versions = self.versions()
-        used = {v for kept in versions[-keep:] for v in self.commit_info(kept)["days"].values()}
+        kept = [self.commit_info(v) for v in versions[-keep:]]
+        used = {folder for info in kept for folder in info["days"].values()}
+        last = max(versions, default=0)
         dropped = []
-        for version in versions[:-keep]:
-            if version not in used and f"v={version}" in self._names(f"{self.path}/data"):
-                fs, target = self._fs(f"{self.path}/data/v={version}")
+        for folder in self._names(f"{self.path}/data"):
+            if folder.startswith("v=") and folder not in used and int(folder[2:].split("-")[0]) <= last:
+                fs, target = self._fs(f"{self.path}/data/{folder}")
                 fs.delete(target, True)
-                dropped.append(version)
+                dropped.append(folder)
+        for version in versions[:-keep]:
+            fs, target = self._fs(self._commit_path(version))
+            fs.delete(target, False)
         return dropped
 
     def staging_folder(self) -> str:

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway import schemas
-from headway.functions import from_instant, to_instant
-from headway.plans.delays import route_delay_hourly_sketch
+from headway.plans.delays import delay_counts, hourly_of_counts
 from headway.plans.increments import apply_raw, daily_table, events_table, hourly_table, refresh_metrics
 from headway.streaming import triggered
 from headway.streaming.feeds import read_log_stream
 
+_COUNTS = "route_id string, event_hour timestamp_ntz, delay_sec int, n bigint"
+
 
 def stream_route_metrics(
     spark: SparkSession, trip_log: str, warehouse: str, checkpoint: str, every: str | None = None,
@@ -36,11 +37,22 @@ def stream_route_metrics(
     return triggered(writer, every).start()
 
 
-def hourly_windows(events: DataFrame, lateness: str = "4 hours") -> DataFrame:
-    """Hourly metrics of events that are never revised, as an append-mode aggregation.
+def stream_delay_counts(events: DataFrame, counts: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Counts a stream of events that are never revised, one folder of counts per micro-batch.
 
-    An hour is emitted once the watermark passes its end; later events are dropped.
+    Counts add up, so it does not matter how events are dealt to batches or how late one
+    comes: no watermark closes an hour and no event is dropped. A repeated batch replaces
+    its own folder.
     """
-    timed = events.withColumn("instant", to_instant(F.col("event_time"))).withWatermark("instant", lateness)
-    hours = timed.withColumn("event_hour", F.window("instant", "1 hour"))
-    return route_delay_hourly_sketch(hours).withColumn("event_hour", from_instant(F.col("event_hour.start")))
+
+    def count_batch(batch: DataFrame, batch_id: int) -> None:
+        delay_counts(batch).write.mode("overwrite").parquet(f"{counts}/batch={batch_id}")
+
+    writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(count_batch)
+    return triggered(writer, every).start()
+
+
+def hourly_windows(spark: SparkSession, counts: str) -> DataFrame:
+    """Hourly metrics of all events counted so far, with exact percentiles."""
+    read = spark.read.schema(f"{_COUNTS}, batch bigint").parquet(counts)
+    return hourly_of_counts(read.groupBy("route_id", "event_hour", "delay_sec").agg(F.sum("n").alias("n")))

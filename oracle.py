@@ -270,9 +270,41 @@ _PIVOT = ", ".join(
 )
 
 
-def _checks() -> str:
-    from headway.operators.quality import CHECKS
+# Model, column and test of every declared check.
+_DECLARED = """
+stg_trip_updates|event_key|unique
+stg_trip_updates|event_key|not_null
+stg_trip_updates|event_time|not_null
+stg_trip_updates|event_type|accepted_values
+stg_trip_updates|trip_id|not_null
+stg_trip_updates|route_id|not_null
+stg_vehicle_positions|vehicle_event_key|unique
+stg_vehicle_positions|vehicle_event_key|not_null
+stg_vehicle_positions|vehicle_id|not_null
+stg_vehicle_positions|timestamp|not_null
+int_trip_stop_events_deduped|event_key|unique
+int_trip_stop_events_deduped|event_key|not_null
+int_trip_stop_events_deduped|route_id|not_null
+int_trip_stop_events_deduped|event_time|not_null
+int_route_delay_hourly|route_id|not_null
+int_route_delay_hourly|event_hour|not_null
+dim_route|route_id|not_null
+dim_route|route_id|unique
+dim_date|date_day|not_null
+dim_date|date_day|unique
+fct_route_delay_hourly|route_id, event_hour|unique
+fct_route_delay_hourly|route_id|not_null
+fct_route_delay_hourly|event_hour|not_null
+fct_route_delay_daily|route_id|not_null
+fct_route_delay_daily|date_day|not_null
+fct_route_delay_daily_compare|route_id|not_null
+fct_route_delay_daily_compare|date_day|not_null
+fct_latest_vehicle_positions|vehicle_id|not_null
+fct_latest_vehicle_positions|vehicle_id|unique
+"""
 
+
+def _checks() -> str:
     relations = {
         "stg_trip_updates": "staged",
         "stg_vehicle_positions": "staged_vehicle",
@@ -286,16 +318,16 @@ def _checks() -> str:
         "dim_date": "(SELECT DISTINCT event_date AS date_day FROM golden)",
     }
     parts = []
-    for check in CHECKS:
-        relation = relations[check.model]
-        column = {"route_id, event_hour": "route_id || '-' || event_hour"}.get(check.column, check.column)
+    for model, named, test in (line.split("|") for line in _DECLARED.split("\n") if line):
+        relation = relations[model]
+        column = {"route_id, event_hour": "route_id || '-' || event_hour"}.get(named, named)
         failing = {
             "not_null": f"SELECT 1 FROM {relation} WHERE {column} IS NULL",
             "unique": f"SELECT {column} FROM {relation} WHERE {column} IS NOT NULL GROUP BY ALL HAVING count(*) > 1",
             "accepted_values": f"SELECT 1 FROM {relation} WHERE {column} NOT IN ('ARRIVAL', 'DEPARTURE')",
-        }[check.test]
+        }[test]
         parts.append(
-            f"SELECT '{check.model}' AS model, '{check.column}' AS \"column\", '{check.test}' AS test, "
+            f"SELECT '{model}' AS model, '{named}' AS \"column\", '{test}' AS test, "
             f"count(*) AS failures FROM ({failing})"
         )
     ctes = (
@@ -372,6 +404,16 @@ FROM {relation}"""
             _DAILY,
             """SELECT date_day, CAST(sum(total_events) AS BIGINT) AS total_events,
   round(sum(avg_delay_sec * total_events) / sum(total_events), 6) AS avg_delay_sec FROM daily GROUP BY date_day""",
+        ),
+        "daily_delay_trend_compare": _select(
+            _DAILY + """,
+trend AS (
+  SELECT date_day, CAST(sum(total_events) AS BIGINT) AS total_events,
+    sum(avg_delay_sec * total_events) / sum(total_events) AS avg_delay_sec FROM daily GROUP BY date_day
+)""",
+            """SELECT t.date_day, t.total_events, round(t.avg_delay_sec, 6) AS avg_delay_sec,
+  round(e.avg_delay_sec, 6) AS avg_delay_prev_week, round(t.avg_delay_sec - e.avg_delay_sec, 6) AS wow_avg_delay_sec
+FROM trend t LEFT JOIN trend e ON e.date_day = t.date_day - INTERVAL 7 DAY""",
         ),
         "hourly_intensity_pivot": _select(_HOURLY, f"SELECT route_id, {_PIVOT} FROM hourly GROUP BY route_id"),
         "delay_heatmap_grid": _select(
@@ -400,10 +442,35 @@ FROM compare WHERE wow_avg_delay_sec > 0""",
 FROM raw_trip WHERE event_time IS NOT NULL AND event_type <> 'SKIPPED'""",
         ),
         "stream_live_replay": _select(_LIVE, "SELECT * FROM live"),
+        "project_build": _select(_LIVE, "SELECT * FROM live"),
+        "mixed_log_append": _select(
+            _RAW_TRIP,
+            """SELECT feed_timestamp, 'gtfs_rt_trip_updates' AS source, entity_id, trip_id, route_id,
+  start_date, start_time, stop_id, stop_sequence, upper(trim(event_type)) AS event_type,
+  CAST(date_trunc('second', event_time) AS TIMESTAMP) AS event_time, delay_sec, schedule_relationship, raw_json
+FROM raw_trip WHERE event_time IS NOT NULL AND event_type <> 'SKIPPED'""",
+        ),
+        "stream_vehicle_ingest": _select(
+            _RAW_VEHICLE,
+            """SELECT * EXCLUDE (ingested_at)
+  REPLACE ('gtfs_rt_vehicle_positions' AS source, coalesce(position_lat, 0.0::DOUBLE) AS position_lat)
+FROM raw_vehicle""",
+        ),
+        "feed_rejects": _select(
+            _RAW_TRIP,
+            """SELECT outcome, count(*) AS n FROM (
+  SELECT CASE WHEN CAST(entity_id AS BIGINT) % 10 = 0 THEN 'unreadable' ELSE 'not a number' END AS outcome
+  FROM raw_trip WHERE CAST(entity_id AS BIGINT) % 10 IN (0, 3)
+  UNION ALL
+  SELECT CASE WHEN CAST(entity_id AS BIGINT) % 10 = 2 THEN 'kept as 3' ELSE 'kept as 0' END
+  FROM raw_trip
+  WHERE CAST(entity_id AS BIGINT) % 10 NOT IN (0, 3) AND event_time IS NOT NULL AND event_type <> 'SKIPPED'
+) GROUP BY outcome""",
+        ),
+        "failing_rows": _select(_STAGED, "SELECT event_key, route_id, entity_id FROM staged WHERE trip_id IS NULL"),
         "stream_hourly_windows": _rounded(
             _HOURLY,
-            """(SELECT * FROM hourly WHERE event_hour + INTERVAL '5' HOUR
-  <= (SELECT date_trunc('milliseconds', max(event_time)) FROM golden))""",
+            "hourly",
             *_HOURLY_DOUBLES,
         ),
         "stream_golden_replay": _select(_REPLAY, "SELECT * FROM replayed"),

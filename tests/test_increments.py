@@ -110,7 +110,8 @@ def test_event_moving_to_another_day_leaves_no_trace(spark, events, folder, trip
         (dt.date(2024, 1, 11), 1),
         (dt.date(2024, 1, 12), 1),
     }
-    assert sorted(events.commit_info()["days"].items()) == [("2024-01-11", 2), ("2024-01-12", 1)]
+    held = sorted(events.commit_info()["days"].items())
+    assert [(day, name.split("-")[0]) for day, name in held] == [("2024-01-11", "v=2"), ("2024-01-12", "v=1")]
     assert increments.refresh_metrics(events, hourly, daily) == []
 
 
@@ -166,14 +167,50 @@ def test_old_versions_can_be_dropped(events, folder, trip_rows):
     for minute in (20, 30, 40, 50):
         load(events, folder, trip_rows({"ingested_at": f"10 08:{minute}", "delay_sec": minute}))
     before = as_set(events.read())
-    assert events.drop_unreferenced(keep=1) == [1, 2, 3]
+    assert sorted(name.split("-")[0] for name in events.drop_unreferenced(keep=1)) == ["v=1", "v=2", "v=3"]
     assert as_set(events.read()) == before
+    assert events.versions() == [4]
+    assert events.touched_since(2) == ["2024-01-10"] and events.touched_since(4) == []
 
 
 def test_second_writer_is_refused(spark, events, folder, trip_rows):
+    """Of two writers that start from one version the first to commit keeps its rows."""
     load(events, folder, trip_rows({}))
-    with pytest.raises(RuntimeError):
-        events._write_commit(1, "{}")
+    second = increments.events_table(spark, folder)
+    commit = second._write_commit
+
+    def after_the_first(version, text):
+        load(events, folder, trip_rows({"stop_id": "s2", "ingested_at": "10 08:40"}))
+        commit(version, text)
+
+    second._write_commit = after_the_first
+    with pytest.raises(RuntimeError, match="another writer"):
+        increments.apply_raw(second, trip_rows({"stop_id": "s3", "ingested_at": "10 08:50"}))
+    assert as_set(events.read(), "stop_id") == {("s1",), ("s2",)}
+    increments.apply_raw(events, trip_rows({"stop_id": "s3", "ingested_at": "10 08:50"}))
+    assert events.read().count() == 3
+
+
+def test_empty_commit_is_passed_over(spark, events, folder, trip_rows):
+    load(events, folder, trip_rows({}))
+    fs, target = events._fs(events._commit_path(2))
+    fs.create(target, False).close()
+    assert events.read().count() == 1
+    load(events, folder, trip_rows({"stop_id": "s2", "ingested_at": "10 08:40"}))
+    assert events.read().count() == 2 and events.touched_since(1) == ["2024-01-10"]
+
+
+def test_one_poll_over_two_batches(spark, folder, trip_rows):
+    """Ties of ingestion and feed time are settled alike in any order and all at once."""
+    first = trip_rows({"entity_id": "a", "delay_sec": 111})
+    second = trip_rows({"entity_id": "b", "delay_sec": 222})
+    results = []
+    for n, batches in enumerate([(first, second), (second, first), (first.unionByName(second),)]):
+        table = increments.events_table(spark, f"{folder}/tie{n}")
+        for batch in batches:
+            increments.apply_raw(table, batch)
+        results.append(as_set(table.read(), "delay_sec"))
+    assert results == [{(222,)}] * 3
 
 
 def plain_replay(raw_rows, cuts):
@@ -257,7 +294,7 @@ def test_raw_log_round_trip(spark, folder, trip_rows):
     back = read_raw(spark, f"{folder}/log", schemas.RAW_TRIP_UPDATES)
     assert back.schema == schemas.struct(schemas.RAW_TRIP_UPDATES)
     assert as_set(back) == as_set(rows)
-    assert [p.split("=")[-1] for p in sorted({f.rsplit("/", 1)[0] for f in back.inputFiles()})] == [
+    assert [p.split("=")[-1] for p in sorted({f.rsplit("/", 2)[0] for f in back.inputFiles()})] == [
         "2024-01-10",
         "2024-01-11",
     ]

@@ -12,7 +12,9 @@ from conftest import SF, SF_SMALL
 
 QUERIES = registry.transit_queries()
 ORACLE = registry.oracle.statements()
-STREAMED = {name for name in QUERIES if name.startswith("stream_")} | {"incremental_upsert"}
+STREAMED = {name for name in QUERIES if name.startswith("stream_")} | {
+    "incremental_upsert", "mixed_log_append", "feed_rejects", "project_build"
+}
 TYPES = {
     "string": "VARCHAR",
     "int": "INTEGER",

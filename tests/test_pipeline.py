@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import AS_OF, SF_SMALL, as_set
 from headway import schemas
 from headway.functions import utc_literal
-from headway.operators.quality import CHECKS, Check, run_checks
+from headway.operators.quality import CHECKS, Check, failing_rows, run_checks, split_rows
 from headway.plans import delays, fleet, freshness
 from headway.plans.events import int_trip_stop_events_deduped
 from headway.plans.pipeline import MODELS, Project, tagged
@@ -84,6 +84,30 @@ def test_tags(run):
     assert list(project.build(tags=["vehicle_positions"], as_of=AS_OF)) == ["fct_latest_vehicle_positions"]
 
 
+def test_unbuilt_inputs_are_an_error(spark, run):
+    project, _, _, _ = run
+    fresh = Project(spark, project.trip_log, project.vehicle_log, new_folder(spark, "fresh"))
+    with pytest.raises(ValueError, match="not built yet: ?|build them first"):
+        fresh.build(tags=["bi_layer"], as_of=AS_OF)
+
+
+def test_failing_rows_and_split(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("b", None)], "k string, n int")
+    checks = (Check("m", "k", "not_null"), Check("m", "n", "not_null"), Check("m", "k", "unique"))
+    assert [as_set(failing_rows(rows, c)) for c in checks] == [{(None, 3)}, {("b", None)}, {("a", 1), ("a", 2)}]
+    good, bad = split_rows(rows, "m", checks)
+    assert as_set(good) == {("a", 1), ("a", 2)}
+    assert {(r.k, r.n, tuple(r.failed)) for r in bad.collect()} == {
+        (None, 3, ("not_null(k)",)), ("b", None, ("not_null(n)",))
+    }
+
+
+def test_source_freshness_reads_the_newest_date(run):
+    project, _, _, _ = run
+    plan = project.source_freshness(AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(ingest_date") == 2
+
+
 def test_checks_on_the_project(run):
     project, built, _, _ = run
     rows = {(r.model, r.column, r.test): r.failures for r in project.test(built).collect()}

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import re
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -15,7 +17,7 @@ from headway.plans import delays, fleet, increments
 from headway.plans.events import int_trip_stop_events_deduped
 from headway.plans.staging import stg_trip_updates, stg_vehicle_positions
 from headway.sources import event_stream
-from headway.sources.feeds import flatten_trip_updates, flatten_vehicle_positions, read_feed
+from headway.sources.feeds import flatten_trip_updates, flatten_vehicle_positions, read_feed, split_feed
 from headway.sources.ingest import run_ingest
 from headway.sources.raw_log import append_raw, read_raw
 from headway.sources.scratch import new_folder
@@ -131,13 +133,62 @@ def test_repeated_pings_are_dropped(spark, folder, ping_rows):
 def test_windows_over_unrevised_events(spark, folder, source):
     events = int_trip_stop_events_deduped(stg_trip_updates(event_stream.raw_trip_updates(source)))
     events.write.parquet(f"{folder}/events")
-    stream = spark.readStream.schema(events.schema).parquet(f"{folder}/events")
-    writer = hourly_windows(stream).writeStream.option("checkpointLocation", f"{folder}/c").outputMode("append")
-    finish(writer.format("parquet").trigger(availableNow=True).start(f"{folder}/out"))
-    emitted = as_set(spark.read.parquet(f"{folder}/out"))
     everything = as_set(delays.int_route_delay_hourly(events))
-    assert emitted <= everything
-    # Hours within the watermark's lateness of the newest event wait.
-    newest = max(row[1] for row in everything)
-    waiting = everything - emitted
-    assert all((newest - row[1]).total_seconds() <= 5 * 3600 for row in waiting)
+    for n, (files, per_batch) in enumerate(((1, 1), (6, 2))):
+        # Files that hold events of all times, as a late or unordered feed would.
+        events.repartition(files, F.xxhash64("event_key")).write.parquet(f"{folder}/part{n}")
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", per_batch)
+        finish(route_metrics.stream_delay_counts(stream.parquet(f"{folder}/part{n}"), f"{folder}/n{n}", f"{folder}/c{n}"))
+        assert as_set(hourly_windows(spark, f"{folder}/n{n}")) == everything
+
+
+MESSAGE = (
+    '{"header":{"timestamp":1704874740},"entity":[{"id":"e1","trip_update":{"trip":{"trip_id":"t1","route_id":"r1",'
+    '"start_date":"20240110","start_time":"08:00:00","schedule_relationship":0},"stop_time_update":[{"stop_id":"s1",'
+    '"stop_sequence":1,"arrival":{"time":1704875400,"delay":60},"departure":{"time":1704875460,"delay":90}}]}}]}'
+)
+
+
+def feed_of(spark, folder, name, *lines, **options):
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(f"{folder}/{name}")
+    return read_feed(spark, f"{folder}/{name}", schemas.TRIP_FEED, **options)
+
+
+def test_broken_feeds_stop_the_job(spark, folder):
+    cut_off = feed_of(spark, folder, "cut", MESSAGE, MESSAGE[:-20])
+    indented = feed_of(spark, folder, "indented", *json.dumps(json.loads(MESSAGE), indent=1).split("\n"))
+    unknown = feed_of(spark, folder, "unknown", MESSAGE.replace('"schedule_relationship":0', '"schedule_relationship":"LATE"'))
+    for feed in (cut_off, indented, unknown):
+        with pytest.raises(Exception, match="MALFORMED|CAST_INVALID_INPUT|FAILED_READ_FILE"):
+            flatten_trip_updates(feed).collect()
+
+
+def test_numbers_and_names_as_text(spark, folder):
+    plain = as_set(without_batch_time(flatten_trip_updates(feed_of(spark, folder, "plain", MESSAGE))))
+    quoted = re.sub(r":(\d+)", r':"\1"', MESSAGE.replace("08:00:00", "@")).replace("@", "08:00:00")
+    assert as_set(without_batch_time(flatten_trip_updates(feed_of(spark, folder, "quoted", quoted)))) == plain
+    indented = feed_of(spark, folder, "lines", *json.dumps(json.loads(MESSAGE), indent=1).split("\n"), multiLine=True)
+    assert as_set(without_batch_time(flatten_trip_updates(indented))) == plain
+    cancelled = MESSAGE.replace('"schedule_relationship":0', '"schedule_relationship":"CANCELED"')
+    rows = flatten_trip_updates(feed_of(spark, folder, "named", cancelled)).collect()
+    assert [r.schedule_relationship for r in rows] == ["3", "3"]
+
+
+def test_rejects_are_set_aside(spark, folder):
+    feed_of(spark, folder, "some", MESSAGE, MESSAGE[:-9], "{}", MESSAGE.replace("1704875400", '"noon"'))
+    good, bad = split_feed(spark, f"{folder}/some", schemas.TRIP_FEED)
+    assert flatten_trip_updates(good).count() == 2
+    assert sorted(r.reason for r in bad.collect()) == ["no message", "not a number", "unreadable"]
+
+
+def test_stream_stops_at_a_broken_feed(spark, folder):
+    feed_of(spark, folder, "streamed", MESSAGE, MESSAGE[:-20])
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        stream_trip_feed(spark, f"{folder}/streamed", f"{folder}/log", f"{folder}/c").awaitTermination()
+
+
+def test_a_repeated_load_replaces_itself(spark, folder, trip_rows):
+    rows = trip_rows({}, {"stop_id": "s2"})
+    assert append_raw(rows, f"{folder}/log", "one") == append_raw(rows, f"{folder}/log", "one") == 2
+    append_raw(rows, f"{folder}/log")
+    assert read_raw(spark, f"{folder}/log", schemas.RAW_TRIP_UPDATES).count() == 4
