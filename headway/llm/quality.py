@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from headway.llm.text import at_end, first_step, next_step, packed, whole, words
 from headway.sources.scratch import new_folder, written
 
-# The characters counted as symbols, and the limits of the base rules.
-SYMBOLS = "#*$%&|<>"
+_POOLED = ""
+
+# The limits of the base rules.
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -116,45 +117,46 @@ def _with_repeats(rows: DataFrame) -> DataFrame:
 
 
 def references(docs: DataFrame, lang_col: str, text_col: str, limits: Limits) -> DataFrame:
-    """One row per language and one with language null for all documents together:
-    ref_lang, ref_classes (shares), ref_words, ref_shares."""
-    lang = F.col(lang_col).cast("string")
-    rows = docs.select(lang.alias("ref_lang"), whole(text_col).alias("text"))
+    """One row per language ("=" and its name) and one with key "" for all documents together:
+    ref_key, ref_classes (shares), ref_words, ref_shares."""
+    lang = F.coalesce(F.concat(F.lit("="), F.col(lang_col).cast("string")), F.lit(_POOLED))
+    rows = docs.select(lang.alias("ref_key"), whole(text_col).alias("text"))
     sums = [F.sum(F.col("classes")[i]).alias(name) for i, name in enumerate(CLASS_NAMES)]
-    totals = _with_classes(rows).groupBy("ref_lang").agg(*sums)
+    totals = _with_classes(rows).groupBy("ref_key").agg(*sums)
     # Long words are counted together, as the null word.
     word = F.explode(words(F.col("text"))).alias("word")
     short = F.when(F.length("word") <= limits.word_chars, F.col("word")).alias("word")
-    counts = rows.select("ref_lang", word).groupBy("ref_lang", short).agg(F.count("*").alias("n"))
+    counts = rows.select("ref_key", word).groupBy("ref_key", short).agg(F.count("*").alias("n"))
     spark = docs.sparkSession
     totals = written(totals, new_folder(spark, "class-totals"))
     counts = written(counts, new_folder(spark, "word-counts"))
-    return _references_of(totals, counts, limits).unionByName(
+    pooled = F.lit(_POOLED).alias("ref_key")
+    own = F.col("ref_key") != _POOLED
+    return _references_of(totals.where(own), counts.where(own), limits.reference_words, limits).unionByName(
         _references_of(
-            totals.groupBy(F.lit(None).cast("string").alias("ref_lang")).agg(
-                *(F.sum(c).alias(c) for c in CLASS_NAMES)
-            ),
-            counts.groupBy(F.lit(None).cast("string").alias("ref_lang"), "word").agg(F.sum("n").alias("n")),
+            totals.groupBy(pooled).agg(*(F.sum(c).alias(c) for c in CLASS_NAMES)),
+            counts.groupBy(pooled, "word").agg(F.sum("n").alias("n")),
+            0,
             limits,
         )
     )
 
 
-def _references_of(totals: DataFrame, counts: DataFrame, limits: Limits) -> DataFrame:
-    """References of languages with enough words; the null language is the pooled one."""
-    best = Window.partitionBy("ref_lang").orderBy(F.desc("n"), "word")
+def _references_of(totals: DataFrame, counts: DataFrame, least_words: int, limits: Limits) -> DataFrame:
+    """References of the keys with enough words."""
+    best = Window.partitionBy("ref_key").orderBy(F.desc("n"), "word")
     top = counts.where(F.col("word").isNotNull()).withColumn("rank", F.row_number().over(best))
-    top = top.where(F.col("rank") <= limits.top_words).groupBy(F.col("ref_lang").alias("top_lang")).agg(
+    top = top.where(F.col("rank") <= limits.top_words).groupBy("ref_key").agg(
         F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("common")
     )
-    sizes = counts.groupBy(F.col("ref_lang").alias("lang")).agg(F.sum("n").cast("double").alias("n_words"))
+    sizes = counts.groupBy("ref_key").agg(F.sum("n").cast("double").alias("n_words"))
     chars = sum((F.col(name) for name in CLASS_NAMES), F.lit(0))
     return (
-        totals.join(sizes, F.col("ref_lang").eqNullSafe(F.col("lang")), "left")
-        .join(top, F.col("ref_lang").eqNullSafe(F.col("top_lang")), "left")
-        .where(F.col("ref_lang").isNull() | (F.col("n_words") >= limits.reference_words))
+        totals.join(sizes, "ref_key", "left")
+        .join(top, "ref_key", "left")
+        .where(F.coalesce("n_words", F.lit(0)) >= least_words)
         .select(
-            "ref_lang",
+            "ref_key",
             F.array(*(F.when(chars > 0, F.col(n) / chars).otherwise(0.0) for n in CLASS_NAMES)).alias("ref_classes"),
             F.coalesce(F.col("common.word"), F.array().cast("array<string>")).alias("ref_words"),
             F.coalesce(
@@ -215,21 +217,21 @@ def judge(
     gives no rows; columns other than language and text are only carried in ``row``.
     """
     reference = written(references(docs, lang_col, text_col, limits), new_folder(docs.sparkSession, "references"))
-    own = reference.where(F.col("ref_lang").isNotNull())
-    pooled = reference.where(F.col("ref_lang").isNull()).drop("ref_lang")
-    rows = packed(docs, lang=F.col(lang_col).cast("string"), text=whole(text_col))
+    own = reference.where(F.col("ref_key") != _POOLED)
+    # One row of fixed size; languages without a reference get it as constants.
+    pooled = reference.where(F.col("ref_key") == _POOLED).first()
+    kinds = {"ref_classes": "array<double>", "ref_words": "array<string>", "ref_shares": "array<double>"}
+    constant = {c: F.array(*map(F.lit, pooled[c] if pooled else [])).cast(kind) for c, kind in kinds.items()}
+    rows = packed(docs, lang=F.concat(F.lit("="), F.col(lang_col).cast("string")), text=whole(text_col))
     chars = F.aggregate("words", F.lit(0).cast("bigint"), lambda total, w: total + F.length(w))
     rows = _with_classes(rows).select("*", words(F.col("text")).alias("words"), first_step())
     rows = rows.select("row", "lang", "text", "classes", "words", chars.alias("word_chars"), next_step())
     rows = _with_repeats(rows)
-    # A second join on a constant gives languages without a reference the pooled one row.
-    pooled = pooled.select(F.lit(True).alias("lacks"), *(F.col(c).alias(f"all_{c}") for c in pooled.columns))
-    rows = rows.join(own, rows["lang"] == own["ref_lang"], "left")
-    rows = rows.withColumn("lacks", F.when(F.col("ref_lang").isNull(), True)).join(pooled, "lacks", "left")
+    rows = rows.join(own, rows["lang"] == own["ref_key"], "left")
     rows = rows.select(
         "row", "words", "classes", "word_chars", "n_dup_lines", "n_repeat_words",
         F.size("words").cast("bigint").alias("n_words"),
-        *(F.coalesce(c, f"all_{c}").alias(c) for c in ("ref_classes", "ref_words", "ref_shares")),
+        *(F.coalesce(F.col(c), other).alias(c) for c, other in constant.items()),
         next_step(),
     )
     counts = ["row", "n_words", "word_chars", "n_dup_lines", "n_repeat_words"]
