@@ -32,6 +32,7 @@ from headway.streaming.fleet import live_fleet, stream_staged_pings, stream_stag
 from headway.streaming.route_metrics import hourly_windows, stream_delay_counts, stream_route_metrics
 
 AS_OF = "2024-01-31 00:00:00"
+AFTER_MIDNIGHT = "2024-01-30 00:15:00"
 CUTOFF = "2024-01-15 00:00:00"
 SLICES = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 
@@ -61,7 +62,7 @@ class Lineage:
         return delays.int_route_delay_hourly(self.events())
 
     def daily(self) -> DataFrame:
-        return delays.fct_route_delay_daily(self.hourly())
+        return delays.fct_route_delay_daily(delays.hourly_totals(self.events()))
 
     def compare(self) -> DataFrame:
         return delays.fct_route_delay_daily_compare(self.daily())
@@ -157,6 +158,14 @@ def _vehicles_ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, f"{folder}/log", schemas.RAW_VEHICLE_POSITIONS).drop("ingested_at")
 
 
+def _vehicle_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pings appended to a log in two loads and read back from a mark on."""
+    log = f"{new_folder(spark, 'pings')}/log"
+    for arrived in _arrivals(Lineage(spark, sf_dir).raw_vehicle(), SLICES[0]):
+        append_raw(arrived, log)
+    return read_raw(spark, log, schemas.RAW_VEHICLE_POSITIONS, ingested_from=CUTOFF)
+
+
 def _feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages of which some are cut off, some give numbers or names as text, and some hold
     text that is neither: what becomes of them, counted."""
@@ -323,6 +332,13 @@ def transit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_feed_ingest": _ingested,
         "stream_live_replay": _live_replay,
         "stream_vehicle_ingest": _vehicles_ingested,
+        # Pings carry the start of their day, so a quarter past midnight the rule keeps some.
+        "active_vehicles_now": over(
+            lambda m: dashboard.active_vehicles(
+                fleet.fct_latest_vehicle_positions(m.pings(), m.staged(), AFTER_MIDNIGHT)
+            ).where(F.col("minutes_since_update") >= 0)
+        ),
+        "raw_vehicle_log": _vehicle_log,
         "mixed_log_append": _mixed_log,
         "feed_rejects": _feed_rejects,
         "project_build": _project_build,

@@ -18,12 +18,15 @@ from headway.plans.pipeline import Project
 from headway.session import build_session
 from headway.sources.feeds import read_feed
 from headway.sources.ingest import run_ingest
+from headway.streaming.feeds import stream_trip_feed, stream_vehicle_feed
+from headway.streaming.fleet import stream_staged_pings, stream_staged_updates
 from headway.streaming.route_metrics import stream_route_metrics
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    trips = read_feed(spark, args.trip_feed, schemas.TRIP_FEED, args.format)
-    vehicles = read_feed(spark, args.vehicle_feed, schemas.VEHICLE_FEED, args.format)
+    options = {"multiLine": True} if args.multi_line else {}
+    trips = read_feed(spark, args.trip_feed, schemas.TRIP_FEED, args.format, **options)
+    vehicles = read_feed(spark, args.vehicle_feed, schemas.VEHICLE_FEED, args.format, **options)
     counts = run_ingest(trips, vehicles, args.trip_log, args.vehicle_log)
     print(*(f"{name}={count}" for name, count in counts.items()))
 
@@ -43,7 +46,28 @@ def test(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def follow(spark: SparkSession, args: argparse.Namespace) -> None:
-    stream_route_metrics(spark, args.trip_log, args.warehouse, args.progress, args.every).awaitTermination()
+    """Both logs into the staged feeds, the events and the metrics, each stream with its own progress."""
+    run = args.trip_log, args.warehouse
+    streams = [stream_route_metrics(spark, *run, f"{args.progress}/metrics", args.every)]
+    if args.vehicle_log:
+        streams.append(stream_staged_updates(spark, *run, f"{args.progress}/updates", args.every))
+        streams.append(stream_staged_pings(spark, args.vehicle_log, args.warehouse, f"{args.progress}/pings", args.every))
+    for stream in streams:
+        stream.awaitTermination()
+
+
+def receive(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Landed feed files of both kinds into the raw logs."""
+    streams = [
+        stream_trip_feed(spark, args.trip_feed, args.trip_log, f"{args.progress}/trips", args.every),
+        stream_vehicle_feed(spark, args.vehicle_feed, args.vehicle_log, f"{args.progress}/vehicles", args.every),
+    ]
+    for stream in streams:
+        stream.awaitTermination()
+
+
+def clean(spark: SparkSession, args: argparse.Namespace) -> None:
+    Project(spark, "", "", args.warehouse).drop_old_versions(args.keep)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -59,11 +83,17 @@ def parser() -> argparse.ArgumentParser:
 
     sub = command(ingest, "trip-feed", "vehicle-feed", "trip-log", "vehicle-log")
     sub.add_argument("--format", default="json", choices=("json", "parquet"))
+    sub.add_argument("--multi-line", action="store_true", help="one JSON message over several lines per file")
+    sub = command(receive, "trip-feed", "vehicle-feed", "trip-log", "vehicle-log", "progress")
+    sub.add_argument("--every")
+    sub = command(clean, "warehouse")
+    sub.add_argument("--keep", type=int, default=3)
     sub = command(build, "trip-log", "vehicle-log", "warehouse")
     sub.add_argument("--tag", action="append")
     sub.add_argument("--full-refresh", action="store_true")
     command(test, "trip-log", "vehicle-log", "warehouse")
     sub = command(follow, "trip-log", "warehouse", "progress")
+    sub.add_argument("--vehicle-log")
     sub.add_argument("--every")
     return top
 

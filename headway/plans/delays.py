@@ -59,6 +59,16 @@ def hourly_of_counts(counts: DataFrame) -> DataFrame:
     )
 
 
+def hourly_totals(events: DataFrame) -> DataFrame:
+    """What days are made of, in one shuffle: the hourly metrics without percentiles."""
+    delayed = F.count_if(F.col("delay_sec") >= DELAYED_FROM_SEC)
+    return _usable(events).groupBy("route_id", "event_hour").agg(
+        F.count("*").alias("num_events"),
+        share(F.sum("delay_sec"), F.count("*")).alias("avg_delay_sec"),
+        delayed.alias("delayed_5m_events"),
+    )
+
+
 def route_delay_hourly_sketch(events: DataFrame, accuracy: int = 10000) -> DataFrame:
     """As the exact form in one shuffle, with percentiles off by at most 1/accuracy of the ranks.
 

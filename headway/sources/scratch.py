@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -22,8 +23,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_made: list[tuple[SparkSession, str]] = []
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A folder of its own below the shared one, deleted when the program ends."""
+    if not _made:
+        atexit.register(drop_folders)
+    folder = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _made.append((spark, folder))
+    return folder
+
+
+def drop_folders() -> None:
+    """Deletes the folders made so far; what still reads from them must be done."""
+    while _made:
+        spark, folder = _made.pop()
+        if spark.sparkContext._jsc is not None:  # a stopped session deletes nothing
+            target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def written(df: DataFrame, path: str) -> DataFrame:

@@ -7,6 +7,7 @@ of ranked windows, ``quantile_disc`` for percentiles, self joins for the calenda
 from __future__ import annotations
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
+AFTER_MIDNIGHT = "TIMESTAMP '2024-01-30 00:15:00'"
 CUTOFF = "TIMESTAMP '2024-01-15 00:00:00'"
 SLICES = ("TIMESTAMP '2024-01-11 00:00:00'", "TIMESTAMP '2024-01-21 00:00:00'")
 
@@ -422,6 +423,11 @@ FROM trend t LEFT JOIN trend e ON e.date_day = t.date_day - INTERVAL 7 DAY""",
   count(*) AS vehicles, CAST(sum(current_delay_sec) AS BIGINT) AS total_delay_sec,
   round(CAST(sum(current_delay_sec) AS DOUBLE) / count(*), 6) AS avg_delay_sec FROM live GROUP BY ALL""",
         ),
+        "active_vehicles_now": _select(
+            _LIVE.replace(AS_OF, AFTER_MIDNIGHT),
+            "SELECT * FROM live WHERE minutes_since_update BETWEEN 0 AND 20",
+        ),
+        "raw_vehicle_log": _select(_RAW_VEHICLE, f"SELECT * FROM raw_vehicle WHERE ingested_at >= {CUTOFF}"),
         "active_vehicles": _select(_LIVE, "SELECT * FROM live WHERE minutes_since_update <= 2880"),
         "worst_delays_topk": _select(
             _LIVE,

@@ -26,3 +26,9 @@ def test_commands(spark, capsys):
     main(["follow", "--trip-log", f"{folder}/log", "--warehouse", f"{folder}/f", "--progress", f"{folder}/p"], spark)
     followed = increments.events_table(spark, f"{folder}/f").read()
     assert followed.count() == increments.events_table(spark, f"{folder}/w").read().count()
+    received = ["--trip-feed", f"{folder}/trips", "--vehicle-feed", f"{folder}/vehicles"]
+    main(["receive", *received, "--trip-log", f"{folder}/l2", "--vehicle-log", f"{folder}/v2", "--progress", f"{folder}/p2"], spark)
+    main(["follow", "--trip-log", f"{folder}/l2", "--vehicle-log", f"{folder}/v2", "--warehouse", f"{folder}/f2", "--progress", f"{folder}/p3"], spark)
+    assert increments.staged_pings_table(spark, f"{folder}/f2").read().count() > 0
+    main(["clean", "--warehouse", f"{folder}/w", "--keep", "1"], spark)
+    assert increments.events_table(spark, f"{folder}/w").versions() == [1]
