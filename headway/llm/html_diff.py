@@ -3,12 +3,12 @@
 Pages are range-partitioned and sorted by host, path and identifier, so a page's nearest URL
 is next to it and a host with a third of all pages spreads over many tasks. Of the pages
 before and after it the one that shares the longer path start is its partner (the earlier at
-a tie; at a task's border the one within). Both pages' text lines are aligned by longest
-common subsequence and the shared lines, which belong to the site and not to the page, are
-deleted. Two checks follow. Markup that says what a line is decides over chance: lines of an
+a tie; at a task's border the one within; the other one if that is a copy). Both pages' text
+lines are aligned by longest common subsequence and the shared lines, which belong to the
+site and not to the page, are deleted. Two checks follow. Markup that says what a line is decides over chance: lines of an
 article element stay although a copy of the article shares them, and lines of menus,
-adverts, notices, forms and comments go although no partner shares them. And a partner that
-shares most of a page's text is a copy, whose alignment says nothing; it is not used.
+adverts, notices, forms and comments go although no partner shares them. And a page that
+shares nearly all of the text outside those is a copy, whose alignment says nothing.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from headway.llm.html import Block, blocks
 from headway.llm.url_filter import host_of, path_of
 
-_COPY = 0.5
+_COPY = 0.8
 
 
 def _prefix_lengths(a: list, b: list) -> list[int]:
@@ -100,23 +100,26 @@ def _shared_start(a: str, b: str) -> int:
     return n
 
 
-def _partner(page: Page, before: Page | None, after: Page | None) -> Page | None:
+def _partners(page: Page, before: Page | None, after: Page | None) -> list[Page]:
+    """Neighbours on the same host, the nearest first."""
     near = [p for p in (before, after) if p is not None and p.host == page.host]
-    return max(near, key=lambda p: _shared_start(page.path, p.path), default=None)
+    return sorted(near, key=lambda p: -_shared_start(page.path, p.path))
 
 
-def main_text(page: Page, partner: Page | None) -> str:
+def shared_lines(lines: list[Block], partner: list[Block]) -> set[int] | None:
+    """Places of lines that a partner shares; None if it is a copy of the page."""
+    places = common_places([b.text for b in lines], [b.text for b in partner])
+    own = sum(len(b.text) for b in lines if not b.around)
+    shared = sum(len(lines[i].text) for i in places if not lines[i].around)
+    return None if shared > _COPY * own else set(places)
+
+
+def main_text(page: Page, partners: list[Page]) -> str:
     lines = page.lines
-    shared: set[int] = set()
-    if partner is not None:
-        places = common_places([b.text for b in lines], [b.text for b in partner.lines])
-        size = sum(len(b.text) for b in lines)
-        if sum(len(lines[i].text) for i in places) <= _COPY * size:
-            shared = set(places)
     marked = any(b.inside and not b.around for b in lines)
-    kept = (
-        b.text for i, b in enumerate(lines) if not b.around and (b.inside if marked else i not in shared)
-    )
+    found = (shared_lines(lines, p.lines) for p in partners)
+    shared = next((places for places in found if places is not None), set())
+    kept = (b.text for i, b in enumerate(lines) if not b.around and (b.inside if marked else i not in shared))
     return " ".join(kept)
 
 
@@ -160,14 +163,14 @@ def extract(
         size = 0
         for after in _pages(typed()):
             if page is not None:
-                done.append((page.key, page.url, main_text(page, _partner(page, before, after))))
+                done.append((page.key, page.url, main_text(page, _partners(page, before, after))))
                 size += len(done[-1][2])
             before, page = page, after
             if size > 4 << 20 or len(done) >= 1000:
                 yield batch_of(done)
                 done, size = [], 0
         if page is not None:
-            done.append((page.key, page.url, main_text(page, _partner(page, before, None))))
+            done.append((page.key, page.url, main_text(page, _partners(page, before, None))))
         if done:
             yield batch_of(done)
 

@@ -241,7 +241,7 @@ def test_counts_do_not_depend_on_pieces(monkeypatch):
 def test_main_text(pages):
     found = by_id(html_diff.extract(pages))
     assert found[1][0].text == "First ownline & more"  # lines that its neighbour shares are gone
-    assert [r.text for r in found[2]] == ["Second own line"] * 2 or found[2][0].text.endswith("Bottom line")
+    assert "Second own line" in [r.text for r in found[2]]  # the copy beside it is passed over
     assert found[3][0].text == found[4][0].text == ""
     assert len(found[None][0].text) == 20_000 * 5 - 1
 
