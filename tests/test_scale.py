@@ -71,9 +71,9 @@ def test_mark_prunes_partitions_and_row_groups(spark, source):
     assert as_set(fresh) == as_set(everything.where(F.col("ingested_at") > utc_literal("2024-01-20 10:00:00")))
 
 
-@pytest.mark.parametrize("name", [n for n in registry.queries() if not n.startswith("stream_") and n not in ("dq_results", "incremental_upsert")])
+@pytest.mark.parametrize("name", [n for n in registry.transit_queries() if not n.startswith("stream_") and n not in ("dq_results", "incremental_upsert")])
 def test_no_query_needs_python_or_a_cross_join(spark, name):
-    lines = plan(registry.queries()[name](spark, SF_SMALL))
+    lines = plan(registry.transit_queries()[name](spark, SF_SMALL))
     for banned in ("Cartesian", "NestedLoop", "Python", "Pandas", "SinglePartition, REPARTITION"):
         assert banned not in lines
 
