@@ -16,6 +16,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from email.message import Message
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -80,19 +81,23 @@ def _http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return status, [(n.strip(), v.strip()) for n, _, v in (line.partition(":") for line in lines) if n], body
 
 
-def _text_of(body: bytes, content_type: str) -> str | None:
-    """Plain text of a body, one line per block; None for content that is not text."""
+@lru_cache(maxsize=1024)
+def _kind_of(content_type: str) -> tuple[str, str]:
+    """Media type and character set of a Content-Type header."""
     message = Message()
     message["Content-Type"] = content_type or "text/html"
-    kind = message.get_content_type()
+    return message.get_content_type(), message.get_content_charset() or "utf-8"
+
+
+def _source_of(body: bytes, content_type: str) -> tuple[str, str] | None:
+    """Media type and decoded body; None for content that is not text."""
+    kind, charset = _kind_of(content_type)
     if kind not in ("text/html", "application/xhtml+xml", "text/plain"):
         return None
-    charset = message.get_content_charset() or "utf-8"
     try:
-        text = body.decode(charset, "replace")
+        return kind, body.decode(charset, "replace")
     except LookupError:
-        text = body.decode("utf-8", "replace")
-    return text if kind == "text/plain" else "\n".join(b.text for b in blocks(text))
+        return kind, body.decode("utf-8", "replace")
 
 
 def _one_line(text: str) -> str:
@@ -103,7 +108,7 @@ def derive_one(record_id: str, target: str, date: str, headers: dict[str, str],
     """The metadata and, for text, the conversion of one response, as ``RECORD`` tuples."""
     status, http, body = _http(block)
     content_type = next((v for n, v in http if n.lower() == "content-type"), "")
-    text = _text_of(body, content_type)
+    found = _source_of(body, content_type)
     metadata_id, conversion_id = derived_id(record_id, "metadata"), derived_id(record_id, "conversion")
     payload = digest(body)
     fields = [
@@ -114,23 +119,27 @@ def derive_one(record_id: str, target: str, date: str, headers: dict[str, str],
         *([("http-status", status)] if status else []),
         *((f"http-{n}", v) for n, v in http),
     ]
-    if text is not None:
-        source = body.decode("utf-8", "replace")
+    if found is not None:
+        kind, source = found
+        # One line per block.
+        text = source if kind == "text/plain" else "\n".join(b.text for b in blocks(source))
+        data = text.encode()
+        own = digest(data)
         title, lang = _TITLE.search(source), _LANG.search(source)
         fields += [("title", _one_line(unescape(title[1])))] if title else []
         fields += [("language", lang[1])] if lang else []
         fields += [("outlink", _one_line("".join(m))) for m in _LINK.findall(source)]
-        fields += [("conversion-record", conversion_id), ("conversion-block-digest", digest(text.encode()))]
+        fields += [("conversion-record", conversion_id), ("conversion-block-digest", own)]
     described = "".join(f"{n}: {_one_line(v)}{_LINE}" for n, v in fields)
+    described_data = described.encode()
     yield (
         metadata_id, "metadata", record_id, target, date, "application/warc-fields",
-        len(described.encode()), digest(described.encode()), None, conversion_id if text is not None else None, described,
+        len(described_data), digest(described_data), None, conversion_id if found is not None else None, described,
     )
-    if text is not None:
-        own = digest(text.encode())
+    if found is not None:
         yield (
             conversion_id, "conversion", record_id, target, date, "text/plain; charset=utf-8",
-            len(text.encode()), own, own, metadata_id, text,
+            len(data), own, own, metadata_id, text,
         )
 
 
