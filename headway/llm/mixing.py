@@ -1,34 +1,43 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Documents of a source form blocks. With weight ``w`` block ``j`` (from 1) of a source is
-released at slot ``floor((j - 1) / w)`` and due at slot ``ceil(j / w)``; slot after slot the
-released block with the earliest deadline is taken. Weights are whole numbers of slots per
-period, so the schedule of one period repeats, and the slot of any block is arithmetic on
-its number: no schedule of all blocks is ever computed in one place. Before every slot each
-source has received less than one block more or less than its weight's share.
+Documents of a source form blocks. With weight ``w`` (its share of all weights) block ``j``
+(from 1) of a source is released at slot ``floor((j - 1) / w)`` and due at slot
+``ceil(j / w)``; slot after slot the released block with the earliest deadline is taken.
+Weights are exact fractions, so before every slot each source has received less than one
+block more or less than its target share, however long the mix.
 
 A source that has run out leaves the schedule; the others share its slots in proportion from
 then on (a new phase). So every document gets exactly one position, and up to the end of a
 phase all its sources keep their target weights.
 
-Nothing but the number of documents per source and the layouts of the phases passes through
-the driver: at most ``sources * (sources + period)`` small entries.
+A slot depends on those before it, so one task computes the schedule of the blocks, in
+memory that grows with the sources alone; it streams to a table that the documents then
+meet by source and block. Only the number of documents per source passes through the driver.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
-from math import ceil, floor
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
+from itertools import islice
+from math import floor, lcm
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from headway.sources.scratch import new_folder, written
+
 MAX_SOURCES = 10_000
+_BATCH = 100_000
 
 
 def whole_weights(weights: Mapping[str, float], period: int) -> dict[str, int]:
-    """Weights as whole slots of a period, by largest remainders; each source gets one at least."""
+    """Weights as whole slots of a period, by largest remainders; each source gets one at least.
+
+    The schedule does not round; this is the rounded form that a check can compare with.
+    """
     period = max(period, len(weights))
     total = sum(weights.values())
     exact = {s: period * w / total for s, w in weights.items()}
@@ -42,78 +51,55 @@ def whole_weights(weights: Mapping[str, float], period: int) -> dict[str, int]:
     return slots
 
 
-def one_period(slots: Mapping[str, int]) -> list[str]:
-    """Which source holds each slot of a period, by earliest deadline among released blocks.
+def whole_ratios(weights: Mapping[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the ratio of the weights."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    unit = lcm(*(w.denominator for w in exact.values()))
+    return {s: int(w * unit) for s, w in exact.items()}
 
-    Ties go to the smaller name. Deadlines of one period end with it, so it can repeat.
-    """
-    period = sum(slots.values())
-    waiting = [(0, s, 1) for s in sorted(slots)]
-    ready: list[tuple[int, str, int]] = []
-    layout = []
-    heapq.heapify(waiting)
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
-            _, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (ceil(j * period / slots[s]), s, j))
-        _, s, j = heapq.heappop(ready)
-        layout.append(s)
-        if j < slots[s]:
-            heapq.heappush(waiting, (j * period // slots[s], s, j + 1))
-    return layout
-
-
-def phases(blocks: Mapping[str, int], weights: Mapping[str, float], period: int) -> list[dict]:
-    """Phases of the mix: first slot, first block per source, slots per period, layout.
+
+def schedule(blocks: Mapping[str, int], weights: Mapping[str, float]) -> Iterator[tuple[str, int, int, int]]:
+    """(source, block, phase, slot) of every block, slot after slot, by earliest deadline
+    among released blocks; ties go to the smaller name.
 
     A phase ends with the slot in which a source's last block is placed.
     """
-    left = {s: n for s, n in blocks.items() if n > 0}
-    used = dict.fromkeys(left, 0)
-    start = 0
-    found = []
-    while left:
-        slots = whole_weights({s: weights[s] for s in left}, period)
-        layout = one_period(slots)
-        places: dict[str, list[int]] = {s: [] for s in left}
-        for at, s in enumerate(layout):
-            places[s].append(at)
-
-        def last_slot(s: str) -> int:
-            full, rest = divmod(left[s] - 1, slots[s])
-            return full * len(layout) + places[s][rest]
-
-        end = min(last_slot(s) for s in left) + 1
-        full, rest = divmod(end, len(layout))
-        found.append(
-            {"start": start, "first": dict(used), "slots": slots, "places": places, "length": len(layout)}
-        )
-        for s in list(left):
-            taken = full * slots[s] + sum(1 for at in places[s] if at < rest)
-            used[s] += taken
-            left[s] -= taken
-            if left[s] == 0:
-                del left[s]
-        found[-1]["last"] = {s: used[s] for s in slots}
-        used = {s: used[s] for s in left}
-        start += end
-    return found
-
-
-def _layout_rows(found: list[dict]) -> list[tuple]:
-    """(source, phase, first and past-last block, slots per period, period, start, places)."""
-    return [
-        (s, i, p["first"][s], p["last"][s], p["slots"][s], p["length"], p["start"], p["places"][s])
-        for i, p in enumerate(found)
-        for s in p["slots"]
-        if p["last"][s] > p["first"][s]
-    ]
-
-
-_LAYOUT = (
-    "layout_source string, phase int, first_block bigint, past_block bigint, n_slots bigint,"
-    " period bigint, start bigint, places array<int>"
-)
+    ratios = whole_ratios({s: weights[s] for s, n in blocks.items() if n > 0})
+    used = dict.fromkeys(ratios, 0)
+    slot = phase = 0
+    while ratios:
+        total = sum(ratios.values())
+        start, first = slot, dict(used)
+        waiting = [(0, s) for s in sorted(ratios)]
+        ready: list[tuple[int, str]] = []
+        while True:
+            while waiting and waiting[0][0] <= slot - start:
+                _, s = heapq.heappop(waiting)
+                heapq.heappush(ready, (-(-(used[s] - first[s] + 1) * total // ratios[s]), s))
+            _, s = heapq.heappop(ready)
+            yield s, used[s], phase, slot
+            slot += 1
+            used[s] += 1
+            if used[s] == blocks[s]:
+                break
+            heapq.heappush(waiting, ((used[s] - first[s]) * total // ratios[s], s))
+        del ratios[s]
+        phase += 1
+
+
+_PLACES = "at_source string, at_block bigint, phase int, slot bigint"
+
+
+def _schedule_table(spark: SparkSession, blocks: Mapping[str, int], weights: Mapping[str, float]) -> DataFrame:
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = (pa.string(), pa.int64(), pa.int32(), pa.int64())
+        names = ["at_source", "at_block", "phase", "slot"]
+        for _one_row in rows:
+            places = schedule(blocks, weights)
+            while part := list(islice(places, _BATCH)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), types)], names=names)
+
+    return written(spark.range(0, 1, 1, 1).mapInArrow(run, _PLACES), new_folder(spark, "schedule"))
 
 
 def _numbered(rows: DataFrame, lots: int) -> DataFrame:
@@ -155,7 +141,8 @@ def mix(
     source may be short. Rows without a source form the source ''. Repeated rows and ties
     are separate rows with separate positions; a null identifier is ordered like any other.
     An empty table gives no rows. ``with_rows`` keeps the row as ``row``, so that other
-    columns cannot clash. More than ``MAX_SOURCES`` sources raise an error.
+    columns cannot clash. More than ``MAX_SOURCES`` sources raise an error. ``period`` has no
+    effect any more: weights are not rounded to it.
     """
     spark = docs.sparkSession
     source = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
@@ -173,20 +160,10 @@ def mix(
         chosen = {s: float(weights.get(s, min(weights.values()))) for s in counts}
     if any(w <= 0 for w in chosen.values()):
         raise ValueError("weights must be positive")
-    found = phases({s: -(-n // block_size) for s, n in counts.items()}, chosen, period)
+    places = _schedule_table(spark, {s: -(-n // block_size) for s, n in counts.items()}, chosen)
     lots = max(512, -(-max(counts.values(), default=0) // rows_per_lot))
-    layout = spark.createDataFrame(_layout_rows(found), _LAYOUT)
-    block = F.floor(F.col("index") / block_size)
-    rows = _numbered(rows, lots).withColumn("block", block)
-    matches = (
-        (F.col("source") == F.col("layout_source"))
-        & (F.col("block") >= F.col("first_block"))
-        & (F.col("block") < F.col("past_block"))
-    )
-    turn = F.col("block") - F.col("first_block")
-    place = F.element_at("places", (F.pmod(turn, F.col("n_slots")) + 1).cast("int"))
-    slot: Column = F.col("start") + F.floor(turn / F.col("n_slots")) * F.col("period") + place
-    placed = rows.join(layout, matches).withColumn("slot", slot.cast("bigint"))
+    rows = _numbered(rows, lots).withColumn("block", F.floor(F.col("index") / block_size))
+    placed = rows.join(places, (F.col("source") == F.col("at_source")) & (F.col("block") == F.col("at_block")))
     return placed.select(
         *(["row"] if with_rows else []),
         "id",

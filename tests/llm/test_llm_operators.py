@@ -185,6 +185,27 @@ def test_mixing(docs, spark):
     assert all(abs(order[: 4 * n].count("small") - 2 * n) < 4 for n in range(1, 200))
 
 
+def test_mix_keeps_unrounded_weights(spark):
+    """Less than one block from the target weight itself, far beyond any period."""
+    weights = {"a": 2**0.5, "b": 3**0.5, "c": 1e-4, "d": 0.9}
+    shares = {s: w / sum(weights.values()) for s, w in weights.items()}
+    given = dict.fromkeys(weights, 0)
+    length = 60_000
+    for s, block, phase, slot in mixing.schedule(dict.fromkeys(weights, length), weights):
+        assert (block, phase) == (given[s], 0)
+        given[s] += 1
+        assert all(abs(given[t] - (slot + 1) * share) < 1 for t, share in shares.items())
+        if slot + 1 == length:
+            break
+    counts = {"big": 3000, "tiny": 3}
+    docs = spark.createDataFrame([(i, s) for s, n in counts.items() for i in range(n)], "doc_id bigint, source string")
+    rows = mixing.mix(docs, weights={"big": 1 - 1e-3, "tiny": 1e-3}, block_size=1, period=10).collect()
+    given, share = 0, {"big": 1 - 1e-3, "tiny": 1e-3}
+    for at, r in enumerate(sorted(rows, key=lambda r: r.position)):
+        given += r.source == "tiny"
+        assert r.position == at and (r.phase > 0 or abs(given - (at + 1) * share["tiny"]) < 1)
+
+
 def test_tokens(docs):
     found = by_id(bpe.round_trip(docs, PATH))
     assert [found[i][0].n_tokens for i in (4, 5, 6, 7)] == [0, 0, 0, 1]
