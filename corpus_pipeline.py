@@ -36,8 +36,9 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the token ids of their whole texts."""
-    return bpe.with_tokens(docs, VOCABULARY)
+    """Documents with the token ids of their whole texts, in the order of the mix: files are
+    not read in the order in which they were written, so the places are computed again."""
+    return bpe.with_tokens(mixing.in_mixed_order(docs), VOCABULARY)
 
 
 STAGES = [

@@ -8,6 +8,7 @@ import re
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -114,3 +115,16 @@ def test_run(spark):
     docs = docs[docs.doc_id.isin(docs.groupby(flat).doc_id.min())]
     rows = corpus_pipeline.run(spark, SF_SMALL).collect()
     assert sorted(r.doc_id for r in rows) == sorted(one_of_each(docs, 5))
+
+
+def test_run_returns_rows_in_mixed_order(spark):
+    """Also where the stages write several files."""
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        rows = corpus_pipeline.run(spark, SF_SMALL).collect()
+    finally:
+        spark.conf.unset(setting)
+    kept = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where(F.col("doc_id").isin([r.doc_id for r in rows]))
+    expected = [r.id for r in mixing.mix(kept).orderBy("position").collect()]
+    assert [r.doc_id for r in rows] == expected
