@@ -41,9 +41,12 @@ STRICT = {
 _NEEDLES = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 _LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:\[at\]|\(at\))\x20?[A-Za-z0-9-]{1,63}+(?:\x20?(?:\[dot\]|\(dot\)|\.)\x20?[A-Za-z0-9-]{1,63}+){1,8}+",
-    "phone": r"(?<![0-9+.\x20-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])",
+    # Valid strict numbers are passed over whole, so that nothing inside them is proposed.
+    "phone": r"\+[0-9](?:[\x20().-]*+[0-9]){9,14}+(?![\x20().-]*+[0-9])"
+    r"|(?<![0-9+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9-]|\.[0-9])",
 }
-_LOOSE_NEEDLES = {"email": "at", "phone": "-"}
+_LOOSE_NEEDLES = {"email": "at", "phone": ""}
+_LOOSE_KEPT = {"email": "true", "phone": "left(v.value, 1) <> '+'"}
 # Gazetteers: what the values of each kind usually begin or end with.
 _KNOWN = {
     "email": r"(?i)[.\x20)\]](?:com|org|net|edu|gov|int|info|io|de|fr|es|uk|eu|it|nl|ch|at|us|ca|jp|cn|br|ru)$",
@@ -110,7 +113,7 @@ _PLAUSIBLE = {
 def _typed(kind: str, matches: str, strict: bool) -> str:
     """SQL: matches as spans (start, place of the kind, past, strict, value)."""
     keep = (
-        f"({_VALID[kind]}) OR ({_PLAUSIBLE[kind]})" if strict else "true"
+        f"({_VALID[kind]}) OR ({_PLAUSIBLE[kind]})" if strict else _LOOSE_KEPT[kind]
     )
     valid = f"({_VALID[kind]})" if strict else "false"
     return f"""transform(filter({matches}, v -> {keep}), v -> named_struct(

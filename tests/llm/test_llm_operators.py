@@ -241,6 +241,24 @@ def test_loose_spans_need_reliable_votes():
     assert probability[pii.Pattern(3, (2, 2, 2, 2), 2)] > 0.99 > 0.01 > probability[pii.Pattern(3, (1, 0, 0, 0), 1)]
 
 
+def test_national_numbers_in_running_text(spark):
+    """Proposed anywhere in a sentence, not inside strict numbers, and added."""
+    national = [
+        ("call 212-555-0147 now", "212-555-0147"), ("Phone: (212) 555-0147", "(212) 555-0147"),
+        ("call 212-555-0147.", "212-555-0147"), ("Done. Phone 212.555.0147, ask", "212.555.0147"),
+    ]
+    others = ["call +1 (212) 555-0147 now", "call 212-555-0147.5 now", "call 1.212-555-0147 now", "call 212-555-01478 now"]
+    strict = [f"please call +1 (212) 555-{i:04} now" for i in range(60)]
+    texts = [t for t, _ in national] + others + strict
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    proposed = {r.id: [s for s in r.spans if not s.strict] for r in pii._spans(docs, "doc_id", "text").collect()}
+    spans = {r.id: [s for s in r.spans if not s.strict] for r in pii.find(docs).collect()}
+    for i, text in enumerate(texts):
+        expected = [national[i][1]] if i < len(national) else []
+        for found in (proposed, spans):
+            assert [text[s.start : s.past] for s in found[i] if pii.KINDS[s.kind] == "phone"] == expected, text
+
+
 def test_language(docs, spark):
     model = language.fit(docs)
     assert model.languages == ("en", "xx")
