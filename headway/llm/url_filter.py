@@ -2,7 +2,7 @@
 
 A path is generalised segment by segment: digits become 0, long or scattered mixtures become
 ``*``, and where a node of a host's tree has many children with few pages each, all of them
-become ``*``. Segments below a fixed depth are one ``**``. Labelled pages (here those that a
+become ``*``. All segments of a path count, however deep. Labelled pages (here those that a
 rule decides) give every template a number of pages and of blocked ones. Branches below one
 node whose share of blocked pages does not differ significantly from the node's are merged
 and counted together. A template is rejected when its share, smoothed towards that of the
@@ -36,7 +36,6 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 @dataclass(frozen=True)
 class Options:
-    depth: int = 6
     many_children: int = 20
     few_pages: float = 3.0
     similar_z: float = 1.96
@@ -70,13 +69,20 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES
     return found
 
 
-def segments_of(path: Column, depth: int) -> Column:
-    """Generalised segments by their looks, the rest below ``depth`` as one."""
+def segments_of(path: Column) -> Column:
+    """Generalised segments by their looks."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
     numberless = lambda s: F.regexp_replace(s, "[0-9]+", "0")
     mixed = lambda s: s.rlike("[0-9]") & ((F.length(s) >= 16) | s.rlike("[0-9][^0-9]+[0-9]+[^0-9]+[0-9]"))
-    shaped = F.transform(parts, lambda s: F.when(mixed(s), "*").otherwise(numberless(s)))
-    return F.when(F.size(shaped) > depth, F.concat(F.slice(shaped, 1, depth), F.array(F.lit("**")))).otherwise(shaped)
+    return F.transform(parts, lambda s: F.when(mixed(s), "*").otherwise(numberless(s)))
+
+
+# Digests of what stands above each segment, each from the one before it, so that a row of a
+# deep path is no longer than that of a flat one.
+_ABOVE = """
+aggregate(segments, named_struct('at', '', 'all', CAST(array() AS array<string>)),
+  (acc, s) -> named_struct('at', sha2(concat(acc.at, '/', s), 256), 'all', concat(acc.all, array(acc.at))),
+  acc -> acc.all)"""
 
 
 def templates(paths: DataFrame, options: Options) -> DataFrame:
@@ -85,10 +91,11 @@ def templates(paths: DataFrame, options: Options) -> DataFrame:
     A segment becomes ``*`` where its node has more than ``many_children`` children with
     fewer than ``few_pages`` pages each on average.
     """
-    levels = paths.where(F.size("segments") > 0).select(
-        "host", "segments", "pages", F.posexplode("segments").alias("level", "segment")
-    )
-    levels = levels.withColumn("above", F.expr("slice(segments, 1, level)"))
+    paths = paths.withColumn("path", F.sha2(F.array_join("segments", "/"), 256))
+    levels = paths.where(F.size("segments") > 0).select("host", "path", "pages", "segments", F.expr(_ABOVE).alias("aboves"))
+    levels = levels.select(
+        "host", "path", "pages", F.posexplode(F.arrays_zip("segments", "aboves")).alias("level", "at")
+    ).select("host", "path", "pages", "level", F.col("at.segments").alias("segment"), F.col("at.aboves").alias("above"))
     node = ["host", "level", "above"]
     children = levels.groupBy(*node, "segment").agg(F.sum("pages").alias("pages"))
     wild = children.groupBy(*node).agg(F.count("*").alias("children"), F.sum("pages").alias("pages"))
@@ -97,12 +104,12 @@ def templates(paths: DataFrame, options: Options) -> DataFrame:
     ).select(*(F.col(c).alias(f"wild_{c}") for c in node))
     same = [F.col(c) == F.col(f"wild_{c}") for c in node]
     named = levels.join(wild, same, "left").select(
-        "host", "segments", "level", F.when(F.col("wild_host").isNotNull(), "*").otherwise(F.col("segment")).alias("shown")
+        "host", "path", "level", F.when(F.col("wild_host").isNotNull(), "*").otherwise(F.col("segment")).alias("shown")
     )
-    # At most ``depth`` + 1 segments meet again.
-    whole = named.groupBy("host", "segments").agg(F.sort_array(F.collect_list(F.struct("level", "shown"))).alias("shown"))
-    whole = whole.select(F.col("host").alias("h"), F.col("segments").alias("s"), F.col("shown.shown").alias("shown"))
-    return paths.join(whole, (F.col("host") == F.col("h")) & (F.col("segments") == F.col("s")), "left").select(
+    # The segments of one path meet again.
+    whole = named.groupBy("host", "path").agg(F.sort_array(F.collect_list(F.struct("level", "shown"))).alias("shown"))
+    whole = whole.select(F.col("host").alias("h"), F.col("path").alias("p"), F.col("shown.shown").alias("shown"))
+    return paths.join(whole, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")), "left").select(
         "host", "segments", F.coalesce("shown", F.array().cast("array<string>")).alias("template"), "n", "blocked"
     )
 
@@ -162,7 +169,7 @@ def verdicts(
     spark = pages.sparkSession
     url = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    rows = rows.select("*", rule_of(F.col("host"), F.col("path"), rules).alias("found"), segments_of(F.col("path"), options.depth).alias("segments"))
+    rows = rows.select("*", rule_of(F.col("host"), F.col("path"), rules).alias("found"), segments_of(F.col("path")).alias("segments"))
     rows = rows.select("id", "host", "path", "segments", "found.rule", "found.verdict")
     paths = rows.groupBy("host", "segments").agg(
         F.count("*").alias("pages"), F.count("verdict").alias("n"), F.count_if(F.col("verdict") == "block").alias("blocked")

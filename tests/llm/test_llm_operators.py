@@ -333,6 +333,23 @@ def test_templates_learn_from_rules(spark):
     assert {found[2000 + i].template for i in range(26)} == {"/u/*"}
 
 
+def test_branches_that_part_below_deep_paths(spark):
+    """Verdicts and templates follow segments of any depth; many deep children become one."""
+    deep = "/".join("abcdefghijkl")
+    rows = [(i, f"https://a.org/{deep}/{'good' if i % 2 else 'bad'}/p{i}") for i in range(200)]
+    rows += [(1000 + i, f"https://b.net/{deep}/{'good' if i % 2 else 'bad'}/p{i}") for i in range(20)]
+    rows += [(2000 + i, f"https://c.net/{deep}/name{'abcdefghijklmnopqrstuvwxyz'[i]}x/") for i in range(26)]
+    rows += [(3000, "https://d.net/" + "x/" * 2000)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string")
+    rules = (("allow", f"a.org/{deep}/good/"), ("block", f"a.org/{deep}/bad/"))
+    found = {r.id: r for r in url_filter.verdicts(df, rules=rules).collect()}
+    assert len(found) == len(rows)
+    assert {found[1000 + i].template for i in range(20)} == {f"/{deep}/good/p0", f"/{deep}/bad/p0"}
+    assert all((found[1000 + i].verdict == "allow") == bool(i % 2) for i in range(20))
+    assert {found[2000 + i].template for i in range(26)} == {f"/{deep}/*"}
+    assert found[3000].template == "/" + "/".join("x" * 2000)
+
+
 def test_warc_files(spark, pages, tmp_path):
     derived = warc.derive(warc.responses(pages, "2024-01-01T00:00:00Z"))
     warc.write_records(derived, str(tmp_path / "out"))
