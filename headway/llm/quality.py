@@ -44,7 +44,8 @@ class Limits:
 
     ``top_words`` common words of at most ``word_chars`` characters make a word histogram.
     Languages with fewer than ``reference_words`` words, and documents without a language,
-    are compared with the pooled reference. Distances count for documents of at least
+    have no reference that fits; their distances are to the pooled one and reject nothing.
+    Distances count for documents of at least
     ``guard_words`` words, and both limits rise by ``allowance`` over the number of words, for
     a short text strays further by chance.
     """
@@ -213,7 +214,7 @@ def judge(
     class_distance, word_distance, kept. A null text has no words and fails the base rules;
     distances are null below the length guard, and a word distance also where the reference
     has no common words. Documents in a language without its own reference, or in none, are
-    compared with all documents together. Repeated rows are judged alike; an empty table
+    compared with all documents together, which rejects none of them. Repeated rows are judged alike; an empty table
     gives no rows; columns other than language and text are only carried in ``row``.
     """
     reference = written(references(docs, lang_col, text_col, limits), new_folder(docs.sparkSession, "references"))
@@ -232,9 +233,10 @@ def judge(
         "row", "words", "classes", "word_chars", "n_dup_lines", "n_repeat_words",
         F.size("words").cast("bigint").alias("n_words"),
         *(F.coalesce(F.col(c), other).alias(c) for c, other in constant.items()),
+        F.col("ref_key").isNotNull().alias("fitting"),
         next_step(),
     )
-    counts = ["row", "n_words", "word_chars", "n_dup_lines", "n_repeat_words"]
+    counts = ["row", "n_words", "word_chars", "n_dup_lines", "n_repeat_words", "fitting"]
     rows = rows.select(
         *counts, "classes", "ref_classes", "ref_shares",
         F.expr(_HITS.format(word_chars=limits.word_chars)).alias("hits"),
@@ -259,7 +261,7 @@ def judge(
     near = (F.coalesce("class_distance", F.lit(0.0)) <= limits.max_class_distance + slack) & (
         F.coalesce("word_distance", F.lit(0.0)) <= limits.max_word_distance + slack
     )
-    return rows.withColumn("kept", at_end(~F.col("base_failed") & near)).drop("step")
+    return rows.withColumn("kept", at_end(~F.col("base_failed") & (near | ~F.col("fitting")))).drop("step", "fitting")
 
 
 def keep_good(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", limits: Limits = Limits()) -> DataFrame:

@@ -161,6 +161,20 @@ def test_quality(docs):
     assert rows[4][0].class_distance is None and rows[1][0].class_distance is not None
 
 
+def test_distances_do_not_reject_without_a_fitting_reference(spark):
+    """A small or unnamed language in another script beside a large one."""
+    rng = random.Random(8)
+    prose = lambda letters: ". ".join(
+        " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(9)) for _ in range(20)
+    )
+    rows = [(i, prose("abcdefghij"), "en") for i in range(40)]
+    rows += [(100, prose("ابتثجحخدذر"), "ar"), (101, prose("ابتثجحخدذر"), None), (102, "one " * 200, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = by_id(quality.judge(docs).select("row.doc_id", F.col("*")), "doc_id")
+    assert found[100][0].class_distance > 0.5 and found[101][0].class_distance > 0.5
+    assert [found[i][0].kept for i in (0, 100, 101, 102)] == [True, True, True, False]
+
+
 def test_repeated_windows(spark):
     rng = random.Random(5)
     texts = [" ".join(rng.choice("abc") for _ in range(n)) for n in (1, 2, 3, 4, 5, 9, 30, 60)]
