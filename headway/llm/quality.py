@@ -11,6 +11,7 @@ Five plain counts and two base rules come first.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import log
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,6 +49,11 @@ class Limits:
     Distances count for documents of at least
     ``guard_words`` words, and both limits rise by ``allowance`` over the number of words, for
     a short text strays further by chance.
+
+    A text without any common word has a distance of its own, well below the limit on words.
+    Where chance, with ``word_spread`` on top, takes good texts less far than that, the
+    limit lies below it by ``word_margin`` of the room between both. With 32 common words
+    that hold a quarter of a language, this is so from 82 words on.
     """
 
     top_words: int = 32
@@ -57,6 +63,8 @@ class Limits:
     max_class_distance: float = 0.28
     max_word_distance: float = 0.42
     allowance: float = 2.0
+    word_spread: float = 0.1
+    word_margin: float = 0.25
 
 
 def _with_classes(rows: DataFrame) -> DataFrame:
@@ -200,6 +208,17 @@ sqrt(greatest(0D,
   aggregate(histogram, 0D, (sum, h) -> sum + {_divergence('h.p', 'h.q')})
   + (ref_all - aggregate(histogram, 0D, (sum, h) -> sum + h.q)) / 2
   + {_divergence('(1 - size(hits) / CAST(n_words AS double))', '(1 - ref_all)')}))"""
+# Of a text that has none of the common words.
+_NONE_DISTANCE = f"sqrt(greatest(0D, ref_all / 2 + {_divergence('1D', '(1 - ref_all)')}))"
+
+
+def _word_limit(limits: Limits) -> Column:
+    """Chance: the expected divergence of a sample is its bins over 8 n, in nats."""
+    n = F.greatest("n_words", F.lit(1))
+    chance = F.sqrt(F.lit(limits.top_words / (8 * log(2))) / n) + limits.word_spread
+    none = F.expr(_NONE_DISTANCE)
+    below = F.when(chance < none, none - limits.word_margin * (none - chance))
+    return F.least(limits.max_word_distance + limits.allowance / n, below)
 
 
 def judge(
@@ -255,13 +274,14 @@ def judge(
         base.alias("base_failed"),
         F.when(long_enough, F.expr(_CLASS_DISTANCE)).alias("class_distance"),
         F.when(long_enough & (F.col("ref_all") > 0), F.expr(_WORD_DISTANCE)).alias("word_distance"),
+        _word_limit(limits).alias("word_limit"),
         next_step(),
     )
     slack = F.lit(limits.allowance) / F.greatest("n_words", F.lit(1))
     near = (F.coalesce("class_distance", F.lit(0.0)) <= limits.max_class_distance + slack) & (
-        F.coalesce("word_distance", F.lit(0.0)) <= limits.max_word_distance + slack
+        F.coalesce("word_distance", F.lit(0.0)) <= F.col("word_limit")
     )
-    return rows.withColumn("kept", at_end(~F.col("base_failed") & (near | ~F.col("fitting")))).drop("step", "fitting")
+    return rows.withColumn("kept", at_end(~F.col("base_failed") & (near | ~F.col("fitting")))).drop("step", "fitting", "word_limit")
 
 
 def keep_good(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", limits: Limits = Limits()) -> DataFrame:

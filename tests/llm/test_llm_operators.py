@@ -175,6 +175,24 @@ def test_distances_do_not_reject_without_a_fitting_reference(spark):
     assert [found[i][0].kept for i in (0, 100, 101, 102)] == [True, True, True, False]
 
 
+def test_long_texts_without_common_words_are_rejected(spark):
+    rng = random.Random(9)
+    common = [a + b for a in "aeiou" for b in "bcdfgh"]
+    invented = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(7, 9)))
+
+    def text(n, share):
+        words = [rng.choice(common) if rng.random() < share else invented() for _ in range(n)]
+        return " ".join(w + "." if i % 9 == 8 else w for i, w in enumerate(words))
+
+    sizes = [100, 300, 3000]
+    rows = [(i, text(sizes[i % 3], 0.28)) for i in range(90)] + [(100 + i, text(n, 0)) for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id bigint, text string, lang string")
+    found = by_id(quality.judge(docs).select("row.doc_id", F.col("*")), "doc_id")
+    assert all(found[i][0].kept for i in range(90))
+    for i in range(100, 103):
+        assert not found[i][0].kept and not found[i][0].base_failed and found[i][0].word_distance < 0.42
+
+
 def test_repeated_windows(spark):
     rng = random.Random(5)
     texts = [" ".join(rng.choice("abc") for _ in range(n)) for n in (1, 2, 3, 4, 5, 9, 30, 60)]
