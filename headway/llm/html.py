@@ -41,12 +41,14 @@ class Block(NamedTuple):
     text: str
     inside: bool  # within an article or main element
     around: bool  # within a menu, header, footer, sidebar, notice, advert, form or comments
+    article: bool  # within an article element
 
 
 class _Open(NamedTuple):
     name: str
     inside: bool
     around: bool
+    article: bool
 
 
 def _surrounds(name: str, rest: str, inside: bool) -> bool:
@@ -67,14 +69,14 @@ def blocks(page: str) -> list[Block]:
     block is one space; unclosed elements and a cut-off end are read as browsers do."""
     found: list[Block] = []
     text: list[str] = []
-    stack = [_Open("", False, False)]
+    stack = [_Open("", False, False, False)]
     at = 0
 
     def end_block() -> None:
         if text:
             whole = _SPACES.sub(" ", html.unescape("".join(text))).strip()
             if whole:
-                found.append(Block(whole, stack[-1].inside, stack[-1].around))
+                found.append(Block(whole, stack[-1].inside, stack[-1].around, stack[-1].article))
             text.clear()
 
     while at < len(page):
@@ -117,7 +119,7 @@ def blocks(page: str) -> list[Block]:
             around = top.around or _surrounds(name, match["rest"], inside)
             if around != top.around:
                 end_block()
-            stack.append(_Open(name, inside, around))
+            stack.append(_Open(name, inside, around, top.article or name == "article"))
     end_block()
     return found
 

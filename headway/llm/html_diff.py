@@ -1,18 +1,23 @@
 """Main text of pages by differencing each with its nearest page on the same host.
 
 Pages are range-partitioned and sorted by host, path and identifier, so a page's nearest URL
-is next to it and a host with a third of all pages spreads over many tasks. Of the pages
-before and after it the one that shares the longer path start is its partner (the earlier at
-a tie; at a task's border the one within; the other one if that is a copy). Both pages' text
-lines are aligned by longest common subsequence and the shared lines, which belong to the
-site and not to the page, are deleted. Two checks follow. Markup that says what a line is decides over chance: lines of an
-article element stay although a copy of the article shares them, and lines of menus,
-adverts, notices, forms and comments go although no partner shares them. And a page that
-shares nearly all of the text outside those is a copy, whose alignment says nothing.
+is next to it and a host with a third of all pages spreads over many tasks. Neighbours with the same lines form one
+group, however many; of the groups around it that are no copies, the one that shares the
+longest path start is a page's partner (the nearer, then the earlier at a tie; at a task's
+border one within). Both pages' text lines are aligned by longest common subsequence and the
+shared lines, which belong to the site and not to the page, are deleted.
+
+Markup that says what a line is decides over chance: lines of menus, adverts, notices, forms
+and comments go although no partner shares them, and lines of an article element stay
+although a partner shares them, where marked lines hold half of the text at least (a smaller
+article is a teaser). A page that shares nearly all of the text outside menus and the like is
+a copy, whose alignment says nothing; where there are only copies, or no other page, the
+marked lines stay if they hold half of the text, else all.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -24,6 +29,7 @@ from headway.llm.html import Block, blocks
 from headway.llm.url_filter import host_of, path_of
 
 _COPY = 0.8
+_NEAR = 4
 
 
 def _prefix_lengths(a: list, b: list) -> list[int]:
@@ -100,10 +106,62 @@ def _shared_start(a: str, b: str) -> int:
     return n
 
 
-def _partners(page: Page, before: Page | None, after: Page | None) -> list[Page]:
-    """Neighbours on the same host, the nearest first."""
-    near = [p for p in (before, after) if p is not None and p.host == page.host]
-    return sorted(near, key=lambda p: -_shared_start(page.path, p.path))
+class Group(NamedTuple):
+    """Neighbours on one host with the same lines."""
+
+    pages: list[Page]  # without their lines
+    lines: list[Block]
+
+
+def groups(pages: Iterable[Page]) -> Iterator[Group]:
+    group = None
+    for page in pages:
+        bare = page._replace(lines=[])
+        if group is not None and group.pages[0].host == page.host and group.lines == page.lines:
+            group.pages.append(bare)
+        else:
+            if group is not None:
+                yield group
+            group = Group([bare], page.lines)
+    if group is not None:
+        yield group
+
+
+def _with_near(found: Iterable[Group]) -> Iterator[tuple[Group, list[Group]]]:
+    """Every group and those of its host among ``_NEAR`` before and after it, the nearest first."""
+    before: deque[Group] = deque(maxlen=_NEAR)
+    ahead: deque[Group] = deque()
+    found = iter(found)
+    while True:
+        while len(ahead) <= _NEAR and (following := next(found, None)) is not None:
+            ahead.append(following)
+        if not ahead:
+            return
+        group = ahead.popleft()
+        sides = [list(before)[::-1], list(ahead)]
+        near = [side[i] for i in range(_NEAR) for side in sides if i < len(side)]
+        yield group, [g for g in near if g.pages[0].host == group.pages[0].host]
+        before.append(group)
+
+
+def texts(pages: Iterable[Page]) -> Iterator[tuple[Page, str]]:
+    """Every page, without its lines, and its main text."""
+    for group, near in _with_near(groups(pages)):
+        shared: dict[int, set[int] | None] = {}
+        done: dict[int | None, str] = {}
+        for page in group.pages:
+            # Of a group's paths the first or the last is the nearest.
+            likeness = [-max(_shared_start(page.path, g.pages[i].path) for i in (0, -1)) for g in near]
+            partner = None
+            for at in sorted(range(len(near)), key=lambda i: (likeness[i], i)):
+                if at not in shared:
+                    shared[at] = shared_lines(group.lines, near[at].lines)
+                if shared[at] is not None:
+                    partner = at
+                    break
+            if partner not in done:
+                done[partner] = main_text(group.lines, None if partner is None else shared[partner])
+            yield page, done[partner]
 
 
 def shared_lines(lines: list[Block], partner: list[Block]) -> set[int] | None:
@@ -114,13 +172,15 @@ def shared_lines(lines: list[Block], partner: list[Block]) -> set[int] | None:
     return None if shared > _COPY * own else set(places)
 
 
-def main_text(page: Page, partners: list[Page]) -> str:
-    lines = page.lines
-    marked = any(b.inside and not b.around for b in lines)
-    found = (shared_lines(lines, p.lines) for p in partners)
-    shared = next((places for places in found if places is not None), set())
-    kept = (b.text for i, b in enumerate(lines) if not b.around and (b.inside if marked else i not in shared))
-    return " ".join(kept)
+def main_text(lines: list[Block], shared: set[int] | None) -> str:
+    """``shared``: places of lines that the partner has too, None without a partner."""
+    own = [b for b in lines if not b.around]
+    marked = 0 < sum(len(b.text) for b in own) <= 2 * sum(len(b.text) for b in own if b.inside)
+    if shared is None:
+        return " ".join(b.text for b in own if b.inside or not marked)
+    return " ".join(
+        b.text for i, b in enumerate(lines) if not b.around and (i not in shared or (b.article and marked))
+    )
 
 
 def _pages(batches: Iterable[pa.RecordBatch]) -> Iterator[Page]:
@@ -143,7 +203,6 @@ def extract(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[tuple] = []
-        before = page = None
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             keys, urls, texts = zip(*rows)
@@ -161,16 +220,12 @@ def extract(
                 yield batch
 
         size = 0
-        for after in _pages(typed()):
-            if page is not None:
-                done.append((page.key, page.url, main_text(page, _partners(page, before, after))))
-                size += len(done[-1][2])
-            before, page = page, after
+        for page, text in texts(_pages(typed())):
+            done.append((page.key, page.url, text))
+            size += len(text)
             if size > 4 << 20 or len(done) >= 1000:
                 yield batch_of(done)
                 done, size = [], 0
-        if page is not None:
-            done.append((page.key, page.url, main_text(page, _partners(page, before, None))))
         if done:
             yield batch_of(done)
 

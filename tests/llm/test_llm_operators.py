@@ -317,6 +317,33 @@ def test_main_text(pages):
     assert len(found[None][0].text) == 20_000 * 5 - 1
 
 
+def test_alignment_decides_on_marked_pages(spark):
+    """Shared lines of main go, a body beside a teaser stays, an article that a partner shares
+    stays, and the partner is found beyond a run of copies."""
+    main = "<main><p>Site line</p><p>Own text of page {0}, that is all its own {0}</p><p>Bottom line</p></main>"
+    teaser = "<article><p>Read this</p></article><div><p>Site line</p><p>{0} long body of page {0} in a division</p></div>"
+    story = "<p>Site line</p><article><p>Twice told line</p><p>{0} story of page {0} and nothing else {0}</p></article>"
+    plain = "<p>Site line</p><p>Text of {0}, and {0} once more</p><p>Bottom line</p>"
+    rows = [(i, f"https://{host}.org/{i}", page.format(word)) for i, host, page, word in [
+        (1, "a", main, "one"), (2, "a", main, "two"), (3, "b", teaser, "three"), (4, "b", teaser, "four"),
+        (5, "c", story, "five"), (6, "c", story, "six"), (7, "d", teaser, "seven"), (8, "e", story, "eight"),
+        *((10 + i, "f", plain, "copies") for i in range(7)), (20, "f", plain, "other"),
+    ]]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    found = {}
+    for page, text in html_diff.texts(
+        html_diff.Page(i, url, url[8:13], url[13:], html.blocks(source)) for i, url, source in rows
+    ):
+        found[page.key] = text
+    assert found[1] == "Own text of page one, that is all its own one"
+    assert found[3] == "three long body of page three in a division"
+    assert found[5] == "Twice told line five story of page five and nothing else five"
+    assert found[7] == "Read this Site line seven long body of page seven in a division"
+    assert found[8] == "Twice told line eight story of page eight and nothing else eight"
+    assert {found[10 + i] for i in range(7)} == {"Text of copies, and copies once more"}
+    assert html_diff.extract(pages).count() == len(rows)
+
+
 def test_blocks():
     page = (
         "<title>t</title><header>top</header><main><h1>A &lt;b&gt;</h1><p>one<br>two<p>three <b>fo</b>ur"
