@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from headway.llm import (
     bpe,
+    chat,
     exact_dedup,
+    hard_negatives,
     html_diff,
     language,
     mixing,
@@ -20,6 +22,7 @@ from headway.llm import (
     sql,
     url_filter,
     warc,
+    whitening,
 )
 
 
@@ -106,6 +109,27 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold control strings."""
+    hard = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame(
+        [(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    told = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    return chat.digests(chat.examples(told)).withColumnRenamed("conv", "conv_id")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.by_component(*whitening.whiten(_table(spark, sf_dir, "embeddings"), components=32))
+    return rows.withColumnRenamed("id", "vec_id").withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    changed = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), vec_id % 50 == 0, changed)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
@@ -118,6 +142,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_quality_rules": op9_quality_rules,
         "op10_html_text": op10_html_text,
+        "op11_chat_examples": op11_chat_examples,
+        "op12_whitening": op12_whitening,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 

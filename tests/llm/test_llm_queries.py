@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 from math import ceil
 
 import duckdb
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
@@ -20,7 +21,7 @@ from conftest import SF, SF_SMALL
 from headway.llm import mixing, pii
 from headway.llm import queries as text_queries
 
-TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
+TABLES = ("documents", "pages", "benchmark", "labels", "conversations", "embeddings")
 
 
 def table(name, folder=SF):
@@ -45,7 +46,7 @@ def test_equals_sql(spark, name):
 def test_all_are_registered():
     names = set(registry.queries())
     assert set(text_queries.queries()) < names and "pipeline" in names
-    assert {n.split("_")[0] for n in text_queries.queries()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in text_queries.queries()} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_warc_derivatives(spark):
@@ -194,3 +195,26 @@ def test_main_text(spark):
     for page_id, page in zip(*(table("pages")[c] for c in ("page_id", "html"))):
         assert rows.loc[page_id].text == article(page)
         assert rows.loc[page_id].n_chars == len(article(page))
+
+
+def test_whitening(spark):
+    rows = text_queries.op12_whitening(spark, SF).toPandas()
+    vectors = table("embeddings").set_index("vec_id").embedding
+    x = np.floor(np.stack(vectors).astype(float) * 64).astype(np.int64) + 1_000_000
+    n, sums = len(x), x.sum(axis=0)
+    centred = x - sums / n
+    covariance = centred.T @ centred / n
+    values, components = np.linalg.eigh(covariance)
+    values, components = values[::-1][:32], components[:, ::-1][:, :32]
+    expected = centred @ components / np.sqrt(values)
+    found = rows.pivot(index="vec_id", columns="component", values="whitened").loc[vectors.index]
+    assert list(found.columns) == list(range(1, 33)) and (rows.n == n).all()
+    signs = np.sign((expected * found).sum(axis=0).to_numpy())
+    assert np.abs(found.to_numpy() - expected * signs).max() < 1e-8
+    apart = rows.drop_duplicates("vec_id").set_index("vec_id").deviation
+    assert (apart.loc[vectors.index] == ((n * x - sums) ** 2).sum(axis=1)).all()
+    explained = rows.drop_duplicates("component").set_index("component").explained
+    assert np.allclose(explained.loc[range(1, 33)], values / np.trace(covariance), rtol=1e-10)
+    whitened = found.to_numpy()
+    error = np.abs(whitened.T @ whitened / n - np.eye(32)).max()
+    assert rows.identity_error.nunique() == 1 and rows.identity_error[0] < 1e-8 and error < 1e-8
