@@ -1,70 +1,86 @@
-"""Upsert by key into a day-partitioned table."""
+"""Upsert by key into a stored table."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from headway.sources.scratch import written
-from headway.sources.table import VersionedTable, days_of
+from headway.sources.table import PART, Pointer, StoredTable
 
 NEWEST_BY = ("ingested_at", "feed_timestamp")
+_KEY = "delta_key"
+REPLACED = "replaced"
+HIGHEST = {"mark": "ingested_at"}
 
 
 def replace_matching(target: DataFrame, delta: DataFrame, key: str) -> DataFrame:
     """Target rows whose key the delta lacks, plus the delta. Null keys are one key."""
-    return target.join(delta.select(F.col(key).alias("delta_key")), _same(key), "left_anti").unionByName(delta)
+    return target.join(delta.select(F.col(key).alias(_KEY)), _same(key), "left_anti").unionByName(delta)
 
 
 def _same(key: str) -> Column:
-    return F.col(key).eqNullSafe(F.col("delta_key"))
+    return F.col(key).eqNullSafe(F.col(_KEY))
 
 
-def _held_days(table: VersionedTable, delta: DataFrame, key: str) -> DataFrame:
-    """Held rows of the delta's days, and of other days the null key, for which row groups
-    without nulls are skipped by their statistics."""
-    days = days_of(delta, table.day)
-    others = set(table.commit_info()["days"]).difference(days)
-    return table.read(days, True).unionByName(table.read(others, True).where(F.col(key).isNull()))
+def _staged(rows: DataFrame, path: str) -> tuple[DataFrame, list[str]]:
+    """Writes the rows and returns them with their distinct parts, which are bounded by the
+    table's buckets or the calendar, not by the data."""
+    seen = Observation()
+    staged = written(rows.observe(seen, F.collect_set(PART).alias("parts")), path)
+    return staged, sorted(seen.get["parts"])
+
+
+def accepted_rows(
+    held: DataFrame, delta: DataFrame, key: str, newest_by: Sequence[str], tracked: Sequence[str] = ()
+) -> DataFrame:
+    """The delta rows that enter the table, unless the held row of their key is newer; each with
+    the ``tracked`` columns of the row it replaces as ``replaced``, null for a new key."""
+    narrow = held.select(
+        F.col(key).alias(_KEY),
+        F.struct(*newest_by).alias("held_order"),
+        F.struct(F.lit(True).alias("is_held"), *tracked).alias(REPLACED),
+    )
+    newer = F.col("held_order") > F.struct(*newest_by)
+    return delta.join(narrow, _same(key), "left").where(~F.coalesce(newer, F.lit(False))).drop(_KEY, "held_order")
 
 
 def upsert(
-    table: VersionedTable,
+    table: StoredTable,
     delta: DataFrame,
     key: str,
     newest_by: Sequence[str] = NEWEST_BY,
     rebuild: bool = False,
-    day_in_key: bool = False,
+    tracked: Sequence[str] = (),
+    notes: Callable[[Pointer, DataFrame | None], dict] | None = None,
 ) -> list[str]:
-    """Merges a delta with unique keys and returns the days that changed.
+    """Merges a delta with unique keys and returns the parts that changed.
 
-    A delta row replaces the held row of its key unless that one is newer, so repeating an
-    increment changes nothing. Only the key columns of the table are read in full; days are
-    rewritten only where a key enters or leaves. ``rebuild`` makes the delta the whole table.
-    ``day_in_key`` says that only the null key can change its day, so that other days need
-    not be searched.
+    A row's part must follow from its key, so a key is looked for in its own part only: parts
+    the delta does not touch are neither read nor written, and of those it touches first the
+    key and order columns are read, then the parts that a row really enters. A delta row
+    replaces the held row of its key unless that one is newer, so repeating an increment
+    changes nothing. ``rebuild`` makes the delta the whole table.
+
+    ``notes`` makes notes of the new pointer from the old one and the accepted rows (null
+    for a first load or a rebuild).
     """
-    if rebuild or not table.commit_info()["days"]:
-        table.replace_days(delta, mark_column="ingested_at")
-        return table.commit_info()["touched"]
-
-    staging = table.staging_folder()
-    delta = written(delta, f"{staging}/delta")
-    newcomers = delta.select(F.col(key).alias("delta_key"), *(F.col(c).alias(f"delta_{c}") for c in newest_by))
-    held = _held_days(table, delta, key) if day_in_key else table.read(with_hidden=True)
-    held = held.select(key, table.day, *newest_by)
-    newer_held = F.struct(*newest_by) > F.struct(*(f"delta_{c}" for c in newest_by))
-    matched = written(
-        held.join(newcomers, _same(key)).select(key, table.day, newer_held.alias("newer_held")),
-        f"{staging}/matched",
-    )
-    outdated = matched.where("newer_held").select(F.col(key).alias("delta_key"))
-    accepted = delta.join(outdated, _same(key), "left_anti")
-    left = matched.where("NOT newer_held").select(table.day)
-    touched = days_of(left.union(accepted.select(table.day)), table.day)
-    if touched:
-        table.replace_days(replace_matching(table.read(touched, True), accepted, key), touched, "ingested_at")
-    table.clear_staging()
-    return touched
+    at = table.pointer()
+    noted = notes or (lambda *_: {})
+    if rebuild or not at.parts:
+        return sorted(table.replace(delta, at=at, highest=HIGHEST, **noted(at, None)).parts)
+
+    staging = f"{table.path}/staging/{uuid.uuid4().hex}"
+    try:
+        delta, parts = _staged(delta.withColumn(PART, table.part), f"{staging}/delta")
+        held = table.read(parts, True, at)
+        accepted, touched = _staged(accepted_rows(held, delta, key, newest_by, tracked), f"{staging}/accepted")
+        if touched:
+            merged = replace_matching(table.read(touched, True, at), accepted.drop(PART, REPLACED), key)
+            table.replace(merged, touched, at, HIGHEST, **noted(at, accepted))
+        return touched
+    finally:
+        table._delete(staging)

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 # Fixed value: an event counts as delayed from five minutes on.
 DELAYED_FROM_SEC = 300
+# Counts of events per route, hour and delay, and the columns that place an event in them.
+DELAY_OF = ("route_id", "event_hour", "delay_sec")
+DELAY_COUNTS = "route_id string, event_hour timestamp_ntz, delay_sec int, n bigint, date_day date"
 
 
 def share(part: Column, whole: Column) -> Column:
@@ -26,6 +29,26 @@ def delay_counts(events: DataFrame) -> DataFrame:
     return _usable(events).groupBy("route_id", "event_hour", "delay_sec").agg(F.count("*").alias("n"))
 
 
+def with_day(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("date_day", F.to_date("event_hour"))
+
+
+def signed_counts(accepted: DataFrame) -> DataFrame:
+    """What accepted events change in the counts: +1 where each is, -1 where the event it
+    replaces was. What cancels out is left out."""
+    now = F.struct(*DELAY_OF, F.lit(1).cast("bigint").alias("n"))
+    before = F.when(
+        F.col("replaced").isNotNull(), F.struct(*(F.col(f"replaced.{c}") for c in DELAY_OF), F.lit(-1).cast("bigint").alias("n"))
+    )
+    return summed_counts(with_day(accepted.select(F.inline(F.array_compact(F.array(now, before))))))
+
+
+def summed_counts(counts: DataFrame) -> DataFrame:
+    """Counts and signed counts of the same route, hour and delay added up; none of zero is left."""
+    total = _usable(counts).groupBy("route_id", "event_hour", "delay_sec", "date_day").agg(F.sum("n").alias("n"))
+    return total.where(F.col("n") != 0).select(*(f.split()[0] for f in DELAY_COUNTS.split(", ")))
+
+
 def int_route_delay_hourly(events: DataFrame) -> DataFrame:
     """Counts, mean and exact percentiles per route and hour.
 

@@ -12,7 +12,7 @@ from headway.functions.clock import as_of_column
 from headway.operators.quality import run_checks
 from headway.plans import delays, dimensions, events, fleet, freshness, increments, staging
 from headway.sources.raw_log import read_newest
-from headway.sources.table import VersionedTable
+from headway.sources.table import StoredTable
 
 STAGED_UPDATES = increments.STAGED_UPDATES
 STAGED_PINGS = increments.STAGED_PINGS
@@ -82,9 +82,10 @@ class Project:
             HOURLY_MART: increments.hourly_table(spark, self.warehouse),
             DAILY: increments.daily_table(spark, self.warehouse),
         }
+        self.counts = increments.counts_table(spark, self.warehouse)
 
-    def table(self, name: str) -> VersionedTable:
-        return self.kept.get(name) or VersionedTable(self.spark, f"{self.warehouse}/{name}", schemas.MODELS[name])
+    def table(self, name: str) -> StoredTable:
+        return self.kept.get(name) or StoredTable(self.spark, f"{self.warehouse}/{name}", schemas.MODELS[name])
 
     def read(self, name: str, as_of=None) -> DataFrame:
         """A stored model, or a view over stored ones."""
@@ -110,7 +111,7 @@ class Project:
         if EVENTS in names:
             increments.load_new_events(events, self.trip_log, full_refresh)
         if names & {HOURLY, HOURLY_MART, DAILY}:
-            increments.refresh_metrics(events, self.kept[HOURLY_MART], self.kept[DAILY])
+            increments.refresh_metrics(events, self.counts, self.kept[HOURLY_MART], self.kept[DAILY])
 
     def _require_inputs(self, wanted: list[str]) -> None:
         """A stored input that is not built now must have been built before."""
@@ -139,15 +140,16 @@ class Project:
         built: dict[str, DataFrame] = {}
         for name in wanted:
             if MODELS[name].kind == "table" and name not in self.kept:
-                self.table(name).replace_days(self._compute(name, as_of))
+                self.table(name).replace(self._compute(name, as_of))
             built[name] = self.read(name, as_of)
             built[name].createOrReplaceTempView(name)
         return built
 
     def drop_old_versions(self, keep: int = 3) -> None:
         """Frees the space of versions before the last few; their readers must be done."""
-        for name in MODELS:
-            self.table(name).drop_unreferenced(keep)
+        for table in [self.counts, *(self.table(name) for name in MODELS)]:
+            if table.versions():
+                table.drop_old(keep)
 
     def source_freshness(self, as_of=None) -> DataFrame:
         logs = {

@@ -1,44 +1,65 @@
-"""Parquet table whose content changes by commits.
+"""Parquet table whose parts are replaced whole.
 
-Plain parquet has no MERGE, and overwriting it in place breaks its readers. Here a write
-goes to a folder of its own and then adds one small commit file. A table partitioned by day
-can replace some of its days; the commit says which folder holds each. Readers see the last
-commit, and a failed write leaves the table as it was. Of two writers that start from one
-version the first to commit wins; the other's folder is never referenced and it gets an
-error. A commit file is created exclusively, and one that a crash left empty is passed over.
+Plain parquet has no MERGE, and overwriting it in place breaks its readers. Here a row's part
+is a day or a bucket of its key's hash. A write puts new content of some parts into a folder
+of its own; a small pointer file then says for every part which folder holds it. Readers
+follow the newest pointer. A pointer appears in one rename that fails if its number is taken,
+so a failed write changes nothing and of two writers that start from one pointer the second
+gets an error.
 
-    <path>/data/v=3-1f0c.../event_date=2024-01-05/part-*.parquet
-    <path>/commits/00000003.json
+    <path>/data/v=3-1f0c.../part=17/part-*.parquet
+    <path>/pointers/00000003.json
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterable
+from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from headway import schemas
 
-# The one entry of a table without days.
+PART = "part"
+# Buckets of a table that is merged by key: so many that one holds some 100 MB.
+BUCKETS = 8
 _WHOLE = "all"
+_NO_DAY = "none"
 
 
-class VersionedTable:
-    """``hidden`` columns are stored beside the schema's, for merges, and not shown to readers."""
+def by_day(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit(_NO_DAY))
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, day: str | None = None, hidden: str = ""):
+
+def by_hash(key: str, buckets: int = BUCKETS) -> Column:
+    """The bucket of a key; a null key has one too."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string")
+
+
+class Pointer(NamedTuple):
+    """Where the content is: the folder of every part, and what its writer noted."""
+
+    version: int
+    parts: dict[str, str]
+    notes: dict
+
+
+class StoredTable:
+    """``hidden`` columns are stored beside the schema's, for merges, and not shown to readers.
+    ``part`` gives a row's part; without it the table is one part."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, part: Column | None = None, hidden: str = ""):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
-        self.day = day
+        self.part = F.lit(_WHOLE) if part is None else part
         self.hidden = hidden
 
-    # Commit files are a few kilobytes: one entry per day.
-
     def _fs(self, path: str):
         target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
@@ -49,143 +70,120 @@ class VersionedTable:
             return []
         return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
-    def _commit_path(self, version: int) -> str:
-        return f"{self.path}/commits/{version:08d}.json"
+    def _delete(self, path: str) -> None:
+        fs, target = self._fs(path)
+        fs.delete(target, True)
+
+    def _pointer_path(self, version: int) -> str:
+        return f"{self.path}/pointers/{version:08d}.json"
 
     def versions(self) -> list[int]:
-        return [int(name[:-5]) for name in self._names(f"{self.path}/commits") if name[0].isdigit()]
-
-    def commit_info(self, version: int | None = None) -> dict:
-        """The given commit, or the last whole one."""
-        for candidate in reversed(self.versions()) if version is None else [version] if version else []:
-            fs, target = self._fs(self._commit_path(candidate))
-            stream = fs.open(target)
-            try:
-                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-            finally:
-                stream.close()
-            if text.endswith("}"):
-                return json.loads(text)
-        return {"version": 0, "mark": None, "source_version": 0, "touched": [], "days": {}}
+        return [int(name[:8]) for name in self._names(f"{self.path}/pointers") if name[0].isdigit()]
+
+    def _text(self, version: int) -> str:
+        fs, target = self._fs(self._pointer_path(version))
+        stream = fs.open(target)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def pointer(self) -> Pointer:
+        versions = self.versions()
+        return Pointer(**json.loads(self._text(versions[-1]))) if versions else Pointer(0, {}, {})
 
     @property
     def mark(self) -> str | None:
         """Highest ingestion time held, as text; null while the table is empty."""
-        return self.commit_info()["mark"]
-
-    def touched_since(self, version: int) -> list[str]:
-        """Days changed by commits after the given version; all days where some of those
-        commits are no longer kept."""
-        last = self.commit_info()
-        kept = {v: info for v in self.versions() if v > version and (info := self.commit_info(v))["version"]}
-        days = {day for info in kept.values() for day in info["touched"]}
-        if kept and self._passed_over(version, kept):
-            days.update(last["days"])
-        return sorted(days)
-
-    def _passed_over(self, version: int, kept: dict[int, dict]) -> bool:
-        return kept[min(kept)]["follows"] > version
-
-    def _folder(self, folder: str, day: str) -> str:
-        path = f"{self.path}/data/{folder}"
-        return f"{path}/{self.day}={day}" if self.day else path
-
-    def read(self, days: Iterable[str] | None = None, with_hidden: bool = False) -> DataFrame:
+        return self.pointer().notes.get("mark")
+
+    def read(self, parts: Iterable[str] | None = None, with_hidden: bool = False, at: Pointer | None = None) -> DataFrame:
+        """The table, or some of its parts, as of now or of a pointer."""
         stored = f"{self.schema}, {self.hidden}" if self.hidden else self.schema
         shown = schemas.struct(stored if with_hidden else self.schema)
-        held = self.commit_info()["days"]
-        wanted = sorted(held) if days is None else sorted(set(days) & set(held))
+        held = (at or self.pointer()).parts
+        wanted = sorted(held) if parts is None else sorted(set(parts) & set(held))
         if not wanted:
             return self.spark.createDataFrame([], shown)
-        folders = [self._folder(held[day], day) for day in wanted]
+        folders = [f"{self.path}/data/{held[part]}/{PART}={part}" for part in wanted]
         rows = self.spark.read.schema(stored).option("basePath", f"{self.path}/data").parquet(*folders)
         return rows.select(*shown.fieldNames())
 
-    def replace_days(
+    def new_folder(self, at: Pointer, kind: str = "v") -> str:
+        """A folder below ``data`` that no other writer uses."""
+        return f"{kind}={at.version + 1}-{uuid.uuid4().hex}"
+
+    def written_parts(self, folder: str) -> list[str]:
+        return [n[len(PART) + 1 :] for n in self._names(f"{self.path}/data/{folder}") if n.startswith(f"{PART}=")]
+
+    def write_parts(
+        self, rows: DataFrame, folder: str, part: Column | None = None, highest: dict[str, str] | None = None
+    ) -> tuple[list[str], dict[str, str | None]]:
+        """Writes rows below ``data`` without making them current; returns their parts and the
+        maxima of the columns in ``highest``. The rebalance sizes files per part and splits a
+        part too large for one task."""
+        rows = rows.withColumn(PART, self.part if part is None else part).hint("rebalance", PART)
+        seen = Observation()
+        maxima = [F.max(column).cast("string").alias(name) for name, column in (highest or {}).items()]
+        if maxima:
+            rows = rows.observe(seen, *maxima)
+        rows.write.partitionBy(PART).parquet(f"{self.path}/data/{folder}")
+        return self.written_parts(folder), seen.get if maxima else {}
+
+    def replace(
         self,
         rows: DataFrame,
-        days: Iterable[str] | None = None,
-        mark_column: str | None = None,
-        source_version: int = 0,
-    ) -> int:
-        """Makes ``rows`` the content of the given days, or of the whole table.
-
-        A given day without rows leaves the table. The rebalance sizes files per day and
-        splits a day too large for one task. The highest ``mark_column`` is noted on the way.
+        parts: Iterable[str] | None = None,
+        at: Pointer | None = None,
+        highest: dict[str, str] | None = None,
+        **notes,
+    ) -> Pointer:
+        """Makes ``rows`` the content of the given parts, or of the whole table.
+
+        ``at`` is the pointer the rows were derived from; if it is no longer the newest, the
+        write is refused. A given part without rows leaves the table. ``highest`` notes the
+        maximum of a column over the table under a name; ``notes`` replace notes of that name.
         """
-        before = self.commit_info()
-        version = max(self.versions(), default=0) + 1
-        name = f"v={version}-{uuid.uuid4().hex}"
-        folder = f"{self.path}/data/{name}"
-        if self.day:
-            rows = rows.hint("rebalance", self.day)
-        marks = [before["mark"]] if days is not None else []
-        if mark_column:
-            newest = Observation()
-            rows = rows.observe(newest, F.max(mark_column).cast("string").alias("mark"))
-        writer = rows.write
-        (writer.partitionBy(self.day) if self.day else writer).parquet(folder)
-        if mark_column:
-            marks.append(newest.get["mark"])
-        written = self._days_in(folder) if self.day else [_WHOLE]
-        replaced = set(before["days"]) if days is None else set(days)
-        held = {day: v for day, v in before["days"].items() if day not in replaced}
-        held.update({day: name for day in written})
-        info = {
-            "version": version,
-            "follows": before["version"],
-            "mark": max(filter(None, marks), default=None),
-            "source_version": max(before["source_version"], source_version),
-            "touched": sorted(replaced | set(written)),
-            "days": held,
-        }
-        self._write_commit(version, json.dumps(info))
-        return version
-
-    def _days_in(self, folder: str) -> list[str]:
-        prefix = f"{self.day}="
-        return [name[len(prefix):] for name in self._names(folder) if name.startswith(prefix)]
-
-    def _write_commit(self, version: int, text: str) -> None:
-        fs, target = self._fs(self._commit_path(version))
+        at = at or self.pointer()
+        folder = self.new_folder(at)
+        written, maxima = self.write_parts(rows, folder, highest=highest)
+        noted = dict(at.notes)
+        for name, value in maxima.items():
+            before = [noted.get(name)] if parts is not None else []
+            noted[name] = max(filter(None, [*before, value]), default=None)
+        replaced = set(at.parts) if parts is None else set(parts)
+        held = {part: f for part, f in at.parts.items() if part not in replaced}
+        held.update({part: folder for part in written})
+        new = Pointer(at.version + 1, held, {**noted, **notes})
+        self._publish(new.version, json.dumps(new._asdict()))
+        return new
+
+    def _publish(self, version: int, text: str) -> None:
+        """The pointer is written aside and then renamed, which fails if its number is taken."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        fs, aside = self._fs(f"{self.path}/pointers/_{uuid.uuid4().hex}")
+        stream = fs.create(aside, False)
+        stream.write(bytearray(text, "utf-8"))
+        stream.close()
+        context = hadoop.FileContext.getFileContext(aside.toUri(), self.spark._jsc.hadoopConfiguration())
+        never = self.spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+        never[0] = getattr(hadoop, "Options$Rename").NONE
         try:
-            stream = fs.create(target, False)
+            context.rename(aside, self._fs(self._pointer_path(version))[1], never)
         except Py4JJavaError as e:
+            fs.delete(aside, False)
             if "FileAlreadyExists" in str(e.java_exception):
-                raise RuntimeError(f"{self.path}: version {version} was committed by another writer") from e
+                raise RuntimeError(f"{self.path}: version {version} was written by another writer") from e
             raise
-        stream.write(bytearray(text, "utf-8"))
-        stream.close()
 
-    def drop_unreferenced(self, keep: int = 2) -> list[str]:
-        """Deletes all but the last ``keep`` commits, and the data folders that none of those
-        uses. Folders of writers that have not committed yet are left alone."""
+    def drop_old(self, keep: int = 2) -> None:
+        """Deletes all but the last ``keep`` pointers, and the folders none of those names.
+        Folders of writers that have not finished yet are left alone."""
         versions = self.versions()
-        kept = [self.commit_info(v) for v in versions[-keep:]]
-        used = {folder for info in kept for folder in info["days"].values()}
-        last = max(versions, default=0)
-        dropped = []
+        kept = "".join(self._text(v) for v in versions[-keep:])
         for folder in self._names(f"{self.path}/data"):
-            if folder.startswith("v=") and folder not in used and int(folder[2:].split("-")[0]) <= last:
-                fs, target = self._fs(f"{self.path}/data/{folder}")
-                fs.delete(target, True)
-                dropped.append(folder)
+            number = re.match(r"[a-z]+=(\d+)-", folder)
+            if number and folder not in kept and int(number[1]) <= versions[-1]:
+                self._delete(f"{self.path}/data/{folder}")
         for version in versions[:-keep]:
-            fs, target = self._fs(self._commit_path(version))
-            fs.delete(target, False)
-        return dropped
-
-    def staging_folder(self) -> str:
-        """Where the next increment may write its intermediate tables."""
-        return f"{self.path}/staging/v={self.commit_info()['version'] + 1}"
-
-    def clear_staging(self) -> None:
-        fs, target = self._fs(f"{self.path}/staging")
-        if fs.exists(target):
-            fs.delete(target, True)
-
-
-def days_of(rows: DataFrame, day: str) -> list[str]:
-    """Distinct days; bounded by the calendar, not by the data."""
-    found = rows.select(F.col(day).cast("string").alias("day")).distinct().collect()
-    return sorted(r.day for r in found)
+            self._delete(self._pointer_path(version))

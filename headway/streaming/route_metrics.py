@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from headway import schemas
 from headway.plans.delays import delay_counts, hourly_of_counts
-from headway.plans.increments import apply_raw, daily_table, events_table, hourly_table, refresh_metrics
+from headway.plans.increments import apply_raw, counts_table, daily_table, events_table, hourly_table, refresh_metrics
 from headway.streaming import triggered
 from headway.streaming.feeds import read_log_stream
 
@@ -19,18 +19,19 @@ def stream_route_metrics(
     spark: SparkSession, trip_log: str, warehouse: str, checkpoint: str, every: str | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Upserts each batch's events, then recomputes the dates it changed.
+    """Upserts each batch's events, then carries what it changed into the metrics.
 
     A revised prediction takes its event out of one hour and puts it into another, which an
-    append-only window cannot undo. Batches may repeat after a failure; both steps then
-    arrive at the same tables.
+    append-only window cannot undo; the signed counts of the upsert do. Batches may repeat
+    after a failure; both steps then arrive at the same tables.
     """
 
     def apply_batch(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
         events = events_table(session, warehouse)
         apply_raw(events, batch)
-        refresh_metrics(events, hourly_table(session, warehouse), daily_table(session, warehouse))
+        derived = (make(session, warehouse) for make in (counts_table, hourly_table, daily_table))
+        refresh_metrics(events, *derived)
 
     log = read_log_stream(spark, trip_log, schemas.RAW_TRIP_UPDATES, max_files)
     writer = log.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply_batch)

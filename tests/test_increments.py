@@ -17,9 +17,9 @@ from headway.plans.delays import fct_route_delay_daily, fct_route_delay_hourly,
 from headway.plans.events import int_trip_stop_events_deduped
 from headway.plans.staging import stg_trip_updates, stg_vehicle_positions
 from headway.sources import event_stream
-from headway.sources.table import VersionedTable
 from headway.sources.raw_log import append_raw, read_raw
 from headway.sources.scratch import new_folder
+from headway.sources.table import StoredTable, by_hash
 
 
 @pytest.fixture
@@ -85,51 +85,121 @@ def test_blank_vehicle_moves_between_days(spark, folder, ping_rows):
         [{"vehicle_id": "", "timestamp": "11 01:00", "ingested_at": "12 03:20"}],
     ]
     changed = [increments.stage_pings(pings, ping_rows(*batch)) for batch in batches]
-    assert changed[1:] == [
-        ["2024-01-10", "2024-01-12"],
-        ["2024-01-10", "2024-01-12"],
-        ["2024-01-11", "2024-01-12"],
-    ]
+    assert changed[1:] == [["blank"], ["2024-01-10", "2024-01-12"], ["blank"]]
     whole = ping_rows(*(row for batch in batches for row in batch))
-    assert as_set(pings.read().drop("ping_date")) == as_set(stg_vehicle_positions(whole))
+    assert as_set(pings.read()) == as_set(stg_vehicle_positions(whole))
     assert pings.read().count() == 3
 
 
+def derived(spark, folder):
+    makers = (increments.counts_table, increments.hourly_table, increments.daily_table)
+    return [make(spark, folder) for make in makers]
+
+
 def test_event_moving_to_another_day_leaves_no_trace(spark, events, folder, trip_rows):
-    hourly, daily = increments.hourly_table(spark, folder), increments.daily_table(spark, folder)
+    counts, hourly, daily = derived(spark, folder)
     load(events, folder, trip_rows({}, {"stop_id": "s2", "event_time": "12 10:00"}))
-    increments.refresh_metrics(events, hourly, daily)
-    changed = load(events, folder, trip_rows({"ingested_at": "10 08:40", "event_time": "11 00:05", "delay_sec": 7}))
-    assert changed == ["2024-01-10", "2024-01-11"]
-    assert increments.refresh_metrics(events, hourly, daily) == changed
+    assert increments.refresh_metrics(events, counts, hourly, daily) is None
+    load(events, folder, trip_rows({"ingested_at": "10 08:40", "event_time": "11 00:05", "delay_sec": 7}))
+    assert increments.refresh_metrics(events, counts, hourly, daily) == ["2024-01-10", "2024-01-11"]
     assert as_set(events.read(), "stop_id", "event_date") == {
         ("s1", dt.date(2024, 1, 11)),
         ("s2", dt.date(2024, 1, 12)),
     }
-    assert as_set(daily.read(), "date_day", "total_events") == {
-        (dt.date(2024, 1, 11), 1),
-        (dt.date(2024, 1, 12), 1),
+    for table, count in ((daily, "total_events"), (hourly, "num_events"), (counts, "n")):
+        assert as_set(table.read(), "date_day", count) == {(dt.date(2024, 1, 11), 1), (dt.date(2024, 1, 12), 1)}
+        assert sorted(table.pointer().parts) == ["2024-01-11", "2024-01-12"]
+    assert increments.refresh_metrics(events, counts, hourly, daily) == []
+
+
+def test_refresh_reads_no_event(spark, events, folder, trip_rows, monkeypatch):
+    tables = derived(spark, folder)
+    load(events, folder, trip_rows({}, {"stop_id": "s2"}, {"stop_id": "s3", "event_time": "12 10:00"}))
+    increments.refresh_metrics(events, *tables)
+    load(events, folder, trip_rows({"ingested_at": "10 08:40", "delay_sec": 900}))
+    change = increments.behind(events.pointer(), tables[0])
+    after = increments.with_deltas(events, tables[0], change.folders, change.days)
+    read = [f.split("/data/")[0].rsplit("/", 1)[1] + "/" + f.split("/data/")[1][0] for f in after.inputFiles()]
+    assert set(read) == {"route_delay_counts/v", "int_trip_stop_events_deduped/d"}
+    assert all("part=2024-01-10" in f for f in after.inputFiles())
+    monkeypatch.setattr(events, "read", None)
+    assert increments.refresh_metrics(events, *tables) == ["2024-01-10"]
+    expected = {("10", 100, 1), ("10", 900, 1), ("12", 100, 1)}
+    assert as_set(tables[0].read().withColumn("day", F.date_format("date_day", "dd")), "day", "delay_sec", "n") == expected
+
+
+def test_revision_within_an_hour_that_changes_nothing(spark, events, folder, trip_rows):
+    tables = derived(spark, folder)
+    load(events, folder, trip_rows({}))
+    increments.refresh_metrics(events, *tables)
+    load(events, folder, trip_rows({"ingested_at": "10 08:40"}))
+    assert events.pointer().notes["deltas"][-1][2] == []
+    assert increments.refresh_metrics(events, *tables) == []
+    assert as_set(tables[0].read(), "delay_sec", "n") == {(100, 1)}
+
+
+@pytest.mark.parametrize("lost_at", [0, 1, 2])
+def test_metrics_catch_up_after_a_lost_refresh(spark, events, folder, trip_rows, monkeypatch, lost_at):
+    tables = derived(spark, folder)
+    load(events, folder, trip_rows({}, {"stop_id": "s2"}))
+    increments.refresh_metrics(events, *tables)
+    for minute, hour in ((40, "01:00"), (50, "02:00")):
+        moved = trip_rows({"ingested_at": f"10 08:{minute}", "event_time": f"11 {hour}", "delay_sec": minute})
+        load(events, folder, moved)
+        increments.apply_raw(events, moved)  # the batch again, as after a crash before the refresh
+
+        def lost(*_, **__):
+            raise RuntimeError("driver lost")
+
+        with monkeypatch.context() as patched:
+            patched.setattr(tables[lost_at], "replace", lost)
+            with pytest.raises(RuntimeError, match="driver lost"):
+                increments.refresh_metrics(events, *tables)
+    increments.refresh_metrics(events, *tables)
+    expected = fct_route_delay_hourly(int_route_delay_hourly(events.read()))
+    assert as_set(tables[1].read()) == as_set(expected)
+    assert as_set(tables[2].read(), "date_day", "total_events") == {
+        (dt.date(2024, 1, 10), 1), (dt.date(2024, 1, 11), 1)
     }
-    held = sorted(events.commit_info()["days"].items())
-    assert [(day, name.split("-")[0]) for day, name in held] == [("2024-01-11", "v=2"), ("2024-01-12", "v=1")]
-    assert increments.refresh_metrics(events, hourly, daily) == []
 
 
-def test_metrics_catch_up_after_a_lost_refresh(spark, events, folder, trip_rows):
-    hourly, daily = increments.hourly_table(spark, folder), increments.daily_table(spark, folder)
+def test_metrics_far_behind_start_again(spark, events, folder, trip_rows, monkeypatch):
+    monkeypatch.setattr(increments, "KEPT_DELTAS", 2)
+    tables = derived(spark, folder)
     load(events, folder, trip_rows({}))
-    increments.refresh_metrics(events, hourly, daily)
-    moved = trip_rows({"ingested_at": "10 08:40", "event_time": "11 00:05"})
-    load(events, folder, moved)
-    increments.apply_raw(events, moved)  # the batch again, as after a crash before the refresh
-    increments.refresh_metrics(events, hourly, daily)
-    assert as_set(daily.read(), "date_day") == {(dt.date(2024, 1, 11),)}
+    increments.refresh_metrics(events, *tables)
+    for minute in (30, 40, 50):
+        load(events, folder, trip_rows({"ingested_at": f"10 08:{minute}", "delay_sec": minute}))
+    assert increments.refresh_metrics(events, *tables) is None
+    assert as_set(tables[0].read(), "delay_sec", "n") == {(50, 1)}
+
+
+def test_only_the_buckets_of_the_increment_are_read_and_written(spark, folder, trip_rows, monkeypatch):
+    events = increments.events_table(spark, folder, buckets=16)
+    load(events, folder, trip_rows(*({"stop_id": f"s{i}"} for i in range(200))))
+    before = events.pointer()
+    assert len(before.parts) == 16
+    read = []
+    plain = StoredTable.read
+
+    def noted(self, parts=None, *args):
+        read.append((self.path, parts))
+        return plain(self, parts, *args)
+
+    monkeypatch.setattr(StoredTable, "read", noted)
+    touched = load(events, folder, trip_rows({"ingested_at": "10 08:40", "stop_id": "s7", "delay_sec": 1}))
+    assert len(touched) == 1 and read == [(events.path, touched)] * 2
+    after = events.pointer()
+    assert [p for p in before.parts if before.parts[p] != after.parts[p]] == touched
+    assert plain(events).count() == 200
+    files = plain(events, touched).inputFiles()
+    assert files and all(f"part={touched[0]}/" in f for f in files)
 
 
 def test_failed_write_leaves_the_table_as_it_was(spark, events, folder, trip_rows):
     load(events, folder, trip_rows({}))
     before = as_set(events.read())
-    events.read().withColumn("delay_sec", F.lit(-1)).write.partitionBy("event_date").parquet(f"{events.path}/data/v=2")  # data without its commit
+    events.write_parts(events.read(with_hidden=True).withColumn("delay_sec", F.lit(-1)), "v=2-lost")  # data without its pointer
     assert as_set(events.read()) == before
     load(events, folder, trip_rows({"stop_id": "s2", "ingested_at": "10 08:40"}))
     assert events.read().count() == 2
@@ -152,7 +222,8 @@ def test_repeating_and_reordering_batches(spark, folder, trip_rows):
 
 
 def test_null_key_is_one_key(spark, folder):
-    table = VersionedTable(spark, f"{folder}/t", "k string, day date, ingested_at timestamp_ntz, x int", "day")
+    schema = "k string, day date, ingested_at timestamp_ntz, x int"
+    table = StoredTable(spark, f"{folder}/t", schema, by_hash("k", 4))
 
     def rows(*values):
         return spark.createDataFrame(list(values), schemas.struct(table.schema))
@@ -163,27 +234,32 @@ def test_null_key_is_one_key(spark, folder):
     assert as_set(table.read(), "k", "day", "x") == {(None, second, 2), ("a", first, 1)}
 
 
-def test_old_versions_can_be_dropped(events, folder, trip_rows):
+def test_old_versions_can_be_dropped(spark, events, folder, trip_rows):
+    tables = derived(spark, folder)
     for minute in (20, 30, 40, 50):
         load(events, folder, trip_rows({"ingested_at": f"10 08:{minute}", "delay_sec": minute}))
+        increments.refresh_metrics(events, *tables[:1], *tables[1:]) if minute == 20 else None
     before = as_set(events.read())
-    assert sorted(name.split("-")[0] for name in events.drop_unreferenced(keep=1)) == ["v=1", "v=2", "v=3"]
-    assert as_set(events.read()) == before
-    assert events.versions() == [4]
-    assert events.touched_since(2) == ["2024-01-10"] and events.touched_since(4) == []
+    events.drop_old(keep=1)
+    assert as_set(events.read()) == before and events.versions() == [4]
+    folders = events._names(f"{events.path}/data")
+    # The signed counts that metrics may still need stay; merged content of old pointers goes.
+    assert [f[:3] for f in folders] == ["d=2", "d=3", "d=4", "v=4"]
+    assert increments.refresh_metrics(events, *tables) == ["2024-01-10"]
+    assert as_set(tables[0].read(), "delay_sec", "n") == {(50, 1)}
 
 
 def test_second_writer_is_refused(spark, events, folder, trip_rows):
-    """Of two writers that start from one version the first to commit keeps its rows."""
+    """Of two writers that start from one pointer the first to finish keeps its rows."""
     load(events, folder, trip_rows({}))
     second = increments.events_table(spark, folder)
-    commit = second._write_commit
+    publish = second._publish
 
     def after_the_first(version, text):
         load(events, folder, trip_rows({"stop_id": "s2", "ingested_at": "10 08:40"}))
-        commit(version, text)
+        publish(version, text)
 
-    second._write_commit = after_the_first
+    second._publish = after_the_first
     with pytest.raises(RuntimeError, match="another writer"):
         increments.apply_raw(second, trip_rows({"stop_id": "s3", "ingested_at": "10 08:50"}))
     assert as_set(events.read(), "stop_id") == {("s1",), ("s2",)}
@@ -191,13 +267,14 @@ def test_second_writer_is_refused(spark, events, folder, trip_rows):
     assert events.read().count() == 3
 
 
-def test_empty_commit_is_passed_over(spark, events, folder, trip_rows):
-    load(events, folder, trip_rows({}))
-    fs, target = events._fs(events._commit_path(2))
-    fs.create(target, False).close()
-    assert events.read().count() == 1
-    load(events, folder, trip_rows({"stop_id": "s2", "ingested_at": "10 08:40"}))
-    assert events.read().count() == 2 and events.touched_since(1) == ["2024-01-10"]
+def test_writer_that_read_before_another_finished_is_refused(spark, folder):
+    table = StoredTable(spark, f"{folder}/t", "x int")
+    rows = spark.createDataFrame([(1,)], "x int")
+    at = table.pointer()
+    table.replace(rows)
+    with pytest.raises(RuntimeError, match="another writer"):
+        table.replace(rows, at=at)
+    assert table.versions() == [1] and len(table._names(f"{folder}/t/pointers")) == 1
 
 
 def test_one_poll_over_two_batches(spark, folder, trip_rows):
@@ -275,11 +352,11 @@ def test_mark_below_the_newest_step_gives_the_same_rows(spark, folder):
 
 def test_metrics_equal_a_full_computation(spark, events, folder):
     raw = event_stream.raw_trip_updates(event_stream.read_events(spark, SF_SMALL))
-    hourly, daily = increments.hourly_table(spark, folder), increments.daily_table(spark, folder)
+    counts, hourly, daily = derived(spark, folder)
     for low, high in ((1, 9), (9, 10), (10, 32)):
         bounds = [dt.datetime(2024, 1, 1) + dt.timedelta(days=d - 1) for d in (low, high)]
         load(events, folder, raw.where((raw.ingested_at >= utc_literal(bounds[0])) & (raw.ingested_at < utc_literal(bounds[1]))))
-        increments.refresh_metrics(events, hourly, daily)
+        increments.refresh_metrics(events, counts, hourly, daily)
     by_hour = int_route_delay_hourly(events.read())
     assert as_set(hourly.read()) == as_set(fct_route_delay_hourly(by_hour))
     assert as_set(daily.read(), "route_id", "date_day", "total_events") == as_set(
