@@ -6,6 +6,7 @@ are derived by plain projections.
 
 from __future__ import annotations
 
+import datetime as dt
 import importlib
 import importlib.util
 import os
@@ -28,13 +29,23 @@ from headway.sources.ingest import run_ingest
 from headway.sources.raw_log import append_raw, read_raw
 from headway.sources.scratch import new_folder, written
 from headway.streaming.feeds import stream_trip_feed, stream_vehicle_feed
-from headway.streaming.fleet import live_fleet, stream_staged_pings, stream_staged_updates
+from headway.plans.live import live_fleet
+from headway.streaming import pings as ping_stream
+from headway.streaming.fleet import (
+    FreshnessMonitor,
+    noted_freshness,
+    stream_positions,
+    stream_staged_updates,
+    stream_trip_delays,
+)
 from headway.streaming.route_metrics import hourly_windows, stream_delay_counts, stream_route_metrics
 
 AS_OF = "2024-01-31 00:00:00"
 AFTER_MIDNIGHT = "2024-01-30 00:15:00"
 CUTOFF = "2024-01-15 00:00:00"
 SLICES = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
+PING_BATCHES = 3
+PING_LATENESS = dt.timedelta(days=10)
 
 
 class Lineage:
@@ -201,18 +212,45 @@ def _project_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _live_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The live mart over staged tables that two streams keep while both logs grow."""
+    """The live mart from the snapshots that two stateful streams keep while both logs grow."""
     lineage = Lineage(spark, sf_dir)
     folder = new_folder(spark, "live")
     logs = zip(_arrivals(lineage.raw_trip(), CUTOFF), _arrivals(lineage.raw_vehicle(), CUTOFF))
     for updates, pings in logs:
         append_raw(updates, f"{folder}/updates")
         append_raw(pings, f"{folder}/pings")
-        stream_staged_updates(spark, f"{folder}/updates", folder, f"{folder}/p1").awaitTermination()
-        stream_staged_pings(spark, f"{folder}/pings", folder, f"{folder}/p2").awaitTermination()
+        stream_trip_delays(spark, f"{folder}/updates", folder, f"{folder}/p1").awaitTermination()
+        stream_positions(spark, f"{folder}/pings", folder, f"{folder}/p2").awaitTermination()
     return live_fleet(spark, folder, AS_OF)
 
 
+def _freshness_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freshness from what the staging stream's listener noted while the log grew."""
+    folder = new_folder(spark, "freshness")
+    monitor = FreshnessMonitor(spark, folder)
+    spark.streams.addListener(monitor)
+    try:
+        for arrived in _arrivals(Lineage(spark, sf_dir).raw_trip(), CUTOFF):
+            append_raw(arrived, f"{folder}/updates")
+            query = stream_staged_updates(spark, f"{folder}/updates", folder, f"{folder}/progress")
+            query.awaitTermination()
+            monitor.wait(query)
+    finally:
+        spark.streams.removeListener(monitor)
+    return noted_freshness(spark, folder, AS_OF)
+
+
+def _sorted_pings(spark: SparkSession, sf_dir: str) -> str:
+    """Pings that arrive in three batches, each with pings of all days, so that old ones are late."""
+    folder = new_folder(spark, "sorted")
+    pings = Lineage(spark, sf_dir).raw_vehicle()
+    for batch in range(PING_BATCHES):
+        append_raw(pings.where(F.col("entity_id").cast("bigint") % PING_BATCHES == batch), f"{folder}/log")
+        query = ping_stream.stream_distinct_pings(spark, f"{folder}/log", folder, f"{folder}/progress", PING_LATENESS)
+        query.awaitTermination()
+    return folder
+
+
 def _hourly_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours of a stream of golden events that come in several batches, in no order of time."""
     folder = new_folder(spark, "windows")
@@ -332,6 +370,11 @@ def transit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_feed_ingest": _ingested,
         "stream_live_replay": _live_replay,
         "stream_vehicle_ingest": _vehicles_ingested,
+        "stream_freshness_notes": _freshness_notes,
+        "stream_distinct_pings": lambda spark, sf_dir: ping_stream.read_kept(spark, _sorted_pings(spark, sf_dir)).drop(
+            "batch", "ping_date"
+        ),
+        "stream_ping_account": lambda spark, sf_dir: ping_stream.read_account(spark, _sorted_pings(spark, sf_dir)),
         # Pings carry the start of their day, so a quarter past midnight the rule keeps some.
         "active_vehicles_now": over(
             lambda m: dashboard.active_vehicles(

@@ -19,7 +19,13 @@ from headway.session import build_session
 from headway.sources.feeds import read_feed
 from headway.sources.ingest import run_ingest
 from headway.streaming.feeds import stream_trip_feed, stream_vehicle_feed
-from headway.streaming.fleet import stream_staged_pings, stream_staged_updates
+from headway.streaming.fleet import (
+    FreshnessMonitor,
+    stream_positions,
+    stream_staged_pings,
+    stream_staged_updates,
+    stream_trip_delays,
+)
 from headway.streaming.route_metrics import stream_route_metrics
 
 
@@ -46,14 +52,22 @@ def test(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def follow(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Both logs into the staged feeds, the events and the metrics, each stream with its own progress."""
+    """Both logs into the staged feeds, the live fleet, the events and the metrics, each stream
+    with its own progress."""
     run = args.trip_log, args.warehouse
+    monitor = FreshnessMonitor(spark, args.warehouse)
+    spark.streams.addListener(monitor)
     streams = [stream_route_metrics(spark, *run, f"{args.progress}/metrics", args.every)]
     if args.vehicle_log:
+        pings = args.vehicle_log, args.warehouse
         streams.append(stream_staged_updates(spark, *run, f"{args.progress}/updates", args.every))
-        streams.append(stream_staged_pings(spark, args.vehicle_log, args.warehouse, f"{args.progress}/pings", args.every))
+        streams.append(stream_staged_pings(spark, *pings, f"{args.progress}/pings", args.every))
+        streams.append(stream_trip_delays(spark, *run, f"{args.progress}/delays", args.every))
+        streams.append(stream_positions(spark, *pings, f"{args.progress}/positions", args.every))
     for stream in streams:
         stream.awaitTermination()
+        monitor.wait(stream)
+    spark.streams.removeListener(monitor)
 
 
 def receive(spark: SparkSession, args: argparse.Namespace) -> None:

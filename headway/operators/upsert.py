@@ -56,6 +56,8 @@ def upsert(
     rebuild: bool = False,
     tracked: Sequence[str] = (),
     notes: Callable[[Pointer, DataFrame | None], dict] | None = None,
+    highest: dict[str, str] = HIGHEST,
+    trimmed: Callable[[Pointer, DataFrame], DataFrame] | None = None,
 ) -> list[str]:
     """Merges a delta with unique keys and returns the parts that changed.
 
@@ -66,12 +68,14 @@ def upsert(
     changes nothing. ``rebuild`` makes the delta the whole table.
 
     ``notes`` makes notes of the new pointer from the old one and the accepted rows (null
-    for a first load or a rebuild).
+    for a first load or a rebuild); ``highest`` names columns whose maximum it keeps.
+    ``trimmed`` may drop rows of the parts that are written anyway.
     """
     at = table.pointer()
     noted = notes or (lambda *_: {})
+    trim = trimmed or (lambda _, rows: rows)
     if rebuild or not at.parts:
-        return sorted(table.replace(delta, at=at, highest=HIGHEST, **noted(at, None)).parts)
+        return sorted(table.replace(trim(at, delta), at=at, highest=highest, **noted(at, None)).parts)
 
     staging = f"{table.path}/staging/{uuid.uuid4().hex}"
     try:
@@ -80,7 +84,7 @@ def upsert(
         accepted, touched = _staged(accepted_rows(held, delta, key, newest_by, tracked), f"{staging}/accepted")
         if touched:
             merged = replace_matching(table.read(touched, True, at), accepted.drop(PART, REPLACED), key)
-            table.replace(merged, touched, at, HIGHEST, **noted(at, accepted))
+            table.replace(trim(at, merged), touched, at, highest, **noted(at, accepted))
         return touched
     finally:
         table._delete(staging)

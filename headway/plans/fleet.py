@@ -44,13 +44,19 @@ def fct_latest_vehicle_positions(
     pings: DataFrame, staged: DataFrame, as_of: Column | dt.datetime | str | None = None
 ) -> DataFrame:
     """Positions with minutes since the last ping and the delay, 0 when none is known."""
-    positions = latest_positions(pings)
+    return live_of(latest_positions(pings), latest_delays(staged), as_of)
+
+
+def live_of(
+    positions: DataFrame, delays: DataFrame, as_of: Column | dt.datetime | str | None = None
+) -> DataFrame:
+    """The live mart from one row per vehicle and one row per trip."""
     # The key of a vehicle without trip matches nothing and differs per vehicle, so those
     # vehicles spread over all partitions. Deriving the key on both sides also puts a shuffle
     # right below both, which AQE needs to split a trip that holds many vehicles.
     of_trip = F.concat(F.lit("t"), F.col("trip_id"))
     of_vehicle = F.concat(F.lit("v"), F.col("vehicle_id"))
-    delays = latest_delays(staged).select(of_trip.alias("join_key"), "delay_sec")
+    delays = delays.select(of_trip.alias("join_key"), "delay_sec")
     return (
         positions.withColumn("join_key", F.coalesce(of_trip, of_vehicle))
         .join(delays, "join_key", "left")

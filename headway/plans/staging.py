@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions import clean_text, has_text, stop_event_key, trimmed, vehicle_ping_key
@@ -19,18 +19,22 @@ NEWEST_UPDATE = ("ingested_at", "feed_timestamp", "event_time", "entity_id")
 NEWEST_PING = ("ingested_at", "feed_timestamp", "entity_id")
 
 
+def usable_update() -> Column:
+    """Whether a raw prediction is staged at all."""
+    is_kind = F.upper(trimmed("event_type")).isin(*EVENT_TYPES)
+    return F.col("event_time").isNotNull() & has_text("route_id") & is_kind
+
+
 def clean_trip_updates(raw: DataFrame, extra_key: Sequence[str] = ()) -> DataFrame:
     """Usable stop predictions with their key, before the newest per key is chosen."""
-    event_type = F.upper(trimmed("event_type"))
-    usable = raw.where(F.col("event_time").isNotNull() & has_text("route_id") & event_type.isin(*EVENT_TYPES))
-    cleaned = usable.select(
+    cleaned = raw.where(usable_update()).select(
         "ingested_at",
         "feed_timestamp",
         "source",
         "entity_id",
         *(clean_text(c).alias(c) for c in ("trip_id", "route_id", "start_date", "start_time", "stop_id")),
         "stop_sequence",
-        event_type.alias("event_type"),
+        F.upper(trimmed("event_type")).alias("event_type"),
         "event_time",
         "delay_sec",
         "schedule_relationship",
@@ -43,11 +47,11 @@ def stg_trip_updates(raw: DataFrame, extra_key: Sequence[str] = ()) -> DataFrame
     return latest_per_key(clean_trip_updates(raw, extra_key), ["event_key"], [F.desc(c) for c in NEWEST_UPDATE])
 
 
-def stg_vehicle_positions(raw: DataFrame) -> DataFrame:
-    """Last ingested copy of every ping.
+def clean_vehicle_positions(raw: DataFrame) -> DataFrame:
+    """Usable pings with their key, before the last copy of each is chosen.
 
     The null test looks at the vehicle id as delivered: a blank id passes it, turns null in
-    cleaning, and all such rows share the null key, of which one row stays.
+    cleaning, and all such rows share the null key.
     """
     cleaned = raw.where(F.col("timestamp").isNotNull() & F.col("vehicle_id").isNotNull()).select(
         "ingested_at",
@@ -64,5 +68,9 @@ def stg_vehicle_positions(raw: DataFrame) -> DataFrame:
         clean_text("stop_id").alias("stop_id"),
         "timestamp",
     )
-    keyed = cleaned.withColumn("vehicle_event_key", vehicle_ping_key())
-    return latest_per_key(keyed, ["vehicle_event_key"], [F.desc(c) for c in NEWEST_PING])
+    return cleaned.withColumn("vehicle_event_key", vehicle_ping_key())
+
+
+def stg_vehicle_positions(raw: DataFrame) -> DataFrame:
+    """Last ingested copy of every ping; of the rows that share the null key one stays."""
+    return latest_per_key(clean_vehicle_positions(raw), ["vehicle_event_key"], [F.desc(c) for c in NEWEST_PING])

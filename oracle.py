@@ -246,6 +246,25 @@ kept AS (
 )
 
 
+# Three batches of pings; each is late where it is ten days older than all earlier batches.
+_SORTED = (
+    _RAW_VEHICLE + "," + _STAGED_VEHICLE + """,
+batched AS (
+  SELECT *, CAST(entity_id AS BIGINT) % 3 AS batch, least(timestamp, ingested_at) AS seen_at
+  FROM usable_vehicle WHERE vehicle_event_key IS NOT NULL
+),
+newest AS (SELECT batch, max(seen_at) AS newest FROM batched GROUP BY batch),
+judged AS (
+  SELECT b.*, coalesce(seen_at < (SELECT max(newest) FROM newest n WHERE n.batch < b.batch) - INTERVAL 10 DAY, FALSE) AS is_late
+  FROM batched b
+),
+first_copies AS (
+  SELECT DISTINCT ON (vehicle_event_key) * FROM judged WHERE NOT is_late
+  ORDER BY vehicle_event_key, batch, ingested_at, feed_timestamp, entity_id
+)"""
+)
+
+
 def _select(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body}"
 
@@ -448,6 +467,17 @@ FROM compare WHERE wow_avg_delay_sec > 0""",
 FROM raw_trip WHERE event_time IS NOT NULL AND event_type <> 'SKIPPED'""",
         ),
         "stream_live_replay": _select(_LIVE, "SELECT * FROM live"),
+        "stream_freshness_notes": _select(_FRESHNESS, "SELECT * FROM freshness"),
+        "stream_distinct_pings": _select(_SORTED, "SELECT * EXCLUDE (batch, seen_at, is_late) FROM first_copies"),
+        "stream_ping_account": _select(
+            _SORTED,
+            """SELECT a.batch, a.arrived, k.kept, j.usable - k.kept - j.late AS repeated, j.late, a.arrived - j.usable AS unusable,
+  n.newest
+FROM (SELECT CAST(entity_id AS BIGINT) % 3 AS batch, count(*) AS arrived FROM raw_vehicle GROUP BY 1) a
+JOIN (SELECT batch, count(*) AS usable, count(*) FILTER (is_late) AS late FROM judged GROUP BY batch) j USING (batch)
+JOIN (SELECT batch, count(*) AS kept FROM first_copies GROUP BY batch) k USING (batch)
+JOIN newest n USING (batch)""",
+        ),
         "project_build": _select(_LIVE, "SELECT * FROM live"),
         "mixed_log_append": _select(
             _RAW_TRIP,

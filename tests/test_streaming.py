@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from conftest import AS_OF, SF_SMALL, as_set
 from headway import schemas
 from headway.functions import utc_literal
-from headway.plans import delays, fleet, increments
+from headway.plans import delays, fleet, increments, live
 from headway.plans.events import int_trip_stop_events_deduped
+from headway.plans.freshness import mart_data_freshness
 from headway.plans.staging import stg_trip_updates, stg_vehicle_positions
 from headway.sources import event_stream
 from headway.sources.feeds import flatten_trip_updates, flatten_vehicle_positions, read_feed, split_feed
@@ -22,7 +23,7 @@ from headway.sources.ingest import run_ingest
 from headway.sources.raw_log import append_raw, read_raw
 from headway.sources.scratch import new_folder
 from headway.streaming import fleet as fleet_stream
-from headway.streaming import route_metrics
+from headway.streaming import pings, route_metrics
 from headway.streaming.feeds import read_log_stream, stream_trip_feed, stream_vehicle_feed
 from headway.streaming.route_metrics import hourly_windows, stream_route_metrics
 
@@ -106,20 +107,114 @@ def test_batch_interrupted_between_tables_is_repeated(spark, folder, trip_rows,
     assert as_set(events.read(), "stop_id", "delay_sec") == {("s1", 5), ("s2", 100)}
 
 
+def follow_live(spark, folder, **options):
+    finish(fleet_stream.stream_trip_delays(spark, f"{folder}/log", folder, f"{folder}/c3"))
+    finish(fleet_stream.stream_positions(spark, f"{folder}/vlog", folder, f"{folder}/c4", **options))
+
+
 def test_fleet_streams_equal_the_batch_model(spark, folder, source):
-    updates, pings = event_stream.raw_trip_updates(source), event_stream.raw_vehicle_positions(source)
+    updates, vehicles = event_stream.raw_trip_updates(source), event_stream.raw_vehicle_positions(source)
+    monitor = fleet_stream.FreshnessMonitor(spark, folder)
+    spark.streams.addListener(monitor)
     for low, high in (("2024-01-01", "2024-01-12"), ("2024-01-12", "2024-02-01")):
         arrived = (F.col("ingested_at") >= utc_literal(f"{low} 00:00:00")) & (F.col("ingested_at") < utc_literal(f"{high} 00:00:00"))
         append_raw(updates.where(arrived), f"{folder}/log")
-        append_raw(pings.where(arrived), f"{folder}/vlog")
-        finish(fleet_stream.stream_staged_updates(spark, f"{folder}/log", folder, f"{folder}/c1"))
+        append_raw(vehicles.where(arrived), f"{folder}/vlog")
+        query = fleet_stream.stream_staged_updates(spark, f"{folder}/log", folder, f"{folder}/c1")
+        finish(query)
+        monitor.wait(query)
         finish(fleet_stream.stream_staged_pings(spark, f"{folder}/vlog", folder, f"{folder}/c2"))
-    expected = fleet.fct_latest_vehicle_positions(stg_vehicle_positions(pings), stg_trip_updates(updates), AS_OF)
-    assert as_set(fleet_stream.live_fleet(spark, folder, AS_OF)) == as_set(expected)
+        follow_live(spark, folder)
+    spark.streams.removeListener(monitor)
+    expected = fleet.fct_latest_vehicle_positions(stg_vehicle_positions(vehicles), stg_trip_updates(updates), AS_OF)
+    assert as_set(live.live_fleet(spark, folder, AS_OF)) == as_set(expected)
+    files = live.live_fleet(spark, folder, AS_OF).inputFiles()
+    assert {f.split(folder)[1].split("/")[1] for f in files} == {"live_positions", "live_trip_delays"}
     staged = increments.staged_updates_table(spark, folder).read()
     assert as_set(staged) == as_set(stg_trip_updates(updates))
+    assert as_set(increments.staged_pings_table(spark, folder).read()) == as_set(stg_vehicle_positions(vehicles))
     notes = spark.read.parquet(f"{folder}/freshness")
     assert [r.batch for r in notes.orderBy("batch").collect()] == [0, 1]
+    assert as_set(fleet_stream.noted_freshness(spark, folder, AS_OF)) == as_set(mart_data_freshness(staged, AS_OF))
+
+
+def test_a_later_copy_takes_a_position_or_a_delay_back(spark, folder, trip_rows, ping_rows):
+    """What a copy without coordinates or delay hides shows what was there before."""
+    append_raw(trip_rows({}, {"stop_id": "s2", "delay_sec": 50, "event_time": "10 08:00"}), f"{folder}/log")
+    append_raw(ping_rows({}, {"timestamp": "10 08:10", "speed": 1.0}, {"vehicle_id": " ", "speed": 2.0}), f"{folder}/vlog")
+    follow_live(spark, folder)
+    shown = "vehicle_id", "speed", "current_delay_sec"
+    assert as_set(live.live_fleet(spark, folder, AS_OF), *shown) == {("v1", 10.0, 100), (None, 2.0, 100)}
+    append_raw(trip_rows({"ingested_at": "10 08:40", "delay_sec": None}), f"{folder}/log")
+    append_raw(ping_rows({"ingested_at": "10 08:40", "position_lat": None}, {"vehicle_id": "v2", "trip_id": None}), f"{folder}/vlog")
+    follow_live(spark, folder)
+    assert as_set(live.live_fleet(spark, folder, AS_OF), *shown) == {("v1", 1.0, 50), (None, 2.0, 50), ("v2", 10.0, 0)}
+    # An older copy that comes late changes nothing.
+    append_raw(ping_rows({"ingested_at": "10 08:30", "speed": 99.0}), f"{folder}/vlog")
+    append_raw(trip_rows({"ingested_at": "10 08:30", "delay_sec": 99}), f"{folder}/log")
+    follow_live(spark, folder)
+    assert as_set(live.live_fleet(spark, folder, AS_OF), *shown) == {("v1", 1.0, 50), (None, 2.0, 50), ("v2", 10.0, 0)}
+
+
+def test_settled_pings_leave_but_their_position_stays(spark, folder, ping_rows, trip_rows):
+    append_raw(trip_rows({}), f"{folder}/log")
+    days = [{"timestamp": f"{d} 08:00", "ingested_at": f"{d} 08:10", "speed": float(d)} for d in range(10, 16)]
+    ahead = {"vehicle_id": "fast", "timestamp": "30 08:00", "ingested_at": "10 08:10"}
+    quiet = {"vehicle_id": "quiet", "timestamp": "10 07:00", "ingested_at": "10 07:10"}
+    finish(fleet_stream.stream_trip_delays(spark, f"{folder}/log", folder, f"{folder}/c3"))
+    for batch in ([days[0], ahead, quiet], *([d] for d in days[1:])):
+        append_raw(ping_rows(*batch), f"{folder}/vlog")
+        finish(fleet_stream.stream_positions(spark, f"{folder}/vlog", folder, f"{folder}/c4"))
+    held = live.pings_table(spark, folder).read()
+    assert held.where("vehicle_id = 'v1'").count() == 5 and held.count() == 7
+    assert as_set(live.live_fleet(spark, folder, AS_OF), "vehicle_id", "speed") == {("v1", 15.0), ("fast", 10.0), ("quiet", 10.0)}
+    # The watermark refuses a copy of a settled ping.
+    append_raw(ping_rows({**days[0], "ingested_at": "15 08:20", "vehicle_id": "quiet"}), f"{folder}/vlog")
+    finish(fleet_stream.stream_positions(spark, f"{folder}/vlog", folder, f"{folder}/c4"))
+    assert live.pings_table(spark, folder).read().where("vehicle_id = 'quiet'").count() == 1
+
+
+def test_snapshot_that_missed_a_change_is_caught_up(spark, folder, trip_rows, monkeypatch):
+    append_raw(trip_rows({}, {"trip_id": "t2"}), f"{folder}/log")
+    finish(fleet_stream.stream_trip_delays(spark, f"{folder}/log", folder, f"{folder}/c3"))
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    append_raw(trip_rows({"ingested_at": "10 08:40", "delay_sec": 5}), f"{folder}/log")
+    with monkeypatch.context() as patched:
+        patched.setattr(live, "_refresh", lost)
+        with pytest.raises(StreamingQueryException):
+            fleet_stream.stream_trip_delays(spark, f"{folder}/log", folder, f"{folder}/c3").awaitTermination()
+    append_raw(trip_rows({"ingested_at": "10 08:50", "trip_id": "t3", "delay_sec": 6}), f"{folder}/log")
+    finish(fleet_stream.stream_trip_delays(spark, f"{folder}/log", folder, f"{folder}/c3"))
+    assert as_set(live.trip_delays_table(spark, folder).read()) == {("t1", 5), ("t2", 100), ("t3", 6)}
+
+
+def test_pings_are_kept_or_accounted_for(spark, folder, ping_rows):
+    week = dt.timedelta(days=7)
+    batches = [
+        ping_rows({"speed": 1.0}, {"speed": 2.0, "ingested_at": "10 08:30"}, {"vehicle_id": " "}, {"vehicle_id": None}, {"timestamp": None}),
+        ping_rows({"speed": 3.0, "ingested_at": "10 08:40"}, {"timestamp": "20 08:00", "ingested_at": "20 08:20"}),
+        ping_rows({"ingested_at": "20 08:30"}, {"timestamp": "14 08:00", "ingested_at": "20 08:30"}, {"timestamp": "25 08:00", "ingested_at": "20 08:30"}),
+    ]
+    for batch in batches:
+        append_raw(batch, f"{folder}/log")
+        finish(pings.stream_distinct_pings(spark, f"{folder}/log", folder, f"{folder}/c", week))
+    counted = pings.read_account(spark, folder).orderBy("batch").drop("newest", "batch")
+    assert [tuple(r) for r in counted.collect()] == [(5, 1, 1, 0, 3), (2, 1, 1, 0, 0), (3, 2, 0, 1, 0)]
+    assert all(r.arrived == r.kept + r.repeated + r.late + r.unusable for r in counted.collect())
+    assert as_set(pings.read_kept(spark, folder).select(F.date_format("timestamp", "dd"), "speed")) == {
+        ("10", 1.0), ("20", 10.0), ("14", 10.0), ("25", 10.0)
+    }
+    assert pings.read_late(spark, folder).count() == 1
+    # A batch that is repeated, as after a crash, arrives at the same tables.
+    pings.sort_batch(batches[1], 1, folder, week)
+    assert [tuple(r) for r in pings.read_account(spark, folder).orderBy("batch").drop("newest", "batch").collect()][1] == (2, 1, 1, 0, 0)
+    assert pings.read_kept(spark, folder).count() == 4
+    empty = batches[0].limit(0)
+    pings.sort_batch(empty, 3, folder, week)
+    assert pings.read_account(spark, folder).where("batch = 3 AND arrived = 0 AND kept = 0 AND late = 0").count() == 1
 
 
 def test_repeated_pings_are_dropped(spark, folder, ping_rows):
