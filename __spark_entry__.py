@@ -28,7 +28,8 @@ from headway.sources import event_stream, feeds
 from headway.sources.ingest import run_ingest
 from headway.sources.raw_log import append_raw, read_raw
 from headway.sources.scratch import new_folder, written
-from headway.streaming.feeds import stream_trip_feed, stream_vehicle_feed
+from headway.streaming.checks import QUARANTINE, StreamChecks
+from headway.streaming.feeds import read_log_stream, stream_trip_feed, stream_vehicle_feed
 from headway.plans.live import live_fleet
 from headway.streaming import pings as ping_stream
 from headway.streaming.fleet import (
@@ -251,6 +252,43 @@ def _sorted_pings(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+def _stream_checks(spark: SparkSession, sf_dir: str) -> dict[str, StreamChecks]:
+    """The checks of both staged feeds over every cleaned row of logs that grow in three steps,
+    usable or not and with all copies."""
+    lineage = Lineage(spark, sf_dir)
+    folder = new_folder(spark, "checked")
+    models = {
+        "stg_trip_updates": (lineage.raw_trip(), schemas.RAW_TRIP_UPDATES, staging.keyed_updates),
+        "stg_vehicle_positions": (lineage.raw_vehicle(), schemas.RAW_VEHICLE_POSITIONS, staging.clean_vehicle_positions),
+    }
+    found = {}
+    for model, (raw, schema, cleaned) in models.items():
+        found[model] = StreamChecks(spark, model, f"{folder}/{model}")
+        for arrived in _arrivals(raw, *SLICES):
+            append_raw(arrived, f"{folder}/{model}_log")
+            log = read_log_stream(spark, f"{folder}/{model}_log", schema)
+            found[model].start(cleaned(log), f"{folder}/{model}_progress").awaitTermination()
+    return found
+
+
+def _stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    updates, pings = _stream_checks(spark, sf_dir).values()
+    return updates.totals().unionByName(pings.totals())
+
+
+def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _stream_checks(spark, sf_dir)["stg_trip_updates"].rows(schemas.MODELS["stg_trip_updates"], QUARANTINE)
+    return rows.select("entity_id", "event_key", "trip_id", "route_id", F.concat_ws(", ", "failed").alias("failed"))
+
+
+def _polled(spark: SparkSession, sf_dir: str, polls, schema: str, flatten) -> DataFrame:
+    """Whole polls written as feed files, read back and flattened."""
+    folder = new_folder(spark, "polls")
+    polls(Lineage(spark, sf_dir).source).write.json(folder)
+    # The batch time is that of the run, so it is left out.
+    return flatten(feeds.read_feed(spark, folder, schema)).drop("ingested_at")
+
+
 def _hourly_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours of a stream of golden events that come in several batches, in no order of time."""
     folder = new_folder(spark, "windows")
@@ -370,6 +408,14 @@ def transit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_feed_ingest": _ingested,
         "stream_live_replay": _live_replay,
         "stream_vehicle_ingest": _vehicles_ingested,
+        "stream_dq_totals": _stream_totals,
+        "stream_quarantine": _quarantine,
+        "flatten_trip_polls": lambda spark, sf_dir: _polled(
+            spark, sf_dir, event_stream.trip_polls, schemas.TRIP_FEED, feeds.flatten_trip_updates
+        ),
+        "flatten_vehicle_polls": lambda spark, sf_dir: _polled(
+            spark, sf_dir, event_stream.vehicle_polls, schemas.VEHICLE_FEED, feeds.flatten_vehicle_positions
+        ),
         "stream_freshness_notes": _freshness_notes,
         "stream_distinct_pings": lambda spark, sf_dir: ping_stream.read_kept(spark, _sorted_pings(spark, sf_dir)).drop(
             "batch", "ping_date"

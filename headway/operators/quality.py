@@ -123,22 +123,28 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     return df.join(repeated, same, "left_semi")
 
 
+def own_checks(model: str, checks: tuple[Check, ...] = CHECKS) -> list[Check]:
+    return [c for c in checks if c.model == model]
+
+
+def _fails(check: Check) -> Column:
+    """Whether a row fails a row-level check; a null is no accepted value, but fails only not_null."""
+    value = F.col(check.column)
+    return value.isNull() if check.test == "not_null" else F.coalesce(~value.isin(*check.values), F.lit(False))
+
+
+def failed_checks(model: str, checks: tuple[Check, ...] = CHECKS) -> Column:
+    """The names of the row-level checks that a row of the model fails."""
+    own = [c for c in own_checks(model, checks) if c.test != "unique"]
+    if not own:
+        return F.array().cast("array<string>")
+    return F.array_compact(F.array(*(F.when(_fails(c), f"{c.test}({c.column})") for c in own)))
+
+
 def split_rows(df: DataFrame, model: str, checks: tuple[Check, ...] = CHECKS) -> tuple[DataFrame, DataFrame]:
     """Rows that pass all row-level checks of a model, and the others with the names of the
     checks they fail in ``failed``."""
-    own = [c for c in checks if c.model == model and c.test != "unique"]
-    failed = F.array_compact(
-        F.array(
-            *(
-                F.when(
-                    F.col(c.column).isNull() if c.test == "not_null" else ~F.col(c.column).isin(*c.values),
-                    f"{c.test}({c.column})",
-                )
-                for c in own
-            )
-        )
-    ) if own else F.array().cast("array<string>")
-    marked = df.withColumn("failed", failed)
+    marked = df.withColumn("failed", failed_checks(model, checks))
     return marked.where(F.size("failed") == 0).drop("failed"), marked.where(F.size("failed") > 0)
 
 

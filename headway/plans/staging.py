@@ -25,9 +25,9 @@ def usable_update() -> Column:
     return F.col("event_time").isNotNull() & has_text("route_id") & is_kind
 
 
-def clean_trip_updates(raw: DataFrame, extra_key: Sequence[str] = ()) -> DataFrame:
-    """Usable stop predictions with their key, before the newest per key is chosen."""
-    cleaned = raw.where(usable_update()).select(
+def keyed_updates(raw: DataFrame, extra_key: Sequence[str] = ()) -> DataFrame:
+    """Cleaned predictions with their key, usable or not."""
+    cleaned = raw.select(
         "ingested_at",
         "feed_timestamp",
         "source",
@@ -42,6 +42,11 @@ def clean_trip_updates(raw: DataFrame, extra_key: Sequence[str] = ()) -> DataFra
     return cleaned.withColumn("event_key", stop_event_key(extra=extra_key))
 
 
+def clean_trip_updates(raw: DataFrame, extra_key: Sequence[str] = ()) -> DataFrame:
+    """Usable stop predictions with their key, before the newest per key is chosen."""
+    return keyed_updates(raw.where(usable_update()), extra_key)
+
+
 def stg_trip_updates(raw: DataFrame, extra_key: Sequence[str] = ()) -> DataFrame:
     """Newest prediction per stop event."""
     return latest_per_key(clean_trip_updates(raw, extra_key), ["event_key"], [F.desc(c) for c in NEWEST_UPDATE])

@@ -155,3 +155,57 @@ def vehicle_feed(events: DataFrame) -> DataFrame:
         F.struct(_epoch_seconds(F.col("feed_timestamp")).alias("timestamp")).alias("header"),
         F.array(F.struct(F.col("entity_id").alias("id"), vehicle.alias("vehicle"))).alias("entity"),
     )
+
+
+# Riders of a poll are dealt to this many messages, as large feeds come in pages.
+_PAGES = 4
+
+
+def _page() -> Column:
+    return F.pmod("user_id", F.lit(_PAGES))
+
+
+def trip_polls(events: DataFrame) -> DataFrame:
+    """Whole polls as messages: an entity per trip, a stop update per event with an arrival, a
+    departure 40 seconds after it, both or neither, and an entity of another kind."""
+    event, user = F.col("event_id"), F.col("user_id")
+    wanted = "feed_timestamp", "event_time", "delay_sec", "stop_id", "stop_sequence"
+    rows = raw_trip_updates(events).select(F.col("entity_id").cast("bigint").alias("event_id"), *wanted)
+    at = _epoch_seconds(F.col("event_time"))
+    delay = F.coalesce("delay_sec", F.lit(0))
+    zero = F.lit(0).cast("bigint")
+    arrival = F.struct(F.when(event % 3 != 1, at).otherwise(zero).alias("time"), delay.alias("delay"))
+    leaves = (event % 3 != 0) & (at != 0)
+    departure = F.struct(F.when(leaves, at + 40).otherwise(zero).alias("time"), (delay + 10).cast("int").alias("delay"))
+    stop = F.struct(
+        F.coalesce("stop_id", F.lit("")).alias("stop_id"),
+        F.coalesce("stop_sequence", F.lit(0)).alias("stop_sequence"),
+        arrival.alias("arrival"),
+        departure.alias("departure"),
+    )
+    riders = events.select("event_id", "user_id")
+    trips = rows.join(riders, "event_id").groupBy("feed_timestamp", "user_id").agg(F.collect_list(stop).alias("stops"))
+    trip = F.struct(
+        _text("T", user).alias("trip_id"),
+        _text("R", user % 12).alias("route_id"),
+        F.date_format("feed_timestamp", "yyyyMMdd").alias("start_date"),
+        F.lit("08:00:00").alias("start_time"),
+        (user % 4).cast("int").alias("schedule_relationship"),
+    )
+    update = F.struct(trip.alias("trip"), F.col("stops").alias("stop_time_update"))
+    entity = F.struct(_text("E", user).alias("id"), update.alias("trip_update"))
+    alert = F.struct(F.lit("alert").alias("id"), F.when(F.lit(False), update).alias("trip_update"))
+    messages = trips.groupBy("feed_timestamp", _page().alias("page")).agg(
+        F.collect_list(entity).alias("entity"), F.first(alert).alias("alert")
+    )
+    return messages.select(
+        F.struct(_epoch_seconds(F.col("feed_timestamp")).alias("timestamp")).alias("header"),
+        F.array_append("entity", F.col("alert")).alias("entity"),
+    )
+
+
+def vehicle_polls(events: DataFrame) -> DataFrame:
+    """Whole polls as messages with an entity per ping."""
+    single = vehicle_feed(events).select("header", F.explode("entity").alias("entity"))
+    page = F.pmod(F.xxhash64("entity.vehicle.vehicle.id"), F.lit(_PAGES))
+    return single.groupBy("header", page.alias("page")).agg(F.collect_list("entity").alias("entity")).drop("page")

@@ -140,7 +140,7 @@ class FreshnessMonitor(StreamingQueryListener):
         if observed is not None and observed["newest"] is not None:
             newest = F.lit(observed["newest"]).cast("timestamp_ntz").alias("feed_timestamp")
             folder = f"{self.notes}/batch={event.progress.batchId}"
-            self.spark.range(1).select(newest).write.mode("overwrite").parquet(folder)
+            self.spark.range(0, 1, 1, 1).select(newest).write.mode("overwrite").parquet(folder)
 
     def onQueryTerminated(self, event) -> None:
         self.ended[str(event.runId)].set()

@@ -86,7 +86,7 @@ def sort_batch(batch: DataFrame, batch_id: int, target: str, lateness: dt.timede
     }
     row = [F.lit(n).cast("bigint").alias(name) for name, n in numbers.items()]
     newest_note = F.lit(found["newest"]).cast("timestamp_ntz").alias("newest")
-    spark.range(1).select(*row, newest_note).write.mode("overwrite").parquet(f"{target}/account/batch={batch_id}")
+    spark.range(0, 1, 1, 1).select(*row, newest_note).write.mode("overwrite").parquet(f"{target}/account/batch={batch_id}")
 
 
 def stream_distinct_pings(

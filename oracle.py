@@ -246,6 +246,19 @@ kept AS (
 )
 
 
+# Every cleaned prediction, usable or not.
+_KEYED = (
+    _RAW_TRIP + f""",
+keyed AS (
+  SELECT *, md5(coalesce(trip_id, '') || '-' || coalesce(stop_id, '') || '-' || coalesce(event_type, '')) AS event_key
+  FROM (
+    SELECT entity_id, {_clean('trip_id')} AS trip_id, {_clean('route_id')} AS route_id, {_clean('stop_id')} AS stop_id,
+      upper(trim(event_type)) AS event_type, event_time
+    FROM raw_trip
+  )
+)"""
+)
+
 # Three batches of pings; each is late where it is ten days older than all earlier batches.
 _SORTED = (
     _RAW_VEHICLE + "," + _STAGED_VEHICLE + """,
@@ -467,6 +480,60 @@ FROM compare WHERE wow_avg_delay_sec > 0""",
 FROM raw_trip WHERE event_time IS NOT NULL AND event_type <> 'SKIPPED'""",
         ),
         "stream_live_replay": _select(_LIVE, "SELECT * FROM live"),
+        "stream_dq_totals": _select(
+            _KEYED + "," + _RAW_VEHICLE_BODY + "," + _STAGED_VEHICLE,
+            """SELECT 'stg_trip_updates' AS model, * FROM (
+  SELECT 'event_key' AS "column", 'unique' AS test, count(*) AS failures
+  FROM (SELECT event_key FROM keyed GROUP BY event_key HAVING count(*) > 1)
+  UNION ALL SELECT 'event_key', 'not_null', count(*) FROM keyed WHERE event_key IS NULL
+  UNION ALL SELECT 'event_time', 'not_null', count(*) FROM keyed WHERE event_time IS NULL
+  UNION ALL SELECT 'event_type', 'accepted_values', count(*) FROM keyed WHERE event_type NOT IN ('ARRIVAL', 'DEPARTURE')
+  UNION ALL SELECT 'trip_id', 'not_null', count(*) FROM keyed WHERE trip_id IS NULL
+  UNION ALL SELECT 'route_id', 'not_null', count(*) FROM keyed WHERE route_id IS NULL
+)
+UNION ALL SELECT 'stg_vehicle_positions', * FROM (
+  SELECT 'vehicle_event_key', 'unique', count(*)
+  FROM (SELECT vehicle_event_key FROM usable_vehicle WHERE vehicle_event_key IS NOT NULL GROUP BY 1 HAVING count(*) > 1)
+  UNION ALL SELECT 'vehicle_event_key', 'not_null', count(*) FROM usable_vehicle WHERE vehicle_event_key IS NULL
+  UNION ALL SELECT 'vehicle_id', 'not_null', count(*) FROM usable_vehicle WHERE vehicle_id IS NULL
+  UNION ALL SELECT 'timestamp', 'not_null', count(*) FROM usable_vehicle WHERE timestamp IS NULL
+)""",
+        ),
+        "stream_quarantine": _select(
+            _KEYED,
+            """SELECT entity_id, event_key, trip_id, route_id, concat_ws(', ',
+  CASE WHEN event_time IS NULL THEN 'not_null(event_time)' END,
+  CASE WHEN event_type NOT IN ('ARRIVAL', 'DEPARTURE') THEN 'accepted_values(event_type)' END,
+  CASE WHEN trip_id IS NULL THEN 'not_null(trip_id)' END,
+  CASE WHEN route_id IS NULL THEN 'not_null(route_id)' END) AS failed
+FROM keyed
+WHERE event_time IS NULL OR event_type NOT IN ('ARRIVAL', 'DEPARTURE') OR trip_id IS NULL OR route_id IS NULL""",
+        ),
+        "flatten_trip_polls": _select(
+            _RAW_TRIP + """,
+stops AS (
+  SELECT r.feed_timestamp, e.user_id, e.event_id, r.stop_id, r.stop_sequence, coalesce(r.delay_sec, 0) AS delay,
+    CAST(date_trunc('second', r.event_time) AS TIMESTAMP) AS called
+  FROM raw_trip r JOIN events e ON CAST(e.event_id AS VARCHAR) = r.entity_id
+  WHERE r.event_time IS NOT NULL
+),
+calls AS (
+  SELECT *, 'ARRIVAL' AS event_type, called AS event_time, delay AS delay_sec FROM stops WHERE event_id % 3 <> 1
+  UNION ALL
+  SELECT *, 'DEPARTURE', called + INTERVAL 40 SECOND, delay + 10 FROM stops WHERE event_id % 3 <> 0
+)""",
+            """SELECT feed_timestamp, 'gtfs_rt_trip_updates' AS source, 'E' || user_id AS entity_id, 'T' || user_id AS trip_id,
+  'R' || (user_id % 12) AS route_id, strftime(feed_timestamp, '%Y%m%d') AS start_date, '08:00:00' AS start_time,
+  stop_id, stop_sequence, event_type, event_time, nullif(delay_sec, 0) AS delay_sec,
+  CAST(user_id % 4 AS VARCHAR) AS schedule_relationship, CAST(NULL AS VARCHAR) AS raw_json
+FROM calls""",
+        ),
+        "flatten_vehicle_polls": _select(
+            _RAW_VEHICLE,
+            """SELECT * EXCLUDE (ingested_at)
+  REPLACE ('gtfs_rt_vehicle_positions' AS source, coalesce(position_lat, 0.0::DOUBLE) AS position_lat)
+FROM raw_vehicle""",
+        ),
         "stream_freshness_notes": _select(_FRESHNESS, "SELECT * FROM freshness"),
         "stream_distinct_pings": _select(_SORTED, "SELECT * EXCLUDE (batch, seen_at, is_late) FROM first_copies"),
         "stream_ping_account": _select(

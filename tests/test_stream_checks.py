@@ -1,0 +1,103 @@
+"""Checks on streams against the checks over all rows at once."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from conftest import as_set
+from headway.operators.quality import Check, run_checks, split_rows
+from headway.sources.scratch import new_folder
+from headway.sources.table import StoredTable
+from headway.streaming.checks import GOOD, QUARANTINE, StreamChecks
+
+SCHEMA = "k string, n int, v string"
+CHECKS = (
+    Check("m", "k", "unique"),
+    Check("m", "k, n", "unique"),
+    Check("m", "k", "not_null"),
+    Check("m", "n", "not_null"),
+    Check("m", "v", "accepted_values", ("x", "y")),
+)
+BATCHES = [
+    [("a", 1, "x"), ("b", 2, "z"), (None, 3, None), ("c", None, "x")],
+    [("a", 1, "y"), ("d", 4, "x"), (None, 3, "x"), ("c", None, "z")],
+    [("d", 5, "x"), ("e", 6, None), ("e", 6, "y"), ("e", 6, "y")],
+]
+
+
+@pytest.fixture
+def folder(spark):
+    return new_folder(spark, "checks")
+
+
+def follow(spark, folder, checks):
+    rows = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    checks.start(rows, f"{folder}/progress").awaitTermination()
+
+
+def landed(spark, folder, *batches):
+    for batch in batches:
+        spark.createDataFrame(batch, SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+
+def expected_totals(spark, rows):
+    """The checks over all rows; of two unique checks each on its own."""
+    df = spark.createDataFrame(rows, SCHEMA)
+    first = run_checks({"m": df}, (CHECKS[0], *CHECKS[2:]))
+    return as_set(first) | as_set(run_checks({"m": df}, (CHECKS[1],)))
+
+
+def test_totals_equal_the_checks_over_all_rows(spark, folder):
+    checks = StreamChecks(spark, "m", f"{folder}/out", CHECKS, buckets=4)
+    for n, batch in enumerate(BATCHES, 1):
+        landed(spark, folder, batch)
+        follow(spark, folder, checks)
+        rows = [row for b in BATCHES[:n] for row in b]
+        assert as_set(checks.totals()) == expected_totals(spark, rows)
+    df = spark.createDataFrame([row for b in BATCHES for row in b], SCHEMA)
+    good, bad = split_rows(df, "m", CHECKS)
+    assert sorted(map(str, checks.rows(SCHEMA, GOOD).collect())) == sorted(map(str, good.collect()))
+    assert sorted(map(str, checks.rows(SCHEMA, QUARANTINE).collect())) == sorted(map(str, bad.collect()))
+
+
+@pytest.mark.parametrize("lost_at", ["k", "k_n"])
+def test_a_repeated_batch_counts_once(spark, folder, monkeypatch, lost_at):
+    checks = StreamChecks(spark, "m", f"{folder}/out", CHECKS, buckets=4)
+    landed(spark, folder, BATCHES[0])
+    follow(spark, folder, checks)
+    landed(spark, folder, BATCHES[1])
+    replace = StoredTable.replace
+
+    def lost(self, *args, **notes):
+        if self.path.endswith(f"keys_{lost_at}"):
+            raise RuntimeError("driver lost")
+        return replace(self, *args, **notes)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(StoredTable, "replace", lost)
+        with pytest.raises(StreamingQueryException):
+            follow(spark, folder, checks)
+    follow(spark, folder, checks)
+    assert as_set(checks.totals()) == expected_totals(spark, BATCHES[0] + BATCHES[1])
+    checks.apply(spark.createDataFrame(BATCHES[1], SCHEMA), 1)
+    assert as_set(checks.totals()) == expected_totals(spark, BATCHES[0] + BATCHES[1])
+
+
+def test_only_touched_buckets_are_read(spark, folder, monkeypatch):
+    checks = StreamChecks(spark, "m", f"{folder}/out", (CHECKS[0],), buckets=16)
+    checks.apply(spark.createDataFrame([(f"k{i}", i, "x") for i in range(200)], SCHEMA), 0)
+    read = []
+    plain = StoredTable.read
+    monkeypatch.setattr(StoredTable, "read", lambda self, parts=None, **o: read.append(parts) or plain(self, parts, **o))
+    checks.apply(spark.createDataFrame([("k7", 1, "x")], SCHEMA), 1)
+    assert [len(parts) for parts in read] == [1]
+    assert as_set(checks.totals(), "failures") == {(1,)}
+
+
+def test_empty_batches_and_models_without_checks(spark, folder):
+    checks = StreamChecks(spark, "m", f"{folder}/out", CHECKS)
+    checks.apply(spark.createDataFrame([], SCHEMA), 0)
+    assert as_set(checks.totals().select("column", "test", "failures")) == {(c.column, c.test, 0) for c in CHECKS}
+    with pytest.raises(ValueError, match="no checks"):
+        StreamChecks(spark, "other", folder, CHECKS)
