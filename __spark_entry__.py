@@ -7,6 +7,7 @@ are derived by plain projections.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import importlib
 import importlib.util
 import os
@@ -15,7 +16,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -200,18 +201,51 @@ def _feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.unionByName(bad.select(F.col("reason").alias("outcome"))).groupBy("outcome").agg(F.count("*").alias("n"))
 
 
-def _project_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All models built in a warehouse from two arrivals, then those of one tag again."""
+def _built(spark: SparkSession, sf_dir: str) -> tuple[Project, dict[str, DataFrame]]:
+    """All models built in a warehouse from two arrivals."""
     lineage = Lineage(spark, sf_dir)
     folder = new_folder(spark, "project")
     project = Project(spark, f"{folder}/updates", f"{folder}/pings", f"{folder}/warehouse")
     for updates, pings in zip(_arrivals(lineage.raw_trip(), CUTOFF), _arrivals(lineage.raw_vehicle(), CUTOFF)):
         append_raw(updates, project.trip_log)
         append_raw(pings, project.vehicle_log)
-        project.build(as_of=AS_OF)
+        models = project.build(as_of=AS_OF)
+    return project, models
+
+
+def _project_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live mart of a project whose models of one tag were built again."""
+    project, _ = _built(spark, sf_dir)
     return project.build(tags=["bi_layer"], as_of=AS_OF)["fct_latest_vehicle_positions"]
 
 
+def _project_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of every model a project stores, as text: one kind of value, one way to write it."""
+
+    def text(field: T.StructField) -> Column:
+        value = F.col(field.name)
+        shown = value.cast("string")
+        if isinstance(field.dataType, T.TimestampNTZType):
+            shown = F.concat(F.substring(shown, 1, 19), F.lit("."), F.rpad(F.substring(shown, 21, 6), 6, "0"))
+        elif isinstance(field.dataType, T.DoubleType):
+            shown = F.round(value, 6).cast("decimal(18,6)").cast("string")
+        return F.coalesce(shown, F.lit("~"))
+
+    _, models = _built(spark, sf_dir)
+    rows = [
+        df.select(F.lit(name).alias("model"), F.concat_ws("|", *map(text, sorted(df.schema, key=lambda f: f.name))).alias("stored"))
+        for name, df in models.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
+def _freshness_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freshness at the time of the query, in days, which are the same for a while."""
+    alert = freshness.freshness_alert(freshness.mart_data_freshness(Lineage(spark, sf_dir).staged()))
+    days = F.floor(F.col("hours_since_last_feed") / 24).alias("days_since_last_feed")
+    return alert.select("last_feed_timestamp", days, "is_stale")
+
+
 def _live_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live mart from the snapshots that two stateful streams keep while both logs grow."""
     lineage = Lineage(spark, sf_dir)
@@ -431,6 +465,8 @@ def transit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mixed_log_append": _mixed_log,
         "feed_rejects": _feed_rejects,
         "project_build": _project_build,
+        "project_models": _project_models,
+        "freshness_now": _freshness_now,
         "daily_delay_trend_compare": metrics(lambda m: dashboard.daily_delay_trend_compare(m.daily())),
         "failing_rows": over(
             lambda m: failing_rows(m.staged(), Check("stg_trip_updates", "trip_id", "not_null")).select(

@@ -6,6 +6,8 @@ of ranked windows, ``quantile_disc`` for percentiles, self joins for the calenda
 
 from __future__ import annotations
 
+from headway.schemas import MODELS
+
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 AFTER_MIDNIGHT = "TIMESTAMP '2024-01-30 00:15:00'"
 CUTOFF = "TIMESTAMP '2024-01-15 00:00:00'"
@@ -246,6 +248,63 @@ kept AS (
 )
 
 
+# All models of a project built from two arrivals, the events by increments.
+_PROJECT = (
+    _STAGED_BOTH
+    + "," + _newest_trip("staged_old", f"ingested_at < {CUTOFF}")
+    + "," + _golden("target", "staged_old")
+    + "," + _newest_trip("staged_new", "ingested_at > (SELECT max(ingested_at) FROM target)")
+    + "," + _golden("delta", "staged_new")
+    + """,
+merged AS (
+  SELECT * FROM target WHERE event_key NOT IN (SELECT event_key FROM delta)
+  UNION ALL SELECT * FROM delta
+),"""
+    + _hourly("hourly", "merged") + "," + _daily("daily", "hourly") + _COMPARE.removeprefix(_DAILY)
+    + "," + _LIVE_BODY + _FRESHNESS.removeprefix(_STAGED)
+)
+_ROLLING_BODY = """SELECT c.route_id, c.date_day, round(avg(b.pct_events_delayed_5m), 6) AS pct_delayed_7d_avg,
+  round(avg(b.avg_delay_sec), 6) AS avg_delay_7d_avg
+FROM (SELECT *, row_number() OVER (PARTITION BY route_id ORDER BY date_day) AS n FROM daily) c
+JOIN (SELECT *, row_number() OVER (PARTITION BY route_id ORDER BY date_day) AS n FROM daily) b
+  ON b.route_id = c.route_id AND b.n BETWEEN c.n - 6 AND c.n
+GROUP BY c.route_id, c.date_day"""
+
+
+def _project_rows() -> str:
+    """Every stored row as text: model, and the values of its columns in alphabetical order of
+    their names. Timestamps have six digits, doubles six decimals, nulls are a tilde."""
+
+    def text(column: str, kind: str) -> str:
+        shown = {
+            "timestamp_ntz": f"strftime({column}, '%Y-%m-%d %H:%M:%S.%f')",
+            "double": f"CAST(CAST(round({column}, 6) AS DECIMAL(18, 6)) AS VARCHAR)",
+        }.get(kind, f"CAST({column} AS VARCHAR)")
+        return f"coalesce({shown}, '~')"
+
+    relations = {
+        "stg_trip_updates": "staged",
+        "stg_vehicle_positions": "staged_vehicle",
+        "int_trip_stop_events_deduped": "merged",
+        "int_route_delay_hourly": "hourly",
+        "dim_route": "(SELECT DISTINCT route_id FROM merged WHERE route_id IS NOT NULL)",
+        "dim_date": """(SELECT DISTINCT event_date AS date_day, year(event_date) AS year, month(event_date) AS month,
+  day(event_date) AS day, dayofweek(event_date) + 1 AS day_of_week, dayname(event_date) AS day_name FROM merged)""",
+        "fct_route_delay_hourly": f"({_MART_HOURLY.format('hourly')})",
+        "fct_route_delay_daily": "daily",
+        "fct_route_delay_daily_compare": "compare",
+        "fct_route_delay_daily_rolling": f"({_ROLLING_BODY})",
+        "fct_latest_vehicle_positions": "live",
+        "mart_data_freshness": "freshness",
+    }
+    parts = []
+    for model, relation in relations.items():
+        columns = sorted(field.split() for field in MODELS[model].split(", "))
+        line = " || '|' || ".join(text(name, kind) for name, kind in columns)
+        parts.append(f"SELECT '{model}' AS model, {line} AS stored FROM {relation}")
+    return _select(_PROJECT, "\nUNION ALL ".join(parts))
+
+
 # Every cleaned prediction, usable or not.
 _KEYED = (
     _RAW_TRIP + f""",
@@ -397,12 +456,7 @@ FROM raw_vehicle""",
         "fct_route_delay_daily_compare_calendar": _rounded(_CALENDAR, "calendar", *_COMPARE_DOUBLES),
         "fct_route_delay_daily_rolling": _select(
             _DAILY,
-            """SELECT c.route_id, c.date_day, round(avg(b.pct_events_delayed_5m), 6) AS pct_delayed_7d_avg,
-  round(avg(b.avg_delay_sec), 6) AS avg_delay_7d_avg
-FROM (SELECT *, row_number() OVER (PARTITION BY route_id ORDER BY date_day) AS n FROM daily) c
-JOIN (SELECT *, row_number() OVER (PARTITION BY route_id ORDER BY date_day) AS n FROM daily) b
-  ON b.route_id = c.route_id AND b.n BETWEEN c.n - 6 AND c.n
-GROUP BY c.route_id, c.date_day""",
+            _ROLLING_BODY,
         ),
         "dim_route": _select(_EVENTS, "SELECT DISTINCT route_id FROM golden WHERE route_id IS NOT NULL"),
         "dim_date": _select(
@@ -546,6 +600,13 @@ JOIN (SELECT batch, count(*) AS kept FROM first_copies GROUP BY batch) k USING (
 JOIN newest n USING (batch)""",
         ),
         "project_build": _select(_LIVE, "SELECT * FROM live"),
+        "project_models": _project_rows(),
+        "freshness_now": _select(
+            _STAGED,
+            """SELECT max(feed_timestamp) AS last_feed_timestamp,
+  date_sub('day', max(feed_timestamp), make_timestamp(epoch_us(now()))) AS days_since_last_feed,
+  date_sub('minute', max(feed_timestamp), make_timestamp(epoch_us(now()))) > 120 AS is_stale FROM staged""",
+        ),
         "mixed_log_append": _select(
             _RAW_TRIP,
             """SELECT feed_timestamp, 'gtfs_rt_trip_updates' AS source, entity_id, trip_id, route_id,

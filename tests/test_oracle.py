@@ -13,7 +13,7 @@ from conftest import SF, SF_SMALL
 QUERIES = registry.transit_queries()
 ORACLE = registry.oracle.statements()
 STREAMED = {name for name in QUERIES if name.startswith("stream_")} | {
-    "incremental_upsert", "mixed_log_append", "feed_rejects", "project_build"
+    "incremental_upsert", "mixed_log_append", "feed_rejects", "project_build", "project_models"
 }
 TYPES = {
     "string": "VARCHAR",
