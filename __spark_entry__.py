@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 import oracle
 from headway import schemas
 from headway.operators.quality import Check, failing_rows, run_checks
-from headway.plans import dashboard, delays, dimensions, events, fleet, freshness, increments, staging
+from headway.plans import dashboard, delays, dimensions, events, fleet, freshness, increments, sketches, staging
 from headway.plans.pipeline import Project
 from headway.sources import event_stream, feeds
 from headway.sources.ingest import run_ingest
@@ -332,6 +332,13 @@ def _hourly_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly_windows(spark, f"{folder}/counts")
 
 
+def _delay_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days and weeks merged from stored sketches of the hours."""
+    folder = new_folder(spark, "sketches")
+    hours = written(sketches.hourly_sketches(Lineage(spark, sf_dir).events()), folder)
+    return sketches.delay_percentiles(hours, "day").unionByName(sketches.delay_percentiles(hours, "week"))
+
+
 def _dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checks over built models: what several of them read is written once."""
     lineage = Lineage(spark, sf_dir)
@@ -431,6 +438,7 @@ def transit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "active_vehicles": over(lambda m: dashboard.active_vehicles(m.live(), ghost_after_min=2880)),
         "worst_delays_topk": over(lambda m: dashboard.worst_delays_topk(m.live(), k=10)),
         "routes_getting_slower": metrics(lambda m: dashboard.routes_getting_slower(m.compare())),
+        "route_delay_percentiles": _delay_percentiles,
         "dq_results": _dq_results,
         "stream_golden_replay": lambda spark, sf_dir: increments.events_table(spark, _replayed(spark, sf_dir)).read(),
         "stream_hourly_replay": lambda spark, sf_dir: _rounded(

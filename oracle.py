@@ -525,6 +525,15 @@ FROM trend t LEFT JOIN trend e ON e.date_day = t.date_day - INTERVAL 7 DAY""",
   round(avg_delay_prev_week, 6) AS avg_delay_prev_week, round(wow_avg_delay_sec, 6) AS wow_avg_delay_sec
 FROM compare WHERE wow_avg_delay_sec > 0""",
         ),
+        "route_delay_percentiles": _select(
+            _EVENTS,
+            "\nUNION ALL ".join(
+                f"""SELECT route_id, '{period}' AS period, CAST(date_trunc('{period}', event_date) AS DATE) AS first_day,
+  count(*) AS num_events, quantile_disc(delay_sec, 0.5) AS p50_delay_sec, quantile_disc(delay_sec, 0.9) AS p90_delay_sec
+FROM golden WHERE route_id IS NOT NULL AND delay_sec IS NOT NULL GROUP BY ALL"""
+                for period in ("day", "week")
+            ),
+        ),
         "dq_results": _checks(),
         "stream_feed_ingest": _select(
             _RAW_TRIP,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, SF_SMALL, as_set
+from conftest import AS_OF, SF_SMALL, as_set, moment
 from headway import schemas
 from headway.functions import utc_literal
 from headway.operators.quality import CHECKS, Check, failing_rows, run_checks, split_rows
@@ -15,7 +16,7 @@ from headway.plans.events import int_trip_stop_events_deduped
 from headway.plans.pipeline import MODELS, Project, tagged
 from headway.plans.staging import stg_trip_updates, stg_vehicle_positions
 from headway.sources import event_stream
-from headway.sources.raw_log import append_raw
+from headway.sources.raw_log import append_raw, read_newest, read_raw, read_zones
 from headway.sources.scratch import new_folder
 
 CUT = "2024-01-15 00:00:00"
@@ -102,10 +103,35 @@ def test_failing_rows_and_split(spark):
     }
 
 
-def test_source_freshness_reads_the_newest_date(run):
-    project, _, _, _ = run
-    plan = project.source_freshness(AS_OF)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("PartitionFilters: [isnotnull(ingest_date") == 2
+def test_source_freshness_opens_no_data_file(run, spark):
+    project, _, updates, pings = run
+    found = project.source_freshness(AS_OF)
+    assert {f.split("/")[-3] for f in found.inputFiles()} == {"log_loads", "vlog_loads"}
+    logs = {"raw_trip_updates": updates, "raw_vehicle_positions": pings}
+    assert as_set(found) == as_set(freshness.source_freshness(logs, AS_OF))
+    zones = read_zones(spark, project.trip_log)
+    assert zones.agg(F.sum("rows")).first()[0] == updates.count() and zones.count() == 2
+
+
+def test_loads_before_a_mark_are_not_opened(spark, trip_rows):
+    log = f"{new_folder(spark, 'zones')}/log"
+    for minute in (20, 40, 50):
+        append_raw(trip_rows({"ingested_at": f"10 08:{minute}", "stop_id": f"s{minute}"}), log, f"at{minute}")
+    append_raw(trip_rows({"ingested_at": "09 23:50"}, {"ingested_at": "10 08:45", "stop_id": "s45"}), log, "both")
+
+    def opened(**mark):
+        rows = read_raw(spark, log, schemas.RAW_TRIP_UPDATES, **mark)
+        chosen = rows._jdf.queryExecution().optimizedPlan().toString()
+        return set(re.findall(r"\bat\d\d\b", chosen)), as_set(rows, "stop_id")
+
+    assert opened(ingested_after="2024-01-10 08:40:00") == ({"at20", "at40"}, {("s45",), ("s50",)})
+    assert opened(ingested_from="2024-01-10 08:40:00") == ({"at20"}, {("s40",), ("s45",), ("s50",)})
+    # A load whose writer died before its zone is read as any other.
+    trip_rows({"ingested_at": "10 08:55", "stop_id": "lost"}).withColumns(
+        {"ingest_date": F.to_date("ingested_at"), "load": F.lit("lost")}
+    ).write.mode("append").partitionBy("ingest_date", "load").parquet(log)
+    assert opened(ingested_after="2024-01-10 08:50:00")[1] == {("lost",)}
+    assert read_newest(spark, log, schemas.RAW_TRIP_UPDATES).agg(F.max("ingested_at")).first()[0] == moment("10 08:55")
 
 
 def test_checks_on_the_project(run):

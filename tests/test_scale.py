@@ -12,7 +12,7 @@ import __spark_entry__ as registry
 from conftest import AS_OF, SF_SMALL, as_set
 from headway import schemas
 from headway.functions import utc_literal
-from headway.plans import delays, fleet
+from headway.plans import delays, fleet, sketches
 from headway.plans.events import int_trip_stop_events_deduped
 from headway.plans.staging import stg_trip_updates, stg_vehicle_positions
 from headway.sources import event_stream
@@ -235,3 +235,24 @@ def test_no_local_checkpoint_in_the_package():
             if name.endswith(".py"):
                 with open(os.path.join(folder, name)) as f:
                     assert "localCheckpoint" not in f.read()
+
+
+def test_sketches_keep_their_bound_at_any_size(spark):
+    """A hot route with far more events than a sketch holds, dealt over many hours and tasks."""
+    delays_of = F.pmod(F.xxhash64("id"), F.lit(9000)).cast("int")
+    hour = F.timestamp_add("HOUR", (F.col("id") % 40).cast("int"), utc_literal("2024-01-08 00:00:00"))
+    events = spark.range(0, 600_000, 1, 16).select(
+        F.when(F.col("id") % 50 == 0, "small").otherwise("hot").alias("route_id"), hour.alias("event_hour"), delays_of.alias("delay_sec")
+    )
+    found = sketches.delay_percentiles(sketches.hourly_sketches(events), "week").collect()
+    assert {r.route_id: r.num_events for r in found} == {"hot": 588_000, "small": 12_000}
+    for r in found:
+        own = events.where(F.col("route_id") == r.route_id)
+        for share, value in ((0.5, r.p50_delay_sec), (0.9, r.p90_delay_sec)):
+            counts = own.agg(F.count_if(F.col("delay_sec") < value).alias("below"), F.count_if(F.col("delay_sec") <= value).alias("up_to")).first()
+            low, high = counts.below / r.num_events, counts.up_to / r.num_events
+            assert low - sketches.RANK_ERROR <= share <= high + sketches.RANK_ERROR
+    few = events.where(F.col("id") < 4000)
+    exact = few.groupBy("route_id").agg(F.expr("percentile_disc(0.9) WITHIN GROUP (ORDER BY delay_sec)").cast("int").alias("p90_delay_sec"))
+    assert as_set(sketches.delay_percentiles(sketches.hourly_sketches(few), "week"), "route_id", "p90_delay_sec") == as_set(exact)
+    assert sketches.delay_percentiles(sketches.hourly_sketches(events.limit(0))).count() == 0
