@@ -35,13 +35,19 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return folder
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a scratch folder before the program ends, once nothing reads it any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    _made[:] = [made for made in _made if made[1] != folder]
+
+
 def drop_folders() -> None:
     """Deletes the folders made so far; what still reads from them must be done."""
     while _made:
         spark, folder = _made.pop()
         if spark.sparkContext._jsc is not None:  # a stopped session deletes nothing
-            target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            drop_folder(spark, folder)
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
