@@ -129,6 +129,81 @@ def test_band_values_with_many_texts(spark):
     assert all(found[i][0].component == i for i in range(40, 100))
 
 
+def brute_components(texts, size, percent=80):
+    sets = []
+    for text in texts:
+        words = text.split()
+        n = min(size, len(words))
+        sets.append({tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set())
+    label = list(range(len(texts)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for j, b in enumerate(sets):
+        for i, a in enumerate(sets[:j]):
+            common = len(a & b)
+            if common and 100 * common >= percent * (len(a) + len(b) - common):
+                x, y = sorted((root(i), root(j)))
+                label[y] = x
+    return [root(i) for i in range(len(texts))]
+
+
+def test_texts_that_share_a_passage(spark):
+    """Around the limit: own parts of one passage's texts overlap now and then, beyond any hub."""
+    rng = random.Random(11)
+    passages = [[f"p{k}w{i}" for i in range(60)] for k in range(2)]
+    texts = []
+    for k in range(320):
+        own = [f"o{rng.randrange(40)}" if rng.random() < 0.5 else f"u{k}x{i}" for i in range(rng.randrange(4, 26))]
+        passage = passages[k % 2] if k % 5 else passages[0] + passages[1]
+        texts.append(" ".join([*passage[: rng.randrange(50, 61) if k % 5 else 120], *own]))
+    families = [f"f{k % 9}y{i}" if i % 7 else f"z{k}" for k in range(60) for i in range(60)]
+    texts += [" ".join(families[60 * k : 60 * k + 60]) for k in range(60)]
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    texts = [texts[i] for i in order]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(7)
+    for size in (2, 5):
+        found = by_id(near_dedup.near_duplicates(docs, options=near_dedup.Options(shingle=size)))
+        assert [found[i][0].component for i in range(len(texts))] == brute_components(texts, size)
+
+
+def test_pairs_do_not_grow_with_the_square_of_a_passage(spark):
+    made = []
+    for n in (200, 800):
+        rng = random.Random(n)
+        passage = [f"p{i}" for i in range(60)]
+        rows = [(k, 60, " ".join([*passage, *(f"o{rng.randrange(3000)}" for _ in range(13))])) for k in range(n)]
+        docs = spark.createDataFrame([(k, t) for k, _, t in rows], "doc_id bigint, text string")
+        options = near_dedup.Options(shingle=2)
+        texts = near_dedup._texts(docs, "doc_id", "text")
+        classes = texts.select(F.col("doc").alias("id"), "doc", "hash")
+        members = classes.select("id", F.col("id").alias("label"))
+        links, pairs = near_dedup._sharing_rare(members, near_dedup._Source(classes, texts, options))
+        made.append(pairs.count())
+    assert made[1] < 8 * max(made[0], 100), made
+
+
+def test_repeated_and_text_identifiers(spark):
+    long = [f"w{i}" for i in range(60)]
+    a, extra, other = " ".join(long), " ".join([*long, "more"]), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (5, extra), (5, other), (5, other), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(tuple(r) for r in near_dedup.keep_one_of_each(docs).collect()) == [(1, a), (5, other)]
+    found = sorted((str(r.id), r.component, r.kept) for r in near_dedup.near_duplicates(docs).collect())
+    assert found == [("1", 1, True), ("5", 1, False), ("5", 5, True), ("5", 5, True), ("None", 1, False)]
+    more = [(2, other), (5, other + " more"), (5, a)]
+    found = near_dedup.near_duplicates(spark.createDataFrame(more, "doc_id bigint, text string")).collect()
+    assert sorted((r.id, r.component, r.kept) for r in found) == [(2, 2, True), (5, 2, False), (5, 5, True)]
+    named = spark.createDataFrame([("b", a), ("a", extra), ("c", other)], "doc_id string, text string")
+    assert sorted(tuple(r) for r in near_dedup.near_duplicates(named).select("id", "component", "kept").collect()) == [
+        ("a", "a", True), ("b", "a", False), ("c", "c", True)
+    ]
+
+
 def test_registers_estimate_similarity():
     rng = np.random.default_rng(1)
     hashes = rng.integers(0, 2**64, 4000, dtype=np.uint64)
