@@ -1,7 +1,7 @@
 """Registered queries and their expected results as SQL.
 
-Every query reads the ``events`` table of the given folder, from which the raw transit logs
-are derived by plain projections.
+The transit queries read the ``events`` table of the given folder, from which the raw logs are
+derived; the text operators read its documents, pages, conversations and embeddings.
 """
 
 from __future__ import annotations
