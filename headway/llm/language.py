@@ -7,9 +7,11 @@ spherical k-means over its training vectors; a text gets the language of the cen
 the largest cosine. A text farther from it than nearly all training texts of that language
 are from theirs is marked as rejected.
 
-The model is fitted on a bounded sample: per language the ``per_language`` documents whose
-identifiers have the smallest hashes, ``sample`` documents together at most (but ten of each
-language). Prediction reads every text whole; memory follows a slice of it.
+The model is fitted on a bounded sample: per language the ``per_language`` rows whose
+identifiers have the smallest hashes, ``sample`` rows together at most (but ten of each
+language). The limit holds per language and on rows, so neither a large language nor a
+repeated identifier takes another language's place. Prediction reads every text whole;
+memory follows a slice of it.
 """
 
 from __future__ import annotations
@@ -122,37 +124,47 @@ def fit_counts(languages: list[str], counts: np.ndarray, options: Options = Opti
 
 
 def _gram_counts(texts: DataFrame) -> DataFrame:
-    """(lang, counts) of rows (lang, text) whose text has a letter."""
+    """(lang, rank, counts) of rows (lang, text, rank) whose text has a letter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            langs, found = [], []
-            for i, lang in enumerate(batch.column(0).to_pylist()):
+            langs, ranks, found = [], [], []
+            for i, (lang, rank) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
                 own = data[offsets[i] : offsets[i + 1]]
                 if has_letter(own.tobytes()):
                     langs.append(lang)
+                    ranks.append(rank)
                     found.append(counts_of(own).astype(np.float32).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(found, pa.binary())], names=["lang", "counts"])
+            columns = [pa.array(langs, pa.string()), pa.array(ranks, pa.int32()), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "rank", "counts"])
 
-    return texts.mapInArrow(run, "lang string, counts binary")
+    return texts.mapInArrow(run, "lang string, rank int, counts binary")
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", options: Options = Options()) -> Model:
-    """Model of the languages named in ``docs``; rows without one teach nothing."""
+    """Model of the languages named in ``docs``; rows without one teach nothing.
+
+    Rows are chosen by identifier without their texts; the choice, at most ``each`` rows of
+    each language, is broadcast, so texts that are not chosen are never shuffled. Rows that
+    repeat an identifier, null included, are told apart by their text's hash, and equal rows
+    are alike.
+    """
     lang = F.col(lang_col).cast("string").alias("lang")
     named = docs.where(F.col(lang_col).isNotNull())
     n_languages = named.select(lang).distinct().count()
     if n_languages == 0:
         return fit_counts([], np.empty((0, _PLACES)), options)
     each = max(10, min(options.per_language, options.sample // n_languages))
-    # Identifiers are ranked without their texts; the ranks stop at ``each`` in every task.
+    # Ranks stop at ``each`` in every task.
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     ids = named.select(F.col(id_col).alias("id"), lang).withColumn("rank", F.row_number().over(order))
-    ids = ids.where(F.col("rank") <= each).select(F.col("id").alias("chosen")).distinct()
+    ids = ids.where(F.col("rank") <= each).select(F.col("id").alias("chosen"), F.col("lang").alias("of")).distinct()
     texts = named.select(F.col(id_col).alias("id"), lang, F.col(text_col).cast("string").alias("text"))
-    texts = texts.join(ids, F.col("id") == F.col("chosen"), "left_semi").orderBy("lang", "id").limit(2 * each * n_languages)
-    rows = _gram_counts(texts.select("lang", "text")).collect()
+    texts = texts.join(F.broadcast(ids), (F.col("lang") == F.col("of")) & F.col("id").eqNullSafe(F.col("chosen")), "left_semi")
+    place = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", F.xxhash64("text"))
+    texts = texts.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= each)
+    rows = sorted(_gram_counts(texts.select("lang", "text", "rank")).collect(), key=lambda r: (r["lang"], r["rank"]))
     counts = np.stack([np.frombuffer(r["counts"], np.float32) for r in rows]) if rows else np.empty((0, _PLACES))
     return fit_counts([r["lang"] for r in rows], counts, options)
 
