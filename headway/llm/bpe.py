@@ -9,7 +9,7 @@ The result is exactly that of applying merges by rank.
 
 Decoding gathers bytes from one buffer of all tokens through a table of offsets.
 
-Normalising and splitting follow the vocabulary's rules; for text beyond U+07FF, where
+Normalising and splitting follow the vocabulary's rules; for text beyond U+052F, where
 Unicode tables of different age disagree, the public library that owns the format does both.
 
 The vocabulary file is read once per Python worker. Words are encoded once per worker and
@@ -219,7 +219,7 @@ class Vocabulary:
         """Ids of text without white space."""
         if chunk.isascii():
             return b"".join([known[piece] for piece in self.pieces.findall(chunk.lower())])
-        if max(chunk) > "\u07ff":
+        if max(chunk) > "\u052f":
             # Unicode tables differ between Python and the library, which decides here.
             rules = self.library()
             pieces = rules.pre_tokenizer.pre_tokenize_str(rules.normalizer.normalize_str(chunk))
