@@ -28,6 +28,7 @@ from headway.llm.html import blocks
 VERSION = "WARC/1.1"
 _LINE = "\r\n"
 _BETWEEN = "\r\n\r\n"
+_PIECE = 1 << 14
 _TITLE = re.compile(r"(?is)<title[^>]*>(.*?)(?:</title|\Z)")
 _LANG = re.compile(r"""(?is)<html[^>]*\blang\s*=\s*["']?([\w-]+)""")
 _LINK = re.compile(r"""(?is)<a\s[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
@@ -202,55 +203,121 @@ def write_records(records: DataFrame, path: str) -> None:
     writer.option("lineSep", _BETWEEN).option("compression", "gzip").text(path)
 
 
-def parse(data: bytes, name: str = "") -> Iterator[tuple[dict[str, str], bytes]]:
+def _inflated(data: memoryview, name: str) -> Iterator[bytes]:
+    """Content of a gzipped file of any number of members, piece by piece."""
+    at = 0
+    while at < len(data):
+        if data[at] == 0:  # padding after a member
+            at += 1
+            continue
+        member = zlib.decompressobj(zlib.MAX_WBITS | 16)
+        while not member.eof:
+            if at >= len(data):
+                raise ValueError(f"{name}: compressed data is cut off")
+            piece = data[at : at + _PIECE]
+            yield member.decompress(piece)
+            at += len(piece) - len(member.unused_data)
+
+
+def _pieces(data: memoryview) -> Iterator[bytes]:
+    for at in range(0, len(data), _PIECE):
+        yield bytes(data[at : at + _PIECE])
+
+
+class _Feed:
+    """Bytes that come in pieces, read front to back; what was read is let go."""
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces, self.held, self.at, self.passed = pieces, bytearray(), 0, 0
+
+    def more(self) -> bool:
+        piece = next(self.pieces, None)
+        if piece is None:
+            return False
+        if self.at > len(self.held) // 2:
+            self.passed += self.at
+            del self.held[: self.at]
+            self.at = 0
+        self.held += piece
+        return True
+
+    def has(self, n: int) -> bool:
+        while len(self.held) - self.at < n:
+            if not self.more():
+                return False
+        return True
+
+    def take(self, n: int) -> bytes | None:
+        if not self.has(n):
+            return None
+        self.at += n
+        return bytes(self.held[self.at - n : self.at])
+
+    def take_to(self, end: bytes) -> bytes | None:
+        """What lies before ``end``, which is passed over too."""
+        seen = 0
+        while (found := self.held.find(end, self.at + seen)) < 0:
+            seen = max(0, len(self.held) - self.at - len(end) + 1)
+            if not self.more():
+                return None
+        taken = bytes(self.held[self.at : found])
+        self.at = found + len(end)
+        return taken
+
+    def skip(self, chars: bytes) -> None:
+        while self.has(1) and self.held[self.at] in chars:
+            self.at += 1
+
+
+def parse(data: bytes | memoryview, name: str = "") -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of every record of a file; gzipped files may hold many members.
 
-    A record that is cut off or has no valid header raises an error.
+    One pass, in time linear in the file; beside the file it holds one record. A record that
+    is cut off or has no valid header raises an error.
     """
-    if data[:2] == b"\x1f\x8b":
-        members, rest = [], data
-        while rest.strip(b"\0"):
-            one = zlib.decompressobj(zlib.MAX_WBITS | 16)
-            members.append(one.decompress(rest) + one.flush())
-            if not one.eof:
-                raise ValueError(f"{name}: compressed data is cut off")
-            rest = one.unused_data
-        data = b"".join(members)
-    at = 0
-    while data[at:].strip(b"\r\n"):
-        end = data.find(b"\r\n\r\n", at)
-        lines = data[at : max(end, at)].decode("utf-8", "replace").split(_LINE)
+    data = memoryview(data)
+    feed = _Feed(_inflated(data, name) if bytes(data[:2]) == b"\x1f\x8b" else _pieces(data))
+    feed.skip(b"\r\n")
+    while feed.has(1):
+        begin = feed.passed + feed.at
+        head = feed.take_to(_BETWEEN.encode()) if feed.has(5) and feed.held.startswith(b"WARC/", feed.at) else None
+        lines = (head or b"").decode("utf-8", "replace").split(_LINE)
         headers = dict((n.strip(), v.strip()) for n, _, v in (line.partition(":") for line in lines[1:]))
         length = headers.get("Content-Length", "")
-        if not lines[0].startswith("WARC/") or not length.isdigit() or end + 4 + int(length) > len(data):
-            raise ValueError(f"{name}: no whole record at byte {at}")
-        start = end + 4
-        at = start + int(length)
-        yield headers, data[start:at]
-        while data[at : at + 2] == _LINE.encode():
-            at += 2
+        block = feed.take(int(length)) if length.isdigit() else None
+        if block is None:
+            raise ValueError(f"{name}: no whole record at byte {begin}")
+        yield headers, block
+        feed.skip(b"\r\n")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Records of WARC files, in the columns of ``SOURCE``; other headers stay in ``headers``.
 
     Files are split among tasks as wholes, as the format asks; one must fit Spark's limit for
-    a binary file (2 GB).
+    a binary file (2 GB). Each is read in one pass, and its records leave in batches of a few
+    megabytes.
     """
+    schema = pa.schema(
+        [*((n, pa.string()) for n in ("record_id", "type", "target_uri", "date")), ("headers", pa.map_(pa.string(), pa.string())), ("block", pa.binary())]
+    )
+    named = ("WARC-Record-ID", "WARC-Type", "WARC-Target-URI", "WARC-Date")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
+        rows, size = [], 0
         for batch in batches:
             for name, content in zip(batch.column(0), batch.column(1)):
-                for headers, block in parse(content.as_py(), name.as_py()):
-                    row = [headers.get(h) for h in ("WARC-Record-ID", "WARC-Type", "WARC-Target-URI", "WARC-Date")]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            *(pa.array([v], pa.string()) for v in row),
-                            pa.array([list(headers.items())], pa.map_(pa.string(), pa.string())),
-                            pa.array([block], pa.binary()),
-                        ],
-                        names=["record_id", "type", "target_uri", "date", "headers", "block"],
-                    )
+                for headers, block in parse(memoryview(content.as_buffer()), name.as_py()):
+                    rows.append((*(headers.get(h) for h in named), list(headers.items()), block))
+                    size += len(block)
+                    if size > 4 << 20 or len(rows) >= 10_000:
+                        yield batch_of(rows)
+                        rows, size = [], 0
+        if rows:
+            yield batch_of(rows)
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(run, SOURCE)
