@@ -23,6 +23,13 @@ _AROUND_NAMES = frozenset(
     " replies reply search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget alert"
     " complementary contentinfo copyright respond".split()
 )
+# Names that say where or in what form such a part stands; with one of the others they name it.
+_FORMS = frozenset(
+    "area article articles bar blog block body bottom box button buttons card cards container content email entry"
+    " field footer form frame group head header heading icons inner inline input item items js label left link links"
+    " list main mobile news outer overlay page panel policy post posts right row section site slot text thread title"
+    " toggle top unit wrap wrapper".split()
+)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -49,34 +56,63 @@ class _Open(NamedTuple):
     inside: bool
     around: bool
     article: bool
+    named: int  # the innermost element that a name rules out, -1 outside
 
 
 def _surrounds(name: str, rest: str, inside: bool) -> bool:
-    if name in _AROUND or (name == "header" and not inside):
-        return True
-    if _HIDDEN.search(rest):
-        return True
+    return name in _AROUND or (name == "header" and not inside) or _HIDDEN.search(rest) is not None
+
+
+def _named_around(rest: str) -> bool:
+    """Whether a whole name in class, id or role is one of ``_AROUND_NAMES``, alone or with
+    words for place and form: 'comment-list' is, 'share-price' and 'related-work' are not."""
     for values in _NAMED.findall(rest):
         for value in "".join(values).split():
-            parts = [p.lower() for p in _NAME_PARTS.findall(value)]
-            if any(p in _AROUND_NAMES for p in parts):
+            parts = {p.lower() for p in _NAME_PARTS.findall(value)}
+            if parts & _AROUND_NAMES and parts <= _AROUND_NAMES | _FORMS:
                 return True
     return False
 
 
+def _ruled_out(found: list[tuple[Block, int]], outer: list[int]) -> list[bool]:
+    """Per element ruled out by name (``outer``: the one around it), whether it is so all the same.
+
+    One that holds most of the page's text, where no article or main element has text outside
+    such elements, is the page's body, whatever its name.
+    """
+    held = [0] * len(outer)
+    total = apart = 0
+    for block, named in found:
+        if not block.around:
+            total += len(block.text)
+            if named >= 0:
+                held[named] += len(block.text)
+            elif block.inside:
+                apart += len(block.text)
+    for i in range(len(outer) - 1, -1, -1):
+        if outer[i] >= 0:
+            held[outer[i]] += held[i]
+    ruled: list[bool] = []
+    for i, parent in enumerate(outer):
+        ruled.append(apart > 0 or 2 * held[i] <= total or (parent >= 0 and ruled[parent]))
+    return ruled
+
+
 def blocks(page: str) -> list[Block]:
-    """Non-empty blocks in page order. Character references are decoded, white space inside a
+    """Non-empty blocks in page order. A name rules out neither an outermost article or main
+    element nor what holds the page's body. Character references are decoded, white space inside a
     block is one space; unclosed elements and a cut-off end are read as browsers do."""
-    found: list[Block] = []
+    found: list[tuple[Block, int]] = []
+    outer: list[int] = []
     text: list[str] = []
-    stack = [_Open("", False, False, False)]
+    stack = [_Open("", False, False, False, -1)]
     at = 0
 
     def end_block() -> None:
         if text:
             whole = _SPACES.sub(" ", html.unescape("".join(text))).strip()
             if whole:
-                found.append(Block(whole, stack[-1].inside, stack[-1].around, stack[-1].article))
+                found.append((Block(whole, stack[-1].inside, stack[-1].around, stack[-1].article), stack[-1].named))
             text.clear()
 
     while at < len(page):
@@ -106,7 +142,7 @@ def blocks(page: str) -> list[Block]:
         if match["close"]:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].name == name:
-                    if name not in _BLOCKS and stack[depth].around != stack[depth - 1].around:
+                    if name not in _BLOCKS and stack[depth][2::2] != stack[depth - 1][2::2]:
                         end_block()
                     del stack[depth:]
                     break
@@ -117,11 +153,17 @@ def blocks(page: str) -> list[Block]:
                 top = stack[-1]
             inside = top.inside or name in ("article", "main") or "main" in _roles(match["rest"])
             around = top.around or _surrounds(name, match["rest"], inside)
-            if around != top.around:
+            named = top.named
+            body = name in ("html", "body") or (inside and not top.inside)
+            if match["rest"] and not around and not body and _named_around(match["rest"]):
+                outer.append(named)
+                named = len(outer) - 1
+            if around != top.around or named != top.named:
                 end_block()
-            stack.append(_Open(name, inside, around, top.article or name == "article"))
+            stack.append(_Open(name, inside, around, top.article or name == "article", named))
     end_block()
-    return found
+    ruled = _ruled_out(found, outer)
+    return [b._replace(around=b.around or (named >= 0 and ruled[named])) for b, named in found]
 
 
 def _roles(rest: str) -> set[str]:

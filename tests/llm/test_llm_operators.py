@@ -509,3 +509,58 @@ def test_conversion_reads_the_sources_charset():
     image = b"HTTP/1.1 200 OK\r\nContent-Type: image/png\r\n\r\n\x89PNG"
     assert [r[1] for r in warc.derive_one("<urn:uuid:2>", "http://x/", "d", {}, image)] == ["metadata"]
     assert re.search("source-payload-digest: sha1:[A-Z2-7]{32}\r\n", meta[-1])
+
+
+def test_large_warc_is_read_in_one_pass():
+    """Ten times the records take about ten times as long, plain and as gzip members."""
+    import gzip
+    import time
+
+    record = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 2000\r\n\r\n" + b"x\r\n\r\n" * 400 + b"\r\n\r\n"
+    for pack in (lambda n: record * n, lambda n: gzip.compress(record) * n + b"\0" * 512):
+        seconds = []
+        for n in (2000, 20_000):
+            data = pack(n)
+            start = time.perf_counter()
+            assert sum(len(block) for _, block in warc.parse(data)) == 2000 * n
+            seconds.append(time.perf_counter() - start)
+        assert seconds[1] < 40 * seconds[0] + 1
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc.parse(gzip.compress(record)[:-9]))
+
+
+def test_languages_keep_their_place(spark):
+    """Rows that share an identifier do not take the place of another language."""
+    from pyspark.sql import functions as F
+
+    many = spark.range(3000).select(F.lit(1).cast("bigint").alias("doc_id"), F.concat(F.lit("aba cada "), "id").alias("text"), F.lit("aa").alias("lang"))
+    few = spark.range(50).select(F.col("id").alias("doc_id"), F.concat(F.lit("zuzu wuxu "), "id").alias("text"), F.lit("zz").alias("lang"))
+    model = language.fit(many.union(few))
+    assert model.languages == ("aa", "zz")
+    found = {r.id: r.lang_pred for r in language.predict(few, model).collect()}
+    assert set(found.values()) == {"zz"}
+
+
+def test_names_rule_out_whole_names_only():
+    body = "<p>{}</p>".format("Long text of the page. " * 5)
+    kept = lambda page: [b.text for b in html.blocks(page) if not b.around]
+    whole = ["Long text of the page. " * 4 + "Long text of the page."]
+    for page in ('<article class="share-price">{}</article>', '<main id="search-history">{}</main>', '<article class="search">{}</article>',
+                 '<article><div class="related-work">{}</div></article>', '<body class="widget"><div id="alert">{}</div>'):
+        assert kept(page.format(body)) == whole, page
+    for name in ("comments", "comment-list", "cookie-banner", "adSlot", "related-posts", "site-footer"):
+        page = f'<article><p>Short</p></article><div class="{name}">{body}</div>'
+        assert kept(page) == ["Short"], name
+    assert kept(f'<div class="share">{body}<div class="comments">x</div></div>') == whole
+
+
+def test_tokens_of_every_early_character():
+    """All characters below U+0800, alone and between letters and marks, as the library has them."""
+    library = bpe.Tokenizer.from_file(PATH)
+    tokens, known = bpe.vocabulary(PATH)
+    texts = [form.format(chr(c)) for c in range(0x800) for form in ("{0}", "a{0}b", "{0}́", "ׇ{0}", "1{0}և", "A{0}ͅ {0}{0}x")]
+    rng = random.Random(11)
+    draw = [lambda: chr(rng.randrange(0x250)), lambda: chr(rng.randrange(0x300, 0x800)), lambda: chr(rng.choice((rng.randrange(0x800, 0xD800), rng.randrange(0xE000, 0x20000)))), lambda: rng.choice("ab 1.'")]
+    texts += ["".join(rng.choice(draw)() for _ in range(rng.randrange(1, 14))) for _ in range(20_000)]
+    for text, found in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(tokens.encode(text, known), "<u4").tolist() == found.ids, ascii(text)
