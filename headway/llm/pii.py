@@ -1,16 +1,18 @@
-"""Personal data by weak supervision.
+"""Personal data and secrets by weak supervision.
 
 Patterns propose spans: the strict forms of four kinds, whose valid matches always stand, and
-looser forms (national phone numbers, spelled-out mail addresses, card-like numbers that fail
-the check digit, addresses with leading zeros). Four labelers vote on each span: the strict
-pattern, a gazetteer (domain endings, area codes, card issuers, address ranges), the words
-around it, and its borders. Expectation-maximisation over the counts of vote patterns
+looser forms that the strict ones miss (national phone numbers of several countries, mail
+addresses spelled out, card numbers with other separators or a wrong check digit, keys and
+access tokens). Four labelers vote on each span, strict or loose alike: its form (check
+digit, number of digits, mix of characters), a gazetteer (domain endings, area codes, card
+issuers, address ranges, key prefixes), the words around it, and its borders. Which pattern
+proposed a span is no vote. Expectation-maximisation over the counts of vote patterns
 estimates how reliable each vote is per kind. Its probabilities then train the span
 classifier, naive Bayes over the votes and the span's length, and looser spans that it
 accepts are added.
 
 Texts stay in Spark expressions. Only the counts of vote patterns leave it, at most
-``4 kinds * 2 forms * 3 ** 4 votes * 4 lengths`` numbers whatever the input.
+``5 kinds * 3 ** 4 votes * 4 lengths`` numbers whatever the input.
 
 Patterns are written so that none can take quadratic time or deep recursion: a match begins
 where a run of its characters begins, or where the match before it ended.
@@ -31,43 +33,68 @@ from headway.sources.scratch import new_folder, written
 # Kinds in order, and their strict forms. Possessive repetition and the start
 # condition change no match.
 KINDS = ("email", "ip", "card", "phone")
+_ALL = (*KINDS, "secret")
 STRICT = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# A text without the needle has no match; cards need a run of digits instead.
-_NEEDLES = {"email": "@", "ip": ".", "card": "", "phone": "+"}
+# A text that fails the test has no match.
+_DIGITS_IN_TEXT = r"text RLIKE '[0-9][\\x20-]?[0-9]'"
+_NEEDLES = {"email": "contains(text, '@')", "ip": "contains(text, '.')", "card": _DIGITS_IN_TEXT, "phone": "contains(text, '+')"}
+_USER, _LABEL = r"[A-Za-z0-9._%+-]{1,64}+", r"[A-Za-z0-9-]{1,63}+"
 _LOOSE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:\[at\]|\(at\))\x20?[A-Za-z0-9-]{1,63}+(?:\x20?(?:\[dot\]|\(dot\)|\.)\x20?[A-Za-z0-9-]{1,63}+){1,8}+",
+    # In brackets, as words, or set apart by spaces.
+    "email": rf"(?<![A-Za-z0-9._%+-]){_USER}(?:"
+    rf"\x20?[\[({{]at[\])}}]\x20?{_LABEL}(?:(?:\x20?[\[({{]dot[\])}}]\x20?|\.){_LABEL}){{1,8}}+"
+    rf"|\x20at\x20{_LABEL}(?:\x20dot\x20{_LABEL}){{1,8}}+|\x20@\x20{_LABEL}(?:\.{_LABEL}){{1,8}}+)",
+    "card": r"(?<![0-9.])[0-9]{4}(?:(?:[./_]|\x20[\x20-]\x20?)[0-9]{4}){3}(?![0-9]|\.[0-9])",
     # Valid strict numbers are passed over whole, so that nothing inside them is proposed.
+    # Then North American numbers, European ones in pairs and in threes, numbers with a trunk
+    # zero, and international ones behind 00.
     "phone": r"\+[0-9](?:[\x20().-]*+[0-9]){9,14}+(?![\x20().-]*+[0-9])"
-    r"|(?<![0-9+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9-]|\.[0-9])",
+    r"|(?<![0-9+.-])(?<![0-9][\x20])(?:(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}"
+    r"|0[1-9](?:[\x20.-][0-9]{2}){4}|[6-9][0-9]{2}(?:[\x20.-][0-9]{3}){2}"
+    r"|(?:\(0[0-9]{2,4}\)|0[0-9]{2,4})[\x20/-]{1,3}[0-9]{3,4}[\x20-]?[0-9]{3,5}"
+    r"|00[1-9](?:[\x20().-]{0,3}[0-9]){9,13})(?![0-9-]|[\x20.][0-9])",
+    "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+",
+}
+_LOOSE_NEEDLES = {
+    "email": r"text RLIKE '[\\[({\\x20]at[\\])}\\x20]|\\x20@\\x20'",
+    "card": _DIGITS_IN_TEXT,
+    "phone": _DIGITS_IN_TEXT,
+    "secret": "text RLIKE '[A-Za-z0-9_-]{20}'",
+}
+_LOOSE_KEPT = {
+    "email": "true",
+    "card": "true",
+    "phone": "left(v.value, 1) <> '+'",
+    "secret": "v.value RLIKE '[0-9]' AND v.value RLIKE '[A-Za-z]'",
 }
-_LOOSE_NEEDLES = {"email": "at", "phone": ""}
-_LOOSE_KEPT = {"email": "true", "phone": "left(v.value, 1) <> '+'"}
 # Gazetteers: what the values of each kind usually begin or end with.
 _KNOWN = {
-    "email": r"(?i)[.\x20)\]](?:com|org|net|edu|gov|int|info|io|de|fr|es|uk|eu|it|nl|ch|at|us|ca|jp|cn|br|ru)$",
+    "email": r"(?i)[.\x20)\]}](?:[a-z]{2}|com|org|net|edu|gov|int|mil|info|biz|name|app|dev|cloud|online|shop)$",
     "ip": r"^(?!0\.|127\.|22[4-9]\.|2[3-5][0-9]\.)",
     "card": r"^(?:3[04-9]|4|5[1-5]|2[2-7]|6)",
-    "phone": r"^(?:\+[1-9]|\(?[2-9])",
+    "phone": r"^(?:\+[1-9]|00[1-9]|\(?0[1-9]|\(?[2-9])",
+    "secret": r"^(?:[spr]k[-_]|gh[a-z]_|AKIA|AIza|xox|eyJ|glpat-)",
 }
 _CUES = {
-    "email": r"(?i)\b(?:e-?mail|mail|contact|write|to|from|reach|courriel|correo|kontakt)\b",
-    "ip": r"(?i)\b(?:ip|host|server|address|addr|client|ping|login|adresse)\b",
-    "card": r"(?i)\b(?:card|visa|mastercard|amex|credit|debit|pay|payment|carte|tarjeta|karte)\b",
-    "phone": r"(?i)\b(?:phone|tel|telephone|mobile|call|fax|cell|dial|whatsapp|telefon|tfno)\b",
+    "email": r"(?i)\b(?:e-?mail|mail|contact|write|to|from|reach|courriel|correo|contacto|kontakt|schreib)\b",
+    "ip": r"(?i)\b(?:ip|host|server|address|addr|client|ping|login|adresse|direcci.n|serveur|servidor)\b",
+    "card": r"(?i)\b(?:card|visa|mastercard|amex|credit|debit|pay|payment|carte|tarjeta|karte|kreditkarte|cr.dito)\b",
+    "phone": r"(?i)\b(?:phone|tel|telephone|mobile|call|fax|cell|dial|whatsapp|telefon|tfno|t.l.phone|tel.fono|appelez|ruf|llame|handy|portable)\b",
+    "secret": r"(?i)(?:\b|_)(?:token|secret|key|apikey|password|passwd|pwd|auth|bearer|credentials?|access|clave|passwort)\b",
 }
 _COUNTER_CUES = r"(?i)(?:\b(?:version|token|id|key|hash|isbn|sku|order|ref|build|section|serial|uuid)\b|[=#\"])"
+_SECRET_COUNTER_CUES = r"(?i)\b(?:commit|sha-?[0-9]+|md5|hash|digest|checksum|uuid|etag|revision|file|isbn|https?|www)\b|/"
 _AROUND = 30
 _LENGTHS = (11, 15, 20)
-VOTES = ("strict", "known", "context", "border")
-_START = 0.9
+VOTES = ("form", "known", "context", "border")
 
 
-def _found(pattern: str, needle: str) -> str:
+def _found(pattern: str, check: str) -> str:
     """SQL: array of (start, end, value) of all matches in ``text``, in code points.
 
     What lies between matches comes from splitting at them, so a start is the length of all
@@ -75,7 +102,6 @@ def _found(pattern: str, needle: str) -> str:
     """
     p = pattern.replace("\\", "\\\\").replace("'", "\\'")
     empty = "CAST(array() AS array<struct<start: int, past: int, value: string>>)"
-    check = f"contains(text, '{needle}')" if needle else r"text RLIKE '[0-9][\\x20-]?[0-9]'"
     return f"""
 CASE WHEN {check} AND text RLIKE '{p}' THEN
   transform(array(named_struct('m', regexp_extract_all(text, '{p}', 0), 'b', split(text, '{p}', -1))), x ->
@@ -101,6 +127,15 @@ _VALID = {
     "card": f"length({_DIGITS}) BETWEEN 14 AND 19 AND exists(array({_DIGITS}), d -> {_LUHN})",
     "phone": f"length({_DIGITS}) BETWEEN 10 AND 15",
 }
+# How a value keeps the rules of its kind beyond the pattern: 2 for, 1 none, 0 against.
+_FORM = {
+    "email": r"CASE WHEN v.value RLIKE '^[A-Za-z0-9].*[.\\x20)\\]}][A-Za-z]{2,24}$' THEN 2 ELSE 0 END",
+    "ip": r"CASE WHEN v.value RLIKE '^(?:[1-9][0-9]*|0)(?:\\.(?:[1-9][0-9]*|0)){3}$' THEN 2 ELSE 0 END",
+    "card": f"CASE WHEN {_VALID['card']} THEN 2 ELSE 0 END",
+    "phone": f"CASE WHEN length({_DIGITS}) BETWEEN 10 AND 15 THEN 2 WHEN length({_DIGITS}) = 9 THEN 1 ELSE 0 END",
+    "secret": "CASE WHEN v.value RLIKE '[-_][A-Za-z]+[-_]' THEN 0 WHEN v.value RLIKE '^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$'"
+    " OR (v.value RLIKE '[a-z]' AND v.value RLIKE '[A-Z]') THEN 2 ELSE 1 END",
+}
 # Loose values that are not valid strict ones but may still be personal data.
 _PLAUSIBLE = {
     "ip": "false",
@@ -117,7 +152,7 @@ def _typed(kind: str, matches: str, strict: bool) -> str:
     )
     valid = f"({_VALID[kind]})" if strict else "false"
     return f"""transform(filter({matches}, v -> {keep}), v -> named_struct(
-  'start', v.start, 'kind', {KINDS.index(kind)}, 'past', v.past, 'strict', {valid}, 'value', v.value))"""
+  'start', v.start, 'kind', {_ALL.index(kind)}, 'past', v.past, 'strict', {valid}, 'value', v.value))"""
 
 
 def _vote(condition: str, against: str) -> str:
@@ -127,18 +162,15 @@ def _vote(condition: str, against: str) -> str:
 def _pattern_number() -> str:
     """SQL: one number for a span's kind, votes (0 against, 1 none, 2 for) and length."""
 
-    def by_kind(texts: dict[str, str], value: str) -> str:
-        escaped = {k: t.replace("\\", "\\\\").replace("'", "\\'") for k, t in texts.items()}
-        return "CASE v.kind " + " ".join(f"WHEN {KINDS.index(k)} THEN {value} RLIKE '{escaped[k]}'" for k in KINDS) + " END"
-
+    quoted = lambda t: t.replace("\\", "\\\\").replace("'", "\\'")
+    case = lambda by: "CASE v.kind " + " ".join(f"WHEN {i} THEN {by(k)}" for i, k in enumerate(_ALL)) + " END"
     before = f"substr(text, greatest(v.start - {_AROUND}, 0) + 1, v.start - greatest(v.start - {_AROUND}, 0))"
-    against = _COUNTER_CUES.replace("\\", "\\\\").replace("'", "\\'")
+    against = case(lambda k: f"{before} RLIKE '{quoted(_SECRET_COUNTER_CUES if k == 'secret' else _COUNTER_CUES)}'")
     glued = "(substr(text, v.start, 1) RLIKE '[A-Za-z0-9]' AND v.start > 0) OR substr(text, v.past + 1, 1) RLIKE '[A-Za-z0-9]'"
-    known = by_kind(_KNOWN, "v.value")
     votes = [
-        "CASE WHEN v.strict THEN 2 ELSE 1 END",
-        _vote(known, "true"),
-        _vote(by_kind(_CUES, before), f"{before} RLIKE '{against}'"),
+        case(lambda k: f"({_FORM[k]})"),
+        _vote(case(lambda k: f"v.value RLIKE '{quoted(_KNOWN[k])}'"), "true"),
+        _vote(case(lambda k: f"{before} RLIKE '{quoted(_CUES[k])}'"), against),
         _vote(f"NOT ({glued})", "true"),
     ]
     length = "CASE " + " ".join(f"WHEN length(v.value) <= {n} THEN {i}" for i, n in enumerate(_LENGTHS)) + f" ELSE {len(_LENGTHS)} END"
@@ -167,12 +199,11 @@ def reliabilities(counts: dict[Pattern, int], rounds: int = 40) -> dict[Pattern,
     """Probability of every pattern to be personal data, by expectation-maximisation.
 
     Per kind: a share of true spans and, for true and false spans, the chances of each
-    labeler's three votes. Strict spans start as true with 0.9, the others by their votes.
+    labeler's three votes. Spans start by how many votes are for them.
     """
     posterior = {}
     for p in counts:
-        lean = sum(v - 1 for v in p.votes)
-        posterior[p] = _START if p.votes[0] == 2 else min(0.8, max(0.1, 0.4 + 0.15 * lean))
+        posterior[p] = min(0.95, max(0.05, 0.5 + 0.15 * sum(v - 1 for v in p.votes)))
     for _ in range(rounds):
         updated = {}
         for kind in {p.kind for p in counts}:
@@ -195,10 +226,10 @@ def reliabilities(counts: dict[Pattern, int], rounds: int = 40) -> dict[Pattern,
 
 
 def accepted(counts: dict[Pattern, int], at_least: float) -> list[Pattern]:
-    """Loose patterns that the classifier accepts.
+    """Patterns that the classifier accepts.
 
     Naive Bayes over kind, votes and length, trained on all spans weighted by their
-    probabilities. A loose span must also have more votes for than against it.
+    probabilities. There must also be more votes for than against.
     """
     posterior = reliabilities(counts)
     chosen = []
@@ -215,7 +246,7 @@ def accepted(counts: dict[Pattern, int], at_least: float) -> list[Pattern]:
             score = log(mass[1] / mass[0])
             for feature in (*enumerate(p.votes), ("length", p.length)):
                 score += log(features[feature][1] / (mass[1] + 2)) - log(features[feature][0] / (mass[0] + 2))
-            if p.votes[0] != 2 and sum(v - 1 for v in p.votes) > 0 and score >= log(at_least / (1 - at_least)):
+            if sum(v - 1 for v in p.votes) > 0 and score >= log(at_least / (1 - at_least)):
                 chosen.append(p)
     return sorted(chosen)
 
@@ -246,7 +277,7 @@ def _spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _joined(spans: Column) -> Column:
-    names = F.array(*(F.lit(k) for k in KINDS))
+    names = F.array(*(F.lit(k) for k in _ALL))
     return F.array_join(
         F.transform(
             F.array_sort(spans), lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["past"].cast("string"))
@@ -262,8 +293,8 @@ def _counts(rows: Iterable) -> dict[Pattern, int]:
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", at_least: float = 0.95) -> DataFrame:
     """(id, base, spans) per row: both arrays of (start, kind, past, strict, number).
 
-    ``base`` holds the valid strict spans, ``spans`` also the added ones, both by start, then
-    kind; an added span never overlaps a strict one of its kind. A null text counts as empty
+    ``base`` holds the valid strict spans of the four kinds, ``spans`` also the added ones,
+    secrets among them, both by start, then kind; an added span never overlaps a base one. A null text counts as empty
     and has no spans. Repeated rows give repeated results, an empty table none; other columns
     are not looked at.
     """
@@ -278,7 +309,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", at_lea
     rows = found.select("id", F.array_sort(base).alias("base"), extra.alias("extra"))
     free = F.filter(
         "extra",
-        lambda s: ~F.exists("base", lambda b: (b["kind"] == s["kind"]) & (b["start"] < s["past"]) & (s["start"] < b["past"])),
+        lambda s: ~F.exists("base", lambda b: (b["start"] < s["past"]) & (s["start"] < b["past"])),
     )
     return rows.select("id", "base", F.array_sort(F.concat("base", free)).alias("spans"))
 

@@ -65,6 +65,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(of(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)),
         F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"),
         pii.as_text(F.col("spans")).alias("spans"),
+        F.size("spans").cast("bigint").alias("n_spans"),
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -339,13 +340,53 @@ def test_personal_data(docs):
 
 
 def test_loose_spans_need_reliable_votes():
-    strict = {pii.Pattern(3, (2, 2, 2, 2), 2): 500, pii.Pattern(3, (2, 2, 1, 2), 2): 500}
-    loose = {pii.Pattern(3, (1, 2, 2, 2), 1): 20, pii.Pattern(3, (1, 0, 0, 0), 1): 300}
-    chosen = pii.accepted({**strict, **loose}, 0.9)
-    assert chosen == [pii.Pattern(3, (1, 2, 2, 2), 1)]
-    assert all(pii.read_number(pii._number(p)) == p for p in {**strict, **loose})
-    probability = pii.reliabilities({**strict, **loose})
-    assert probability[pii.Pattern(3, (2, 2, 2, 2), 2)] > 0.99 > 0.01 > probability[pii.Pattern(3, (1, 0, 0, 0), 1)]
+    """The votes decide, not the form that proposed a span."""
+    sure = {pii.Pattern(3, (2, 2, 2, 2), 2): 500, pii.Pattern(3, (2, 2, 1, 2), 2): 500}
+    open_ = {pii.Pattern(3, (2, 2, 2, 2), 1): 20, pii.Pattern(3, (0, 0, 0, 0), 1): 300, pii.Pattern(3, (1, 0, 0, 2), 1): 90}
+    chosen = pii.accepted({**sure, **open_}, 0.95)
+    assert chosen == sorted([*sure, pii.Pattern(3, (2, 2, 2, 2), 1)])
+    assert all(pii.read_number(pii._number(p)) == p for p in {**sure, **open_})
+    probability = pii.reliabilities({**sure, **open_})
+    assert probability[pii.Pattern(3, (2, 2, 2, 2), 2)] > 0.99 > 0.01 > probability[pii.Pattern(3, (0, 0, 0, 0), 1)]
+
+
+def test_personal_data_that_strict_forms_miss(spark):
+    """Recall and precision of planted spans of every loose form, among strict ones and decoys."""
+    rng = random.Random(5)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    name = lambda: rng.choice(["ann", "bo.lee", "kim_c", "dan7"]) + digits(2)
+    text = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+
+    def card(separator):
+        own = "4" + digits(14)
+        total = sum(d - 9 if d > 9 else d for d in (int(c) * (2 - i % 2) for i, c in enumerate(own)))
+        own += str(-total % 10)
+        return separator.join(own[i : i + 4] for i in range(0, 16, 4))
+
+    planted = {
+        "email": ("write to {}", lambda: rng.choice(["{} [at] mail.example.com", "{} (at) site (dot) org", "{} at post dot example dot net", "{} @ mail.example.de"]).format(name())),
+        "phone": ("call {}", lambda: rng.choice([f"({rng.randrange(201, 989)}) {digits(3)}-{digits(4)}", "01 " + " ".join(digits(2) for _ in range(4)), f"030 {digits(4)} {digits(3)}", f"020 {digits(4)} {digits(4)}", f"0049 30 {digits(7)}", f"6{digits(2)} {digits(3)} {digits(3)}"])),
+        "card": ("pay by card {}", lambda: card(rng.choice([".", "/", " - "]))),
+        "secret": ('token = "{}"', lambda: rng.choice([text(40, "0123456789abcdef"), "ghp_" + text(36, "abcdefXYZ0123456789"), "AKIA" + text(16, "ABCDEF0123456789")]) ),
+    }
+    strict = ["mail {}@mail.example.com", "call +1 (212) 555-{}", "ip 10.1.2.{}", "pay by card {}"]
+    decoys = ["version 1.2.{}", "order 0{} section", "see commit {}", "read top-10-things-to-do-in-town-{}", "we look at it. Then dot by dot {}"]
+    rows, truth = [], {}
+    for kind, (around, value) in planted.items():
+        for _ in range(60):
+            own = value()
+            shown = "Some words before, " + around.format(own) + " and words after."
+            truth[len(rows)] = f"{kind}:{shown.index(own)}:{shown.index(own) + len(own)}"
+            rows.append(shown)
+    for i in range(60):
+        rows += [strict[0].format(name()), strict[1].format(digits(4)), strict[2].format(i), strict[3].format(card(" "))]
+        rows += [decoys[0].format(i), decoys[1].format(digits(9)), decoys[2].format(text(40, "0123456789abcdef")), decoys[3].format(i), decoys[4].format(i)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    found = {r.id: r for r in pii.find(docs).select("id", pii.as_text("base").alias("base"), pii.as_text("spans").alias("spans")).collect()}
+    caught = Counter(t.split(":")[0] for i, t in truth.items() if t in found[i].spans.split(","))
+    assert min(caught[kind] for kind in planted) >= 54, caught
+    wrong = [rows[i] for i, r in found.items() if i not in truth and r.spans != r.base]
+    assert len(wrong) <= 0.05 * (len(rows) - len(truth)), wrong[:5]
 
 
 def test_national_numbers_in_running_text(spark):

@@ -165,6 +165,10 @@ def test_personal_data(spark):
         assert row.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
         assert [row[f"n_{k}"] for k in PATTERNS] == [sum(b.startswith(k) for b in base) for k in PATTERNS]
         assert set(base) <= set(row.spans.split(",")) | {""}
+        assert row.n_spans == len([x for x in row.spans.split(",") if x])
+        # The tables' secrets, and nothing else, are added as such.
+        secrets = [f"secret:{m.start(1)}:{m.end(1)}" for m in re.finditer(r'token = "([0-9a-f]{40})"', text or "")]
+        assert [x for x in row.spans.split(",") if x.startswith("secret")] == secrets
 
 
 def test_personal_data_in_hard_texts(spark):
