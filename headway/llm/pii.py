@@ -294,8 +294,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", at_lea
     """(id, base, spans) per row: both arrays of (start, kind, past, strict, number).
 
     ``base`` holds the valid strict spans of the four kinds, ``spans`` also the added ones,
-    secrets among them, both by start, then kind; an added span never overlaps a base one. A null text counts as empty
-    and has no spans. Repeated rows give repeated results, an empty table none; other columns
+    secrets among them, both by start, then kind; an added span never overlaps a base one. A
+    null text counts as empty and has no spans. Repeated rows give repeated results, an empty table none; other columns
     are not looked at.
     """
     found = written(

@@ -605,3 +605,28 @@ def test_tokens_of_every_early_character():
     texts += ["".join(rng.choice(draw)() for _ in range(rng.randrange(1, 14))) for _ in range(20_000)]
     for text, found in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
         assert np.frombuffer(tokens.encode(text, known), "<u4").tolist() == found.ids, ascii(text)
+
+
+def test_text_does_not_depend_on_the_number_of_tasks(spark):
+    """Pages of one host without markup, runs of copies among them, as one task would read them."""
+    rng = random.Random(8)
+    line = lambda i: f"<p>Line {i} of the site or the page</p>"
+    rows = []
+    for i in range(300):
+        if rows and rng.random() < 0.4:
+            rows.append((i, rows[-1][1][:-6] + f"{i:06}", rows[-1][2]))
+        else:
+            source = "".join(line(rng.randrange(40)) for _ in range(12))
+            rows.append((i, f"https://{'ab'[i > 280]}.org/{i // 60}/{i // 7 % 5}/{i:06}", source))
+    rows += [(1000 + i, f"https://c.org/{i:04}", line(1) + line(2)) for i in range(200)] + [(None, "https://c.org/0", line(2) + line(7)), (5, None, None)]
+    read = [html_diff.Page(i, u, u[8:13] if u else "", u[13:] if u else "", html.blocks(s or "")) for i, u, s in rows]
+    plain = {p.key: text for p, text in html_diff.texts(sorted(read, key=lambda p: (p.host, p.path, p.key is not None, p.key)))}
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for tasks in (1, 7, 60):
+            spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+            found = {r.id: r.text for r in html_diff.extract(pages.coalesce(1)).collect()}
+            assert found == plain, tasks
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
