@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import html
 import re
@@ -67,6 +68,32 @@ def test_warc_derivatives(spark):
             assert f"source-payload-length: {sizes[r.target_uri]}\r\n" in r.block
 
 
+def test_warc_digests_headers_and_text(spark):
+    """Every record against digests, headers and text taken from the page itself."""
+    sha1 = lambda data: "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+    found = defaultdict(dict)
+    for r in text_queries.op2_warc_derivatives(spark, SF_SMALL).collect():
+        assert r.block_digest == sha1(r.block.encode())
+        found[r.target_uri][r.type] = r
+    pages = table("pages", SF_SMALL)
+    assert len(found) == len(pages)
+    for url, page in zip(pages.url, pages.html):
+        body = page.encode()
+        head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n\r\n".encode()
+        meta, text = found[url]["metadata"], found[url]["conversion"]
+        fields = dict(line.split(": ", 1) for line in meta.block.split("\r\n") if line)
+        assert fields["source-block-digest"] == sha1(head + body) and fields["source-payload-digest"] == sha1(body)
+        assert fields["source-payload-length"] == fields["http-Content-Length"] == str(len(body))
+        assert fields["http-status"] == "HTTP/1.1 200 OK" and fields["http-Content-Type"] == "text/html; charset=utf-8"
+        assert fields["source-Content-Type"] == "application/http; msgtype=response"
+        assert fields["conversion-block-digest"] == text.block_digest == text.payload_digest
+        assert meta.refers_to == text.refers_to and meta.date == text.date == "2024-01-01T00:00:00Z"
+        # All text of the page, scripts, styles and the title apart, whatever the line ends.
+        plain = re.sub(r"(?is)<(script|style|title)\b.*?(</\1[^>]*>|$)|<!--.*?-->", " ", page)
+        plain = html.unescape(re.sub(r"<[^>]*(>|$)", "", plain))
+        assert "".join(text.block.split()) == "".join(plain.split())
+
+
 def brute_mix(counts: dict[str, int], weights: dict[str, float], size: int, period: int):
     """Source of every slot: one slot after another over all blocks."""
     blocks = {s: -(-n // size) for s, n in counts.items()}
