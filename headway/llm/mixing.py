@@ -21,7 +21,7 @@ import heapq
 from collections.abc import Iterator, Mapping
 from fractions import Fraction
 from itertools import islice
-from math import floor, lcm
+from math import lcm
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,24 +33,6 @@ MAX_SOURCES = 10_000
 _BATCH = 100_000
 
 
-def whole_weights(weights: Mapping[str, float], period: int) -> dict[str, int]:
-    """Weights as whole slots of a period, by largest remainders; each source gets one at least.
-
-    The schedule does not round; this is the rounded form that a check can compare with.
-    """
-    period = max(period, len(weights))
-    total = sum(weights.values())
-    exact = {s: period * w / total for s, w in weights.items()}
-    slots = {s: max(1, floor(x)) for s, x in exact.items()}
-    by_need = sorted(weights, key=lambda s: (slots[s] - exact[s], s))
-    missing = period - sum(slots.values())
-    for s in by_need[: max(0, missing)]:
-        slots[s] += 1
-    while sum(slots.values()) > period:  # minimum slots of tiny sources come from the largest
-        slots[max(slots, key=lambda s: (slots[s], s))] -= 1
-    return slots
-
-
 def whole_ratios(weights: Mapping[str, float]) -> dict[str, int]:
     """Whole numbers in exactly the ratio of the weights."""
     exact = {s: Fraction(w) for s, w in weights.items()}
@@ -128,7 +110,6 @@ def mix(
     id_col: str = "doc_id",
     source_col: str = "source",
     block_size: int = 16,
-    period: int = 1000,
     temperature: float = 0.5,
     rows_per_lot: int = 100_000,
     with_rows: bool = False,
@@ -141,8 +122,7 @@ def mix(
     source may be short. Rows without a source form the source ''. Repeated rows and ties
     are separate rows with separate positions; a null identifier is ordered like any other.
     An empty table gives no rows. ``with_rows`` keeps the row as ``row``, so that other
-    columns cannot clash. More than ``MAX_SOURCES`` sources raise an error. ``period`` has no
-    effect any more: weights are not rounded to it.
+    columns cannot clash. More than ``MAX_SOURCES`` sources raise an error.
     """
     spark = docs.sparkSession
     source = F.coalesce(F.col(source_col).cast("string"), F.lit(""))

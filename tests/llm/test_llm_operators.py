@@ -284,17 +284,17 @@ def test_repeated_windows(spark):
 
 
 def test_mixing(docs, spark):
-    rows = mixing.mix(docs, weights={"a": 3, "b": 1}, block_size=1, period=4).collect()
+    rows = mixing.mix(docs, weights={"a": 3, "b": 1}, block_size=1).collect()
     assert sorted(r.position for r in rows) == list(range(11))
     assert {r.source for r in rows} == {"a", "b", "c", ""}
     many = spark.createDataFrame([(i, "big" if i % 10 else "small") for i in range(4000)], "doc_id bigint, source string")
-    found = mixing.mix(many, weights={"big": 1, "small": 1}, block_size=4, period=2)
+    found = mixing.mix(many, weights={"big": 1, "small": 1}, block_size=4)
     order = [r.source for r in found.where("slot < 200").orderBy("position").collect()]
     assert all(abs(order[: 4 * n].count("small") - 2 * n) < 4 for n in range(1, 200))
 
 
 def test_mix_keeps_unrounded_weights(spark):
-    """Less than one block from the target weight itself, far beyond any period."""
+    """Less than one block from the target weight itself, however long the mix."""
     weights = {"a": 2**0.5, "b": 3**0.5, "c": 1e-4, "d": 0.9}
     shares = {s: w / sum(weights.values()) for s, w in weights.items()}
     given = dict.fromkeys(weights, 0)
@@ -307,7 +307,7 @@ def test_mix_keeps_unrounded_weights(spark):
             break
     counts = {"big": 3000, "tiny": 3}
     docs = spark.createDataFrame([(i, s) for s, n in counts.items() for i in range(n)], "doc_id bigint, source string")
-    rows = mixing.mix(docs, weights={"big": 1 - 1e-3, "tiny": 1e-3}, block_size=1, period=10).collect()
+    rows = mixing.mix(docs, weights={"big": 1 - 1e-3, "tiny": 1e-3}, block_size=1).collect()
     given, share = 0, {"big": 1 - 1e-3, "tiny": 1e-3}
     for at, r in enumerate(sorted(rows, key=lambda r: r.position)):
         given += r.source == "tiny"

@@ -8,7 +8,8 @@ import html
 import re
 import zlib
 from collections import Counter, defaultdict
-from math import ceil
+from fractions import Fraction
+from math import ceil, floor
 
 import duckdb
 import numpy as np
@@ -19,7 +20,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
 from conftest import SF, SF_SMALL
-from headway.llm import mixing, pii
+from headway.llm import pii
 from headway.llm import queries as text_queries
 
 TABLES = ("documents", "pages", "benchmark", "labels", "conversations", "embeddings")
@@ -94,24 +95,24 @@ def test_warc_digests_headers_and_text(spark):
         assert "".join(text.block.split()) == "".join(plain.split())
 
 
-def brute_mix(counts: dict[str, int], weights: dict[str, float], size: int, period: int):
-    """Source of every slot: one slot after another over all blocks."""
+def brute_mix(counts: dict[str, int], weights: dict[str, float], size: int):
+    """Source of every slot, one slot after another over all blocks, from exact shares."""
     blocks = {s: -(-n // size) for s, n in counts.items()}
     order = []
     while any(blocks.values()):
-        slots = mixing.whole_weights({s: weights[s] for s, n in blocks.items() if n}, period)
-        length = sum(slots.values())
-        given = dict.fromkeys(slots, 0)
+        total = sum(Fraction(weights[s]) for s, n in blocks.items() if n)
+        share = {s: Fraction(weights[s]) / total for s, n in blocks.items() if n}
+        given = dict.fromkeys(share, 0)
         now = 0
         while True:
-            ready = [s for s in slots if given[s] * length // slots[s] <= now]
-            s = min(ready, key=lambda s: (ceil((given[s] + 1) * length / slots[s]), s))
+            ready = [s for s in share if floor(given[s] / share[s]) <= now]
+            s = min(ready, key=lambda s: (ceil((given[s] + 1) / share[s]), s))
             order.append(s)
             given[s] += 1
             blocks[s] -= 1
             now += 1
-            for t in slots:  # Pfair: less than one block from the share
-                assert abs(given[t] - now * slots[t] / length) < 1
+            for t in share:  # Pfair: less than one block from the share
+                assert abs(given[t] - now * share[t]) < 1
             if blocks[s] == 0:
                 break
     return order
@@ -122,7 +123,7 @@ def test_mixing(spark):
     docs = table("documents")
     assert sorted(rows.doc_id) == sorted(docs.doc_id) and rows.position.is_unique
     counts = docs.groupby("source").size().to_dict()
-    expected = brute_mix(counts, {s: n**0.5 for s, n in counts.items()}, 16, 1000)
+    expected = brute_mix(counts, {s: n**0.5 for s, n in counts.items()}, 16)
     assert rows.groupby("slot").source.agg(["min", "max", "size"]).reset_index()["min"].tolist() == expected
     assert (rows.groupby("slot").source.nunique() == 1).all() and rows.groupby("slot").size().max() <= 16
     for source, own in rows.groupby("source"):
