@@ -168,8 +168,7 @@ ruled AS (
   FROM parts
 ),
 pages_of AS (
-  SELECT page_id, host, path, found.rule AS rule, found.verdict AS verdict,
-         CASE WHEN len(shaped) > 6 THEN list_append(shaped[1:6], '**') ELSE shaped END AS segments
+  SELECT page_id, host, path, found.rule AS rule, found.verdict AS verdict, shaped AS segments
   FROM ruled
 ),
 paths AS (

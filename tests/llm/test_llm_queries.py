@@ -250,3 +250,22 @@ def test_whitening(spark):
     whitened = found.to_numpy()
     error = np.abs(whitened.T @ whitened / n - np.eye(32)).max()
     assert rows.identity_error.nunique() == 1 and rows.identity_error[0] < 1e-8 and error < 1e-8
+
+
+def test_deep_paths_equal_sql(spark, tmp_path):
+    """Rows that part below the sixth segment, with many children there, on three hosts."""
+    hosts, tops = ("a.example.org", "b.net", "shop.com"), ("es", "en", "de", "fr")
+    rows = []
+    for i in range(400):
+        deep = "/".join(("x", "y", "z", "q", "r", ("left", "right")[i % 2], f"name{'abcdefghijklmnopqrstuvwxyz'[i % 26]}", "end")[: 5 + i % 4])
+        rows.append((i, f"https://{hosts[i % 3]}/{tops[i % 4]}/{deep}/{chr(97 + i % 23)}{chr(97 + i % 19)}"))
+    rows += [(1000, None), (1001, "no scheme"), (1002, "http://b.net"), (1002, "http://b.net")]
+    spark.createDataFrame(rows, "page_id bigint, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = text_queries.op5_url_filter(spark, str(tmp_path))
+    columns = ["page_id", "host", "path", "rule", "template", "share", "verdict"]
+    ours = sorted(map(str, (tuple(r[c] for c in columns) for r in found.collect())))
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    theirs = db.sql(f"SELECT {', '.join(columns)} FROM ({text_queries.oracle_sql()['op5_url_filter']})").fetchall()
+    assert ours == sorted(map(str, theirs))
+    assert any(r.template.count("/") > 7 for r in found.collect())
