@@ -128,3 +128,16 @@ def test_run_returns_rows_in_mixed_order(spark):
     kept = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where(F.col("doc_id").isin([r.doc_id for r in rows]))
     expected = [r.id for r in mixing.mix(kept).orderBy("position").collect()]
     assert [r.doc_id for r in rows] == expected
+
+
+def test_run_on_odd_rows(spark, tmp_path):
+    """Null identifiers, sources and languages, repeated rows and names that stages use themselves."""
+    prose = lambda k: " ".join(f"{chr(97 + i % 26)}{chr(97 + i * k % 23)}{chr(97 + i // 5)}" for i in range(100))
+    rows = [(1, prose(1), "en", "a"), (1, prose(1), "en", "a"), (None, prose(5), None, None), (None, prose(7), "en", "a"), (2, None, "en", "a"), (3, "", None, None)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars int, row string, id int, kept boolean, position int"
+    spark.createDataFrame([(*r, 0, "r", 7, True, 9) for r in rows], schema).write.parquet(f"{tmp_path}/odd/documents.parquet")
+    found = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in found) == sorted([(1, prose(1)), (0, prose(5)), (0, prose(7))])
+    assert all((r.row, r.id, r.kept, r.position) == ("r", 7, True, 9) and len(r.token_ids) > 0 for r in found)
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
