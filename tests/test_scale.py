@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,12 +13,13 @@ import __spark_entry__ as registry
 from conftest import AS_OF, SF_SMALL, as_set
 from headway import schemas
 from headway.functions import utc_literal
+from headway.llm import near_dedup
 from headway.plans import delays, fleet, sketches
 from headway.plans.events import int_trip_stop_events_deduped
 from headway.plans.staging import stg_trip_updates, stg_vehicle_positions
 from headway.sources import event_stream
 from headway.sources.raw_log import append_raw, read_raw
-from headway.sources.scratch import new_folder
+from headway.sources.scratch import new_folder, passing_folders, shared_folder, written
 
 
 def plan(df) -> str:
@@ -256,3 +258,42 @@ def test_sketches_keep_their_bound_at_any_size(spark):
     exact = few.groupBy("route_id").agg(F.expr("percentile_disc(0.9) WITHIN GROUP (ORDER BY delay_sec)").cast("int").alias("p90_delay_sec"))
     assert as_set(sketches.delay_percentiles(sketches.hourly_sketches(few), "week"), "route_id", "p90_delay_sec") == as_set(exact)
     assert sketches.delay_percentiles(sketches.hourly_sketches(events.limit(0))).count() == 0
+
+
+def _shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in dirs for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, kept = _shuffle_files(spark), spark.conf.get(setting)
+    counts = written(spark.range(0, 5000, 1, 4).groupBy((F.col("id") % 700).alias("k")).count(), new_folder(spark, "counts"))
+    assert counts.count() == 700 and spark.conf.get(setting) == kept
+    counted = _shuffle_files(spark) - before  # those of count() itself may stay
+    until = time.time() + 20
+    while len(counted) > 8 and time.time() < until:
+        time.sleep(0.2)
+        counted = _shuffle_files(spark) - before
+    assert len(counted) <= 8
+
+
+def test_passing_folders_go_at_the_end(spark):
+    kept = new_folder(spark, "kept")
+    with passing_folders(spark):
+        first = written(spark.range(3), new_folder(spark, "first"))
+        with passing_folders(spark):
+            written(first, new_folder(spark, "second"))
+        found = written(first, kept)
+    left = set(os.listdir(shared_folder(spark)))
+    assert os.path.basename(kept) in left and not {n for n in left if n.startswith(("first-", "second-"))}
+    assert found.count() == 3
+
+
+def test_near_duplicates_keep_only_what_the_result_reads(spark):
+    prose = [" ".join(f"w{(i * k) % 101}" for i in range(120)) for k in range(2, 9)]
+    docs = spark.createDataFrame([(i, prose[i % 7] + f" x{i % 3}") for i in range(60)], "doc_id bigint, text string")
+    before = set(os.listdir(shared_folder(spark)))
+    assert near_dedup.near_duplicates(docs).where("kept").count() == 7
+    left = sorted(n.rsplit("-", 1)[0] for n in set(os.listdir(shared_folder(spark))) - before)
+    assert left == ["labels", "named", "sketches"]
