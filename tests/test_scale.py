@@ -17,7 +17,7 @@ from headway.llm import near_dedup
 from headway.plans import delays, fleet, sketches
 from headway.plans.events import int_trip_stop_events_deduped
 from headway.plans.staging import stg_trip_updates, stg_vehicle_positions
-from headway.sources import event_stream
+from headway.sources import event_stream, feeds
 from headway.sources.raw_log import append_raw, read_raw
 from headway.sources.scratch import new_folder, passing_folders, shared_folder, written
 
@@ -297,3 +297,16 @@ def test_near_duplicates_keep_only_what_the_result_reads(spark):
     assert near_dedup.near_duplicates(docs).where("kept").count() == 7
     left = sorted(n.rsplit("-", 1)[0] for n in set(os.listdir(shared_folder(spark))) - before)
     assert left == ["labels", "named", "sketches"]
+
+
+def test_typing_a_feed_names_every_value_once(spark, tmp_path):
+    """One pass over the entities; the look-up of a name does not double with every name."""
+    (tmp_path / "feed.json").write_text('{"header": {"timestamp": 1}, "entity": []}\n')
+    for schema, flatten, enum in (
+        (schemas.TRIP_FEED, feeds.flatten_trip_updates, "schedule_relationship"),
+        (schemas.VEHICLE_FEED, feeds.flatten_vehicle_positions, "current_status"),
+    ):
+        rows = flatten(feeds.read_feed(spark, str(tmp_path), schema))
+        text = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("transform(entity#") == 1
+        assert len(re.findall(rf"lambda x_\d+#\d+\.[a-z_.]*{enum}", text)) <= 2
