@@ -29,6 +29,7 @@ from math import inf
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
@@ -286,6 +287,12 @@ class Chunks(Pieces):
     def encoded(self, text: str) -> bytes:
         return self.vocabulary.chunk(text, self.pieces)
 
+    def forget(self) -> None:
+        """Gives back what was learnt from texts; the vocabulary stays."""
+        self.clear()
+        self.pieces.clear()
+        self.vocabulary.pairs.clear()
+
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> tuple[Vocabulary, Chunks]:
@@ -328,9 +335,13 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
 def _encoder(path: str):
     @F.pandas_udf("array<int>")
-    def encoded(texts):
+    def encoded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokens, known = vocabulary(path)
-        return texts.map(lambda t: np.frombuffer(tokens.encode(t or "", known), "<u4").astype(np.int32))
+        try:
+            for texts in parts:
+                yield texts.map(lambda t: np.frombuffer(tokens.encode(t or "", known), "<u4").astype(np.int32))
+        finally:
+            known.forget()  # workers outlive their task, and stages without texts follow in them
 
     return encoded
 

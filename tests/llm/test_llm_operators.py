@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -630,3 +631,23 @@ def test_text_does_not_depend_on_the_number_of_tasks(spark):
             assert found == plain, tasks
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_keys_of_the_same_texts_are_listed_once(spark):
+    passage = [(f"p{k}", text) for k in range(60) for text in range(20)]
+    other = [("a", 1), ("a", 2), ("b", 1), ("b", 2), ("b", 3), ("alone", 4), ("joined", 5), ("joined", 6)]
+    keys = spark.createDataFrame(passage + other, "name string, id bigint")
+    label = F.when(F.col("id") == 6, 5).otherwise(F.col("id")).alias("label")
+    keys = keys.select(F.xxhash64("name").alias("key"), "id", (F.lit(100) - F.col("id")).alias("n"), label)
+    lists = near_dedup._open_lists(keys)
+    assert sorted((r.texts, r.hub.id) for r in lists.collect()) == [(2, 2), (3, 3), (20, 19)]
+    assert keys.join(lists, "key").count() == 25
+
+
+def test_a_task_gives_back_what_it_learnt_from_texts():
+    encoded = bpe._encoder(PATH).func(iter([pd.Series(["some words, and more words", None]), pd.Series(["other words"])]))
+    tokens, known = bpe.vocabulary(PATH)
+    first = next(encoded)
+    assert len(known) and len(known.pieces)
+    assert [len(i) > 0 for i in first] == [True, False] and len(list(encoded)) == 1
+    assert not known and not known.pieces and not tokens.pairs
