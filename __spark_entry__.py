@@ -228,7 +228,7 @@ def _project_models(spark: SparkSession, sf_dir: str) -> DataFrame:
         if isinstance(field.dataType, T.TimestampNTZType):
             shown = F.concat(F.substring(shown, 1, 19), F.lit("."), F.rpad(F.substring(shown, 21, 6), 6, "0"))
         elif isinstance(field.dataType, T.DoubleType):
-            shown = F.round(value, 6).cast("decimal(18,6)").cast("string")
+            shown = value.cast("decimal(18,6)").cast("string")
         return F.coalesce(shown, F.lit("~"))
 
     _, models = _built(spark, sf_dir)

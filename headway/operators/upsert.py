@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from headway.functions import utc_literal
 from headway.sources.scratch import written
 from headway.sources.table import PART, Pointer, StoredTable
 
@@ -26,12 +28,26 @@ def _same(key: str) -> Column:
     return F.col(key).eqNullSafe(F.col(_KEY))
 
 
-def _staged(rows: DataFrame, path: str) -> tuple[DataFrame, list[str]]:
-    """Writes the rows and returns them with their distinct parts, which are bounded by the
-    table's buckets or the calendar, not by the data."""
+def _found(sure: Column) -> list[Column]:
+    """The distinct parts of sure and of other rows; they are bounded by the table's buckets or the
+    calendar, not by the data."""
+    return [F.collect_set(F.when(kind, F.col(PART))).alias(name) for name, kind in (("sure", sure), ("open", ~sure))]
+
+
+def _staged(rows: DataFrame, path: str, sure: Column) -> tuple[DataFrame, list[str], list[str]]:
+    """Writes the rows and returns them with the parts of the sure and of the other ones."""
     seen = Observation()
-    staged = written(rows.observe(seen, F.collect_set(PART).alias("parts")), path)
-    return staged, sorted(seen.get["parts"])
+    staged = written(rows.observe(seen, *_found(sure)), path)
+    return staged, seen.get["sure"], seen.get["open"]
+
+
+def _newer_than_all(at: Pointer, newest_by: Sequence[str], highest: dict[str, str]) -> Column:
+    """Whether a row is newer than every row held, by the maximum that the pointer notes of the
+    first order column; without a note no row is known to be."""
+    marks = [at.notes.get(name) for name, column in highest.items() if column == newest_by[0]]
+    if not marks or marks[0] is None:
+        return F.lit(False)
+    return F.coalesce(F.col(newest_by[0]) > utc_literal(marks[0]), F.lit(False))
 
 
 def accepted_rows(
@@ -58,14 +74,16 @@ def upsert(
     notes: Callable[[Pointer, DataFrame | None], dict] | None = None,
     highest: dict[str, str] = HIGHEST,
     trimmed: Callable[[Pointer, DataFrame], DataFrame] | None = None,
+    stored: bool = False,
 ) -> list[str]:
     """Merges a delta with unique keys and returns the parts that changed.
 
     A row's part must follow from its key, so a key is looked for in its own part only: parts
-    the delta does not touch are neither read nor written, and of those it touches first the
-    key and order columns are read, then the parts that a row really enters. A delta row
-    replaces the held row of its key unless that one is newer, so repeating an increment
-    changes nothing. ``rebuild`` makes the delta the whole table.
+    the delta does not touch are neither read nor written. A delta row replaces the held row of
+    its key unless that one is newer, so repeating an increment changes nothing. Rows newer than
+    the table's mark need no look at the held ones; for the others first the key and order columns are read, then
+    the parts that a row really enters. ``rebuild`` makes the delta the whole table. ``stored``
+    says that the delta is read from a table and need not be written aside.
 
     ``notes`` makes notes of the new pointer from the old one and the accepted rows (null
     for a first load or a rebuild); ``highest`` names columns whose maximum it keeps.
@@ -79,12 +97,32 @@ def upsert(
 
     staging = f"{table.path}/staging/{uuid.uuid4().hex}"
     try:
-        delta, parts = _staged(delta.withColumn(PART, table.part), f"{staging}/delta")
-        held = table.read(parts, True, at)
-        accepted, touched = _staged(accepted_rows(held, delta, key, newest_by, tracked), f"{staging}/accepted")
+        sure = _newer_than_all(at, newest_by, highest)
+        delta = delta.withColumn(PART, table.part)
+        if stored:
+            entered, unsure = delta.agg(*_found(sure)).first()
+        else:
+            delta, entered, unsure = _staged(delta, f"{staging}/delta", sure)
+        held = table.read(sorted({*entered, *unsure}), True, at)
+        accepted, replacing = [], []
+        if entered:
+            accepted.append(delta.where(sure).drop(PART))
+            # Read by the notes alone, which need few columns of it.
+            replacing.append(accepted_rows(held, delta.where(sure), key, newest_by, tracked))
+        if unsure:
+            few, compared = delta, held
+            if entered:
+                few = written(delta.where(~sure), f"{staging}/unsure")
+                compared = held.join(few.select(F.col(key).alias(_KEY)), _same(key), "left_semi")
+            checked, more, _ = _staged(accepted_rows(compared, few, key, newest_by, tracked), f"{staging}/accepted", F.lit(True))
+            accepted.append(checked.drop(PART, REPLACED))
+            replacing.append(checked)
+            entered = {*entered, *more}
+        touched = sorted(entered)
         if touched:
-            merged = replace_matching(table.read(touched, True, at), accepted.drop(PART, REPLACED), key)
-            table.replace(trim(at, merged), touched, at, highest, **noted(at, accepted))
+            merged = replace_matching(table.read(touched, True, at), functools.reduce(DataFrame.unionByName, accepted), key)
+            changes = functools.reduce(DataFrame.unionByName, replacing)
+            table.replace(trim(at, merged), touched, at, highest, **noted(at, changes))
         return touched
     finally:
         table._delete(staging)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway import schemas
+from headway.functions import utc_literal
 from headway.operators.upsert import upsert
 from headway.plans.delays import (
     DELAY_COUNTS,
@@ -23,6 +25,7 @@ from headway.plans.delays import (
 from headway.plans.events import int_trip_stop_events_deduped
 from headway.plans.staging import NEWEST_PING, NEWEST_UPDATE, stg_trip_updates, stg_vehicle_positions
 from headway.sources.raw_log import read_raw
+from headway.sources.scratch import written
 from headway.sources.table import BUCKETS, Pointer, StoredTable, by_day, by_hash
 
 STAGED_UPDATES = "stg_trip_updates"
@@ -97,7 +100,12 @@ def daily_table(spark: SparkSession, warehouse: str) -> StoredTable:
 
 
 def apply_raw(events: StoredTable, raw: DataFrame, rebuild: bool = False) -> list[str]:
-    """Stages and cleans raw rows and merges them; returns the buckets that changed.
+    """Stages and cleans raw rows and merges them; returns the buckets that changed."""
+    return apply_staged(events, stg_trip_updates(raw), rebuild)
+
+
+def apply_staged(events: StoredTable, staged: DataFrame, rebuild: bool = False, stored: bool = False) -> list[str]:
+    """Cleans staged rows and merges them; returns the buckets that changed.
 
     A key whose newest new row is unusable keeps the row it has, unlike in a rebuild. The
     pointer that makes the merged buckets current also names the signed counts of the change,
@@ -111,8 +119,8 @@ def apply_raw(events: StoredTable, raw: DataFrame, rebuild: bool = False) -> lis
         days, _ = events.write_parts(signed_counts(accepted), folder, by_day("date_day"))
         return {"deltas": [*at.notes.get("deltas", []), [at.version + 1, folder, days]][-KEPT_DELTAS:]}
 
-    rows = int_trip_stop_events_deduped(stg_trip_updates(raw), keep=["entity_id"])
-    return upsert(events, rows, "event_key", NEWEST_UPDATE, rebuild, DELAY_OF, notes)
+    rows = int_trip_stop_events_deduped(staged, keep=["entity_id"])
+    return upsert(events, rows, "event_key", NEWEST_UPDATE, rebuild, DELAY_OF, notes, stored=stored)
 
 
 def load_new_events(events: StoredTable, trip_log: str, rebuild: bool = False) -> list[str]:
@@ -126,6 +134,31 @@ def load_new_events(events: StoredTable, trip_log: str, rebuild: bool = False) -
     return apply_raw(events, raw, rebuild)
 
 
+def stage_and_load(staged: StoredTable, events: StoredTable, trip_log: str, rebuild: bool = False) -> None:
+    """Both tables as ``stage_new_updates`` and ``load_new_events`` bring them up, from one pass
+    over the log.
+
+    The newest rows per key since the earlier of the two marks serve both: as that step orders
+    by ingestion time first, those of them after a later mark are the newest rows after that mark.
+    """
+    spark = staged.spark
+    if rebuild or not (staged.pointer().parts or events.pointer().parts):
+        stage_updates(staged, read_raw(spark, trip_log, schemas.RAW_TRIP_UPDATES), rebuild)
+        apply_staged(events, staged.read(), rebuild)
+        return
+    marks = staged.mark, events.mark
+    start = None if None in marks else min(marks)
+    folder = f"{staged.path}/staging/{uuid.uuid4().hex}"
+    try:
+        newest = written(stg_trip_updates(read_raw(spark, trip_log, schemas.RAW_TRIP_UPDATES, ingested_from=start)), folder)
+        at = F.col("ingested_at")
+        to_stage, to_load = (newest if m is None else newest.where(since(utc_literal(m))) for m, since in zip(marks, (at.__ge__, at.__gt__)))
+        upsert(staged, to_stage, "event_key", NEWEST_UPDATE, stored=True)
+        apply_staged(events, to_load, stored=True)
+    finally:
+        staged._delete(folder)
+
+
 class Behind(NamedTuple):
     """What a table derived from the events has not seen: the events' version, the folders of
     signed counts, and the days they change; null where it has to start again."""

@@ -104,11 +104,13 @@ class Project:
 
     def _bring_up_to_date(self, names: set[str], full_refresh: bool) -> None:
         staged, pings, events = (self.kept[n] for n in (STAGED_UPDATES, STAGED_PINGS, EVENTS))
-        if STAGED_UPDATES in names:
+        if {STAGED_UPDATES, EVENTS} <= names:
+            increments.stage_and_load(staged, events, self.trip_log, full_refresh)
+        elif STAGED_UPDATES in names:
             increments.stage_new_updates(staged, self.trip_log, full_refresh)
         if STAGED_PINGS in names:
             increments.stage_new_pings(pings, self.vehicle_log, full_refresh)
-        if EVENTS in names:
+        if EVENTS in names and STAGED_UPDATES not in names:
             increments.load_new_events(events, self.trip_log, full_refresh)
         if names & {HOURLY, HOURLY_MART, DAILY}:
             increments.refresh_metrics(events, self.counts, self.kept[HOURLY_MART], self.kept[DAILY])

@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL, as_set, moment
 from headway import schemas
 from headway.functions import utc_literal
+from headway.operators import upsert as operator
 from headway.operators.upsert import upsert
 from headway.plans import increments
 from headway.plans.delays import fct_route_delay_daily, fct_route_delay_hourly, int_route_delay_hourly
 from headway.plans.events import int_trip_stop_events_deduped
+from headway.plans.pipeline import Project
 from headway.plans.staging import stg_trip_updates, stg_vehicle_positions
 from headway.sources import event_stream
 from headway.sources.raw_log import append_raw, read_raw
-from headway.sources.scratch import new_folder
+from headway.sources.scratch import new_folder, written
 from headway.sources.table import StoredTable, by_hash
 
 
@@ -234,6 +236,59 @@ def test_null_key_is_one_key(spark, folder):
     assert as_set(table.read(), "k", "day", "x") == {(None, second, 2), ("a", first, 1)}
 
 
+def test_one_pass_brings_up_staged_rows_and_events(spark, folder, trip_rows, monkeypatch):
+    """A project reads the trip log once a run; both tables hold what their own increments make of
+    it, also where their marks differ and a row arrives late."""
+    log = f"{folder}/log"
+    read = []
+    plain = increments.read_raw
+    monkeypatch.setattr(increments, "read_raw", lambda *a, **k: read.append(a) or plain(*a, **k))
+    project = Project(spark, log, f"{folder}/pings", f"{folder}/warehouse")
+    names = {increments.STAGED_UPDATES, increments.EVENTS}
+    alone = increments.staged_updates_table(spark, f"{folder}/alone"), increments.events_table(spark, f"{folder}/alone")
+    batches = [
+        ({}, {"stop_id": "s2"}, {"stop_id": "s3"}),
+        ({"ingested_at": "10 08:40", "delay_sec": None}, {"stop_id": "s3", "ingested_at": "10 08:40", "delay_sec": 99999}),
+        ({"ingested_at": "10 08:30", "stop_id": "s4"}, {"ingested_at": "10 08:40", "entity_id": "e0", "delay_sec": 5}),
+        ({"ingested_at": "10 09:00", "delay_sec": 7}, {"stop_id": "s5", "ingested_at": "10 09:00"}),
+    ]
+    for batch in batches:
+        append_raw(trip_rows(*batch), log)
+        read.clear()
+        project._bring_up_to_date(names, False)
+        assert len(read) == 1
+        increments.stage_new_updates(alone[0], log)
+        increments.load_new_events(alone[1], log)
+        for table in alone:
+            ours = project.kept[table.path.rpartition("/")[2]]
+            assert as_set(ours.read(with_hidden=True)) == as_set(table.read(with_hidden=True))
+            assert ours.mark == table.mark
+    staged, held = (as_set(project.kept[name].read(), "stop_id") for name in (increments.STAGED_UPDATES, increments.EVENTS))
+    assert staged == {("s1",), ("s2",), ("s3",), ("s5",)} and held == staged | {("s4",)}
+    counts, hourly, daily = derived(spark, folder)
+    increments.refresh_metrics(project.kept[increments.EVENTS], counts, hourly, daily)
+    assert as_set(hourly.read(), "num_events") == {(5,)}
+
+
+def test_rows_newer_than_the_mark_are_not_compared(spark, folder, monkeypatch):
+    schema = "k string, ingested_at timestamp_ntz, x int"
+    table = StoredTable(spark, f"{folder}/t", schema, by_hash("k", 4))
+    kept = []
+    monkeypatch.setattr(operator, "written", lambda df, path: kept.append(path.rpartition("/")[2]) or written(df, path))
+
+    def merge(*values):
+        kept.clear()
+        upsert(table, spark.createDataFrame([(k, moment(at), x) for k, at, x in values], schemas.struct(schema)), "k", ["ingested_at"])
+        return as_set(table.read(), "k", "x")
+
+    merge(("a", "01 00:00", 1), ("b", "01 00:00", 2), (None, "01 00:00", 3))
+    assert merge(("a", "02 00:00", 4), ("c", "02 00:00", 5), (None, "02 00:00", 6)) == {("a", 4), ("b", 2), ("c", 5), (None, 6)}
+    assert kept == ["delta"]
+    mixed = merge(("a", "01 12:00", 7), ("b", "01 12:00", 8), ("c", "02 00:00", 9), ("d", "03 00:00", 10), (None, None, 11), ("e", None, 12))
+    assert mixed == {("a", 4), ("b", 8), ("c", 9), ("d", 10), ("e", 12), (None, 6)}
+    assert table.mark == "2024-01-03 00:00:00"
+
+
 def test_old_versions_can_be_dropped(spark, events, folder, trip_rows):
     tables = derived(spark, folder)
     for minute in (20, 30, 40, 50):
