@@ -81,9 +81,9 @@ def upsert(
     A row's part must follow from its key, so a key is looked for in its own part only: parts
     the delta does not touch are neither read nor written. A delta row replaces the held row of
     its key unless that one is newer, so repeating an increment changes nothing. Rows newer than
-    the table's mark need no look at the held ones; for the others first the key and order columns are read, then
-    the parts that a row really enters. ``rebuild`` makes the delta the whole table. ``stored``
-    says that the delta is read from a table and need not be written aside.
+    the table's mark enter without a look at the held ones; for the others first the key and
+    order columns are read, then the parts that a row really enters. ``rebuild`` makes the delta
+    the whole table. ``stored`` says that the delta is read from files and need not be written.
 
     ``notes`` makes notes of the new pointer from the old one and the accepted rows (null
     for a first load or a rebuild); ``highest`` names columns whose maximum it keeps.

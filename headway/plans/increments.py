@@ -152,7 +152,10 @@ def stage_and_load(staged: StoredTable, events: StoredTable, trip_log: str, rebu
     try:
         newest = written(stg_trip_updates(read_raw(spark, trip_log, schemas.RAW_TRIP_UPDATES, ingested_from=start)), folder)
         at = F.col("ingested_at")
-        to_stage, to_load = (newest if m is None else newest.where(since(utc_literal(m))) for m, since in zip(marks, (at.__ge__, at.__gt__)))
+        to_stage, to_load = (
+            newest if mark is None else newest.where(since(utc_literal(mark)))
+            for mark, since in zip(marks, (at.__ge__, at.__gt__))
+        )
         upsert(staged, to_stage, "event_key", NEWEST_UPDATE, stored=True)
         apply_staged(events, to_load, stored=True)
     finally:

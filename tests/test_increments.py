@@ -284,7 +284,8 @@ def test_rows_newer_than_the_mark_are_not_compared(spark, folder, monkeypatch):
     merge(("a", "01 00:00", 1), ("b", "01 00:00", 2), (None, "01 00:00", 3))
     assert merge(("a", "02 00:00", 4), ("c", "02 00:00", 5), (None, "02 00:00", 6)) == {("a", 4), ("b", 2), ("c", 5), (None, 6)}
     assert kept == ["delta"]
-    mixed = merge(("a", "01 12:00", 7), ("b", "01 12:00", 8), ("c", "02 00:00", 9), ("d", "03 00:00", 10), (None, None, 11), ("e", None, 12))
+    older = ("a", "01 12:00", 7), ("b", "01 12:00", 8), ("c", "02 00:00", 9), (None, None, 11), ("e", None, 12)
+    mixed = merge(*older, ("d", "03 00:00", 10))
     assert mixed == {("a", 4), ("b", 8), ("c", 9), ("d", 10), ("e", 12), (None, 6)}
     assert table.mark == "2024-01-03 00:00:00"
 
