@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from headway.llm.text import packed
+from headway.llm.workers import give_back
 
 # White space as the vocabulary's patterns see it. Python's own splitting also
 # takes U+001C to U+001F for white space, so texts with those are split by pattern.
@@ -46,6 +47,7 @@ _END = " "
 _WORDS_HELD = 1 << 19
 _LONGEST_HELD = 100
 _PAIRS_HELD = 1 << 20
+_SLICE = 512
 
 
 def byte_symbols() -> list[str]:
@@ -105,10 +107,7 @@ class Vocabulary:
         self.ids = ids
         self.symbols = byte_symbols()
         self.pairs: dict[int, bool] = {}
-        # What a token shows at its right and left edge while its merges take place, each with
-        # the rank of the merge that ends it.
-        self.right_edge = {i: _edge(i, made_by, 2) for i in ids.values()}
-        self.left_edge = {i: _edge(i, made_by, 1) for i in ids.values()}
+        self.made_by = made_by
         # Tokens that merging never yields, not even from their own text, take no part.
         stable: dict[int, bool] = {}
         for token, i in sorted(ids.items(), key=lambda item: made_by.get(item[1], (-1,))[0]):
@@ -146,8 +145,9 @@ class Vocabulary:
         ranks the leftmost merge is first.
         """
         ranks = self.ranks
-        for a, end_a in self.right_edge[left]:
-            for b, end_b in self.left_edge[right]:
+        starts = _edge(right, self.made_by, 1)
+        for a, end_a in _edge(left, self.made_by, 2):
+            for b, end_b in starts:
                 found = ranks.get((a, b))
                 if found and found[0] < before and found[0] < end_a and found[0] <= end_b:
                     return True
@@ -339,9 +339,14 @@ def _encoder(path: str):
         tokens, known = vocabulary(path)
         try:
             for texts in parts:
-                yield texts.map(lambda t: np.frombuffer(tokens.encode(t or "", known), "<u4").astype(np.int32))
+                # Slices, so that the ids of one are freed while the next is encoded.
+                for first in range(0, len(texts), _SLICE):
+                    part = texts.iloc[first : first + _SLICE]
+                    yield part.map(lambda t: np.frombuffer(tokens.encode(t or "", known), "<u4").astype(np.int32))
+                texts = part = None
         finally:
             known.forget()  # workers outlive their task, and stages without texts follow in them
+            give_back()
 
     return encoded
 

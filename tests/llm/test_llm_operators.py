@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -651,3 +655,38 @@ def test_a_task_gives_back_what_it_learnt_from_texts():
     assert len(known) and len(known.pieces)
     assert [len(i) > 0 for i in first] == [True, False] and len(list(encoded)) == 1
     assert not known and not known.pieces and not tokens.pairs
+
+
+_MEMORY_LEFT = """
+import random, sys
+import pandas as pd, pyarrow as pa
+from headway.llm import bpe
+
+def held():
+    with open("/proc/self/smaps_rollup") as file:
+        return sum(int(line.split()[1]) for line in file if line.startswith("Anonymous:")) / 1024
+
+def texts():
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for _ in range(2):
+        rows = [" ".join("".join(rng.choices(letters, k=6)) for _ in range(100)) for _ in range(1500)]
+        yield pa.array(rows).to_pandas()
+
+before = held()
+bpe.vocabulary(sys.argv[1])
+loaded = held()
+bpe.F.pandas_udf = lambda kind: lambda function: function  # the plain function, without a session
+for ids in bpe._encoder(sys.argv[1])(texts()):
+    pa.array(ids, pa.list_(pa.int32()))
+print(loaded - before, held() - loaded)
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="reads the memory of a Linux process")
+def test_a_worker_holds_little_after_an_encoding_task():
+    """MB beside the imports: of the vocabulary, and of what a task with 300,000 words leaves."""
+    repo = Path(bpe.__file__).parents[2]
+    run = subprocess.run([sys.executable, "-c", _MEMORY_LEFT, PATH], cwd=repo, capture_output=True, text=True, check=True, timeout=120)
+    vocabulary, left = map(float, run.stdout.split())
+    assert vocabulary < 65 and left < 20
