@@ -13,7 +13,7 @@ import __spark_entry__ as registry
 from conftest import AS_OF, SF_SMALL, as_set
 from headway import schemas
 from headway.functions import utc_literal
-from headway.llm import near_dedup
+from headway.llm import components, near_dedup
 from headway.plans import delays, fleet, sketches
 from headway.plans.events import int_trip_stop_events_deduped
 from headway.plans.staging import stg_trip_updates, stg_vehicle_positions
@@ -299,6 +299,28 @@ def test_near_duplicates_keep_only_what_the_result_reads(spark):
     assert left == ["labels", "named", "sketches"]
 
 
+def test_near_duplicates_broadcast_no_table(spark, monkeypatch):
+    """Files and lists are far larger in memory than the planner takes them for; the driver would hold them."""
+    plans = []
+
+    def planned(df, path):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, path)
+
+    monkeypatch.setattr(near_dedup, "written", planned)
+    monkeypatch.setattr(components, "written", planned)
+    shared = [f"s{i}" for i in range(60)]
+    texts = [" ".join([*shared, *(f"t{k}x{i}" for i in range(16))]) for k in range(40)]
+    texts += [" ".join(f"c{(7 * i) % 90}" for i in range(120)) + f" e{k}" for k in range(20)]
+    docs = spark.createDataFrame([*enumerate(texts), (3, texts[0]), (3, texts[0])], "doc_id bigint, text string")
+    options = near_dedup.Options(shingle=2)
+    for found in (near_dedup.near_duplicates(docs, options=options), near_dedup.keep_one_of_each(docs, options=options)):
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        assert found.count() >= 41
+    joins = [line for plan in plans for line in plan.splitlines() if "Join" in line]
+    assert len(joins) > 40 and not [line for line in joins if "Broadcast" in line]
+
+
 def test_typing_a_feed_names_every_value_once(spark, tmp_path):
     """One pass over the entities; the look-up of a name does not double with every name."""
     (tmp_path / "feed.json").write_text('{"header": {"timestamp": 1}, "entity": []}\n')
