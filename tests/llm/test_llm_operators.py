@@ -193,6 +193,18 @@ def test_pairs_do_not_grow_with_the_square_of_a_passage(spark):
     assert made[1] < 8 * max(made[0], 100), made
 
 
+def test_shingle_counts_reach_the_driver_packed(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    sets = [rng.integers(-(2**63), 2**63 - 1, n, dtype=np.int64) for n in (0, 1, 4000, 9000)] + [np.full(1, 7)] * 3
+    frame, sent = type(spark.range(1)), []
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: sent.append(collect(self)) or sent[-1])
+    rows = [(i, [int(x) for x in s]) for i, s in enumerate(sets)]
+    counts = near_dedup._shingle_counts(spark.createDataFrame(rows, "id bigint, shingles array<bigint>"))
+    assert (counts == np.bincount(near_dedup._bucket(np.concatenate(sets)), minlength=near_dedup._COUNTERS)).all()
+    assert len(sent) == 1 and len(sent[0]) < 20 and sum(len(r.pairs) for r in sent[0]) == 8 * np.count_nonzero(counts)
+
+
 def test_repeated_and_text_identifiers(spark):
     long = [f"w{i}" for i in range(60)]
     a, extra, other = " ".join(long), " ".join([*long, "more"]), " ".join(f"b{i}" for i in range(60))
