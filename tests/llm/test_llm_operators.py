@@ -30,6 +30,7 @@ from headway.llm import (
     url_filter,
     warc,
 )
+from headway.sources.scratch import written
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 # Names that operators use themselves.
@@ -205,6 +206,63 @@ def test_shingle_counts_reach_the_driver_packed(spark, monkeypatch):
     assert len(sent) == 1 and len(sent[0]) < 20 and sum(len(r.pairs) for r in sent[0]) == 8 * np.count_nonzero(counts)
 
 
+def passage_texts(n):
+    rng = random.Random(12)
+    passage = [f"p{i}" for i in range(60)]
+    for k in range(n):
+        own = [f"o{rng.randrange(40)}" if rng.random() < 0.5 else f"u{k}x{i}" for i in range(rng.randrange(4, 26))]
+        yield " ".join([*passage[: rng.randrange(50, 61)], *own])
+
+
+def slices_made(monkeypatch):
+    made = Counter()
+    monkeypatch.setattr(near_dedup, "written", lambda df, path: made.update([Path(path).name[:-33]]) or written(df, path))
+    return made
+
+
+def test_steps_with_many_pairs_go_in_slices(spark, monkeypatch):
+    """What one write moves stays near half of all sets, and slices leave out no link."""
+    texts = list(passage_texts(110))
+    rows = [*enumerate(texts), (None, texts[0]), (3, texts[3]), (4, texts[3])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    made = slices_made(monkeypatch)
+    monkeypatch.setattr(near_dedup, "_LEAST_ROOM", 200_000)
+    found = by_id(near_dedup.near_duplicates(docs, options=near_dedup.Options(shingle=2)))
+    brute = brute_components(texts, 2)
+    assert [found[i][0].component for i in range(110) if i != 4] == [brute[i] for i in range(110) if i != 4]
+    assert {r.component for r in found[4]} == {brute[4], brute[3]} and found[None][0].component == brute[0]
+    assert made["nodes"] > 4 and made["confirmed"] > 3
+
+
+def test_rare_shingles_in_slices(spark, monkeypatch):
+    docs = spark.createDataFrame(list(enumerate(passage_texts(200))), "doc_id bigint, text string")
+    texts = near_dedup._texts(docs, "doc_id", "text")
+    classes = texts.select(F.col("doc").alias("id"), "doc", "hash")
+    members = classes.select("id", F.col("id").alias("label"))
+    made, found = slices_made(monkeypatch), []
+    for room in (float("inf"), 100_000):
+        made.clear()
+        links, pairs = near_dedup._sharing_rare(members, near_dedup._Source(classes, texts, near_dedup.Options(shingle=2), room))
+        found.append([sorted(tuple(r) for r in df.collect()) for df in (links, pairs)])
+    assert found[0] == found[1] and found[0][1]
+    assert made["judged"] > made["met"]
+    source = near_dedup._Source(classes, texts, near_dedup.Options(), room=10)
+    once, folders = source.in_slices(docs, "doc_id", 25, lambda part: part.select("doc_id"), "parts")
+    assert len(folders) == 3 and sorted(r.doc_id for r in once.collect()) == list(range(200))
+
+
+def test_only_wanted_texts_are_shuffled(spark):
+    docs = spark.createDataFrame([(i if i else None, f"text {i}") for i in range(2000)], "doc_id bigint, text string")
+    texts = near_dedup._texts(docs, "doc_id", "text")
+    wanted = texts.where("doc % 50 = 7")
+    hashes = {r.hash for r in wanted.collect()}
+    marks = near_dedup._marks(wanted)
+    assert len(marks) == 4 << 20 and int(np.unpackbits(marks).sum()) == len({h % near_dedup._MARKS for h in hashes})
+    kept = near_dedup._marked(texts, marks)
+    assert kept.schema == texts.schema and {r.hash for r in kept.collect()} >= hashes and kept.count() <= len(hashes) + 2
+    assert near_dedup._marked(texts, near_dedup._marks(wanted.limit(0))).isEmpty()
+
+
 def test_repeated_and_text_identifiers(spark):
     long = [f"w{i}" for i in range(60)]
     a, extra, other = " ".join(long), " ".join([*long, "more"]), " ".join(f"b{i}" for i in range(60))
